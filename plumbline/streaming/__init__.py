@@ -1,0 +1,5 @@
+"""Holds nothing on purpose: every operator of this library works on a batch table.
+
+A fitted model is an ordinary ``PipelineModel``, so a streaming frame can be
+scored with ``model.transform`` without anything from here.
+"""
