@@ -228,7 +228,8 @@ def corr_pair(
 def _correlation(left: str, right: str) -> Column:
     # A constant side can leave rounding noise instead of an exact zero variance.
     varies = (F.min(left) < F.max(left)) & (F.min(right) < F.max(right))
-    return F.when(varies, F.nanvl(F.corr(left, right), F.lit(None).cast("double")))
+    spread = F.stddev_pop(left) * F.stddev_pop(right)
+    return F.when(varies, F.try_divide(F.covar_pop(left, right), spread))
 
 
 def shap_summary(attributions: DataFrame) -> DataFrame:

@@ -70,7 +70,8 @@ def model_columns(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]
 
 def prepare(df: DataFrame, spec: ModelSpec) -> Prepared:
     rows, features = model_columns(df, spec)
-    stats = data_stats(rows.select(TARGET, *features)).cache()
+    named = F.when(F.col("Variable") == TARGET, spec.target).otherwise(F.col("Variable"))
+    stats = data_stats(rows.select(TARGET, *features)).withColumn("Variable", named).cache()
     kept = C.drop_high_cardinality(rows.select(*features), stats, spec.max_levels)
     categorical = C.names_with_role(kept, C.CATEGORICAL)
     numeric = C.names_with_role(kept, C.NUMERIC)
