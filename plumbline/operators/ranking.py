@@ -13,8 +13,9 @@ scores come last, NaN first.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -87,7 +88,7 @@ def tile_edges(
                 inside.setdefault((*group, stat.value), set()).add(take - 1)
     ties = {}
     if inside:
-        tied = scored.filter(_in_any([*by, "_s"], inside))
+        tied = scored.filter(F.col("_s").isin(sorted({g[-1] for g in inside})))
         tied = tied.select(*by, "_s", key_hash(keys, seed).alias("_t"))
         known = {(*g, s.value): (0, 2**HASH_BITS - 1, s.equal) for g, at in stats.items() for s in at.values()}
         known = {group: known[group] for group in inside}
@@ -114,26 +115,49 @@ def with_tile(
     output: str = "deciles",
     seed: int = 0,
 ) -> DataFrame:
-    """Adds the tile from literal edges, and the helper columns ``_s``, ``_t`` and ``_split``.
+    """Adds the tile of every row, and the helper columns ``_s``, ``_t`` and ``_split``.
 
-    The key hash is computed for rows on an edge score only. ``_split`` marks copies
-    of one row that belong to different tiles.
+    Edges are literals, or one broadcast row per group. The key hash is computed for
+    rows on an edge score only. ``_split`` marks copies of one row that belong to
+    different tiles.
     """
+    groups: dict[tuple, list[TileEdge]] = {}
+    for edge in edges:
+        groups.setdefault(edge.group, []).append(edge)
+    width = max((len(g) for g in groups.values()), default=0)
     rows = df.withColumn("_s", sortable_score(score))
-    tied = _in_any([*by, "_s"], [(*e.group, e.score) for e in edges if e.tie is not None])
+    if by:
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        schema = T.StructType([T.StructField(f"_by{k}", kinds[b]) for k, b in enumerate(by)])
+        for i in range(width):
+            schema = schema.add(f"_e{i}", "double").add(f"_e{i}t", "long").add(f"_e{i}p", "boolean")
+        empty = (None, None, None)
+        table = [
+            (*group, *itertools.chain(*[_edge_cells(e) for e in own], *[empty] * (width - len(own))))
+            for group, own in groups.items()
+        ]
+        match = F.lit(True)
+        for k, b in enumerate(by):
+            match = match & F.col(b).eqNullSafe(F.col(f"_by{k}"))
+        rows = rows.join(F.broadcast(df.sparkSession.createDataFrame(table, schema)), match, "left")
+        cells = [(F.col(f"_e{i}"), F.col(f"_e{i}t"), F.col(f"_e{i}p")) for i in range(width)]
+    else:
+        cells = [tuple(F.lit(v) for v in _edge_cells(e)) for e in edges]
+    value, tie = F.col("_s"), F.col("_t")
+    tied, number, split = F.lit(False), F.lit(1), F.lit(False)
+    for edge_score, edge_tie, partial in cells:
+        on_edge = (value == edge_score) & edge_tie.isNotNull()
+        past = (value < edge_score) | (on_edge & (tie > edge_tie))
+        tied = tied | on_edge
+        number = number + F.coalesce(past.cast("int"), F.lit(0))
+        split = split | (partial & on_edge & (tie == edge_tie))
     rows = rows.withColumn("_t", F.when(tied, key_hash(keys, seed)))
-    groups: dict[tuple, Column] = {}
-    for edge in edges:
-        past = F.col("_s") < F.lit(edge.score)
-        if edge.tie is not None:
-            past = past | ((F.col("_s") == F.lit(edge.score)) & (F.col("_t") > F.lit(edge.tie)))
-        groups[edge.group] = groups.get(edge.group, F.lit(1)) + past.cast("int")
-    number = F.lit(1)
-    for group, expression in groups.items():
-        number = F.when(_in_group(by, group), expression).otherwise(number) if by else expression
-    straddling = [(*e.group, e.score, e.tie) for e in edges if e.taken is not None]
-    split = F.coalesce(_in_any([*by, "_s", "_t"], straddling), F.lit(False))
-    return rows.withColumns({output: number.cast("int"), "_split": split})
+    numbered = rows.withColumns({output: number.cast("int"), "_split": F.coalesce(split, F.lit(False))})
+    return numbered.select(*df.columns, "_s", "_t", output, "_split")
+
+
+def _edge_cells(edge: TileEdge) -> tuple:
+    return float(edge.score), edge.tie, edge.taken is not None
 
 
 def has_split(edges: Sequence[TileEdge]) -> bool:
@@ -290,20 +314,3 @@ def _expand(df: DataFrame, copies: Column) -> DataFrame:
     first = F.col("_chunk") * CHUNK + 1
     last = F.least(F.col("_copies"), first + CHUNK - 1)
     return chunks.repartition("_chunk").withColumn("_copy", F.explode(F.sequence(first, last)))
-
-
-def _in_group(by: Sequence[str], group: Sequence) -> Column:
-    match = F.lit(True)
-    for name, value in zip(by, group):
-        match = match & F.col(name).eqNullSafe(F.lit(value))
-    return match
-
-
-def _in_any(by: Sequence[str], groups: Iterable[Sequence]) -> Column:
-    groups = list(dict.fromkeys(groups))
-    if len(by) == 1 and groups:
-        return F.col(by[0]).isin([g[0] for g in groups])
-    match = F.lit(False)
-    for group in groups:
-        match = match | _in_group(by, group)
-    return match

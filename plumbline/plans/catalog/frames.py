@@ -103,7 +103,7 @@ DOC_QUALITY = """doc_quality AS (
 def attributions(spark: SparkSession, folder: str) -> DataFrame:
     """A closed-form attribution per line item and feature, with a constant feature."""
     rows = returns(spark, folder)
-    means = rows.agg(*[F.avg(c).alias(c) for c in LINE_NUMERIC]).first()
+    means = rows.agg(*[F.round(F.avg(c), 2).alias(c) for c in LINE_NUMERIC]).first()
     factors = dict(zip(LINE_NUMERIC, (0.1, -0.1, 2.0, -3.0)))
     entries = [
         F.struct(
@@ -122,7 +122,8 @@ def attributions(spark: SparkSession, folder: str) -> DataFrame:
 ATTRIBUTIONS = (
     RETURNS
     + """, means AS (
-  SELECT avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d, avg(l_tax) AS t FROM returns),
+  SELECT round(avg(l_quantity), 2) AS q, round(avg(l_extendedprice), 2) AS e, round(avg(l_discount), 2) AS d,
+    round(avg(l_tax), 2) AS t FROM returns),
 attributions AS (
   SELECT 'l_quantity' AS "Variable", l_quantity AS feature_value, 0.1::DOUBLE * (l_quantity - q) AS shap_value FROM returns, means
   UNION ALL SELECT 'l_extendedprice', l_extendedprice, -0.1::DOUBLE * (l_extendedprice - e) FROM returns, means
