@@ -13,9 +13,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-INDEX, DUMMY = "_index", "_cat"
+from plumbline.operators.profile import value_counts
+
+INDEX, DUMMY, CODE = "_index", "_cat", "_code"
+# Level lists of encoders live on the driver; columns with more levels are handled by joins.
+DRIVER_LEVELS = 10_000
 
 
 def target_label(target: str, positive_label: object) -> Column:
@@ -66,23 +71,78 @@ def compose_stages(df: DataFrame, stages: Sequence) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
 
 
+def few_levels(df: DataFrame, columns: Sequence[str], limit: int = DRIVER_LEVELS) -> list[str]:
+    """The columns with at most about ``limit`` levels, by one sketch pass."""
+    if not columns:
+        return []
+    counts = df.agg(*[F.approx_count_distinct(c).alias(f"d{k}") for k, c in enumerate(columns)]).first()
+    return [c for k, c in enumerate(columns) if counts[f"d{k}"] <= limit]
+
+
+def fit_string_index(df: DataFrame, columns: Sequence[str], limit: int = DRIVER_LEVELS) -> StringIndexerModel:
+    """Fits :func:`string_indexer` after checking that the level lists fit the driver."""
+    wide = set(columns) - set(few_levels(df, columns, limit))
+    if wide:
+        raise ValueError(f"more than {limit} levels, drop or label-encode first: {sorted(wide)}")
+    return string_indexer(columns).fit(df)
+
+
 def label_encoder(columns: Sequence[str]) -> StringIndexer:
     """Numbers levels in sorted order; an unseen level is an error."""
     return StringIndexer(
         inputCols=list(columns),
-        outputCols=[c + "_code" for c in columns],
+        outputCols=[c + CODE for c in columns],
         stringOrderType="alphabetAsc",
         handleInvalid="error",
     )
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], model: StringIndexerModel | None = None) -> DataFrame:
-    """Replaces string columns by their integer codes."""
-    model = model or label_encoder(columns).fit(df)
-    coded = model.transform(df)
-    return coded.withColumns({c: F.col(c + "_code").cast("int") for c in columns}).drop(
-        *[c + "_code" for c in columns]
+def level_codes(df: DataFrame, columns: Sequence[str], points: int = 256) -> DataFrame:
+    """(Variable, value, code): the place of every level in sorted order, for any number of levels.
+
+    Levels are put into cells between sampled values; a window numbers each cell and
+    the sizes of the cells before it are added.
+    """
+    levels = value_counts(df, columns).filter(F.col("value").isNotNull()).select("Variable", "value")
+    levels = levels.persist()
+    share = min(1.0, 4.0 * points / max(1, levels.count()))
+    # Sampled values only balance the cells. Their number and length are bounded.
+    sample = levels.sample(share, seed=1).select(F.substring("value", 1, 256).alias("v")).limit(8 * points)
+    values = sorted({r["v"] for r in sample.collect()})
+    bounds = values[:: max(1, len(values) // points)]
+    cell = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("value"))) if bounds else F.lit(0)
+    placed = levels.withColumn("_cell", cell)
+    sizes = placed.groupBy("Variable", "_cell").agg(F.count("*").alias("_size"))
+    before = W.partitionBy("Variable").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "Variable", "_cell", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
+    inside = F.row_number().over(W.partitionBy("Variable", "_cell").orderBy("value"))
+    coded = placed.join(F.broadcast(offsets), ["Variable", "_cell"])  # a row per column and cell
+    return coded.select("Variable", "value", (F.col("_offset") + inside - 1).cast("int").alias("code"))
+
+
+def label_encode(
+    df: DataFrame,
+    columns: Sequence[str],
+    model: StringIndexerModel | None = None,
+    limit: int = DRIVER_LEVELS,
+) -> DataFrame:
+    """Replaces string columns by their integer codes in sorted order.
+
+    Columns of few levels go through a fitted encoder, a projection. The others are
+    coded by a join with their level table, which stays distributed; adaptive
+    execution splits the partition of a frequent level.
+    """
+    narrow = list(model.getInputCols()) if model else few_levels(df, columns, limit)
+    coded = df
+    if narrow:
+        coded = (model or label_encoder(narrow).fit(df)).transform(coded)
+        coded = coded.withColumns({c: F.col(c + CODE).cast("int") for c in narrow}).drop(*[c + CODE for c in narrow])
+    for column in [c for c in columns if c not in narrow]:
+        codes = level_codes(df, [column]).select(F.col("value").alias(column), F.col("code").alias("_code"))
+        coded = coded.join(codes, column, "left").withColumn(column, F.col("_code")).drop("_code")
+    return coded.select(*df.columns)
 
 
 def encoding_map(df: DataFrame, model: StringIndexerModel) -> DataFrame:

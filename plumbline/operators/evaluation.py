@@ -6,6 +6,7 @@ are judged in one set of jobs. ``by`` must have few groups.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -14,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent_of_total, sortable_score
-from plumbline.operators.ranking import deal_copies, has_split, tile_edges, with_tile
+from plumbline.operators.ranking import cell_points, deal_copies, default_cells, has_split, tile_edges, with_tile
 
 GAINS_COLUMNS = (
     "deciles",
@@ -157,11 +158,10 @@ def roc_auc(
     cells from the cell totals, so no window sees the whole table.
     """
     by = list(by)
-    cells = cells or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells or default_cells(df.sparkSession)
     rows = df.select(*by, sortable_score(score).alias("_s"), F.col(target).cast("bigint").alias("_y"))
-    points = rows.stat.approxQuantile("_s", [i / cells for i in range(1, cells)], 0.5 / cells)
-    splits = sorted({p for p in points if abs(p) != float("inf")})
-    splits = [-float("inf"), *splits, float("inf")]
+    points = cell_points(rows, "_s", cells)
+    splits = [-math.inf, *sorted({p for p in points if math.isfinite(p)}), math.inf]
     per_score = rows.groupBy(*by, "_s").agg(
         F.sum("_y").cast("double").alias("_pos"), F.sum(1 - F.col("_y")).cast("double").alias("_neg")
     )

@@ -1,6 +1,6 @@
 """Ranks and n-tiles of a score over a whole table, without a single-partition window.
 
-The order is: score descending, then the 60-bit hash of the row's keys. Null
+The order is: score descending, then the tie number of the row's keys. Null
 scores come last, NaN first.
 
 * ``score_ntile`` needs only the scores at the tile edges. They are found by
@@ -19,26 +19,25 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.scalars import key_hash, sortable_score
+from plumbline.functions.scalars import TIE_BITS, sortable_score, tie_number
 from plumbline.operators.order_stats import order_statistics
 
 CHUNK = 100_000
 SUBCELL_BITS = 20
-HASH_BITS = 60
 HOT_CELL_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class TileEdge:
-    """Last row of a tile: its score and, inside a run of equal scores, its key hash.
+    """Last row of a tile: its score and, inside a run of equal scores, its tie number.
 
     ``tie`` is None when the tile ends with the last row of that score. ``taken``
-    counts the copies of the edge row (equal score and hash) that are still inside
+    counts the copies of the edge row (equal score and tie number) that are still inside
     the tile; it is None when all of them are.
     """
 
@@ -74,7 +73,7 @@ def tile_edges(
     for s in order_statistics(scored, "_s", wanted, by):
         stats.setdefault(s.group, {})[s.size - s.rank] = s
 
-    # An edge inside a run of equal scores needs a second selection, on the hash.
+    # An edge inside a run of equal scores needs a second selection, on the tie number.
     plan: list[tuple[tuple, float, int | None]] = []
     inside: dict[tuple, set[int]] = {}
     for group, positions in ends.items():
@@ -89,8 +88,8 @@ def tile_edges(
     ties = {}
     if inside:
         tied = scored.filter(F.col("_s").isin(sorted({g[-1] for g in inside})))
-        tied = tied.select(*by, "_s", key_hash(keys, seed).alias("_t"))
-        known = {(*g, s.value): (0, 2**HASH_BITS - 1, s.equal) for g, at in stats.items() for s in at.values()}
+        tied = tied.select(*by, "_s", tie_number(tied, keys, seed).alias("_t"))
+        known = {(*g, s.value): (0, 2**TIE_BITS - 1, s.equal) for g, at in stats.items() for s in at.values()}
         known = {group: known[group] for group in inside}
         found = order_statistics(tied, "_t", lambda group, _size: inside[group], [*by, "_s"], known)
         ties = {(s.group, s.rank): s for s in found}
@@ -117,8 +116,8 @@ def with_tile(
 ) -> DataFrame:
     """Adds the tile of every row, and the helper columns ``_s``, ``_t`` and ``_split``.
 
-    Edges are literals, or one broadcast row per group. The key hash is computed for
-    rows on an edge score only. ``_split`` marks copies of one row that belong to
+    Edges are literals, or one broadcast row per group. The tie number is computed
+    for rows on an edge score only. ``_split`` marks copies of one row that belong to
     different tiles.
     """
     groups: dict[tuple, list[TileEdge]] = {}
@@ -151,7 +150,7 @@ def with_tile(
         tied = tied | on_edge
         number = number + F.coalesce(past.cast("int"), F.lit(0))
         split = split | (partial & on_edge & (tie == edge_tie))
-    rows = rows.withColumn("_t", F.when(tied, key_hash(keys, seed)))
+    rows = rows.withColumn("_t", F.when(tied, tie_number(df, keys, seed)))
     numbered = rows.withColumns({output: number.cast("int"), "_split": F.coalesce(split, F.lit(False))})
     return numbered.select(*df.columns, "_s", "_t", output, "_split")
 
@@ -167,7 +166,7 @@ def has_split(edges: Sequence[TileEdge]) -> bool:
 def deal_copies(
     copies: DataFrame, edges: Sequence[TileEdge], order: Sequence[Column], by: Sequence[str], output: str
 ) -> DataFrame:
-    """Deals counted copies (``_n`` rows of score ``_s`` and hash ``_t``) out to tiles.
+    """Deals counted copies (``_n`` rows of score ``_s`` and tie number ``_t``) out to tiles.
 
     Adds the tile and ``_take``, the copies that go there. The pieces are a table of
     at most two rows per edge.
@@ -224,8 +223,8 @@ def score_rank(
     """Adds the row number (1 = highest score) of every row of its group."""
     by = list(by)
     spark = df.sparkSession
-    cells = cells or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scored = df.withColumns({"_s": sortable_score(score), "_t": key_hash(keys, seed)})
+    cells = cells or default_cells(spark)
+    scored = df.withColumns({"_s": sortable_score(score), "_t": tie_number(df, keys, seed)})
     scored = _with_cell(scored, cells)
 
     sizes = scored.groupBy(*by, "_cell").agg(F.count("*").alias("_size")).toArrow().to_pylist()
@@ -266,14 +265,29 @@ def score_rank(
     return ranked.unionByName(expanded.select(*df.columns, output))
 
 
+def default_cells(spark: SparkSession) -> int:
+    """Cells for windows over ordered values: follows the shuffle width, at least 2, at most 10,000."""
+    return min(10_000, max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def cell_points(df: DataFrame, column: str, cells: int) -> list[float]:
+    """Ascending values that part the rows about equally; a frequent value comes repeatedly.
+
+    They balance the work only: results are exact wherever the points lie.
+    """
+    cells = max(2, cells)
+    steps = [k / cells for k in range(1, cells)]
+    points = df.stat.approxQuantile(column, steps, 0.5 / cells)
+    return points if any(math.isfinite(p) for p in points) else [0.0]
+
+
 def _with_cell(scored: DataFrame, cells: int) -> DataFrame:
     """Adds ``_cell``: ascending along the order, about equally filled.
 
     A score that spans several quantiles gets a score cell of its own, cut into
-    sub-cells along the key hash.
+    sub-cells along the tie number.
     """
-    steps = [(i + 1) / cells for i in range(cells - 1)]
-    points = scored.stat.approxQuantile("_s", steps, 0.5 / cells) if steps else []
+    points = cell_points(scored, "_s", cells)
     repeats = {p: points.count(p) for p in set(points)}
     splits = set(points)
     splits.update(math.nextafter(p, math.inf) for p, n in repeats.items() if n > 1)
@@ -282,14 +296,14 @@ def _with_cell(scored: DataFrame, cells: int) -> DataFrame:
     bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(scored)
     bucket = F.col("_bucket").cast("int")
     part_count = F.get(F.array(*[F.lit(p) for p in parts]), bucket)
-    sub = F.shiftright(F.shiftright("_t", HASH_BITS - SUBCELL_BITS) * part_count, SUBCELL_BITS)
+    sub = F.shiftright(F.shiftright("_t", TIE_BITS - SUBCELL_BITS) * part_count, SUBCELL_BITS)
     descending = F.lit(len(splits)) - bucket
     cell = F.shiftleft(descending.cast("bigint"), SUBCELL_BITS) + sub
     return bucketed.withColumn("_cell", cell.cast("bigint")).drop("_bucket")
 
 
 def _pieces(edges: Sequence[TileEdge]) -> list[tuple]:
-    """(group, score, hash, first copy, end copy, tile) for every straddling row."""
+    """(group, score, tie, first copy, end copy, tile) for every straddling row."""
     number: dict[tuple, int] = {}
     runs: dict[tuple, list[tuple[int, int]]] = {}
     for edge in edges:

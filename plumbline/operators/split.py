@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalars import SPLIT_BUCKETS, key_hash, split_bucket
+from plumbline.functions.scalars import DIGEST_BITS, SPLIT_BUCKETS, key_digest, split_bucket
 from plumbline.operators.order_stats import order_statistics
 
 
@@ -41,7 +41,7 @@ def stratified_split(
     The rows of a class with the lowest key hashes form the test part, the next ones
     the cv part. The two limits per class are found by counting; no row is shuffled.
     """
-    hashed = df.withColumn("_t", key_hash(keys, seed))
+    hashed = df.withColumn("_t", key_digest(keys, seed))
     parts: dict[tuple, tuple[int, int]] = {}
 
     def wanted(group: tuple, size: int) -> list[int]:
@@ -49,7 +49,9 @@ def stratified_split(
         parts[group] = (first, first + half_up(cv * (size - first)))
         return [end - 1 for end in parts[group] if end > 0]
 
-    limits = {(s.group, s.rank): s.value for s in order_statistics(hashed, "_t", wanted, [target])}
+    sizes = df.groupBy(target).agg(F.count("*").alias("n")).collect()  # a row per target value
+    known = {(r[target],): (0, 2**DIGEST_BITS - 1, r["n"]) for r in sizes}
+    limits = {(s.group, s.rank): s.value for s in order_statistics(hashed, "_t", wanted, [target], known)}
     split = F.lit("train")
     for group, ends in parts.items():
         test_limit, cv_limit = (limits.get((group, end - 1), -1) for end in ends)

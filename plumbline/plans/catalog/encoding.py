@@ -63,7 +63,7 @@ def _(spark, folder):
 @query("string_index", f"WITH {GAPPED} SELECT o_orderkey, o_orderpriority, o_orderpriority_index FROM indexed")
 def _(spark, folder):
     rows = _gapped(spark, folder).drop("o_totalprice")
-    return EN.string_indexer(["o_orderpriority"]).fit(rows).transform(rows)
+    return EN.fit_string_index(rows, ["o_orderpriority"]).transform(rows)
 
 
 @query("one_hot", f"WITH {GAPPED} SELECT o_orderkey, {INDICATORS} FROM indexed")
@@ -191,3 +191,24 @@ FROM (SELECT DISTINCT c_mktsegment AS value FROM order_status)""",
 def _(spark, folder):
     rows = frames.order_status(spark, folder)
     return EN.encoding_map(rows, EN.label_encoder(["n_name", "c_mktsegment"]).fit(rows))
+
+
+@query(
+    "label_encode_wide",
+    """SELECT doc_id, (dense_rank() OVER (ORDER BY text) - 1)::INTEGER AS text,
+  (dense_rank() OVER (ORDER BY lang) - 1)::INTEGER AS lang FROM documents""",
+)
+def _(spark, folder):
+    rows = frames.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return EN.label_encode(rows, ["text", "lang"], limit=100)
+
+
+@query(
+    "level_codes",
+    """SELECT 'lang' AS "Variable", value, (row_number() OVER (ORDER BY value) - 1)::INTEGER AS code
+FROM (SELECT DISTINCT lang AS value FROM documents)
+UNION ALL SELECT 'text', value, (row_number() OVER (ORDER BY value) - 1)::INTEGER
+FROM (SELECT DISTINCT text AS value FROM documents)""",
+)
+def _(spark, folder):
+    return EN.level_codes(frames.table(spark, folder, "documents"), ["lang", "text"])

@@ -31,7 +31,7 @@ def gains_query(spark, folder):
 @query(
     "gains_table_continuous",
     f"""WITH {frames.RETURNS}, scored AS (SELECT y, l_extendedprice AS score,
-  ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0')), 1, 15))::BIGINT AS tie
+  {frames.tie_sql(*frames.LINE_KEYS)} AS tie
   FROM returns) {GAINS_SQL}""",
 )
 def _(spark, folder):
@@ -152,7 +152,7 @@ def fixed_leaderboard(spark, folder):
 FIXED_SQL = f"""{frames.RETURNS}, hashed AS (
   SELECT *, CASE WHEN ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), 1, 8))::BIGINT
            % 10000 < 7000 THEN 'Train' ELSE 'Test' END AS split,
-         ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0')), 1, 15))::BIGINT AS tie
+         {frames.tie_sql(*frames.LINE_KEYS)} AS tie
   FROM returns),
 long AS ({" UNION ALL ".join(f"SELECT '{n}' AS algorithm, split, y, tie, {s} AS p FROM hashed" for n, s in FIXED_SCORES.items())}),
 tiles AS (

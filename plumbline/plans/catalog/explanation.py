@@ -144,15 +144,15 @@ def _(spark, folder):
 
 @query(
     "shap_summary",
-    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", count(*) AS count, round(avg(abs(shap_value)), 5) AS mean_abs,
-  round(min(shap_value), 5) AS min_shap, round(max(shap_value), 5) AS max_shap, min(feature_value) AS min_value,
-  max(feature_value) AS max_value, round(quantile_cont(shap_value, 0.25), 5) AS q1,
-  round(quantile_cont(shap_value, 0.5), 5) AS median, round(quantile_cont(shap_value, 0.75), 5) AS q3
+    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", count(*) AS count, round(avg(abs(shap_value)), 8) AS mean_abs,
+  round(min(shap_value), 8) AS min_shap, round(max(shap_value), 8) AS max_shap, min(feature_value) AS min_value,
+  max(feature_value) AS max_value, round(quantile_cont(shap_value, 0.25), 8) AS q1,
+  round(quantile_cont(shap_value, 0.5), 8) AS median, round(quantile_cont(shap_value, 0.75), 8) AS q3
 FROM attributions GROUP BY "Variable" """,
 )
 def _(spark, folder):
     summary = X.shap_summary(frames.attributions(spark, folder))
-    return rounded(summary, "mean_abs", "min_shap", "max_shap", "q1", "median", "q3", digits=5)
+    return rounded(summary, "mean_abs", "min_shap", "max_shap", "q1", "median", "q3", digits=8)
 
 
 @query(
@@ -161,8 +161,8 @@ def _(spark, folder):
   SELECT "Variable", avg(abs(shap_value)) AS a,
     coalesce(CASE WHEN min(feature_value) < max(feature_value) THEN corr(feature_value, shap_value) END, 0) AS c
   FROM attributions GROUP BY "Variable")
-SELECT "Variable", round(a, 6) AS "SHAP_abs", round(c, 6) AS "Corr", CASE WHEN c > 0 THEN 'red' ELSE 'blue' END AS "Sign"
+SELECT "Variable", round(a, 8) AS "SHAP_abs", round(c, 8) AS "Corr", CASE WHEN c > 0 THEN 'red' ELSE 'blue' END AS "Sign"
 FROM linked""",
 )
 def _(spark, folder):
-    return rounded(X.abs_shap(frames.attributions(spark, folder)), "SHAP_abs", "Corr")
+    return rounded(X.abs_shap(frames.attributions(spark, folder)), "SHAP_abs", "Corr", digits=8)

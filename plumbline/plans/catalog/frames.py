@@ -11,6 +11,20 @@ ORDER_KEYS = ("o_orderkey",)
 DOC_KEYS = ("doc_id",)
 
 
+# The tie number in SQL: two modular folds over the keys.
+TIE_SQL_FIELDS = ((2147483647, 742938285), (2147483629, 950706376))
+
+
+def tie_sql(*keys: str) -> str:
+    halves = []
+    for prime, factor in TIE_SQL_FIELDS:
+        h = "1::BIGINT"
+        for key in keys:
+            h = f"(({h} * {factor} + {key}::BIGINT % {prime}) % {prime})"
+        halves.append(f"({h} * {factor} % {prime})")
+    return f"({halves[0]} * 2147483648 + {halves[1]})"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -39,7 +53,9 @@ SCORED = (
     RETURNS
     + """, scored AS (
   SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS prediction,
-         ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0')), 1, 15))::BIGINT AS tie
+         """
+    + tie_sql(*LINE_KEYS)
+    + """ AS tie
   FROM (SELECT *, round(l_discount + l_quantity / 100, 2) AS score FROM returns))"""
 )
 

@@ -146,21 +146,21 @@ def _(spark, folder):
 
 @query(
     "mean_abs",
-    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", round(avg(abs(shap_value)), 6) AS mean_abs
+    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", round(avg(abs(shap_value)), 8) AS mean_abs
 FROM attributions GROUP BY "Variable" """,
 )
 def _(spark, folder):
-    return rounded(X.mean_abs(frames.attributions(spark, folder)), "mean_abs")
+    return rounded(X.mean_abs(frames.attributions(spark, folder)), "mean_abs", digits=8)
 
 
 @query(
     "corr_pair",
     f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable",
-  round(CASE WHEN min(feature_value) < max(feature_value) THEN corr(feature_value, shap_value) END, 6) AS corr
+  round(CASE WHEN min(feature_value) < max(feature_value) THEN corr(feature_value, shap_value) END, 8) AS corr
 FROM attributions GROUP BY "Variable" """,
 )
 def _(spark, folder):
-    return rounded(X.corr_pair(frames.attributions(spark, folder)), "corr")
+    return rounded(X.corr_pair(frames.attributions(spark, folder)), "corr", digits=8)
 
 
 IMPUTED = ("l_orderkey", "l_linenumber", "l_discount", "l_linestatus")

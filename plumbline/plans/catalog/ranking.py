@@ -11,7 +11,7 @@ from plumbline.plans.catalog import frames
 from plumbline.plans.catalog.registry import query
 
 KEYS = ", ".join(frames.LINE_KEYS)
-EVEN_TIES = """('0x' || substr(md5(concat_ws(':', o_orderkey, '0')), 1, 15))::BIGINT"""
+EVEN_TIES = frames.tie_sql("o_orderkey")
 
 
 @query(

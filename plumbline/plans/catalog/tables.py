@@ -264,13 +264,13 @@ def _(spark, folder):
 
 @query(
     "inner_join_importance",
-    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", round(avg(abs(shap_value)), 6) AS mean_abs,
-  round(CASE WHEN min(feature_value) < max(feature_value) THEN corr(feature_value, shap_value) END, 6) AS corr
+    f"""WITH {frames.ATTRIBUTIONS} SELECT "Variable", round(avg(abs(shap_value)), 8) AS mean_abs,
+  round(CASE WHEN min(feature_value) < max(feature_value) THEN corr(feature_value, shap_value) END, 8) AS corr
 FROM attributions GROUP BY "Variable" """,
 )
 def _(spark, folder):
     rows = frames.attributions(spark, folder)
-    return rounded(J.inner_join_importance(X.mean_abs(rows), X.corr_pair(rows)), "mean_abs", "corr")
+    return rounded(J.inner_join_importance(X.mean_abs(rows), X.corr_pair(rows)), "mean_abs", "corr", digits=8)
 
 
 @query(

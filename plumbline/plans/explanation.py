@@ -15,6 +15,7 @@ from plumbline.operators import encode as EN
 from plumbline.operators import models as M
 from plumbline.operators.attribution import tree_shap
 from plumbline.operators.impute import MixedImputer
+from plumbline.operators.profile import distinct_profile
 from plumbline.operators.split import stratified_split
 from plumbline.plans.model_bench import SPLIT, TARGET, model_columns
 from plumbline.spec import ModelSpec
@@ -53,6 +54,13 @@ class Explained:
 
 def explain(df: DataFrame, spec: ModelSpec, iterations: int = 100) -> Explained:
     rows, features = model_columns(df, spec)
+    texts = C.names_with_role(rows.select(*features), C.CATEGORICAL)
+    if texts:
+        # A tree needs a bin per level, so wide columns cannot take part.
+        levels = distinct_profile(rows, texts)
+        kept = C.drop_high_cardinality(rows.select(*features), levels, spec.max_levels)
+        features = kept.columns
+        rows = rows.select(*spec.keys, TARGET, M.LABEL, *features)
     marked = stratified_split(rows, TARGET, spec.keys, seed=SPLIT_SEED, output=SPLIT)
     train = marked if spec.fit_scope == "all" else marked.filter(F.col(SPLIT) == "train")
     filled = MixedImputer(columns=features).fit(train).transform(marked)
