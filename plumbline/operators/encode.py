@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.operators.profile import value_counts
+from plumbline.session import scratch_path
 
 INDEX, DUMMY, CODE = "_index", "_cat", "_code"
 # Level lists of encoders live on the driver; columns with more levels are handled by joins.
@@ -104,7 +105,9 @@ def level_codes(df: DataFrame, columns: Sequence[str], points: int = 256) -> Dat
     the sizes of the cells before it are added.
     """
     levels = value_counts(df, columns).filter(F.col("value").isNotNull()).select("Variable", "value")
-    levels = levels.persist()
+    path = scratch_path(df.sparkSession, "levels")
+    levels.write.parquet(path)  # counted, sampled and numbered below; the big shuffle runs once
+    levels = df.sparkSession.read.parquet(path)
     share = min(1.0, 4.0 * points / max(1, levels.count()))
     # Sampled values only balance the cells. Their number and length are bounded.
     sample = levels.sample(share, seed=1).select(F.substring("value", 1, 256).alias("v")).limit(8 * points)

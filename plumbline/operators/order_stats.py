@@ -176,10 +176,9 @@ def _first_cells(rows: DataFrame, by: list[str]) -> dict[tuple, Cells]:
         .agg(F.min("_v").alias("low"), F.max("_v").alias("high"), F.count("*").alias("n"))
         .toArrow()
     )
-    groups = [tuple(g) for g in zip(*[counted.column(b).to_pylist() for b in by])] if by else None
-    if groups is None:
-        return _split_cells(counted, [()] * counted.num_rows)
-    return _split_cells(counted, groups)
+    names = list(zip(*[counted.column(b).to_pylist() for b in by])) if by else [()] * counted.num_rows
+    places = {group: k for k, group in enumerate(dict.fromkeys(names))}
+    return _split_cells(counted, np.array([places[g] for g in names], dtype=np.int64), places)
 
 
 def _scaled(value: Column) -> Column:
@@ -234,21 +233,22 @@ def _count_cells(rows: DataFrame, active: list[_Interval], by: list[str]) -> dic
         .select("_i", "low", "high", "n")
     )
     table = counted.toArrow()
-    return _split_cells(table, table.column("_i").to_pylist())
+    numbers = table.column("_i").to_numpy()
+    return _split_cells(table, numbers, range(len(active)))
 
 
 def _count_values(rows: DataFrame, active: list[_Interval], by: list[str]) -> dict[int, Cells]:
     counted = _assigned(rows, active, by).groupBy("_i", "_v").agg(F.count("*").alias("n"))
     table = counted.select("_i", F.col("_v").alias("low"), F.col("_v").alias("high"), "n").toArrow()
-    return _split_cells(table, table.column("_i").to_pylist())
+    numbers = table.column("_i").to_numpy()
+    return _split_cells(table, numbers, range(len(active)))
 
 
-def _split_cells(table: pa.Table, owners: list) -> dict:
-    """Arrow rows (low, high, n) as ascending arrays per owner."""
-    numbers: dict = {}
-    code = np.array([numbers.setdefault(o, len(numbers)) for o in owners], dtype=np.int64)
+def _split_cells(table: pa.Table, numbers: np.ndarray, owners: Iterable) -> dict:
+    """Arrow rows (low, high, n) as ascending arrays per owner; ``numbers`` places each row."""
     low, high, n = (table.column(c).to_numpy() for c in ("low", "high", "n"))
-    order = np.lexsort((low, code))
-    starts = np.searchsorted(code[order], np.arange(len(numbers) + 1))
-    parts = {o: order[starts[k] : starts[k + 1]] for o, k in numbers.items()}
-    return {o: (low[p], high[p], n[p]) for o, p in parts.items()}
+    order = np.lexsort((low, numbers))
+    owners = list(owners)
+    starts = np.searchsorted(numbers[order], np.arange(len(owners) + 1))
+    parts = {owner: order[starts[k] : starts[k + 1]] for k, owner in enumerate(owners)}
+    return {owner: (low[p], high[p], n[p]) for owner, p in parts.items()}

@@ -246,7 +246,7 @@ def score_rank(
     for k, b in enumerate(by):
         match = match & F.col(b).eqNullSafe(F.col(f"_by{k}"))
     # One row per cell: bounded by the number of cells, not by the data.
-    placed = scored.join(F.broadcast(spark.createDataFrame(offsets, schema)), match)
+    placed = scored.join(F.broadcast(spark.createDataFrame(offsets, schema)), match, "left")
 
     order = [F.desc("_s"), F.asc("_t"), *[F.asc(k) for k in keys]]
     in_cell = W.partitionBy(*by, "_cell").orderBy(*order)
