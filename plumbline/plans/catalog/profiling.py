@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import columns as C
 from plumbline.operators import evaluation as EV
 from plumbline.operators import explain as X
 from plumbline.operators import impute as I
