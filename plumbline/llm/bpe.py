@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import slices, texts
 
 #: Pieces remembered per Python worker; beyond that the memory starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -46,8 +47,7 @@ class PrefixTable:
 
     def append(self, data: bytes) -> None:
         self.data += data
-        for end in range(len(self.last) + 1, len(self.data) + 1):
-            self.last.append(self.vocabulary.last_token(self.data, self.last, end))
+        self.vocabulary.fill(self.data, self.last, len(self.data))
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Put ``data`` in place of bytes start..stop; returns how many entries were recomputed."""
@@ -56,7 +56,7 @@ class PrefixTable:
         self.last = old[:start]
         agree, begin = 0, start + len(data)
         for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self.vocabulary.last_token(self.data, self.last, end))
+            self.vocabulary.fill(self.data, self.last, end)
             agree = agree + 1 if end > begin and self.last[-1] == old[end - 1 - shift] else 0
             if agree >= self.vocabulary.longest:
                 self.last.extend(old[end - shift :])
@@ -74,10 +74,12 @@ class PrefixTable:
 class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.longest = max(map(len, ranks))
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.verdicts: dict[tuple[int, int], bool] = {}
+        self.verdicts: dict[int, bool] = {}
         # Lengths that tokens with a given last two bytes have: few need to be tried.
         ends: dict[bytes, set[int]] = {}
         for token in ranks:
@@ -108,12 +110,9 @@ class Vocabulary:
         tokens now at the boundary would have merged earlier than the merge just undone,
         the boundary could not have survived.
         """
-        key = (left, right)
-        verdict = self.verdicts.get(key)
-        if verdict is None:
-            if len(self.verdicts) > 2_000_000:
-                self.verdicts.clear()
-            verdict = self.verdicts[key] = self._boundary_survives(left, right)
+        if len(self.verdicts) > 1_000_000:
+            self.verdicts.clear()
+        verdict = self.verdicts[left << 32 | right] = self._boundary_survives(left, right)
         return verdict
 
     def _boundary_survives(self, left: int, right: int) -> bool:
@@ -133,17 +132,27 @@ class Vocabulary:
             else:
                 before, right = right + 1, b[0]
 
-    def last_token(self, data: bytes, last: list[int], end: int) -> int:
-        if end >= 2:
-            for size in self.lengths.get(data[end - 2 : end], ()):
-                if size <= end:
-                    token = self.ranks.get(data[end - size : end])
-                    if token is not None and (size == end or self.follows(last[end - size - 1], token)):
-                        return token
-        token = self.ranks[data[end - 1 : end]]
-        if end > 1 and not self.follows(last[end - 2], token):
-            raise ValueError("the vocabulary is not closed under merges")
-        return token
+    def fill(self, data: bytes, last: list[int], stop: int) -> None:
+        """Extend the last tokens to the prefix of ``stop`` bytes."""
+        rank, verdict, lengths = self.ranks.get, self.verdicts.get, self.lengths.get
+        for end in range(len(last) + 1, stop + 1):
+            for size in lengths(data[end - 2 : end], ()) if end > 1 else ():
+                if size > end:
+                    continue
+                token = rank(data[end - size : end])
+                if token is None:
+                    continue
+                if size == end:
+                    break
+                left = last[end - size - 1]
+                allowed = verdict(left << 32 | token)
+                if allowed or (allowed is None and self.follows(left, token)):
+                    break
+            else:
+                token = self.ranks[data[end - 1 : end]]
+                if end > 1 and not (verdict(last[-1] << 32 | token) or self.follows(last[-1], token)):
+                    raise ValueError("the vocabulary is not closed under merges")
+            last.append(token)
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -169,6 +178,12 @@ class _Memory(dict):
         return ids
 
 
+@lru_cache(maxsize=2)
+def _memory(lines: bytes) -> _Memory:
+    """One memory per Python worker, also across its tasks."""
+    return _Memory(Vocabulary(read_ranks(lines)))
+
+
 def _shared(df: DataFrame, path: str):
     """The vocabulary file, read once by the driver; its size does not depend on the data."""
     with open(path, "rb") as file:
@@ -180,7 +195,7 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id"
     lines = _shared(df, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(Vocabulary(read_ranks(lines.value)))
+        memory = _memory(lines.value)
         cut = regex.compile(pattern).findall
         for batch in slices(batches, "text"):
             flat, ends = array("i"), [0]
@@ -198,11 +213,11 @@ def bpe_decode(df: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "
     lines = _shared(df, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(read_ranks(lines.value))
+        vocabulary = _memory(lines.value).vocabulary
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                decoded = [vocabulary.decode(value.values.to_pylist()) for value in batch.column("ids")]
+                decoded = [vocabulary.decode(value.values.to_numpy().tolist()) for value in batch.column("ids")]
                 columns = [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 
