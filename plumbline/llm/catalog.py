@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, pii
+from plumbline.llm import bpe, chat, pii
+from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -32,3 +33,14 @@ def pii_spans(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, folder, "documents"), RANKS, PATTERN)
+
+
+@query("op9_chat_format", chat.SQL)
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    events = chat.events_of_turns(chat.with_forged(spark, folder))
+    return chat.format_report(chat.render(chat.fold_events(events)))
+
+
+@query("op10_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.quality_rules(table(spark, folder, "documents"))
