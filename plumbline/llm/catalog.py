@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, pii
+from plumbline.llm import bpe, chat, decontaminate, pii
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import table
 
@@ -44,3 +44,9 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
+
+
+@query("op4_decontaminate")
+def decontaminate_documents(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contamination_report(found)

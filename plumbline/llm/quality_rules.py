@@ -30,7 +30,7 @@ from plumbline.llm.common import materialise, texts, words
 
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 #: Standard deviation below which a feature is not resolved, in its transformed unit.
-FLOORS = (0.05, 0.04, 0.08, 0.10)
+FLOORS = (0.05, 0.04, 0.12, 0.15)
 SCALE = 1 << 16
 GRID = 1 << 8
 SUBSET = 0.75
