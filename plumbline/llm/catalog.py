@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, pii
+from plumbline.llm import bpe, chat, decontaminate, jaccard, pii
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import table
 
@@ -50,3 +50,8 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def decontaminate_documents(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.contamination_report(found)
+
+
+@query("op6_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, folder, "documents"), percent=90, size=3)
