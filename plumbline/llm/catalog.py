@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, pii
+from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, pii
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import table
 
@@ -55,3 +55,8 @@ def decontaminate_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_jaccard_join")
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(table(spark, folder, "documents"), percent=90, size=3)
+
+
+@query("op1_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))

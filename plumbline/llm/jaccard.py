@@ -34,38 +34,24 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, slices, texts
 from plumbline.llm.components import components
+from plumbline.llm.hashing import WordHashes, mixed
 
 BITS = 1024
 #: Documents whose shingles are counted to tell frequent ones, and how many of these are kept.
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 4_000, 4, 200_000
 #: Members of a tile compared in one block.
 BLOCK = 512
-REMEMBERED = 500_000
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def shingle_set(text: bytes, size: int, memory: _Words) -> np.ndarray:
+def shingle_set(text: bytes, size: int, memory: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of word shingles after lower-casing A-Z."""
     found = text.lower().split()
     hashes = np.fromiter(map(memory.__getitem__, found), np.uint64, len(found))
     if not len(hashes):
         return hashes
     width = min(size, len(hashes))
-    value = np.full(len(hashes) - width + 1, width, np.uint64)
-    for i in range(width):
-        value = (value ^ hashes[i : len(hashes) - width + 1 + i]) * _P
-        value ^= value >> np.uint64(29)
-        value *= _Q
-        value ^= value >> np.uint64(32)
-    return np.unique(value)
+    last = len(hashes) - width + 1
+    return np.unique(mixed([hashes[i : last + i] for i in range(width)]))
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -93,7 +79,7 @@ def _set_rows(rows: DataFrame, size: int) -> DataFrame:
     """Rows (doc_id, node, n, shingles): the whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Words()
+        memory = WordHashes()
         for batch in slices(batches, "text"):
             sets = [shingle_set(v, size, memory) for v in batch.column("text").cast(pa.binary()).to_pylist()]
             nodes, counts = pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())
@@ -118,7 +104,7 @@ def _profiles(rows: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, often = _Words(), sent.value
+        memory, often = WordHashes(), sent.value
         for batch in slices(batches, "text"):
             nodes, counts, prefixes, bitmaps = [], [], [], []
             for value in batch.column("text").cast(pa.binary()).to_pylist():
