@@ -92,8 +92,8 @@ def _set_rows(rows: DataFrame, size: int) -> DataFrame:
 
 def _frequent(rows: DataFrame, size: int) -> np.ndarray:
     """Shingles met in several documents of a bounded sample; bounded in number."""
-    sample = rows.orderBy(F.xxhash64("doc_id", F.length("text"))).limit(SAMPLE_DOCUMENTS)
-    sample = sample.repartition(16, F.xxhash64("doc_id", "text"))
+    ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+    sample = rows.join(F.broadcast(materialise(ids, "sampled")), "doc_id", "left_semi")
     counted = _set_rows(sample, size).select(F.explode("shingles").alias("s")).groupBy("s").count()
     found = counted.filter(F.col("count") >= SAMPLE_OFTEN).orderBy(F.desc("count"), "s").limit(FREQUENT)
     return np.sort(np.array([r.s for r in found.collect()], np.int64).view(np.uint64))
@@ -126,17 +126,27 @@ def _profiles(rows: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
     return rows.mapInArrow(run, "doc_id bigint, node bigint, n bigint, prefix array<bigint>, bits array<bigint>")
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and bitmaps leave the threshold within reach."""
+
+    def side(name: str) -> DataFrame:
+        return profiles.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "bits")])
+
+    joined = pairs.distinct().join(side("b"), "b").join(side("a"), "a")
+    both = F.col("a_n") + F.col("b_n")
+    need = F.ceil(F.lit(percent) * both / (100 + percent))
+    differ = F.aggregate(
+        F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
+    )
+    return joined.filter((F.least("a_n", "b_n") >= need) & (2 * need <= both - differ)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) among pairs of nodes whose similarity reaches the threshold."""
-    pairs = materialise(pairs.distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialise(profiles.join(nodes, "node").select("node", "doc_id", "bits"), "wanted")
-    some = rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = _set_rows(some, size).drop("doc_id")
-    sets = materialise(wanted.drop("doc_id").join(sets, "node").select("node", "n", "bits", "shingles"), "sets")
+    pairs = materialise(_plausible(pairs, profiles, percent), "pairs")
 
     def side(name: str) -> DataFrame:
-        return sets.select(*[F.col(c).alias(f"{name}_{c}") for c in ("n", "bits", "shingles")], F.col("node").alias(name))
+        return sets.select(F.col("shingles").alias(f"{name}_shingles"), F.col("node").alias(name))
 
     # The second node of a pair may be the leader of many; it is joined while rows are short.
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
@@ -151,26 +161,25 @@ def _verified(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, size: int,
                     need = least_overlap(len(x), len(y), percent)
                     if min(len(x), len(y)) < need:
                         continue
-                    p, q = (batch.column(f"{s}_bits")[i].values.to_numpy() for s in "ab")
-                    if 2 * need > len(x) + len(y) - int(np.bitwise_count((p ^ q).view(np.uint64)).sum()):
-                        continue
                     x, y = (x, y) if len(x) <= len(y) else (y, x)
                     x, y = x.view(np.uint64), y.view(np.uint64)
                     if int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) >= need:
                         kept.append(i)
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int32())) for c in "ab"], ["a", "b"])
 
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return materialise(joined.mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Each member with a leader of its own tile and of the next band's tile of the shingle."""
+    """Each member with the leaders of its own tiles and of the next band's tiles of the shingle."""
     order = F.struct("first_id", "node") if seed == 0 else F.struct(F.xxhash64("node", F.lit(seed)), "node")
-    leaders = members.groupBy("token", "band").agg(F.min(order)["node"].alias("leader"), F.count("*").alias("size"))
-    lower = leaders.select("token", (F.col("band") - 1).alias("band"), "leader", F.lit(2).alias("size"))
+    leaders = members.groupBy("token", "band").agg(
+        F.min(F.struct(order.alias("leader"), "label")).alias("head"), F.count("*").alias("size")
+    )
+    lower = leaders.select("token", (F.col("band") - 1).alias("band"), "head", F.lit(2).alias("size"))
     both = leaders.filter("size > 1").union(lower)
-    pairs = members.join(both, ["token", "band"]).filter(F.col("node") != F.col("leader"))
-    return pairs.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    pairs = members.join(both, ["token", "band"]).filter(F.col("label") != F.col("head.label"))
+    return pairs.select(F.col("node").alias("a"), F.col("head.leader").alias("leader"))
 
 
 def _mixed(members: DataFrame) -> DataFrame:
@@ -275,29 +284,34 @@ def similar_components(
     full = every.filter("n > 0")
     classes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     classes = materialise(classes, "classes")
-    # One document stands for its class; classes without an id still need a row of their own.
-    single = full.join(classes, "node").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    single = single.dropDuplicates(["node"])
+    # One document stands for its class, also where the class has no id or repeats one.
+    single = full.join(classes, "node").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["node"])
+    postings = single.select("node", F.explode("prefix").alias("token"))
+    shared = postings.groupBy("token").count().filter("count > 1").select("token")
+    postings = materialise(postings.join(shared, "token"), "postings")
     step = math.log(100 / percent)
     band = F.floor(F.log("n") / step + 1e-9)
-    members = single.select("node", "first_id", "n", band.alias("band"), F.explode("prefix").alias("token"))
-    shared = _shared_tokens(members)
-    members = materialise(members.join(shared, "token"), "members")
-    profiles = materialise(single.select("node", F.col("first_id").alias("doc_id"), "bits"), "bits")
-
-    edges = materialise(_verified(_leader_pairs(members, 0), profiles, rows, size, percent), "links")
-    labels = components(edges)
-    members = _labelled(members, labels)
-    open_tiles = _open_members(members)
-    again = _leader_pairs(open_tiles, 1).join(
-        labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left"
-    )
-    again = again.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-    again = again.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-    edges = materialise(edges.union(_verified(again, profiles, rows, size, percent)), "links")
+    alive = postings.select("node").distinct()
+    profiles = single.join(alive, "node", "left_semi")
+    profiles = materialise(profiles.select("node", "doc_id", "first_id", "n", "bits", band.alias("band")), "bits")
+    # The texts of classes with a shared shingle are read again for their whole sets, once.
+    some = rows.join(profiles.select("doc_id").distinct(), "doc_id", "left_semi")
+    some = some.union(rows.filter("doc_id is null"))
+    sets = _set_rows(some, size).select("node", "shingles").join(alive, "node", "left_semi")
+    sets = materialise(sets, "sets")
+    members = postings.join(profiles.select("node", "first_id", "n", "band"), "node").withColumn("label", F.col("node"))
+    members = materialise(members, "members")
+
+    # First one leader for each class, the one of the smallest id; then all that are left.
+    first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
+    edges = _verified(first, profiles, sets, percent)
     labels = components(edges)
-    members = materialise(_labelled(_open_members(_labelled(members, labels)), labels), "open")
-    edges = materialise(edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, rows, size, percent)), "links")
+    for seed in (0, 1):
+        members = materialise(_open_members(_labelled(members, labels)), "open")
+        edges = edges.union(_verified(_leader_pairs(members, seed).select("a", F.col("leader.node").alias("b")), profiles, sets, percent))
+        labels = components(edges)
+    members = materialise(_open_members(_labelled(members, labels)), "open")
+    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, sets, percent))
     labels = components(edges)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -315,10 +329,6 @@ def similar_components(
     )
 
 
-def _shared_tokens(members: DataFrame) -> DataFrame:
-    return members.groupBy("token").count().filter("count > 1").select("token")
-
-
 def _open_members(members: DataFrame) -> DataFrame:
     """Members of mixed tiles and of the next band that such a tile looks at."""
     mixed = _mixed(members)
