@@ -7,12 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, catalog, pii
-from plumbline.llm.common import materialise
+from plumbline.llm import bpe, catalog, decontaminate, jaccard, kneser_ney, pii
+from plumbline.llm.common import materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def trusted_like(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents within their language's perplexity limit."""
+    judged = kneser_ney.quality_classifier(docs, table(spark, folder, "labels"))
+    rejected = judged.filter(~F.col("kept")).select("doc_id").distinct()
+    return _without(docs, rejected)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document of the smallest id of each group of near-duplicates; repeated rows go too.
+
+    Five-word shingles, similarity 0.8 or more.
+    """
+    found = jaccard.similar_components(docs, percent=80, size=5)
+    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return _without(docs, copies).dropDuplicates(["doc_id"])
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lie in benchmark windows."""
+    found = decontaminate.find_passages(docs, table(spark, folder, "benchmark"))
+    hit = decontaminate.with_verdict(found).filter("contaminated").select("doc_id").distinct()
+    return _without(docs, hit)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose id is not rejected, with the columns of documents."""
+    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+
+
 def private_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Personal data is replaced by its kind; n_chars follows the new text."""
     clean = docs.withColumn("text", pii.redacted(F.col("text")))
@@ -25,6 +54,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", trusted_like),
+    ("near-duplicates", one_of_each),
+    ("decontamination", decontaminated),
     ("pii", private_data),
     ("bpe", token_ids),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, pii
+from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, pii
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import table
 
@@ -13,6 +13,7 @@ QUERIES, ORACLES = {}, {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -60,3 +61,8 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_quality_classifier")
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_lattice_lm")
+def lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.lattice_scores(table(spark, folder, "documents"), PIECES)
