@@ -2,8 +2,9 @@
 
 Texts with equal shingle sets are one class; one of each goes on. Candidates come from a
 prefix filter: two sets of similarity t share a shingle among the first
-``n - ceil(t n) + 1`` of either in any common order; shingles that a bounded sample of
-documents shows to be frequent come last in it (the sample decides speed, not results).
+``n - ceil(t n) + 1`` of either in any common order; shingles of rare words come first
+and frequent shingles last, as a bounded sample of documents shows them (the sample
+decides speed, not results).
 Postings of one shingle and one size band form a tile; two sets can only be alike if
 their bands are equal or neighbours.
 
@@ -37,21 +38,28 @@ from plumbline.llm.components import components
 from plumbline.llm.hashing import WordHashes, mixed
 
 BITS = 1024
-#: Documents whose shingles are counted to tell frequent ones, and how many of these are kept.
-SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 4_000, 4, 200_000
+#: Documents whose words and shingles are counted to tell frequent ones, and how many are kept.
+SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
 #: Members of a tile compared in one block.
 BLOCK = 512
 
 
-def shingle_set(text: bytes, size: int, memory: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of word shingles after lower-casing A-Z."""
+def word_hashes(text: bytes, memory: WordHashes) -> np.ndarray:
+    """Hashes of the words after lower-casing A-Z."""
     found = text.lower().split()
-    hashes = np.fromiter(map(memory.__getitem__, found), np.uint64, len(found))
-    if not len(hashes):
-        return hashes
+    return np.fromiter(map(memory.__getitem__, found), np.uint64, len(found))
+
+
+def _windows(hashes: np.ndarray, size: int) -> list[np.ndarray]:
     width = min(size, len(hashes))
     last = len(hashes) - width + 1
-    return np.unique(mixed([hashes[i : last + i] for i in range(width)]))
+    return [hashes[i : last + i] for i in range(width)]
+
+
+def shingle_set(text: bytes, size: int, memory: WordHashes) -> np.ndarray:
+    """Sorted distinct hashes of word shingles."""
+    hashes = word_hashes(text, memory)
+    return np.unique(mixed(_windows(hashes, size))) if len(hashes) else hashes
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -90,30 +98,71 @@ def _set_rows(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, node bigint, n bigint, shingles array<bigint>")
 
 
-def _frequent(rows: DataFrame, size: int) -> np.ndarray:
-    """Shingles met in several documents of a bounded sample; bounded in number."""
+def _word_rows(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordHashes()
+        for batch in slices(batches, "text"):
+            found = [np.unique(word_hashes(v, memory)) for v in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["s"])
+
+    return rows.mapInArrow(run, "s bigint")
+
+
+class Order:
+    """How common a shingle seems: by the words in it, and whether it is a frequent one itself.
+
+    Both come from a bounded sample and are bounded in number. Any order gives the same
+    results; one that puts rare shingles first gives few candidates.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> None:
+        by = np.argsort(words)
+        self.words, self.levels = words[by], np.ceil(np.log2(counts[by] + 1)).astype(np.int64)
+        self.frequent = np.sort(frequent)
+
+    def _found(self, known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+        return at, known[at] == values
+
+    def profile(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct shingles, and the same from rare to common."""
+        if not len(hashes):
+            return hashes, hashes
+        at, known = self._found(self.words, hashes)
+        levels = np.where(known, self.levels[at], 0) if len(self.words) else np.zeros(len(hashes), np.int64)
+        shingles, first = np.unique(mixed(_windows(hashes, size)), return_index=True)
+        level = sum(_windows(levels, size))[first] + (self._found(self.frequent, shingles)[1].astype(np.int64) << 20)
+        return shingles, shingles[np.argsort(level, kind="stable")]
+
+
+def _order(rows: DataFrame, size: int) -> Order:
     ids = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
     sample = rows.join(F.broadcast(materialise(ids, "sampled")), "doc_id", "left_semi")
-    counted = _set_rows(sample, size).select(F.explode("shingles").alias("s")).groupBy("s").count()
-    found = counted.filter(F.col("count") >= SAMPLE_OFTEN).orderBy(F.desc("count"), "s").limit(FREQUENT)
-    return np.sort(np.array([r.s for r in found.collect()], np.int64).view(np.uint64))
 
+    def often(found: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+        counted = found.groupBy("s").count().filter(F.col("count") >= least)
+        top = counted.orderBy(F.desc("count"), "s").limit(FREQUENT).toArrow()
+        return top.column("s").to_numpy().view(np.uint64), top.column("count").to_numpy()
 
-def _profiles(rows: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    words, counts = often(_word_rows(sample), 2)
+    frequent, _ = often(_set_rows(sample, size).select(F.explode("shingles").alias("s")), SAMPLE_OFTEN)
+    return Order(words, counts, frequent)
+
+
+def _profiles(rows: DataFrame, size: int, percent: int, order: Order) -> DataFrame:
     """Rows (doc_id, node, n, prefix, bits) of every document."""
-    sent = rows.sparkSession.sparkContext.broadcast(frequent)
+    sent = rows.sparkSession.sparkContext.broadcast((order.words, order.levels, order.frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, often = WordHashes(), sent.value
+        memory, ranked = WordHashes(), Order.__new__(Order)
+        ranked.words, ranked.levels, ranked.frequent = sent.value
         for batch in slices(batches, "text"):
             nodes, counts, prefixes, bitmaps = [], [], [], []
             for value in batch.column("text").cast(pa.binary()).to_pylist():
-                shingles = shingle_set(value, size, memory)
-                late = np.zeros(len(shingles), bool)
-                if len(often):
-                    late = often[np.minimum(np.searchsorted(often, shingles), len(often) - 1)] == shingles
+                shingles, ordered = ranked.profile(word_hashes(value, memory), size)
                 length = len(shingles) - -(-percent * len(shingles) // 100) + 1 if len(shingles) else 0
-                ordered = np.concatenate([shingles[~late], shingles[late]])
                 nodes.append(_node(shingles))
                 counts.append(len(shingles))
                 prefixes.append(ordered[:length])
@@ -267,9 +316,12 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    found = members.drop("label").join(labels, "node", "left")
-    return found.withColumn("label", F.coalesce("label", "node"))
+def _contracted(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of tiles that still hold several components, and the components."""
+    labels = components(edges)
+    found = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    found = materialise(found, "labelled")
+    return materialise(_open_members(found), "open"), labels
 
 
 def similar_components(
@@ -280,7 +332,7 @@ def similar_components(
     ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
     """
     rows = texts(df, key, text)
-    every = materialise(_profiles(rows, size, percent, _frequent(rows, size)), "profiles")
+    every = materialise(_profiles(rows, size, percent, _order(rows, size)), "profiles")
     full = every.filter("n > 0")
     classes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     classes = materialise(classes, "classes")
@@ -305,12 +357,10 @@ def similar_components(
     # First one leader for each class, the one of the smallest id; then all that are left.
     first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
     edges = _verified(first, profiles, sets, percent)
-    labels = components(edges)
-    for seed in (0, 1):
-        members = materialise(_open_members(_labelled(members, labels)), "open")
-        edges = edges.union(_verified(_leader_pairs(members, seed).select("a", F.col("leader.node").alias("b")), profiles, sets, percent))
-        labels = components(edges)
-    members = materialise(_open_members(_labelled(members, labels)), "open")
+    members, labels = _contracted(members, edges)
+    leaders = _leader_pairs(members, 0).select("a", F.col("leader.node").alias("b"))
+    edges = edges.union(_verified(leaders, profiles, sets, percent))
+    members, labels = _contracted(members, edges)
     edges = edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, sets, percent))
     labels = components(edges)
 
