@@ -13,33 +13,49 @@ from plumbline.llm.common import materialise, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Name of the row key while a stage decides; not a column of documents.
+KEY = "stage_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with a key: the id, or a negative hash of the text where there is none."""
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("bigint"), -F.abs(text.bitwiseAND((1 << 62) - 1)) - 2))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose key is not rejected, with the columns of documents."""
+    gone = rejected.select(F.col("doc_id").alias(KEY)).distinct()
+    return docs.join(gone, KEY, "left_anti").drop(KEY)
+
+
 def trusted_like(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents within their language's perplexity limit."""
-    judged = kneser_ney.quality_classifier(docs, table(spark, folder, "labels"))
-    rejected = judged.filter(~F.col("kept")).select("doc_id").distinct()
-    return _without(docs, rejected)
+    docs = _keyed(docs)
+    judged = kneser_ney.quality_classifier(docs, table(spark, folder, "labels"), key=KEY)
+    return _without(docs, judged.filter(~F.col("kept")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates; repeated rows go too.
+    """The document of the smallest id of each group of near-duplicates; of repeated rows one stays.
 
     Five-word shingles, similarity 0.8 or more.
     """
-    found = jaccard.similar_components(docs, percent=80, size=5)
-    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return _without(docs, copies).dropDuplicates(["doc_id"])
+    keyed = _keyed(docs)
+    found = materialise(jaccard.similar_components(keyed, percent=80, size=5, key=KEY), "near-duplicates")
+    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    repeated = materialise(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    kept = _without(keyed, copies.union(repeated))
+    again = keyed.join(repeated.select(F.col("doc_id").alias(KEY)), KEY, "left_semi")
+    again = again.join(copies.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti")
+    return kept.unionByName(again.dropDuplicates([KEY, "text"]).drop(KEY))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents of which less than a twentieth of the words lie in benchmark windows."""
-    found = decontaminate.find_passages(docs, table(spark, folder, "benchmark"))
-    hit = decontaminate.with_verdict(found).filter("contaminated").select("doc_id").distinct()
-    return _without(docs, hit)
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows whose id is not rejected, with the columns of documents."""
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    docs = _keyed(docs)
+    found = decontaminate.find_passages(docs, table(spark, folder, "benchmark"), key=KEY)
+    return _without(docs, decontaminate.with_verdict(found).filter("contaminated"))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
