@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, pii
+from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, merkle, pii, suffix_dedup
 from plumbline.llm import quality_rules as rules
-from plumbline.llm.common import table
+from plumbline.llm.common import materialise, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -66,3 +66,14 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_lattice_lm")
 def lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.lattice_scores(table(spark, folder, "documents"), PIECES)
+
+
+@query("op8_suffix_dedup")
+def suffix_dedup_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeats_report(suffix_dedup.find_repeats(table(spark, folder, "documents")))
+
+
+@query("op3_merkle_audit", merkle.SQL)
+def merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    records = materialise(merkle.archive_records(spark, folder), "archive")
+    return merkle.fixity_audit(records, merkle.damaged(records))
