@@ -19,7 +19,10 @@ TIE_BITS = 62
 
 
 def _md5_number(keys: Sequence[str], salt: Sequence[str], digits: int) -> Column:
-    text = F.concat_ws(":", *[F.col(k).cast("string") for k in keys], *[F.lit(s) for s in salt])
+    """First digits of an md5 over length-marked values, so that no two key tuples share a text."""
+    values = [F.col(k).cast("string") for k in keys]
+    marked = [F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values]
+    text = F.concat(*marked, *[F.lit(f"|{s}") for s in salt])
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
 
 

@@ -2,19 +2,19 @@
 
 The model is cut into leaves. A leaf pays its value when a row passes all tests on
 its path; for a feature on the path the tests either hold for the row or, averaged
-over training rows, hold with the share of rows that went that way. With at most
-``depth`` features per path there are 2**depth patterns of held tests, so the
-attributions of every pattern are tabulated once (Lundberg et al. 2018 define the
-game; the table is plain enumeration). A row then needs one pattern per leaf.
-
-The tables depend on the model only, never on the data. Rows are handled in Arrow
-batches inside ``mapInArrow``: no shuffle, and each task sees only its own rows.
+over training rows, hold with the share of rows that went that way (Lundberg et al.
+2018 define the game). The Shapley weight of a set of s among d features is the
+integral of t**s (1 - t)**(d - 1 - s) over [0, 1], so the sum over all sets is the
+integral of a product over the features, a polynomial of degree d - 1. Gauss-Legendre
+quadrature with d / 2 points gives it exactly: work grows with leaves x depth**2 and
+there is no limit on the features of a path.
+
+Leaves travel with the task; their size depends on the model only. Rows are handled in
+Arrow batches inside ``mapInArrow``: no shuffle, and each task sees only its own rows.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from plumbline.session import scratch_path
 
-MAX_PATH_FEATURES = 12
+#: Rows handled at once, to bound the memory of deep paths.
+ROWS_AT_ONCE = 2_048
 
 
 @dataclass(frozen=True)
@@ -97,29 +98,27 @@ def expected_margin(leaves: Sequence[Leaf]) -> float:
     return sum(leaf.value * leaf.cover for leaf in leaves)
 
 
-def leaf_table(leaf: Leaf) -> tuple[list[int], np.ndarray]:
-    """Features on the path and, per pattern of held features, the attribution of each of them."""
+def leaf_shares(leaf: Leaf) -> dict[int, float]:
+    """Per feature on the path the share of training rows that pass its tests."""
     shares: dict[int, float] = {}
     for test in leaf.tests:
         shares[test.feature] = shares.get(test.feature, 1.0) * test.share
-    features = list(shares)
-    size = len(features)
-    if size > MAX_PATH_FEATURES:
-        raise ValueError(f"a path tests {size} features, more than {MAX_PATH_FEATURES}")
-    away = np.array([shares[f] for f in features])
-    table = np.zeros((2**size, size))
-    for pattern in range(2**size):
-        held = np.array([float(pattern >> k & 1) for k in range(size)])
-        for j in range(size):
-            others = [k for k in range(size) if k != j]
-            total = 0.0
-            for taken in range(size):
-                weight = math.factorial(taken) * math.factorial(size - 1 - taken) / math.factorial(size)
-                for chosen in itertools.combinations(others, taken):
-                    rest = [k for k in others if k not in chosen]
-                    total += weight * held[list(chosen)].prod() * away[rest].prod()
-            table[pattern, j] = leaf.value * total * (held[j] - away[j])
-    return features, table
+    return shares
+
+
+def leaf_attributions(held: np.ndarray, away: np.ndarray, value: float) -> np.ndarray:
+    """Attribution of each path feature (columns) for rows of held tests (0 or 1)."""
+    size = len(away)
+    nodes, weights = np.polynomial.legendre.leggauss((size + 1) // 2)
+    total = np.zeros(held.shape)
+    for t, weight in zip((nodes + 1) / 2, weights / 2):
+        factors = held * t + away * (1 - t)
+        # Products of all factors but one, from both ends.
+        below, above = np.ones(held.shape), np.ones(held.shape)
+        below[:, 1:] = np.cumprod(factors, axis=1)[:, :-1]
+        above[:, :-1] = np.cumprod(factors[:, ::-1], axis=1)[:, ::-1][:, 1:]
+        total += weight * below * above
+    return value * total * (held - away)
 
 
 def tree_shap_wide(
@@ -134,26 +133,27 @@ def tree_shap_wide(
     plan = []
     for leaf in leaves:
         if leaf.tests:
-            names, table = leaf_table(leaf)
-            tests = [[t for t in leaf.tests if t.feature == f] for f in names]
-            tests = [[(t.limit, t.categories, t.left) for t in group] for group in tests]
-            plan.append((names, tests, table * scale))
+            shares = leaf_shares(leaf)
+            tests = [[(t.limit, t.categories, t.left) for t in leaf.tests if t.feature == f] for f in shares]
+            plan.append((list(shares), tests, np.array(list(shares.values())), leaf.value * scale))
+
+    def add_leaves(values: np.ndarray, result: np.ndarray) -> None:
+        for names, tests, away, value in plan:
+            held = np.ones((len(values), len(names)))
+            for k, (feature, group) in enumerate(zip(names, tests)):
+                for limit, categories, left in group:
+                    x = values[:, feature]
+                    goes_left = x <= limit if categories is None else np.isin(x, categories)
+                    held[:, k] *= goes_left if left else ~goes_left
+            result[:, names] += leaf_attributions(held, away, value)
 
     def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("feature_values"))
             values = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             result = np.zeros(values.shape)
-            for names, tests, table in plan:
-                pattern = np.zeros(len(values), dtype=np.int64)
-                for k, (feature, group) in enumerate(zip(names, tests)):
-                    held = np.ones(len(values), dtype=bool)
-                    for limit, categories, left in group:
-                        x = values[:, feature]
-                        goes_left = x <= limit if categories is None else np.isin(x, categories)
-                        held &= goes_left if left else ~goes_left
-                    pattern |= held.astype(np.int64) << k
-                result[:, names] += table[pattern]
+            for start in range(0, len(values), ROWS_AT_ONCE):
+                add_leaves(values[start : start + ROWS_AT_ONCE], result[start : start + ROWS_AT_ONCE])
             offsets = np.arange(0, result.size + 1, width, dtype=np.int32)
             shap = pa.ListArray.from_arrays(pa.array(offsets), pa.array(result.ravel()))
             names_out = [*batch.schema.names, "shap_values"]

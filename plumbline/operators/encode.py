@@ -98,31 +98,27 @@ def label_encoder(columns: Sequence[str]) -> StringIndexer:
     )
 
 
-def level_codes(df: DataFrame, columns: Sequence[str], points: int = 256) -> DataFrame:
+def level_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(Variable, value, code): the place of every level in sorted order, for any number of levels.
 
-    Levels are put into cells between sampled values; a window numbers each cell and
-    the sizes of the cells before it are added.
+    Levels are dealt into sorted ranges of about equal size and written with the number
+    of their range; a window numbers each range and the sizes of the ranges before it,
+    one row per range, are added.
     """
+    spark = df.sparkSession
     levels = value_counts(df, columns).filter(F.col("value").isNotNull()).select("Variable", "value")
-    path = scratch_path(df.sparkSession, "levels")
-    levels.write.parquet(path)  # counted, sampled and numbered below; the big shuffle runs once
-    levels = df.sparkSession.read.parquet(path)
-    share = min(1.0, 4.0 * points / max(1, levels.count()))
-    # Sampled values only balance the cells. Their number and length are bounded.
-    sample = levels.sample(share, seed=1).select(F.substring("value", 1, 256).alias("v")).limit(8 * points)
-    values = sorted({r["v"] for r in sample.collect()})
-    bounds = values[:: max(1, len(values) // points)]
-    cell = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("value"))) if bounds else F.lit(0)
-    placed = levels.withColumn("_cell", cell)
-    sizes = placed.groupBy("Variable", "_cell").agg(F.count("*").alias("_size"))
-    before = W.partitionBy("Variable").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    ranged = levels.repartitionByRange("Variable", "value").withColumn("_range", F.spark_partition_id())
+    path = scratch_path(spark, "levels")
+    ranged.write.parquet(path)  # fixes the ranges
+    placed = spark.read.schema(ranged.schema).parquet(path)
+    sizes = placed.groupBy("Variable", "_range").agg(F.count("*").alias("_size"))
+    before = W.partitionBy("Variable").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
-        "Variable", "_cell", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        "Variable", "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = F.row_number().over(W.partitionBy("Variable", "_cell").orderBy("value"))
-    coded = placed.join(F.broadcast(offsets), ["Variable", "_cell"])  # a row per column and cell
-    return coded.select("Variable", "value", (F.col("_offset") + inside - 1).cast("int").alias("code"))
+    inside = F.row_number().over(W.partitionBy("Variable", "_range").orderBy("value"))
+    coded = placed.withColumn("_inside", inside).join(offsets, ["Variable", "_range"])
+    return coded.select("Variable", "value", (F.col("_offset") + F.col("_inside") - 1).cast("bigint").alias("code"))
 
 
 def label_encode(
@@ -131,17 +127,21 @@ def label_encode(
     model: StringIndexerModel | None = None,
     limit: int = DRIVER_LEVELS,
 ) -> DataFrame:
-    """Replaces string columns by their integer codes in sorted order.
+    """Replaces string columns by their codes (bigint) in sorted order.
 
     Columns of few levels go through a fitted encoder, a projection. The others are
     coded by a join with their level table, which stays distributed; adaptive
-    execution splits the partition of a frequent level.
+    execution splits the partition of a frequent level. On both ways a null value and
+    a level that was not fitted get a null code.
     """
     narrow = list(model.getInputCols()) if model else few_levels(df, columns, limit)
     coded = df
     if narrow:
-        coded = (model or label_encoder(narrow).fit(df)).transform(coded)
-        coded = coded.withColumns({c: F.col(c + CODE).cast("int") for c in narrow}).drop(*[c + CODE for c in narrow])
+        encoder = (model or label_encoder(narrow).fit(df)).copy().setHandleInvalid("keep")
+        coded = encoder.transform(coded)
+        sizes = dict(zip(narrow, map(len, encoder.labelsArray)))
+        known = {c: F.when(F.col(c + CODE) < sizes[c], F.col(c + CODE).cast("bigint")) for c in narrow}
+        coded = coded.withColumns(known).drop(*[c + CODE for c in narrow])
     for column in [c for c in columns if c not in narrow]:
         codes = level_codes(df, [column]).select(F.col("value").alias(column), F.col("code").alias("_code"))
         coded = coded.join(codes, column, "left").withColumn(column, F.col("_code")).drop("_code")

@@ -167,7 +167,7 @@ def partial_dependence(
 ) -> DataFrame:
     """Mean prediction over all rows with one feature set to each grid value.
 
-    ``scorer`` adds the ``score`` column. A row is repeated once per grid value, a
+    ``scorer`` adds the ``score`` column; it gets the features of the grid as doubles. A row is repeated once per grid value, a
     number fixed by the grid; the copies are scored and averaged in the same task,
     so only one partial sum per grid value is shuffled.
     """
@@ -178,10 +178,8 @@ def partial_dependence(
     ]
     rows = df.select("*", F.inline(F.array(*points)))
     for f in grids:
-        kind = df.schema[f].dataType
-        rows = rows.withColumn(
-            f, F.when(F.col("Variable") == f, F.col("grid_value").cast(kind)).otherwise(F.col(f))
-        )
+        # In double: a grid value between two integers must reach the scorer as it is.
+        rows = rows.withColumn(f, F.when(F.col("Variable") == f, F.col("grid_value")).otherwise(F.col(f).cast("double")))
     return (
         scorer(rows)
         .groupBy("Variable", "grid_value")
@@ -205,8 +203,7 @@ def partial_dependence_2way(
     ]
     others = [c for c in df.columns if c not in pair]
     rows = df.select(*others, F.inline(F.array(*points)))
-    rows = rows.withColumn(first, F.col("grid_1").cast(df.schema[first].dataType))
-    rows = rows.withColumn(second, F.col("grid_2").cast(df.schema[second].dataType))
+    rows = rows.withColumns({first: F.col("grid_1"), second: F.col("grid_2")})
     return (
         scorer(rows)
         .groupBy("grid_1", "grid_2")

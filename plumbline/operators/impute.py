@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -45,9 +45,9 @@ def impute_mean(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in values}).na.fill(dict(values))
 
 
-def impute_constant(df: DataFrame, value: str = UNKNOWN) -> DataFrame:
-    """Fills what is left in string columns."""
-    columns = names_with_role(df, CATEGORICAL)
+def impute_constant(df: DataFrame, value: str = UNKNOWN, subset: Sequence[str] | None = None) -> DataFrame:
+    """Fills what is left in string columns, or in those of ``subset``."""
+    columns = [c for c in names_with_role(df, CATEGORICAL) if subset is None or c in subset]
     return df.na.fill(value, subset=columns) if columns else df
 
 
@@ -85,6 +85,7 @@ class MixedImputer(Estimator, _FillParams, DefaultParamsReadable, DefaultParamsW
             modes=modes(rows, self.getOrDefault("countNulls")),
             means=means(rows),
             unknown=self.getOrDefault("unknown"),
+            columns=list(rows.columns),
         )
         return model
 
@@ -103,4 +104,4 @@ class MixedImputerModel(Model, _FillParams, DefaultParamsReadable, DefaultParams
         present = set(dataset.columns)
         filled = impute_mode(dataset, {c: v for c, v in self.getOrDefault("modes").items() if c in present})
         filled = impute_mean(filled, {c: v for c, v in self.getOrDefault("means").items() if c in present})
-        return impute_constant(filled, self.getOrDefault("unknown"))
+        return impute_constant(filled, self.getOrDefault("unknown"), self.getOrDefault("columns"))

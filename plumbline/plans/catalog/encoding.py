@@ -138,9 +138,7 @@ def _(spark, folder):
     return rounded(slots, *[f"s{k}" for k in range(PRIORITIES + 1)])
 
 
-LINE_BUCKET = (
-    "('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), 1, 8))::BIGINT % 10000"
-)
+LINE_BUCKET = f"{frames.digest_sql(8, 42, *frames.LINE_KEYS)} % 10000"
 
 
 @query(
@@ -157,7 +155,7 @@ def _(spark, folder):
     "stratified_split",
     f"""WITH {frames.RETURNS}, placed AS (
   SELECT *, row_number() OVER (PARTITION BY y ORDER BY tie) AS place, count(*) OVER (PARTITION BY y) AS size FROM (
-    SELECT *, ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '2020')), 1, 15))::BIGINT AS tie
+    SELECT *, {frames.digest_sql(15, 2020, *frames.LINE_KEYS)} AS tie
     FROM returns)),
 limits AS (SELECT *, round(0.1 * size) AS test_rows FROM placed)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y,
@@ -173,8 +171,8 @@ def _(spark, folder):
 @query(
     "label_encode",
     f"""WITH {frames.ORDER_STATUS} SELECT o_orderkey,
-  (dense_rank() OVER (ORDER BY n_name) - 1)::INTEGER AS n_name,
-  (dense_rank() OVER (ORDER BY c_mktsegment) - 1)::INTEGER AS c_mktsegment FROM order_status""",
+  (dense_rank() OVER (ORDER BY n_name) - 1)::BIGINT AS n_name,
+  (dense_rank() OVER (ORDER BY c_mktsegment) - 1)::BIGINT AS c_mktsegment FROM order_status""",
 )
 def _(spark, folder):
     rows = frames.order_status(spark, folder).select("o_orderkey", "n_name", "c_mktsegment")
@@ -195,8 +193,8 @@ def _(spark, folder):
 
 @query(
     "label_encode_wide",
-    """SELECT doc_id, (dense_rank() OVER (ORDER BY text) - 1)::INTEGER AS text,
-  (dense_rank() OVER (ORDER BY lang) - 1)::INTEGER AS lang FROM documents""",
+    """SELECT doc_id, (dense_rank() OVER (ORDER BY text) - 1)::BIGINT AS text,
+  (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS lang FROM documents""",
 )
 def _(spark, folder):
     rows = frames.table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -205,10 +203,46 @@ def _(spark, folder):
 
 @query(
     "level_codes",
-    """SELECT 'lang' AS "Variable", value, (row_number() OVER (ORDER BY value) - 1)::INTEGER AS code
+    """SELECT 'lang' AS "Variable", value, (row_number() OVER (ORDER BY value) - 1)::BIGINT AS code
 FROM (SELECT DISTINCT lang AS value FROM documents)
-UNION ALL SELECT 'text', value, (row_number() OVER (ORDER BY value) - 1)::INTEGER
+UNION ALL SELECT 'text', value, (row_number() OVER (ORDER BY value) - 1)::BIGINT
 FROM (SELECT DISTINCT text AS value FROM documents)""",
 )
 def _(spark, folder):
     return EN.level_codes(frames.table(spark, folder, "documents"), ["lang", "text"])
+
+
+NULL_LEVELS_SQL = """WITH rows AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS level FROM orders),
+codes AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM (SELECT DISTINCT level FROM rows WHERE level IS NOT NULL))
+SELECT o_orderkey, code::BIGINT AS level FROM rows LEFT JOIN codes USING (level)"""
+
+
+def _null_levels(spark, folder, limit):
+    level = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("level")
+    rows = frames.table(spark, folder, "orders").select("o_orderkey", level)
+    return EN.label_encode(rows, ["level"], limit=limit)
+
+
+@query("label_encode_nulls", NULL_LEVELS_SQL)
+def _(spark, folder):
+    return _null_levels(spark, folder, 100)
+
+
+@query("label_encode_nulls_wide", NULL_LEVELS_SQL)
+def _(spark, folder):
+    return _null_levels(spark, folder, 1)
+
+
+NULL_KEY_SQL = f"""WITH keyed AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS a,
+  CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS b FROM orders)
+SELECT o_orderkey, a, b, CASE WHEN {frames.digest_sql(8, 42, "a", "b", "o_orderkey")} % 10000 < 7000
+  THEN 'train' ELSE 'test' END AS split FROM keyed"""
+
+
+@query("random_split_null_keys", NULL_KEY_SQL)
+def _(spark, folder):
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    rows = frames.table(spark, folder, "orders").select(
+        "o_orderkey", F.when(key % 3 == 0, status).alias("a"), F.when(key % 3 == 1, status).alias("b")
+    )
+    return random_split(rows, ["a", "b", "o_orderkey"], 0.7, 42)

@@ -150,8 +150,7 @@ def fixed_leaderboard(spark, folder):
 
 
 FIXED_SQL = f"""{frames.RETURNS}, hashed AS (
-  SELECT *, CASE WHEN ('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), 1, 8))::BIGINT
-           % 10000 < 7000 THEN 'Train' ELSE 'Test' END AS split,
+  SELECT *, CASE WHEN {frames.digest_sql(8, 42, *frames.LINE_KEYS)} % 10000 < 7000 THEN 'Train' ELSE 'Test' END AS split,
          {frames.tie_sql(*frames.LINE_KEYS)} AS tie
   FROM returns),
 long AS ({" UNION ALL ".join(f"SELECT '{n}' AS algorithm, split, y, tie, {s} AS p FROM hashed" for n, s in FIXED_SCORES.items())}),

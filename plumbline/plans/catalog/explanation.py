@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plumbline.operators import explain as X
+from plumbline.operators.attribution import expected_margin, model_leaves, tree_shap_wide
+from plumbline.operators.models import predict_labels
 from plumbline.plans.catalog import frames
 from plumbline.plans.catalog.modelling import explained_documents
 from plumbline.plans.catalog.registry import query, rounded
@@ -18,12 +21,15 @@ def _grid_sql(source: str, features: list[str]) -> str:
     long = " UNION ALL ".join(
         f"SELECT '{f}' AS \"Variable\", {f}::DOUBLE AS x, y, score FROM {source}" for f in features
     )
-    return f"""long AS ({long}),
-grids AS (
-  SELECT "Variable", count(DISTINCT x) < 10 AS is_levels,
-    CASE WHEN count(DISTINCT x) < 10 THEN list_sort(list_distinct(list(x)))
-         ELSE list_sort(list_distinct(quantile_cont(x, {STEPS}))) END AS grid
-  FROM long GROUP BY "Variable"),
+    return f"""long AS MATERIALIZED ({long}),
+levels AS MATERIALIZED (
+  SELECT "Variable", list(x ORDER BY x) AS grid FROM (SELECT DISTINCT "Variable", x FROM long WHERE x IS NOT NULL)
+  GROUP BY "Variable" HAVING count(*) < 10),
+cuts AS MATERIALIZED (
+  SELECT "Variable", list_sort(list_distinct(quantile_cont(x, {STEPS}))) AS grid FROM long GROUP BY "Variable"),
+grids AS MATERIALIZED (
+  SELECT "Variable", levels.grid IS NOT NULL AS is_levels, coalesce(levels.grid, cuts.grid) AS grid
+  FROM cuts LEFT JOIN levels USING ("Variable")),
 bucketed AS (
   SELECT "Variable", x, y, score, grid, is_levels,
     len(list_filter(CASE WHEN is_levels THEN grid[2:] ELSE grid[2:-2] END, lambda e: e <= x))::INTEGER AS bucket
@@ -119,6 +125,43 @@ def _(spark, folder):
     return rounded(plot, "grid_1", "grid_2", "partial_dependence")
 
 
+INTEGER_FORM = "l_linenumber * 0.3 + l_linenumber * l_linenumber * 0.01 + l_quantity * 0.001"
+
+
+def _integer_rows(spark, folder):
+    """Line numbers are integers; a grid may lie between them."""
+    rows = frames.table(spark, folder, "lineitem").select("l_linenumber", "l_quantity")
+    return rows, {"l_linenumber": [1.0, 1.5, 2.25, 6.9], "l_quantity": [10.5, 20.0]}
+
+
+@query(
+    "partial_dependence_integer",
+    f"""SELECT 'l_linenumber' AS "Variable", g AS grid_value, count(*) AS count,
+  round(avg({INTEGER_FORM.replace("l_linenumber", "g")}), 6) AS partial_dependence
+FROM lineitem, (SELECT unnest([1.0::DOUBLE, 1.5, 2.25, 6.9]) AS g) GROUP BY g""",
+)
+def _(spark, folder):
+    rows, grids = _integer_rows(spark, folder)
+    scored = X.partial_dependence(
+        rows, {"l_linenumber": grids["l_linenumber"]}, lambda df: df.withColumn("score", F.expr(INTEGER_FORM))
+    )
+    return rounded(scored, "partial_dependence")
+
+
+@query(
+    "partial_dependence_2way_integer",
+    f"""SELECT g AS grid_1, h AS grid_2, count(*) AS count,
+  round(avg({INTEGER_FORM.replace("l_linenumber", "g").replace("l_quantity", "h")}), 6) AS partial_dependence
+FROM lineitem, (SELECT unnest([1.0::DOUBLE, 1.5, 2.25, 6.9]) AS g), (SELECT unnest([10.5::DOUBLE, 20.0]) AS h)
+GROUP BY g, h""",
+)
+def _(spark, folder):
+    rows, grids = _integer_rows(spark, folder)
+    pair = ["l_linenumber", "l_quantity"]
+    scored = X.partial_dependence_2way(rows, pair, grids, lambda df: df.withColumn("score", F.expr(INTEGER_FORM)))
+    return rounded(scored, "partial_dependence")
+
+
 @query("partial_dependence_model")
 def _(spark, folder):
     explained = explained_documents(spark, folder)
@@ -129,7 +172,7 @@ def _(spark, folder):
 @query("actual_plot_model")
 def _(spark, folder):
     explained = explained_documents(spark, folder)
-    return X.actual_plot_data(explained.scored(explained.rows), explained.features, "score")
+    return X.actual_plot_data(explained.scored_once(), explained.features, "score")
 
 
 @query("tree_shap")
@@ -137,6 +180,33 @@ def _(spark, folder):
     return explained_documents(spark, folder).attributions(["doc_id"])
 
 
+TRAIN_DOCUMENTS = f"""placed AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY quality ORDER BY {frames.digest_sql(15, 2020, "doc_id")}) AS place,
+    count(*) OVER (PARTITION BY quality) AS size FROM labels JOIN documents USING (doc_id)),
+limits AS (SELECT *, round(0.1 * size) AS test_rows FROM placed),
+split AS (SELECT doc_id, CASE WHEN place <= test_rows THEN 'test'
+  WHEN place <= test_rows + round(0.1 * (size - test_rows)) THEN 'cv' ELSE 'train' END AS split FROM limits)"""
+
+
+@query("tree_shap_additive", f"WITH {TRAIN_DOCUMENTS} SELECT doc_id, 0.0::DOUBLE AS gap FROM split WHERE split = 'train'")
+def _(spark, folder):
+    """Expected margin plus all attributions of a row is the margin of the row."""
+    explained = explained_documents(spark, folder)
+    base = 2 * expected_margin(model_leaves(explained.rows, explained.model))
+    scored = explained.scored(explained.train)
+    wide = tree_shap_wide(scored, explained.model, keep=["doc_id", "rawPrediction"], scale=2.0)
+    total = F.aggregate("shap_values", F.lit(base), lambda a, x: a + x)
+    margin = 2 * vector_to_array(F.col("rawPrediction"))[1]
+    return wide.select("doc_id", (F.round(F.abs(total - margin), 6) + 0.0).alias("gap"))
+
+
+@query("predict_labels_rows", f"WITH {TRAIN_DOCUMENTS} SELECT doc_id, TRUE AS is_label FROM split WHERE split = 'cv'")
+def _(spark, folder):
+    explained = explained_documents(spark, folder)
+    rows = predict_labels(explained.model, explained.assembled(explained.cv), ["doc_id"])
+    return rows.select("doc_id", F.col("prediction").isin(0.0, 1.0).alias("is_label"))
+
+
 @query("tree_shap_ranking")
 def _(spark, folder):
     return X.abs_shap(explained_documents(spark, folder).attributions())

@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.scalars import TIE_FIELDS
+
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 ORDER_KEYS = ("o_orderkey",)
 DOC_KEYS = ("doc_id",)
 
 
-# The tie number in SQL: two modular folds over the keys.
-TIE_SQL_FIELDS = ((2147483647, 742938285), (2147483629, 950706376))
+def digest_sql(digits: int, seed: int, *keys: str) -> str:
+    """The md5 number of keys and seed in SQL."""
+    marked = [f"CASE WHEN {k} IS NULL THEN '-' ELSE length({k}::VARCHAR) || ':' || {k}::VARCHAR END" for k in keys]
+    return f"('0x' || substr(md5({' || '.join(marked)} || '|{seed}'), 1, {digits}))::BIGINT"
 
 
 def tie_sql(*keys: str) -> str:
+    """The tie number in SQL: two modular folds over the keys."""
     halves = []
-    for prime, factor in TIE_SQL_FIELDS:
+    for prime, factor in TIE_FIELDS:
         h = "1::BIGINT"
         for key in keys:
             h = f"(({h} * {factor} + {key}::BIGINT % {prime}) % {prime})"

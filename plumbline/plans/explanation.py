@@ -18,6 +18,7 @@ from plumbline.operators.impute import MixedImputer
 from plumbline.operators.profile import distinct_profile
 from plumbline.operators.split import stratified_split
 from plumbline.plans.model_bench import SPLIT, TARGET, model_columns
+from plumbline.session import scratch_path
 from plumbline.spec import ModelSpec
 
 SPLIT_SEED = 2020
@@ -47,6 +48,13 @@ class Explained:
         """Adds prediction and ``score``, the probability of the positive value."""
         return self.model.transform(self.assembled(df)).withColumn("score", positive_probability())
 
+    def scored_once(self, keep: Sequence[str] = ()) -> DataFrame:
+        """Kept columns, features and score of all rows, written once for readers with several passes."""
+        scored = self.scored(self.rows).select(*keep, *self.features, "score")
+        path = scratch_path(scored.sparkSession, "scored")
+        scored.write.parquet(path)
+        return scored.sparkSession.read.schema(scored.schema).parquet(path)
+
     def attributions(self, keep: Sequence[str] = ()) -> DataFrame:
         """Log-odds attributions of the training rows."""
         return tree_shap(self.assembled(self.train), self.model, self.features, keep=keep, scale=2.0)
@@ -72,6 +80,10 @@ def explain(df: DataFrame, spec: ModelSpec, iterations: int = 100) -> Explained:
         encoder = EN.label_encoder(categorical).fit(filled)
         coded = EN.label_encode(filled, categorical, encoder)
         mapping = EN.encoding_map(df, encoder)
+    # Fitting makes many passes; they read the encoded rows, not the joins behind them.
+    path = scratch_path(df.sparkSession, "encoded")
+    coded.write.parquet(path)
+    coded = df.sparkSession.read.schema(coded.schema).parquet(path)
     assembled = EN.tree_assembler([], features).transform(coded.filter(F.col(SPLIT) == "train"))
     model = M.fit_gbm_baseline(assembled, iterations=iterations, max_levels=spec.max_levels)
     return Explained(coded, features, model, mapping)
