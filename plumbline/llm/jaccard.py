@@ -190,9 +190,17 @@ def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame
     return joined.filter((F.least("a_n", "b_n") >= need) & (2 * need <= both - differ)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) among pairs of nodes whose similarity reaches the threshold."""
+def _verified(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) among pairs of nodes whose similarity reaches the threshold.
+
+    The whole sets of the nodes in plausible pairs are made again from their texts.
+    """
     pairs = materialise(_plausible(pairs, profiles, percent), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = materialise(profiles.select("node", "doc_id").join(nodes, "node"), "wanted")
+    ids = wanted.select("doc_id").distinct()
+    some = rows.join(ids, "doc_id", "left_semi").union(rows.filter("doc_id is null"))
+    sets = materialise(_set_rows(some, size).select("node", "shingles"), "sets")
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("shingles").alias(f"{name}_shingles"), F.col("node").alias(name))
@@ -346,22 +354,17 @@ def similar_components(
     alive = postings.select("node").distinct()
     profiles = single.join(alive, "node", "left_semi")
     profiles = materialise(profiles.select("node", "doc_id", "first_id", "n", "bits", band.alias("band")), "bits")
-    # The texts of classes with a shared shingle are read again for their whole sets, once.
-    some = rows.join(profiles.select("doc_id").distinct(), "doc_id", "left_semi")
-    some = some.union(rows.filter("doc_id is null"))
-    sets = _set_rows(some, size).select("node", "shingles").join(alive, "node", "left_semi")
-    sets = materialise(sets, "sets")
     members = postings.join(profiles.select("node", "first_id", "n", "band"), "node").withColumn("label", F.col("node"))
     members = materialise(members, "members")
 
     # First one leader for each class, the one of the smallest id; then all that are left.
     first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
-    edges = _verified(first, profiles, sets, percent)
+    edges = _verified(first, profiles, rows, size, percent)
     members, labels = _contracted(members, edges)
     leaders = _leader_pairs(members, 0).select("a", F.col("leader.node").alias("b"))
-    edges = edges.union(_verified(leaders, profiles, sets, percent))
+    edges = edges.union(_verified(leaders, profiles, rows, size, percent))
     members, labels = _contracted(members, edges)
-    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, sets, percent))
+    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, rows, size, percent))
     labels = components(edges)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
