@@ -25,6 +25,8 @@ CELL_BUDGET = 131_072
 MAX_CELLS = 4_096
 FINISH_ROWS = 500_000
 CELLS_PER_E = 128
+#: Intervals compared one by one; more are searched in a sorted array.
+FEW_INTERVALS = 32
 LARGEST = 1.7976931348623157e308
 
 # Ascending arrays: smallest value, largest value and row count per cell.
@@ -193,6 +195,14 @@ def _assigned(rows: DataFrame, active: list[_Interval], by: list[str]) -> DataFr
     The intervals are few (groups x wanted ranks), so they travel as a broadcast
     table when grouped and as literals otherwise.
     """
+    if not by and len(active) > FEW_INTERVALS:
+        lows, highs = (F.array(*[F.lit(getattr(i, side)) for i in active]) for side in ("low", "high"))
+        order = sorted(range(len(active)), key=lambda n: active[n].low)
+        if order != list(range(len(active))):
+            raise RuntimeError("intervals must ascend")
+        place = sorted_place(lows, len(active), lambda low: low <= F.col("_v")) - 1
+        rows = rows.withColumn("_i", place).withColumns({"_low": F.get(lows, F.col("_i")), "_high": F.get(highs, F.col("_i"))})
+        return rows.filter((F.col("_i") >= 0) & (F.col("_v") <= F.col("_high"))).select("_v", "_i", "_low", "_high")
     if not by:
         number = F.lit(None).cast("int")
         low = high = F.lit(None)
@@ -221,6 +231,24 @@ def _assigned(rows: DataFrame, active: list[_Interval], by: list[str]) -> DataFr
     return rows.join(F.broadcast(table), match).select("_v", "_i", "_low", "_high")
 
 
+def sorted_place(items: Column, size: int | Column, passed: Callable[[Column], Column], steps: int | None = None) -> Column:
+    """How many leading items of a sorted array are passed, by binary search."""
+    steps = steps or int(size).bit_length()
+
+    def step(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        past = F.coalesce(passed(F.get(items, middle)), F.lit(False))
+        open_ = span["low"] < span["high"]
+        return F.struct(
+            F.when(open_ & past, middle + 1).otherwise(span["low"]).alias("low"),
+            F.when(open_ & ~past, middle).otherwise(span["high"]).alias("high"),
+        )
+
+    limit = size if isinstance(size, Column) else F.lit(size)
+    start = F.struct(F.lit(0).alias("low"), limit.alias("high"))
+    return F.aggregate(F.array(*[F.lit(i) for i in range(steps)]), start, step)["low"]
+
+
 def _count_cells(rows: DataFrame, active: list[_Interval], by: list[str]) -> dict[int, Cells]:
     cells = max(16, min(MAX_CELLS, CELL_BUDGET // len(active)))
     low, high = _scaled(F.col("_low")), _scaled(F.col("_high"))

@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import TIE_BITS, sortable_score, tie_number
-from plumbline.operators.order_stats import order_statistics
+from plumbline.operators.order_stats import order_statistics, sorted_place
 
 CHUNK = 100_000
 SUBCELL_BITS = 20
 HOT_CELL_ROWS = 1_000_000
+#: Rows that a window over one cell should hold, and edges that are compared one by one.
+CELL_ROWS = 2_000_000
+FEW_EDGES = 32
 
 
 @dataclass(frozen=True)
@@ -125,6 +128,8 @@ def with_tile(
         groups.setdefault(edge.group, []).append(edge)
     width = max((len(g) for g in groups.values()), default=0)
     rows = df.withColumn("_s", sortable_score(score))
+    if width > FEW_EDGES:
+        return _with_many_tiles(df, rows, groups, keys, by, output, seed)
     if by:
         kinds = {f.name: f.dataType for f in df.schema.fields}
         schema = T.StructType([T.StructField(f"_by{k}", kinds[b]) for k, b in enumerate(by)])
@@ -155,6 +160,42 @@ def with_tile(
     return numbered.select(*df.columns, "_s", "_t", output, "_split")
 
 
+def _with_many_tiles(
+    df: DataFrame,
+    rows: DataFrame,
+    groups: dict[tuple, list[TileEdge]],
+    keys: Sequence[str],
+    by: Sequence[str],
+    output: str,
+    seed: int,
+) -> DataFrame:
+    """As :func:`with_tile`, by binary search in one sorted array of edges per group."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    schema = T.StructType([T.StructField(f"_by{k}", kinds[b]) for k, b in enumerate(by)])
+    edge = T.StructType().add("s", "double").add("t", "long").add("p", "boolean")
+    schema = schema.add("_edges", T.ArrayType(edge))
+    table = df.sparkSession.createDataFrame(
+        [(*group, [_edge_cells(e) for e in own]) for group, own in groups.items()], schema
+    )
+    match = F.lit(True)
+    for k, b in enumerate(by):
+        match = match & F.col(b).eqNullSafe(F.col(f"_by{k}"))
+    rows = rows.join(F.broadcast(table), match, "left").withColumn("_t", tie_number(df, keys, seed))
+    value, tie, none = F.col("_s"), F.col("_t"), F.array().cast(T.ArrayType(edge))
+    rows = rows.withColumn("_edges", F.coalesce("_edges", none))
+
+    def past(edge: Column) -> Column:
+        return (value < edge["s"]) | ((value == edge["s"]) & F.coalesce(tie > edge["t"], F.lit(False)))
+
+    steps = max(len(own) for own in groups.values()).bit_length()
+    found = sorted_place(F.col("_edges"), F.size("_edges"), past, steps)
+    rows = rows.withColumn("_place", found)
+    here = F.get("_edges", F.col("_place"))
+    split = here["p"] & (value == here["s"]) & (tie == here["t"])
+    numbered = rows.withColumns({output: (F.col("_place") + 1).cast("int"), "_split": F.coalesce(split, F.lit(False))})
+    return numbered.select(*df.columns, "_s", "_t", output, "_split")
+
+
 def _edge_cells(edge: TileEdge) -> tuple:
     return float(edge.score), edge.tie, edge.taken is not None
 
@@ -223,7 +264,7 @@ def score_rank(
     """Adds the row number (1 = highest score) of every row of its group."""
     by = list(by)
     spark = df.sparkSession
-    cells = cells or default_cells(spark)
+    cells = cells or max(default_cells(spark), math.ceil(df.count() / CELL_ROWS))
     scored = df.withColumns({"_s": sortable_score(score), "_t": tie_number(df, keys, seed)})
     scored = _with_cell(scored, cells)
 
@@ -248,7 +289,10 @@ def score_rank(
     # One row per cell: bounded by the number of cells, not by the data.
     placed = scored.join(F.broadcast(spark.createDataFrame(offsets, schema)), match, "left")
 
-    order = [F.desc("_s"), F.asc("_t"), *[F.asc(k) for k in keys]]
+    # Rows of equal score and keys are ordered by their other columns, in every cell alike.
+    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    others = [F.asc(c) for c in sortable if c not in (*by, *keys)]
+    order = [F.desc("_s"), F.asc("_t"), *[F.asc(k) for k in keys], *others]
     in_cell = W.partitionBy(*by, "_cell").orderBy(*order)
     regular = placed.filter(~F.col("_cell").isin(hot)) if hot else placed
     ranked = regular.withColumn(output, (F.col("_offset") + F.row_number().over(in_cell)).cast("bigint"))
@@ -258,8 +302,7 @@ def score_rank(
     # A cell far above its share holds copies of few rows: rank the distinct rows, then expand.
     counted = placed.filter(F.col("_cell").isin(hot))
     counted = counted.groupBy(*counted.columns).agg(F.count("*").alias("_n"))
-    others = [F.asc(c) for c in df.columns if c not in (*by, *keys)]
-    running = F.sum("_n").over(W.partitionBy(*by, "_cell").orderBy(*order, *others))
+    running = F.sum("_n").over(W.partitionBy(*by, "_cell").orderBy(*order))
     dealt = counted.withColumn("_before", F.col("_offset") + running - F.col("_n"))
     expanded = _expand(dealt, F.col("_n")).withColumn(output, F.col("_before") + F.col("_copy"))
     return ranked.unionByName(expanded.select(*df.columns, output))
@@ -294,8 +337,13 @@ def _with_cell(scored: DataFrame, cells: int) -> DataFrame:
     splits = [-math.inf, *sorted(s for s in splits if math.isfinite(s)), math.inf]
     parts = [repeats.get(low, 1) + 1 if repeats.get(low, 1) > 1 else 1 for low in splits[:-1]]
     bucketed = Bucketizer(splits=splits, inputCol="_s", outputCol="_bucket").transform(scored)
-    bucket = F.col("_bucket").cast("int")
-    part_count = F.get(F.array(*[F.lit(p) for p in parts]), bucket)
+    # Missing scores and NaN are the ends of the order; they are cut like any frequent score.
+    bucket = F.when(F.col("_s") == math.inf, len(parts)).when(F.col("_s") == -math.inf, -1)
+    bucket = bucket.otherwise(F.col("_bucket").cast("int"))
+    ends = {end: repeats.get(end, 0) + 1 for end in (math.inf, -math.inf)}
+    inner = F.get(F.array(*[F.lit(p) for p in parts]), F.col("_bucket").cast("int"))
+    part_count = F.when(F.col("_s") == math.inf, ends[math.inf]).when(F.col("_s") == -math.inf, ends[-math.inf])
+    part_count = part_count.otherwise(inner)
     sub = F.shiftright(F.shiftright("_t", TIE_BITS - SUBCELL_BITS) * part_count, SUBCELL_BITS)
     descending = F.lit(len(splits)) - bucket
     cell = F.shiftleft(descending.cast("bigint"), SUBCELL_BITS) + sub
@@ -327,4 +375,4 @@ def _expand(df: DataFrame, copies: Column) -> DataFrame:
     )
     first = F.col("_chunk") * CHUNK + 1
     last = F.least(F.col("_copies"), first + CHUNK - 1)
-    return chunks.repartition("_chunk").withColumn("_copy", F.explode(F.sequence(first, last)))
+    return chunks.repartition(F.xxhash64(*df.columns), F.col("_chunk")).withColumn("_copy", F.explode(F.sequence(first, last)))

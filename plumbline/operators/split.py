@@ -15,6 +15,10 @@ from plumbline.functions.scalars import DIGEST_BITS, SPLIT_BUCKETS, key_digest,
 from plumbline.operators.order_stats import order_statistics
 
 
+#: Target values that a stratified split accepts; their limits live on the driver.
+MAX_CLASSES = 1_000
+
+
 def random_split(
     df: DataFrame, keys: Sequence[str], fraction: float = 0.7, seed: int = 42, output: str = "split"
 ) -> DataFrame:
@@ -38,6 +42,8 @@ def stratified_split(
 ) -> DataFrame:
     """Marks rows 'test', 'cv' or 'train' with exact shares per target value.
 
+    Rows with equal keys stay together, so repeated keys can move a limit by their number.
+
     The rows of a class with the lowest key hashes form the test part, the next ones
     the cv part. The two limits per class are found by counting; no row is shuffled.
     """
@@ -49,7 +55,9 @@ def stratified_split(
         parts[group] = (first, first + half_up(cv * (size - first)))
         return [end - 1 for end in parts[group] if end > 0]
 
-    sizes = df.groupBy(target).agg(F.count("*").alias("n")).collect()  # a row per target value
+    sizes = df.groupBy(target).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} values; a split per value needs a class column")
     known = {(r[target],): (0, 2**DIGEST_BITS - 1, r["n"]) for r in sizes}
     limits = {(s.group, s.rank): s.value for s in order_statistics(hashed, "_t", wanted, [target], known)}
     split = F.lit("train")

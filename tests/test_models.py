@@ -253,3 +253,29 @@ def test_unseen_level_has_its_own_index(spark):
     new = spark.createDataFrame([("z",), (None,), ("b",)], "c string")
     assert [r["c_index"] for r in model.transform(new).collect()] == [2.0, 2.0, 1.0]
     assert M.tree_bins(200) == 202
+
+
+def test_path_of_many_features():
+    """Quadrature equals the sum over all subsets; deep paths need no table."""
+    rng = np.random.default_rng(19)
+    for size in (1, 2, 5, 8):
+        away, held = rng.uniform(0.05, 0.95, size), rng.integers(0, 2, (4, size)).astype(float)
+        ours = A.leaf_attributions(held, away, 2.0)
+        for row in range(4):
+            for j in range(size):
+                others, total = [k for k in range(size) if k != j], 0.0
+                for taken in range(size):
+                    weight = math.factorial(taken) * math.factorial(size - 1 - taken) / math.factorial(size)
+                    for chosen in itertools.combinations(others, taken):
+                        total += weight * np.prod([held[row, k] if k in chosen else away[k] for k in others])
+                assert math.isclose(ours[row, j], 2 * total * (held[row, j] - away[j]), rel_tol=1e-9, abs_tol=1e-12)
+    away, held = rng.uniform(0.3, 0.9, 20), rng.integers(0, 2, (50, 20)).astype(float)
+    gap = A.leaf_attributions(held, away, 1.0).sum(1) - (held.prod(1) - away.prod())
+    assert np.abs(gap).max() < 1e-12
+
+
+def test_imputer_leaves_other_columns(spark):
+    rows = [(None, None, 1.0), ("k", "c", None), ("k", "c", 3.0)]
+    df = spark.createDataFrame(rows, "k string, c string, x double")
+    filled = I.MixedImputer(columns=["c", "x"], countNulls=True).fit(df).transform(df).collect()
+    assert [r["k"] for r in filled] == [None, "k", "k"] and [r["x"] for r in filled] == [1.0, 2.0, 3.0]

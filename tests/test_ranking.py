@@ -139,3 +139,32 @@ def test_no_single_partition_over_rows(spark):
     assert "Exchange" not in plan and "Window" not in plan
     ranked = R.score_rank(df, "score", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in ranked
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_many_tiles(spark, by):
+    df = skewed(spark)
+    ours = R.score_ntile(df, "score", ["id"], 1000, by, "ours")
+    both = ours.withColumn("plain", F.ntile(1000).over(W.partitionBy(*by).orderBy(*window_order(df))))
+    assert both.count() == 6000
+    assert both.filter("ours <> plain").count() == 0
+
+
+def test_many_tiles_of_copies(spark):
+    tiled = R.score_ntile(copies(spark), "score", ["id"], 100)
+    assert {r["deciles"]: r["count"] for r in tiled.groupBy("deciles").count().collect()} == {d: 30 for d in range(1, 101)}
+
+
+@pytest.mark.parametrize("value", [float("nan"), None, float("inf")])
+def test_frequent_end_of_the_order_is_cut(spark, value):
+    """A third of the rows without a usable score must not meet in one cell."""
+    k = F.col("id")
+    hot = F.lit(value).cast("double")
+    df = spark.range(20_000).select(k, F.when(k % 3 == 0, hot).otherwise(F.sin(k.cast("double"))).alias("score"))
+    scored = df.withColumns({"_s": R.sortable_score("score"), "_t": tie_number(df, ["id"])})
+    sizes = [r["count"] for r in R._with_cell(scored, 64).groupBy("_cell").count().collect()]
+    assert max(sizes) < 3 * 20_000 / 64
+    ours = R.score_rank(df, "score", ["id"], output="ours", cells=64)
+    order = [F.coalesce(F.nanvl("score", F.lit(float("inf"))), F.lit(float("-inf"))).desc(), tie_number(df, ["id"])]
+    both = ours.withColumn("plain", F.row_number().over(W.orderBy(*order)))
+    assert both.filter("ours <> plain").count() == 0 and both.count() == 20_000
