@@ -206,34 +206,80 @@ def repeated_windows(entries: list[tuple[int, int, bytes, int]], length: int) ->
     return np.split(result, np.cumsum(windows)[:-1])
 
 
+def _strides(owner: np.ndarray, first: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of alike entries at a constant distance, as periodic text has them: begin, times, distance."""
+    if not len(owner):
+        return owner, owner, owner
+    alike = owner[1:] == owner[:-1]
+    for column in same:
+        alike &= column[1:] == column[:-1]
+    alike = np.concatenate([[False], alike])
+    step = np.concatenate([[0], np.diff(first)])
+    uneven = np.concatenate([[False], alike[:-1] & (step[1:] != step[:-1])])
+    begin = np.flatnonzero(~alike | uneven)
+    times = np.diff(np.append(begin, len(owner)))
+    return begin, times, np.where(times > 1, step[np.minimum(begin + 1, len(owner) - 1)], 0)
+
+
 def _anchor_rows(rows: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Rows (anchor, row, place, run); ``run`` packs how often and at which distance the place repeats."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             owner, first, runs, place, value = anchors(batch.column("text").to_pylist(), length, anchor)
-            keys = batch.column("row").to_numpy()[owner]
-            packed = first << 16 | (place - first) << 8 | (runs - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(keys), pa.array(packed)], ["anchor", "row", "place"])
+            begin, times, step = _strides(owner, first, value, place - first, runs)
+            keys = batch.column("row").to_numpy()[owner[begin]]
+            packed = (first << 16 | (place - first) << 8 | (runs - 1))[begin]
+            columns = [value[begin].view(np.int64), keys, packed, times << 32 | step]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "row", "place", "run"])
+
+    return rows.mapInArrow(run, "anchor bigint, row bigint, place bigint, run bigint")
 
-    return rows.mapInArrow(run, "anchor bigint, row bigint, place bigint")
 
+def _surroundings(text: bytes, places: list[dict], length: int) -> dict[tuple[int, int], tuple[int, bytes, list[int]]]:
+    """By anchor and digest of the bytes around it: offset of the anchor, these bytes, and where they start."""
+    found: dict[tuple[int, int], tuple[int, bytes, list[int]]] = {}
+    for item in places:
+        first, offset, windows = item["place"] >> 16, item["place"] >> 8 & 255, (item["place"] & 255) + 1
+        times, step = item["run"] >> 32, item["run"] & 0xFFFFFFFF
+        for start in range(first, first + times * step, step) if times > 1 else (first,):
+            data = text[start : start + windows - 1 + length]
+            digest = xxhash.xxh3_64_intdigest(data, seed=offset) - (1 << 63)
+            found.setdefault((item["anchor"], digest), (offset, data, []))[2].append(start)
+    return found
+
+
+def _entry_rows(held: DataFrame, length: int) -> DataFrame:
+    """Different surroundings of each document with their number."""
 
-def _surroundings(held: DataFrame, length: int, whole: bool) -> DataFrame:
-    """Per repeated anchor of a document its bytes (or only their digest) and where they start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out: list[list] = [[], [], [], [], [], []]
-            for row, text, places in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "places"))):
-                for item in places:
-                    first, offset, runs = item["place"] >> 16, item["place"] >> 8 & 255, (item["place"] & 255) + 1
-                    data = text[first : first + runs - 1 + length]
-                    digest = xxhash.xxh3_64_intdigest(data, seed=offset) - (1 << 63)
-                    for column, value in zip(out, (item["anchor"], digest, row, first, offset, data if whole else None)):
+            out: list[list] = [[], [], [], [], []]
+            for text, places in zip(*(batch.column(c).to_pylist() for c in ("text", "places"))):
+                for (anchor, digest), (offset, data, starts) in _surroundings(text, places, length).items():
+                    for column, value in zip(out, (anchor, digest, offset, data, len(starts))):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["anchor", "digest", "row", "first", "offset", "data"])
+            yield pa.RecordBatch.from_arrays(arrays, ["anchor", "digest", "offset", "data", "n"])
+
+    return held.mapInArrow(run, "anchor bigint, digest bigint, offset int, data binary, n bigint")
+
+
+def _spot_rows(held: DataFrame, length: int) -> DataFrame:
+    """Where each document has which surroundings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            out: list[list] = [[], [], [], []]
+            for row, text, places in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "places"))):
+                for (anchor, digest), (_, _, starts) in _surroundings(text, places, length).items():
+                    for column, value in zip(out, (anchor, digest, row, starts)):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "digest", "row", "starts"])
 
-    return held.mapInArrow(run, "anchor bigint, digest bigint, row bigint, first bigint, offset int, data binary")
+    return held.mapInArrow(run, "anchor bigint, digest bigint, row bigint, starts array<bigint>")
 
 
 def _verdicts(entries: DataFrame, length: int) -> DataFrame:
@@ -276,16 +322,21 @@ def find_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, key:
         "doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text")
     )
     found = _anchor_rows(rows, length, anchor)
-    twice = found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    twice = found.groupBy("anchor").agg(F.sum(F.shiftright("run", 32)).alias("n")).filter("n > 1").select("anchor")
     repeated = materialise(found.join(twice, "anchor"), "anchors")
-    places = repeated.groupBy("row").agg(F.collect_set(F.struct("anchor", "place")).alias("places"))
+    places = repeated.groupBy("row").agg(F.collect_set(F.struct("anchor", "place", "run")).alias("places"))
     # Repeated rows share a key; one of them lends its bytes, all are counted.
     held = materialise(rows.join(places, "row").select("row", "text", "places"), "held")
-    entries = _surroundings(held, length, True).groupBy("anchor", "digest", "offset", "data").agg(F.count("*").alias("n"))
+    entries = _entry_rows(held, length).groupBy("anchor", "digest", "offset", "data").agg(F.sum("n").alias("n"))
     verdicts = materialise(_verdicts(materialise(entries, "entries"), length), "verdicts")
-    spots = _surroundings(held.dropDuplicates(["row"]), length, False).join(verdicts, ["anchor", "digest"])
-    shifted = F.transform(
-        "runs", lambda r: F.struct((F.col("first") + r["start"]).alias("start"), (F.col("first") + r["end"] + length - 1).alias("end"))
+    spots = _spot_rows(held.dropDuplicates(["row"]), length).join(verdicts, ["anchor", "digest"])
+    shifted = F.flatten(
+        F.transform(
+            "starts",
+            lambda at: F.transform(
+                "runs", lambda r: F.struct((at + r["start"]).alias("start"), (at + r["end"] + length - 1).alias("end"))
+            ),
+        )
     )
     spans = spots.select("row", shifted.alias("spans")).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     return rows.join(spans, "row", "left").select("doc_id", F.col("text").alias("data"), "spans")
