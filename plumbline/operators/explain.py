@@ -246,6 +246,32 @@ def shap_summary(attributions: DataFrame) -> DataFrame:
     return spread.join(F.broadcast(table), "Variable", "left")
 
 
+def shap_density(attributions: DataFrame, value_steps: int = 20, shap_steps: int = 20) -> DataFrame:
+    """Rows per cell of feature value and attribution, both in equal steps between their extremes.
+
+    The data of an attribution summary plot over all rows: nothing is sampled.
+    """
+    sides = ("feature_value", value_steps, "value_step"), ("shap_value", shap_steps, "shap_step")
+    edges = attributions.groupBy("Variable").agg(
+        *[f(c).alias(f"_{n}_{c}") for c, _, _ in sides for n, f in (("low", F.min), ("high", F.max))]
+    )
+
+    def step(column: str, steps: int) -> Column:
+        low, high = F.col(f"_low_{column}"), F.col(f"_high_{column}")
+        share = F.coalesce(F.try_divide(F.col(column) - low, high - low), F.lit(0.0))
+        return F.least(F.floor(share * steps), F.lit(steps - 1)).cast("int")
+
+    placed = attributions.join(F.broadcast(edges), "Variable")  # one row per feature
+    return placed.groupBy("Variable", *[step(c, n).alias(name) for c, n, name in sides]).agg(F.count("*").alias("count"))
+
+
+def grid_positions(grids: Mapping[str, Sequence[float]]) -> list[tuple[str, float, float]]:
+    """(Variable, grid_value, position): the place of a grid value among its feature's, from 0 to 1."""
+    return [
+        (f, float(v), k / max(1, len(values) - 1)) for f, values in grids.items() for k, v in enumerate(sorted(values))
+    ]
+
+
 def abs_shap(attributions: DataFrame) -> DataFrame:
     """Mean attribution size per feature and the sign of its correlation with the feature value."""
     corr = null_default(F.col("corr"))

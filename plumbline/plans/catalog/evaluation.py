@@ -91,6 +91,17 @@ def _(spark, folder):
     return rounded(EV.roc_auc(frames.returns(spark, folder), "y", "l_extendedprice"), "roc_auc")
 
 
+@query(
+    "roc_auc_binned",
+    f"""WITH {frames.SCORED}, per_bin AS (
+  SELECT least(floor(score * 20), 19) AS bin, sum(y)::DOUBLE AS pos, sum(1 - y)::DOUBLE AS neg FROM scored GROUP BY bin),
+ranked AS (SELECT *, sum(pos) OVER (ORDER BY bin DESC) - pos AS above FROM per_bin)
+SELECT {AUC} AS roc_auc FROM ranked""",
+)
+def _(spark, folder):
+    return rounded(EV.roc_auc_binned(frames.returns_scored(spark, folder), "y", "score", 20), "roc_auc")
+
+
 @query(
     "accuracy_score",
     f"WITH {frames.SCORED} SELECT round(avg(CASE WHEN y = prediction THEN 1 ELSE 0 END), 3) AS accuracy FROM scored",

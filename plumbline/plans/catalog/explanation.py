@@ -236,3 +236,20 @@ FROM linked""",
 )
 def _(spark, folder):
     return rounded(X.abs_shap(frames.attributions(spark, folder)), "SHAP_abs", "Corr", digits=8)
+
+
+def _step_sql(column: str) -> str:
+    share = f"coalesce(({column} - low_{column}) / nullif(high_{column} - low_{column}, 0), 0)"
+    return f"least(floor({share} * 20), 19)::INTEGER"
+
+
+@query(
+    "shap_density",
+    f"""WITH {frames.ATTRIBUTIONS}, edges AS (
+  SELECT "Variable", min(feature_value) AS low_feature_value, max(feature_value) AS high_feature_value,
+    min(shap_value) AS low_shap_value, max(shap_value) AS high_shap_value FROM attributions GROUP BY "Variable")
+SELECT "Variable", {_step_sql("feature_value")} AS value_step, {_step_sql("shap_value")} AS shap_step, count(*) AS count
+FROM attributions JOIN edges USING ("Variable") GROUP BY ALL""",
+)
+def _(spark, folder):
+    return X.shap_density(frames.attributions(spark, folder))

@@ -134,3 +134,40 @@ def _(spark, folder):
 def _(spark, folder):
     scored = forest(spark, folder).transform(prepared_orders(spark, folder).rows)
     return scored.select("o_orderkey", positive_probability().alias("model_probability"))
+
+
+ORDER_SPLIT = f"""WITH {frames.ORDER_STATUS}, split AS (
+  SELECT o_orderkey, CASE WHEN {frames.digest_sql(8, 42, "o_orderkey")} % 10000 < 7000 THEN 'train' ELSE 'test' END AS split
+  FROM order_status)"""
+
+
+@query(
+    "score_invariants",
+    f"""{ORDER_SPLIT} SELECT algorithm, split, count(*) AS rows, count(*) AS valid
+FROM split, (SELECT unnest(['Logistic', 'MultiLayerPerceptron', 'RandomForest', 'GradientBoosting']) AS algorithm)
+GROUP BY algorithm, split""",
+)
+def _(spark, folder):
+    """Every model scores every row: a probability in [0, 1] and the prediction that goes with it."""
+    score, label = F.col("model_probability"), F.col("prediction")
+    fits = F.when(score > 0.5, label == 1.0).when(score < 0.5, label == 0.0).otherwise(label.isin(0.0, 1.0))
+    valid = F.count(F.when((score >= 0) & (score <= 1) & fits, 1))
+    rows = bench_orders(spark, folder).predictions
+    return rows.groupBy("algorithm", SPLIT).agg(F.count("*").alias("rows"), valid.alias("valid"))
+
+
+@query("top_variables_total", "SELECT 4::BIGINT AS inputs, 1.0::DOUBLE AS total")
+def _(spark, folder):
+    """Importances name every input once and add up to one."""
+    rows = prepared_orders(spark, folder).rows
+    found = M.top_variables(rows, forest(spark, folder), _inputs(spark, folder))
+    return found.agg(F.countDistinct("Variable").alias("inputs"), F.round(F.sum("Variable_Importance"), 6).alias("total"))
+
+
+@query(
+    "predicted_keys",
+    f"{ORDER_SPLIT} SELECT o_orderkey, split, TRUE AS scored FROM split",
+)
+def _(spark, folder):
+    scored = _scored(logistic(spark, folder), spark, folder)
+    return scored.select("o_orderkey", SPLIT, F.col("model_probability").between(0, 1).alias("scored"))

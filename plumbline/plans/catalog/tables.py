@@ -15,7 +15,7 @@ from plumbline.plans.catalog import frames
 from plumbline.plans.catalog.evaluation import GAINS_SQL, fixed_leaderboard
 from plumbline.plans.catalog.profiling import stats_sql
 from plumbline.plans.catalog.registry import query, rounded
-from plumbline.session import scratch_path
+from plumbline.session import scratch_path, stored
 from plumbline.sources import tables as S
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -105,7 +105,7 @@ def _(spark, folder):
     rows = frames.returns(spark, folder).select("l_linestatus", "y")
     with S.cached_scope(rows):
         total = rows.count()
-        grouped = rows.groupBy("l_linestatus").agg(F.count("*").alias("rows"), F.sum("y").alias("target"))
+        grouped = stored(rows.groupBy("l_linestatus").agg(F.count("*").alias("rows"), F.sum("y").alias("target")), "grouped")
     return grouped.withColumn("total_rows", F.lit(total).cast("bigint"))
 
 
@@ -253,7 +253,8 @@ SELECT deciles, count(*) AS count, sum(y)::BIGINT AS target, sum(1 - y)::BIGINT
 )
 def _(spark, folder):
     tiled = score_ntile(frames.returns_scored(spark, folder), "score", frames.LINE_KEYS)
-    tiled = EV.non_target_flag(tiled, "y")
+    # Three aggregations read the tiled rows.
+    tiled = stored(EV.non_target_flag(tiled, "y").select("deciles", "y", "non_target"), "tiled")
     return J.inner_join_deciles(
         tiled.groupBy("deciles").agg(F.count("*").alias("count")),
         tiled.groupBy("deciles").agg(F.sum("y").alias("target")),

@@ -6,19 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import positive_probability
 from plumbline.operators import columns as C
 from plumbline.operators import encode as EN
+from plumbline.operators import explain as X
 from plumbline.operators import models as M
 from plumbline.operators.attribution import tree_shap
 from plumbline.operators.impute import MixedImputer
 from plumbline.operators.profile import distinct_profile
 from plumbline.operators.split import stratified_split
 from plumbline.plans.model_bench import SPLIT, TARGET, model_columns
-from plumbline.session import scratch_path
+from plumbline.session import stored
 from plumbline.spec import ModelSpec
 
 SPLIT_SEED = 2020
@@ -51,15 +52,32 @@ class Explained:
     def scored_once(self, keep: Sequence[str] = ()) -> DataFrame:
         """Kept columns, features and score of all rows, written once for readers with several passes."""
         scored = self.scored(self.rows).select(*keep, *self.features, "score")
-        path = scratch_path(scored.sparkSession, "scored")
-        scored.write.parquet(path)
-        return scored.sparkSession.read.schema(scored.schema).parquet(path)
+        return stored(scored, "scored")
 
     def attributions(self, keep: Sequence[str] = ()) -> DataFrame:
         """Log-odds attributions of the training rows."""
         return tree_shap(self.assembled(self.train), self.model, self.features, keep=keep, scale=2.0)
 
 
+def explain_table(spark: SparkSession, table: str, spec: ModelSpec, folder: str, iterations: int = 100) -> dict[str, str]:
+    """From a table name to the written plot data; returns the path of every dataset."""
+    explained = explain(spark.table(table), spec, iterations)
+    scored, attributions = explained.scored_once(), stored(explained.attributions(), "attributions")
+    grids = X.grid_values(explained.rows, explained.features)
+    tables = {
+        "Target_Plot": X.target_plot_data(explained.rows, explained.features, TARGET),
+        "Actual_Plot": X.actual_plot_data(scored, explained.features, "score"),
+        "Partial_Dependence": X.partial_dependence(explained.rows.select(*explained.features), grids, explained.scored),
+        "Shap_Summary": X.shap_summary(attributions),
+        "Shap_Density": X.shap_density(attributions),
+        "Shap_Ranking": X.abs_shap(attributions),
+    }
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in tables}
+    for name, frame in tables.items():
+        frame.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
 def explain(df: DataFrame, spec: ModelSpec, iterations: int = 100) -> Explained:
     rows, features = model_columns(df, spec)
     texts = C.names_with_role(rows.select(*features), C.CATEGORICAL)
@@ -81,9 +99,7 @@ def explain(df: DataFrame, spec: ModelSpec, iterations: int = 100) -> Explained:
         coded = EN.label_encode(filled, categorical, encoder)
         mapping = EN.encoding_map(df, encoder)
     # Fitting makes many passes; they read the encoded rows, not the joins behind them.
-    path = scratch_path(df.sparkSession, "encoded")
-    coded.write.parquet(path)
-    coded = df.sparkSession.read.schema(coded.schema).parquet(path)
+    coded = stored(coded, "encoded")
     assembled = EN.tree_assembler([], features).transform(coded.filter(F.col(SPLIT) == "train"))
     model = M.fit_gbm_baseline(assembled, iterations=iterations, max_levels=spec.max_levels)
     return Explained(coded, features, model, mapping)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import columns as C
@@ -16,7 +16,7 @@ from plumbline.operators import models as M
 from plumbline.operators.impute import MixedImputer
 from plumbline.operators.profile import data_stats
 from plumbline.operators.split import random_split
-from plumbline.session import scratch_path
+from plumbline.session import stored
 from plumbline.sources.tables import cached_scope, write_report
 from plumbline.spec import ModelSpec
 
@@ -71,7 +71,8 @@ def model_columns(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]
 def prepare(df: DataFrame, spec: ModelSpec) -> Prepared:
     rows, features = model_columns(df, spec)
     named = F.when(F.col("Variable") == TARGET, spec.target).otherwise(F.col("Variable"))
-    stats = data_stats(rows.select(TARGET, *features)).withColumn("Variable", named).cache()
+    stats = data_stats(rows.select(TARGET, *features)).withColumn("Variable", named)
+    stats = stored(stats, "stats")
     kept = C.drop_high_cardinality(rows.select(*features), stats, spec.max_levels)
     categorical = C.names_with_role(kept, C.CATEGORICAL)
     numeric = C.names_with_role(kept, C.NUMERIC)
@@ -115,17 +116,16 @@ def model_bench(df: DataFrame, spec: ModelSpec) -> BenchResult:
     prepared = prepare(df, spec)
     inputs = EN.tree_inputs(prepared.categorical, prepared.numeric)
     keep = [*spec.keys, TARGET, SPLIT]
-    path = scratch_path(df.sparkSession, "predictions")
     with cached_scope(prepared.rows):
         models = fit_models(prepared.rows.filter(F.col(SPLIT) == "train"), inputs, spec)
         scored = [
             M.score_rows(model, prepared.rows, keep).withColumn(ALGORITHM, F.lit(name))
             for name, model in models.items()
         ]
-        reduce(DataFrame.unionByName, scored).write.parquet(path)
-    predictions = df.sparkSession.read.parquet(path)
+        predictions = stored(reduce(DataFrame.unionByName, scored).drop("rawPrediction"), "predictions")
     by = [ALGORITHM, SPLIT]
-    gains = EV.gains_table(predictions, TARGET, "model_probability", spec.keys, by).cache()
+    gains = EV.gains_table(predictions, TARGET, "model_probability", spec.keys, by)
+    gains = stored(gains, "gains")
     metrics = EV.metric_rows(predictions, gains, TARGET, "model_probability", "prediction", by)
     tagged = gains.join(EV.ks_statistic(gains, by), by).withColumn(
         "type_of_model", F.concat_ws(" ", F.col(ALGORITHM), F.initcap(SPLIT))
@@ -139,3 +139,8 @@ def model_bench(df: DataFrame, spec: ModelSpec) -> BenchResult:
         M.top_variables(df, models["RandomForest"], inputs),
         models,
     )
+
+
+def bench_table(spark: SparkSession, table: str, spec: ModelSpec, folder: str) -> dict[str, str]:
+    """From a table name to the written report; returns the path of every dataset."""
+    return model_bench(spark.table(table), spec).report(folder)

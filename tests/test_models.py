@@ -279,3 +279,23 @@ def test_imputer_leaves_other_columns(spark):
     df = spark.createDataFrame(rows, "k string, c string, x double")
     filled = I.MixedImputer(columns=["c", "x"], countNulls=True).fit(df).transform(df).collect()
     assert [r["k"] for r in filled] == [None, "k", "k"] and [r["x"] for r in filled] == [1.0, 2.0, 3.0]
+
+
+def test_reports_from_a_table_name(spark, tmp_path):
+    from plumbline.plans.explanation import explain_table
+    from plumbline.plans.model_bench import bench_table
+
+    rng = np.random.default_rng(20)
+    rows = [(i, float(a), float(b), "uv"[i % 2], int(a + b > 0)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    spark.createDataFrame(rows, "k long, a double, b double, c string, y int").createOrReplaceTempView("report_rows")
+    spec = ModelSpec(target="y", keys=("k",))
+    paths = bench_table(spark, "report_rows", spec, str(tmp_path / "bench"))
+    assert spark.read.parquet(paths["Performance_metrics"]).count() == 4
+    paths = explain_table(spark, "report_rows", spec, str(tmp_path / "explain"), iterations=3)
+    density = spark.read.parquet(paths["Shap_Density"])
+    assert {r["n"] for r in density.groupBy("Variable").agg(F.sum("count").alias("n")).collect()} == {243}
+    assert all(spark.read.parquet(p).count() for p in paths.values())
+
+
+def test_grid_positions():
+    assert X.grid_positions({"a": [3.0, 1.0, 2.0], "b": [5.0]}) == [("a", 1.0, 0.0), ("a", 2.0, 0.5), ("a", 3.0, 1.0), ("b", 5.0, 0.0)]
