@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent_of_total, sortable_score
 from plumbline.operators.ranking import cell_points, deal_copies, default_cells, has_split, tile_edges, with_tile
+from plumbline.session import stored
 
 GAINS_COLUMNS = (
     "deciles",
@@ -75,6 +76,9 @@ def gains_table(
     aggregation into ``tiles`` rows per group.
     """
     by = list(by)
+    if by:
+        # Several counting passes follow; they read the needed columns, not what lies behind them.
+        df = stored(df.select(*dict.fromkeys([*by, *keys, target, score])), "gains")
     edges = tile_edges(df, score, keys, tiles, by, seed)
     numbered = with_tile(df.withColumn("_y", F.col(target).cast("bigint")), edges, score, keys, by, "deciles", seed)
     flags = non_target_flag(numbered, "_y", "_ny")

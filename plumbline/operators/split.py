@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import DIGEST_BITS, SPLIT_BUCKETS, key_digest, split_bucket
 from plumbline.operators.order_stats import order_statistics
+from plumbline.session import stored
 
 
 #: Target values that a stratified split accepts; their limits live on the driver.
@@ -55,11 +56,12 @@ def stratified_split(
         parts[group] = (first, first + half_up(cv * (size - first)))
         return [end - 1 for end in parts[group] if end > 0]
 
-    sizes = df.groupBy(target).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    sizes = df.select(target).groupBy(target).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(sizes) > MAX_CLASSES:
         raise ValueError(f"{target} has more than {MAX_CLASSES} values; a split per value needs a class column")
     known = {(r[target],): (0, 2**DIGEST_BITS - 1, r["n"]) for r in sizes}
-    limits = {(s.group, s.rank): s.value for s in order_statistics(hashed, "_t", wanted, [target], known)}
+    digests = stored(hashed.select(target, "_t"), "digests")  # hashed once for all counting passes
+    limits = {(s.group, s.rank): s.value for s in order_statistics(digests, "_t", wanted, [target], known)}
     split = F.lit("train")
     for group, ends in parts.items():
         test_limit, cv_limit = (limits.get((group, end - 1), -1) for end in ends)

@@ -8,6 +8,7 @@ from plumbline.operators import evaluation as EV
 from plumbline.operators.split import random_split
 from plumbline.plans.catalog import frames
 from plumbline.plans.catalog.registry import query, rounded
+from plumbline.session import stored
 
 SHARES = ("Pct_target", "%Dist_Target", "%Dist_non_Target", "spread")
 GAINS_SQL = """SELECT deciles, count, target, non_target, round(target * 100.0 / count, 6) AS "Pct_target",
@@ -154,7 +155,7 @@ def fixed_predictions(spark, folder):
 
 def fixed_leaderboard(spark, folder):
     by = ["algorithm", "split"]
-    rows = fixed_predictions(spark, folder)
+    rows = stored(fixed_predictions(spark, folder), "predictions")
     gains = EV.gains_table(rows, "y", "model_probability", frames.LINE_KEYS, by)
     metrics = EV.metric_rows(rows, gains, "y", "model_probability", "prediction", by)
     return EV.leaderboard(metrics)
@@ -182,7 +183,7 @@ ks AS (SELECT algorithm, split, round(max(spread), 2) AS ks FROM gains GROUP BY
   cum_non_target, round(spread, 6) AS spread FROM gains""",
 )
 def _(spark, folder):
-    rows = fixed_predictions(spark, folder)
+    rows = stored(fixed_predictions(spark, folder), "predictions")
     gains = EV.gains_table(rows, "y", "model_probability", frames.LINE_KEYS, ["algorithm", "split"])
     columns = ["algorithm", "split", "deciles", "count", "target", "non_target", "cum_target", "cum_non_target"]
     return rounded(gains.select(*columns, "spread"), "spread")

@@ -19,9 +19,19 @@ DOCUMENTS = ModelSpec(target="quality", keys=frames.DOC_KEYS, max_levels=21)
 _KEPT: dict[tuple, object] = {}
 
 
+INPUTS = ("orders", "customer", "nation", "documents", "labels")
+
+
+def _stamp(spark, folder) -> tuple:
+    """Paths, times and sizes of the input files: other files mean other models."""
+    paths = [f"{folder}/{name}.parquet" for name in INPUTS]
+    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+    return tuple(sorted(map(tuple, files.collect())))  # one row per file
+
+
 def _once(spark, folder, name, make):
-    """Models of one session and folder are fitted once and shared by the queries."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    """Models of one session and state of the inputs are fitted once and shared by the queries."""
+    key = (spark.sparkContext.applicationId, _stamp(spark, folder), name)
     if key not in _KEPT:
         _KEPT[key] = make()
     return _KEPT[key]
