@@ -11,8 +11,8 @@ their bands are equal or neighbours.
 First every member of a tile is compared with one leader of its own and of the next
 band, twice with other leaders; that joins groups of near copies at a cost linear in
 their size. Tiles whose members then still lie in different components are compared
-whole, in blocks of bounded size: hashed bitmaps of 1024 bits bound the overlap from
-above by counting differing bits, and only pairs of different components that pass reach
+whole, in blocks of bounded size: hashed bitmaps, wider for larger sets, bound the overlap
+from above by counting differing bits, and only pairs of different components that pass reach
 the exact intersection of sorted arrays. No pair within one component is looked at again.
 
 Null and empty texts have no shingles and are linked with nothing; a text of fewer words
@@ -37,7 +37,8 @@ from plumbline.llm.common import materialise, slices, texts
 from plumbline.llm.components import components
 from plumbline.llm.hashing import WordHashes, mixed
 
-BITS = 1024
+#: Bits of the smallest bitmap; larger sets get two to four bits a shingle.
+LEAST_BITS = 512
 #: Documents whose words and shingles are counted to tell frequent ones, and how many are kept.
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
 #: Members of a tile compared in one block.
@@ -63,11 +64,26 @@ def shingle_set(text: bytes, size: int, memory: WordHashes) -> np.ndarray:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles % np.uint64(BITS)).astype(np.int64)] = 1
+    """Hashed bits of a set; the width follows its size, so it differs at most twofold in a tile."""
+    width = max(LEAST_BITS, 1 << (2 * len(shingles)).bit_length())
+    bits = np.zeros(width, np.uint8)
+    bits[(shingles % np.uint64(width)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap that the same set has at a smaller width."""
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
+def differing(p: np.ndarray, q: np.ndarray) -> int:
+    """At most as many bits differ as shingles are in one set alone."""
+    words = min(len(p), len(q))
+    return int(np.bitwise_count((folded(p, words) ^ folded(q, words)).view(np.uint64)).sum())
+
+
 def least_overlap(a: int, b: int, percent: int) -> int:
     """Smallest intersection with 100 i >= percent (a + b - i)."""
     return -(-percent * (a + b) // (100 + percent))
@@ -181,13 +197,23 @@ def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame
     def side(name: str) -> DataFrame:
         return profiles.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "bits")])
 
-    joined = pairs.distinct().join(side("b"), "b").join(side("a"), "a")
+    joined = pairs.distinct().join(side("b").drop("b_bits"), "b").join(side("a").drop("a_bits"), "a")
     both = F.col("a_n") + F.col("b_n")
-    need = F.ceil(F.lit(percent) * both / (100 + percent))
-    differ = F.aggregate(
-        F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
-    )
-    return joined.filter((F.least("a_n", "b_n") >= need) & (2 * need <= both - differ)).select("a", "b")
+    near = joined.filter(F.least("a_n", "b_n") >= F.ceil(F.lit(percent) * both / (100 + percent))).select("a", "b")
+    joined = near.join(side("b"), "b").join(side("a"), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            n, m = (batch.column(f"{x}_n").to_numpy() for x in "ab")
+            left, right = batch.column("a_bits"), batch.column("b_bits")
+            for i in range(batch.num_rows):
+                need = least_overlap(int(n[i]), int(m[i]), percent)
+                if 2 * need <= n[i] + m[i] - differing(left[i].values.to_numpy(), right[i].values.to_numpy()):
+                    kept.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int32())) for c in "ab"], ["a", "b"])
+
+    return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
@@ -240,20 +266,24 @@ def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """Members of tiles that, with the next band's, hold more than one component."""
-    tiles = members.groupBy("token", "band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    above = tiles.select("token", (F.col("band") - 1).alias("band"), "low", "high", "size")
-    wide = tiles.withColumn("own", F.lit(1)).unionByName(above.withColumn("own", F.lit(0)))
+    """Tiles that, with the next band's of the shingle, hold more than one component.
+
+    ``untested``: they hold pairs in which neither is a leader.
+    """
+    tiles = members.groupBy("token", "band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("own"))
+    above = tiles.select("token", (F.col("band") - 1).alias("band"), "low", "high", F.col("own").alias("next"))
+    wide = tiles.withColumn("next", F.lit(0)).unionByName(above.withColumn("own", F.lit(0)))
     wide = wide.groupBy("token", "band").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size"), F.max("own").alias("own")
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("own").alias("own"), F.sum("next").alias("next")
     )
-    mixed = wide.filter((F.col("low") < F.col("high")) & (F.col("own") == 1)).select("token", "band", "size")
-    return mixed
+    mixed = wide.filter((F.col("low") < F.col("high")) & (F.col("own") > 0))
+    untested = (F.col("own") > 2) | (F.col("next") > 1)
+    return mixed.select("token", "band", (F.col("own") + F.col("next")).alias("size"), untested.alias("untested"))
 
 
 def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in mixed tiles that the bitmaps cannot rule out."""
-    mixed = materialise(_mixed(members), "mixed")
+    mixed = materialise(_mixed(members).filter("untested").drop("untested"), "mixed")
     own = members.join(mixed, ["token", "band"]).withColumn("upper", F.lit(False))
     next_ = members.withColumn("band", F.col("band") - 1).join(mixed, ["token", "band"]).withColumn("upper", F.lit(True))
     rows = own.unionByName(next_).join(profiles.select("node", "bits"), "node")
@@ -279,7 +309,9 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
         node, label, n = (tile.column(c).to_numpy() for c in ("node", "label", "n"))
         upper, left = (tile.column(c).to_numpy(zero_copy_only=False) for c in ("upper", "left"))
         diagonal = tile.column("x")[0].as_py() == tile.column("y")[0].as_py()
-        bits = tile.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        maps = [v.values.to_numpy() for v in tile.column("bits")]
+        words = min(map(len, maps))
+        bits = np.stack([folded(b, words) for b in maps]).view(np.uint64)
         found_a, found_b = [], []
         for i in range(len(node)):
             if not left[i]:
