@@ -47,7 +47,7 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
 
 
-@query("op4_decontaminate")
+@query("op4_decontaminate", decontaminate.SQL)
 def decontaminate_documents(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.contamination_report(found)

@@ -218,3 +218,28 @@ def contamination_report(found: DataFrame) -> DataFrame:
         F.sha2(ids, 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SQL_WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+SQL = f"""
+WITH doc AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+pattern AS (
+  SELECT DISTINCT item_id, p, len(p) AS n FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: w[i:i+12])) AS p
+    FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM pattern),
+place AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, sizes WHERE len(w) >= n),
+found AS (SELECT doc_id, i, n, item_id FROM (SELECT doc_id, i, n, w[i:i+n-1] AS p FROM place) JOIN pattern USING (n, p)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (
+  SELECT DISTINCT doc_id, word FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found)) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
