@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.scalars import percent_of_total
 from plumbline.operators.columns import CATEGORICAL, NUMERIC, names_with_role
 from plumbline.operators.joins import left_join_stats
+from plumbline.session import stored
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -107,28 +108,65 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).groupBy("Variable", "value").agg(F.count("*").alias("n"))
 
 
-def mode_of_counts(counts: DataFrame, count_nulls: bool = True) -> DataFrame:
-    """(Variable, Mode, distinct_values) from value counts.
+def _digests(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(Variable, a, b, n): rows per value, told apart by two 64-bit hashes; null has none.
+
+    Whole strings are hashed where they are read and do not travel.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("Variable"), F.col(c).alias("value")) for c in columns])
+    value = F.col("value")
+    digest = [F.when(value.isNotNull(), F.xxhash64(*salt, value)) for salt in ((), (F.lit("second"),))]
+    rows = df.select(F.inline(pairs)).select("Variable", digest[0].alias("a"), digest[1].alias("b"))
+    return rows.groupBy("Variable", "a", "b").agg(F.count("*").alias("n"))
+
+
+def string_profile(df: DataFrame, columns: Sequence[str], count_nulls: bool = True) -> DataFrame:
+    """(Variable, Mode, distinct_values) of string columns.
 
     The highest count wins, then a value before null, then the smaller value. With
-    ``count_nulls`` null may win.
+    ``count_nulls`` null may win. Values are counted by digest; the winning strings are
+    then looked up in a second pass that keeps one string per column and task.
     """
-    candidate = F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("empty"), F.col("value").alias("value"))
-    if not count_nulls:
-        candidate = F.when(F.col("value").isNotNull(), candidate)
-    return counts.groupBy("Variable").agg(
-        F.min(candidate)["value"].alias("Mode"), F.count("value").alias("distinct_values")
+    counts = stored(_digests(df, columns), "digests")
+    known = F.col("a").isNotNull()
+    summary = counts.groupBy("Variable").agg(
+        F.max(F.when(known, F.col("n"))).alias("most"),
+        F.coalesce(F.max(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count(F.when(known, 1)).alias("distinct_values"),
     )
+    summary = stored(summary, "profile")
+    wins = F.col("most").isNotNull()
+    if count_nulls:
+        wins = wins & (F.col("most") >= F.col("nulls"))
+    # Where no value comes twice every value wins, and the smallest needs no lookup.
+    single = {r["Variable"] for r in summary.filter(wins & (F.col("most") == 1)).collect()}  # a row per column
+    several = [c for c in columns if c not in single]
+    smallest = [F.min(c).alias(c) for c in single]
+    found = []
+    if single:
+        entries = [F.struct(F.lit(c).alias("Variable"), F.col(c).alias("Mode")) for c in single]
+        found.append(df.agg(*smallest).select(F.inline(F.array(*entries))))
+    if several:
+        winners = counts.join(summary.filter(wins), "Variable").filter(known & (F.col("n") == F.col("most")))
+        winners = winners.filter(F.col("Variable").isin(several)).select("Variable", "a", "b")
+        pairs = F.array(*[F.struct(F.lit(c).alias("Variable"), F.col(c).alias("value")) for c in several])
+        rows = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+        rows = rows.withColumns({"a": F.xxhash64("value"), "b": F.xxhash64(F.lit("second"), F.col("value"))})
+        won = rows.join(stored(winners, "winners"), ["Variable", "a", "b"], "left_semi")
+        found.append(won.groupBy("Variable").agg(F.min("value").alias("Mode")))
+    modes = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return summary.join(modes, "Variable", "left").select("Variable", "Mode", "distinct_values")
 
 
 def mode_profile(df: DataFrame, columns: Sequence[str], count_nulls: bool = True) -> DataFrame:
-    return mode_of_counts(value_counts(df, columns), count_nulls).select("Variable", "Mode")
+    return string_profile(df, columns, count_nulls).select("Variable", "Mode")
 
 
 def distinct_profile(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-null values per string column; ``approximate`` uses a sketch instead of a shuffle."""
     if not approximate:
-        return mode_of_counts(value_counts(df, columns)).select("Variable", "distinct_values")
+        counts = _digests(df, columns).groupBy("Variable")
+        return counts.agg(F.count("a").alias("distinct_values"))
     sketches = df.agg(*[F.approx_count_distinct(c).alias(f"d{k}") for k, c in enumerate(columns)])
     entries = [
         F.struct(F.lit(c).alias("Variable"), F.col(f"d{k}").alias("distinct_values"))
@@ -142,7 +180,7 @@ def data_stats(df: DataFrame) -> DataFrame:
     categorical = names_with_role(df, CATEGORICAL)
     summary = _with_missing(_column_summary(df))
     if categorical:
-        summary = left_join_stats(summary, mode_of_counts(value_counts(df, categorical)))
+        summary = left_join_stats(summary, string_profile(df, categorical))
     else:
         summary = summary.withColumns(
             {"Mode": F.lit(None).cast("string"), "distinct_values": F.lit(None).cast("bigint")}
