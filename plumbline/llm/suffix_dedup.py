@@ -323,12 +323,11 @@ def find_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, key:
     )
     found = _anchor_rows(rows, length, anchor)
     twice = found.groupBy("anchor").agg(F.sum(F.shiftright("run", 32)).alias("n")).filter("n > 1").select("anchor")
-    repeated = materialise(found.join(twice, "anchor"), "anchors")
-    places = repeated.groupBy("row").agg(F.collect_set(F.struct("anchor", "place", "run")).alias("places"))
+    places = found.join(twice, "anchor").groupBy("row").agg(F.collect_set(F.struct("anchor", "place", "run")).alias("places"))
     # Repeated rows share a key; one of them lends its bytes, all are counted.
     held = materialise(rows.join(places, "row").select("row", "text", "places"), "held")
     entries = _entry_rows(held, length).groupBy("anchor", "digest", "offset", "data").agg(F.sum("n").alias("n"))
-    verdicts = materialise(_verdicts(materialise(entries, "entries"), length), "verdicts")
+    verdicts = materialise(_verdicts(entries, length), "verdicts")
     spots = _spot_rows(held.dropDuplicates(["row"]), length).join(verdicts, ["anchor", "digest"])
     shifted = F.flatten(
         F.transform(
