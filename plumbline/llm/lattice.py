@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import materialise, slices, texts
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 FOLDS = 10
 STOP = 0.5
 _SPACE = "▁"
