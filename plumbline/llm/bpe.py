@@ -15,9 +15,8 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import slices, texts
 
-#: Pieces remembered per Python worker; beyond that the memory starts afresh.
-REMEMBERED = 600_000
+#: Pieces remembered per generation; two generations are kept in a Python worker.
+REMEMBERED = 200_000
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -163,16 +162,23 @@ class Vocabulary:
 
 
 class _Memory(dict):
-    """Encoding of a piece of text, computed once while remembered."""
+    """Encoding of a piece of text as 32-bit ids in bytes, computed once while remembered.
+
+    When a generation is full it becomes the old one; pieces met again move on.
+    """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> array:
-        ids = array("i", self.vocabulary.encode(piece.encode("utf-8")))
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("i", self.vocabulary.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= 64:
-            if len(self) > REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -190,28 +196,24 @@ def _shared(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, ids): token ids of every whole text; each pattern match is encoded by itself."""
-    lines = _shared(df, ranks_path)
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
+def _encoder(lines, pattern: str) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(lines.value)
         cut = regex.compile(pattern).findall
         for batch in slices(batches, "text"):
-            flat, ends = array("i"), [0]
-            for value in batch.column("text"):
-                flat.extend(chain.from_iterable(map(memory.__getitem__, cut(value.as_py()))))
-                ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
+            coded = [b"".join(map(memory.__getitem__, cut(value.as_py()))) for value in batch.column("text")]
+            ends = np.cumsum([0, *map(len, coded)]) // 4
+            flat = np.frombuffer(b"".join(coded), np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
-    return texts(df, key, text).mapInArrow(run, "doc_id bigint, ids array<int>")
-
+    return run
 
-def bpe_decode(df: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """Rows (doc_id, ids, decoded): the bytes that the ids stand for."""
-    lines = _shared(df, ranks_path)
 
+def _decoder(lines) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _memory(lines.value).vocabulary
         for whole in batches:
@@ -221,15 +223,30 @@ def bpe_decode(df: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "
                 columns = [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 
+    return run
+
+
+DECODED = "doc_id bigint, ids array<int>, decoded binary"
+
+
+def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, ids): token ids of every whole text; each pattern match is encoded by itself."""
+    run = _encoder(_shared(df, ranks_path), pattern)
+    return texts(df, key, text).mapInArrow(run, "doc_id bigint, ids array<int>")
+
+
+def bpe_decode(df: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """Rows (doc_id, ids, decoded): the bytes that the ids stand for."""
     listed = F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids")
-    return df.select(F.col(key).cast("bigint").alias("doc_id"), listed).mapInArrow(
-        run, "doc_id bigint, ids array<int>, decoded binary"
-    )
+    rows = df.select(F.col(key).cast("bigint").alias("doc_id"), listed)
+    return rows.mapInArrow(_decoder(_shared(df, ranks_path)), DECODED)
 
 
 def bpe_round_trip(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding every text."""
-    coded = bpe_decode(bpe_encode(df, ranks_path, pattern, key, text), ranks_path)
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): encoded, and the ids decoded, in one task."""
+    lines = _shared(df, ranks_path)
+    encode, decode = _encoder(lines, pattern), _decoder(lines)
+    coded = texts(df, key, text).mapInArrow(lambda batches: decode(encode(batches)), DECODED)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

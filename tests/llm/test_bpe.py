@@ -72,4 +72,6 @@ def test_rows(spark, library):
         digest = [hashlib.sha256(x).hexdigest() for x in (" ".join(map(str, ids)).encode(), (text or "").encode())]
         want.append((key, len(ids), *digest))
     assert [tuple(r) for r in got] == [tuple(r) for r in sorted((spark.createDataFrame(want, got[0].__fields__ and "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string").collect()), key=str)]
+    apart = bpe.bpe_decode(bpe.bpe_encode(df, PATH, public_tokenizers.PATTERN), PATH).collect()
+    assert sorted(bytes(r.decoded) for r in apart) == sorted((t or "").encode() for _, t, _ in rows)
     assert bpe.bpe_round_trip(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
