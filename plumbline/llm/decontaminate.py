@@ -166,15 +166,17 @@ def find_passages(
     ``key`` must tell rows apart only if the benchmark needs more than one block; then the
     blocks' answers meet by a row number that is fixed by writing the rows once.
     """
-    blocks = list(_blocks(benchmark, item, item_text))
-    rows = texts(df, key, text)
-    if len(blocks) == 1:
-        return _search_block(rows, blocks[0], window, ["doc_id"]).select("doc_id", "n_words", "spans", "items")
+    blocks = _blocks(benchmark, item, item_text)
+    rows, block, following = texts(df, key, text), next(blocks), next(blocks, None)
+    if following is None:
+        return _search_block(rows, block, window, ["doc_id"]).select("doc_id", "n_words", "spans", "items")
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    parts = [_search_block(rows, b, window, ["doc_id", "row"]) for b in blocks]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
+    merged = None
+    # The driver holds two blocks at a time; answers are written before the next one comes.
+    while block is not None:
+        part = materialise(_search_block(rows, block, window, ["doc_id", "row"]), "passages")
+        merged = part if merged is None else merged.unionByName(part)
+        block, following = following, next(blocks, None)
     grouped = merged.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("n_words").alias("n_words"),
