@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.session import scratch_path
@@ -32,6 +33,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "16m") -> Iterator[None]:
+    """Smaller Arrow batches for the writes inside the block, where a row holds whole sets."""
+    wanted = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": size,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``limit`` bytes of ``column``, or one row."""
     for batch in batches:

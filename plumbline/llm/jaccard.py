@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialise, slices, texts
+from plumbline.llm.common import materialise, slices, small_batches, texts
 from plumbline.llm.components import components
 from plumbline.llm.hashing import WordHashes, mixed
 
@@ -367,6 +367,12 @@ def _contracted(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
 def similar_components(
     df: DataFrame, percent: int, size: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
+    """As :func:`_similar_components`; what runs in Python is written here, in small batches."""
+    with small_batches(df.sparkSession):
+        return _similar_components(df, percent, size, key, text)
+
+
+def _similar_components(df: DataFrame, percent: int, size: int, key: str, text: str) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, n_copies) for links of similarity percent / 100 or more.
 
     ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
