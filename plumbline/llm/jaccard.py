@@ -367,16 +367,16 @@ def _contracted(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
 def similar_components(
     df: DataFrame, percent: int, size: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """As :func:`_similar_components`; what runs in Python is written here, in small batches."""
+    """Rows (doc_id, n_shingles, component_id, n_copies) for links of similarity percent / 100 or more.
+
+    ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
+    What runs in Python is written here, in small batches.
+    """
     with small_batches(df.sparkSession):
         return _similar_components(df, percent, size, key, text)
 
 
 def _similar_components(df: DataFrame, percent: int, size: int, key: str, text: str) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, n_copies) for links of similarity percent / 100 or more.
-
-    ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
-    """
     rows = texts(df, key, text)
     every = materialise(_profiles(rows, size, percent, _order(rows, size)), "profiles")
     full = every.filter("n > 0")
