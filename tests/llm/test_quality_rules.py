@@ -3,7 +3,6 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from plumbline.llm import quality_rules as q
 
