@@ -13,7 +13,8 @@ from plumbline.session import scratch_path
 
 #: Bytes that separate words in most contracts: space, tab, newline, VT, FF and CR.
 BLANK = r"[\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
+#: Text handled at once in a task; the arrays made from it are several times larger.
+SLICE_BYTES = 1 << 20
 
 
 def table(spark, folder: str, name: str) -> DataFrame:
@@ -63,6 +64,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch, values
+        pa.default_memory_pool().release_unused()
 
 
 def lower_ascii(text: Column) -> Column:
