@@ -3,10 +3,11 @@
 Every text gets word and repetition counts. Rows that pass the base rules are measured
 by four transformed statistics; per language and source a minimum-covariance-determinant
 estimate (deterministic start from medians and median deviations, then concentration
-steps) gives centre and covariance, and rows beyond a chi-square limit of the squared
-Mahalanobis distance are rejected.
+steps, then one reweighting step) gives centre and covariance, and rows beyond a
+chi-square limit of the squared Mahalanobis distance are rejected.
 
-A concentration step needs the nearest three quarters of a group. Rows are counted and
+A concentration step needs the nearest half of a group, so that junk may fill nearly the
+other half; the reweighting step takes all rows inside a quantile of the distance. Rows are counted and
 summed per (group, distance bucket) on the map side, so no group is ever collected and
 only a few hundred buckets a group are shuffled; the subset is whole buckets, up to the
 one that holds the wanted rank. Sums are exact (integers in decimals), so the result
@@ -33,7 +34,8 @@ FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 FLOORS = (0.05, 0.04, 0.12, 0.15)
 SCALE = 1 << 16
 GRID = 1 << 8
-SUBSET = 0.75
+#: Share of a group in a concentration step, and of a normal population in the reweighting step.
+SUBSET, INSIDE = 0.5, 0.975
 TAIL = 1e-7
 STEPS = 4
 #: Distance buckets per doubling.
@@ -169,6 +171,23 @@ def _joined(rows: DataFrame, model: DataFrame, how: str = "inner") -> DataFrame:
     return rows.join(model, ["lang", "cell"], how)
 
 
+def _sums() -> list[Column]:
+    """Exact sums of the features and of their products."""
+    size = range(len(FEATURES))
+    big = {f: F.col(f).cast("decimal(19,0)") for f in FEATURES}
+    sums = [F.sum(big[f]).alias(f"s_{i}") for i, f in enumerate(FEATURES)]
+    return sums + [
+        F.sum((F.col(FEATURES[i]) * F.col(FEATURES[j])).cast("decimal(19,0)")).alias(f"q_{i}{j}")
+        for i in size
+        for j in range(i + 1)
+    ]
+
+
+def _consistency(limit: float) -> float:
+    """What the covariance of a normal population cut at a squared distance is too small by."""
+    return chi_square(limit, len(FEATURES)) / chi_square(limit, len(FEATURES) + 2)
+
+
 def covariance_estimates(rows: DataFrame, steps: int = STEPS, subset: float = SUBSET) -> DataFrame:
     """Per (lang, cell) centre and triangular factor; ``rows`` holds integer features."""
     size = range(len(FEATURES))
@@ -182,20 +201,12 @@ def covariance_estimates(rows: DataFrame, steps: int = STEPS, subset: float = SU
         for j in range(i + 1)
     ]
     model = centre.join(spread, ["lang", "cell"]).select("lang", "cell", *[f"m_{f}" for f in FEATURES], *factor)
-    inner = chi_square_quantile(subset, len(FEATURES))
-    correction = subset / chi_square(inner, len(FEATURES) + 2)
+    correction = _consistency(chi_square_quantile(subset, len(FEATURES)))
     for step in range(steps):
         model = materialise(model, f"mcd-{step}")
         bucket = F.floor(F.log2(1 + _distance()) * FINE).cast("int").alias("bucket")
-        big = {f: F.col(f).cast("decimal(19,0)") for f in FEATURES}
-        sums = [F.sum(big[f]).alias(f"s_{i}") for i, f in enumerate(FEATURES)]
-        sums += [
-            F.sum((F.col(FEATURES[i]) * F.col(FEATURES[j])).cast("decimal(19,0)")).alias(f"q_{i}{j}")
-            for i in size
-            for j in range(i + 1)
-        ]
         parts = _joined(rows, model).select("lang", "cell", *FEATURES, bucket)
-        parts = parts.groupBy("lang", "cell", "bucket").agg(F.count("*").alias("n"), *sums)
+        parts = parts.groupBy("lang", "cell", "bucket").agg(F.count("*").alias("n"), *_sums())
         by = Window.partitionBy("lang", "cell")
         before = F.sum("n").over(by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
         parts = parts.withColumns({"before": F.coalesce(before, F.lit(0)), "all": F.sum("n").over(by)})
@@ -206,6 +217,18 @@ def covariance_estimates(rows: DataFrame, steps: int = STEPS, subset: float = SU
     return materialise(model, "mcd-final")
 
 
+def reweighted(rows: DataFrame, model: DataFrame, inside: float = INSIDE) -> DataFrame:
+    """The estimate over all rows inside a quantile of the distance under ``model``.
+
+    No group is lost: the mean squared distance of its subset is at most the number of
+    features, so rows of the subset lie inside.
+    """
+    limit = chi_square_quantile(inside, len(FEATURES))
+    near = _joined(rows, model).filter(_distance() <= limit)
+    moments = near.groupBy("lang", "cell").agg(F.count("*").alias("n"), *_sums())
+    return materialise(_with_factor(moments, _consistency(limit)), "mcd-reweighted")
+
+
 def quality_rules(
     df: DataFrame,
     key: str = "doc_id",
@@ -231,7 +254,8 @@ def quality_rules(
         sizes.select("*", enough.alias("cell")).select("lang", "source", "cell", (pooled >= min_rows).alias("large")), "cells"
     )
     placed = rows.join(cells, ["lang", "source"], "left")
-    model = covariance_estimates(placed.filter(F.col("large") & ~F.col("base_failed")).select("lang", "cell", *FEATURES))
+    measured = placed.filter(F.col("large") & ~F.col("base_failed")).select("lang", "cell", *FEATURES)
+    model = reweighted(measured, covariance_estimates(measured))
     limit = chi_square_quantile(1 - tail, len(FEATURES))
     judged = _joined(placed, model, "left").withColumn("distance", F.when(F.col("large"), _distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)

@@ -82,3 +82,26 @@ def test_rules(spark):
     assert kept[2000].base_failed and kept[2001].base_failed and kept[2002].kept and kept[2002].distance is None
     assert q.quality_rules(df.limit(0)).count() == 0
     assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def _words(rng, count=2000):
+    return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(count)]
+
+
+def test_a_third_of_a_source_is_junk(spark):
+    """Identical junk in one source, varied junk in another: all of it goes, clean rows stay."""
+    rng = random.Random(8)
+    vocabulary = _words(rng)
+    same = " ".join(rng.choice(vocabulary) + "%%%" for _ in range(80))
+    rows = []
+    for source in ("same", "varied"):
+        rows += [(len(rows) + i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 200))), "en", source, True) for i in range(300)]
+        for _ in range(150):
+            sign = rng.choice(["%%%", "#$", "||*<>", "&&"])
+            varied = " ".join(rng.choice(vocabulary) + sign for _ in range(rng.randint(60, 200)))
+            rows.append((len(rows), same if source == "same" else varied, "en", source, False))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, clean boolean")
+    kept = {r.doc_id: r.kept for r in q.quality_rules(df).collect()}
+    for source in ("same", "varied"):
+        assert not any(kept[r[0]] for r in rows if r[3] == source and not r[4])
+        assert sum(not kept[r[0]] for r in rows if r[3] == source and r[4]) <= 3
