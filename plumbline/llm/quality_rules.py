@@ -7,7 +7,10 @@ steps, then one reweighting step) gives centre and covariance, and rows beyond a
 chi-square limit of the squared Mahalanobis distance are rejected.
 
 A concentration step needs the nearest half of a group, so that junk may fill nearly the
-other half; the reweighting step takes all rows inside a quantile of the distance. Rows are counted and
+other half; the reweighting step takes all rows inside a quantile of the distance.
+The distance that judges a row adds to the variances of the two repetition features what
+the row's own number of lines and words leaves open (binomial error), so that one repeated
+line among three counts for less than twenty among sixty. Rows are counted and
 summed per (group, distance bucket) on the map side, so no group is ever collected and
 only a few hundred buckets a group are shuffled; the subset is whole buckets, up to the
 one that holds the wanted rank. Sums are exact (integers in decimals), so the result
@@ -31,7 +34,9 @@ from plumbline.llm.common import materialise, texts, words
 
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 #: Standard deviation below which a feature is not resolved, in its transformed unit.
-FLOORS = (0.05, 0.04, 0.12, 0.15)
+FLOORS = (0.05, 0.04, 0.06, 0.06)
+#: What a share is counted over; the root of a share of n has a variance of 1 / 4n at most.
+COUNTED = {"dup_lines": "n_lines", "repeats": "n_words"}
 SCALE = 1 << 16
 GRID = 1 << 8
 #: Share of a group in a concentration step, and of a normal population in the reweighting step.
@@ -144,6 +149,18 @@ def _distance() -> Column:
     return reduce(lambda a, b: a + b, [y * y for y in solved])
 
 
+def _resolved(joined: DataFrame) -> DataFrame:
+    """Rows joined with their model; the factor also holds the row's own binomial error.
+
+    The two features that have one come last, so only the last corner of the factor changes.
+    """
+    lines, repeated = (0.25 / F.greatest(F.col(COUNTED[f]), F.lit(1)) for f in FEATURES[2:])
+    whole = F.col("l_32") * F.col("l_32") + F.col("l_33") * F.col("l_33") + repeated
+    frame = joined.withColumns({"whole": whole, "root": F.sqrt(F.col("l_22") * F.col("l_22") + lines)})
+    frame = frame.withColumns({"l_32": F.col("l_32") * F.col("l_22") / F.col("root"), "l_22": F.col("root")})
+    return frame.withColumn("l_33", F.sqrt(F.col("whole") - F.col("l_32") * F.col("l_32"))).drop("whole", "root")
+
+
 def _with_factor(moments: DataFrame, correction: float) -> DataFrame:
     """Centre and Cholesky factor of the covariance from exact sums."""
     n = F.col("n").cast("double")
@@ -220,11 +237,12 @@ def covariance_estimates(rows: DataFrame, steps: int = STEPS, subset: float = SU
 def reweighted(rows: DataFrame, model: DataFrame, inside: float = INSIDE) -> DataFrame:
     """The estimate over all rows inside a quantile of the distance under ``model``.
 
-    No group is lost: the mean squared distance of its subset is at most the number of
-    features, so rows of the subset lie inside.
+    ``rows`` also holds what the features are counted over. No group is lost: the mean
+    squared distance of its subset is at most the number of features, so rows of the subset
+    lie inside.
     """
     limit = chi_square_quantile(inside, len(FEATURES))
-    near = _joined(rows, model).filter(_distance() <= limit)
+    near = _resolved(_joined(rows, model)).filter(_distance() <= limit)
     moments = near.groupBy("lang", "cell").agg(F.count("*").alias("n"), *_sums())
     return materialise(_with_factor(moments, _consistency(limit)), "mcd-reweighted")
 
@@ -254,10 +272,10 @@ def quality_rules(
         sizes.select("*", enough.alias("cell")).select("lang", "source", "cell", (pooled >= min_rows).alias("large")), "cells"
     )
     placed = rows.join(cells, ["lang", "source"], "left")
-    measured = placed.filter(F.col("large") & ~F.col("base_failed")).select("lang", "cell", *FEATURES)
+    measured = placed.filter(F.col("large") & ~F.col("base_failed")).select("lang", "cell", *FEATURES, *COUNTED.values())
     model = reweighted(measured, covariance_estimates(measured))
     limit = chi_square_quantile(1 - tail, len(FEATURES))
-    judged = _joined(placed, model, "left").withColumn("distance", F.when(F.col("large"), _distance()))
+    judged = _resolved(_joined(placed, model, "left")).withColumn("distance", F.when(F.col("large"), _distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", kept.alias("kept"), "distance")

@@ -105,3 +105,24 @@ def test_a_third_of_a_source_is_junk(spark):
     for source in ("same", "varied"):
         assert not any(kept[r[0]] for r in rows if r[3] == source and not r[4])
         assert sum(not kept[r[0]] for r in rows if r[3] == source and r[4]) <= 3
+
+
+def test_repeated_words_alone_are_rejected(spark):
+    """45 % repeated words among clean texts go; clean texts, also with a repeated phrase, stay."""
+    rng = random.Random(9)
+    vocabulary = _words(rng, 6000)
+
+    def text(n, repeated):
+        found = rng.choices(vocabulary, k=n)
+        half = round(n * repeated / 2)
+        return " ".join(found[:half] + found[half : n - half] + found[:half])
+
+    rows = [(i, text(rng.randint(60, 300), 0), "en", "s") for i in range(300)]
+    rows += [(1000 + i, text(n, 0.45), "en", "s") for i, n in enumerate((60, 100, 200, 400))]
+    rows += [(2000 + i, text(n, 6 / n), "en", "s") for i, n in enumerate((60, 100, 200, 400))]
+    rows += [(3000, "same line of text\nsame line of text\n" + text(80, 0).replace(" ", "\n", 1), "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.quality_rules(df).collect()}
+    assert all(not got[1000 + i].base_failed and not got[1000 + i].kept for i in range(4))
+    assert sum(not got[i].kept for i in range(300)) <= 1
+    assert all(got[2000 + i].kept for i in range(4)) and got[3000].kept
