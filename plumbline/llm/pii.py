@@ -120,8 +120,6 @@ DIGIT_WORDS = {
     "eight": "8", "huit": "8", "ocho": "8", "acht": "8",
     "nine": "9", "neuf": "9", "nueve": "9", "neun": "9",
 }
-_ARTICLES = {"un", "une", "uno", "una", "ein", "oh"}
-_TELLING = frozenset(DIGIT_WORDS) - _ARTICLES
 
 
 def _plain(char: str) -> str | None:
@@ -182,24 +180,52 @@ def fold_characters(tape: Tape) -> None:
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _EDGE = r"(?<![^\W_])", r"(?![^\W_])"
 _UNIT = rf"(?:{_EDGE[0]}{_WORD}{_EDGE[1]}|[0-9])"
-_SPELLED = re.compile(rf"{_UNIT}(?:(?:[ ,.\-]{{0,2}}| (?:dot|point|punkt|punto) ){_UNIT})+", re.IGNORECASE)
+_SPELLED = re.compile(rf"{_UNIT}(?:(?:\s*+[,.\-]{{0,2}}+\s*+|\s++(?:dot|point|punkt|punto)\s++){_UNIT})+", re.IGNORECASE)
 _SPELLED_WORD = re.compile(rf"{_EDGE[0]}{_WORD}{_EDGE[1]}", re.IGNORECASE)
-_PLUS = re.compile(r"(?<![^\W_])(?:plus|más|mas) (?=\(?[0-9])", re.IGNORECASE)
+_PLUS = re.compile(r"(?<![^\W_])(?:plus|más|mas)\s++(?=\(?[0-9])", re.IGNORECASE)
+_PLUS_WORDS = frozenset(("plus", "más", "mas"))
+_PLUS_BEFORE = re.compile(r"(?:\+|(?<![^\W_])(?:plus|más|mas)\s{1,3})\(?\Z", re.IGNORECASE)
+_WIDE = re.compile(r"\s{2,}|[^\S ]")
 _DIGIT_DOT = re.compile(r"(?<=[0-9])\s{1,3}(?:dot|point|punkt|punto)\s{1,3}(?=[0-9])", re.IGNORECASE)
 SPELLED_AT_LEAST = 3
 
 
+def _as_digits(text: str, start: int, end: int, spelled: list[re.Match]) -> list[tuple[int, int, str]]:
+    """Edits that make digits of a run's spelled ones: blanks between those go, others become one space."""
+    edits: list[tuple[int, int, str]] = []
+    for word, after in zip(spelled, [*spelled[1:], None]):
+        close = after and not re.sub(r"[\s,\-]", "", text[word.end() : after.start()])
+        edits.append((word.start(), after.start() if close else word.end(), DIGIT_WORDS[word[0].lower()]))
+    taken = [(a, b) for a, b, _ in edits]
+    wide = [(m.start(), m.end(), " ") for m in _WIDE.finditer(text, start, end)]
+    return sorted([*edits, *(w for w in wide if not any(a < w[1] and w[0] < b for a, b in taken))])
+
+
+def _completed(text: str, start: int, end: int, spelled: list[re.Match]) -> list[tuple[int, int, str]]:
+    """The edits if they give an identifier that the run does not hold as it is, else none."""
+    plus = "+" if _PLUS_BEFORE.search(text, max(0, start - 12), start) else ""
+    kinds = {kind for _, _, kind in identifiers(plus + text[start:end])}
+    for chosen in (spelled, spelled[:1], spelled[-1:]):
+        edits, parts, at = _as_digits(text, start, end, chosen), [plus], start
+        for a, b, new in edits:
+            parts += text[at:a], new
+            at = b
+        found = "".join([*parts, text[at:end]])
+        found = _DIGIT_DOT.sub(".", found)
+        if any(kind not in kinds for _, _, kind in identifiers(found)):
+            return edits
+    return []
+
+
 def read_digits(tape: Tape) -> None:
-    """Runs with at least three spelled digits become digits; the blanks between those go."""
+    """Runs with at least three spelled digits become digits, others if that completes an identifier."""
     edits: list[tuple[int, int, str]] = []
     for run in _SPELLED.finditer(tape.text):
         spelled = list(_SPELLED_WORD.finditer(tape.text, run.start(), run.end()))
-        if len(spelled) < SPELLED_AT_LEAST:
-            continue
-        for word, after in zip(spelled, [*spelled[1:], None]):
-            gap = tape.text[word.end() : after.start()] if after else "."
-            end = after.start() if after and len(gap) <= 2 and not gap.strip(" ,-") else word.end()
-            edits.append((word.start(), end, DIGIT_WORDS[word[0].lower()]))
+        if len(spelled) >= SPELLED_AT_LEAST:
+            edits += _as_digits(tape.text, run.start(), run.end(), spelled)
+        elif spelled:
+            edits += _completed(tape.text, run.start(), run.end(), spelled)
     tape.rewrite(edits)
     tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
     tape.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(tape.text)])
@@ -220,20 +246,33 @@ _BARE_AT = re.compile(
     rf"{_LEFT}\s{{1,3}}(?:at|arroba|arobase)\s{{1,3}}(?={_NAME}(?P<rest>(?:(?:{_JOINT}|\.){_NAME})*?(?:{_JOINT}|\.)(?:{_ENDINGS}))(?![A-Za-z0-9-]))",
     re.IGNORECASE,
 )
+# Any other ending, where its dot is disguised.
+_BARE_AT_ANY = re.compile(
+    rf"{_LEFT}\s{{1,3}}(?P<at>at|arroba|arobase)\s{{1,3}}(?={_NAME}(?:(?:{_JOINT}|\.){_NAME})*?{_JOINT}[A-Za-z]{{2,}}(?![A-Za-z0-9-]))",
+    re.IGNORECASE,
+)
 _TOKEN_LEFT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 
 
-def _believed(match: re.Match) -> bool:
-    """Either the name's dots are disguised as well, or what stands before looks like a mailbox."""
-    if _DOT.search(match["rest"].join("xx")):
-        return True
+def _mailbox_before(match: re.Match) -> bool:
     left = _TOKEN_LEFT.search(match.string, max(0, match.start() - 64), match.start())
     return left is not None and re.search(r"[0-9._]", left[0]) is not None
 
 
+def _believed(match: re.Match) -> bool:
+    """Either the name's dots are disguised as well, or what stands before looks like a mailbox."""
+    return _DOT.search(match["rest"].join("xx")) is not None or _mailbox_before(match)
+
+
+def _believed_any(match: re.Match) -> bool:
+    """A bare "at" with any ending is also plain English ("look at one point in time"), so a mailbox must stand before."""
+    return match["at"].lower() != "at" or _mailbox_before(match)
+
+
 def join_addresses(tape: Tape) -> None:
     """At and dot disguises become ``@`` and ``.``."""
     tape.rewrite([(m.start(), m.end(), "@") for m in _BARE_AT.finditer(tape.text) if _believed(m)])
+    tape.rewrite([(m.start(), m.end(), "@") for m in _BARE_AT_ANY.finditer(tape.text) if _believed_any(m)])
     for pattern, new in ((_FRAMED_AT, "@"), (_DOT, ".")):
         tape.rewrite([(m.start(), m.end(), new) for m in pattern.finditer(tape.text)])
 
@@ -254,9 +293,9 @@ def normalised(text: str) -> Tape | None:
     else:
         tape = Tape("")
     names = set(_LETTERS.findall(probe.lower()))
-    if not names.isdisjoint(_TELLING):
+    if not names.isdisjoint(DIGIT_WORDS) or not names.isdisjoint(_PLUS_WORDS):
         steps.append(read_digits)
-    if not names.isdisjoint(("dot", "point", "punkt", "punto", "arroba", "arobase")) or _CLOSED.search(probe) or ("at" in names and _BARE_AT.search(probe)):
+    if not names.isdisjoint(("dot", "point", "punkt", "punto", "arroba", "arobase")) or _CLOSED.search(probe) or ("at" in names and (_BARE_AT.search(probe) or _BARE_AT_ANY.search(probe))):
         steps.append(join_addresses)
     if not steps:
         return None

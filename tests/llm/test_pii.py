@@ -82,3 +82,34 @@ def test_rows(spark):
     assert pii.find_pii(df).count() == 5 and pii.find_pii(df.limit(0)).count() == 0
     texts = [r.t for r in df.select(pii.redacted(df.text).alias("t")).collect()]
     assert texts[0] == "[EMAIL] and [EMAIL]" and texts[1] is None and texts[2] == ""
+
+
+@pytest.mark.parametrize(
+    "text, source, kind",
+    [
+        ("call plus 49 30 1234567 now", "plus 49 30 1234567", "phone"),
+        ("call +49 30 12345 six now", "+49 30 12345 six", "phone"),
+        ("card 4111 1111 1111 111 one ok", "4111 1111 1111 111 one", "card"),
+        ("card 4111 1111 1111 11 one one ok", "4111 1111 1111 11 one one", "card"),
+        ("card 4111 1111 1111 111 one, two apples", "4111 1111 1111 111 one", "card"),
+        ("tarjeta un 4242 ok, una 4111 1111 1111 111 un", "4111 1111 1111 111 un", "card"),
+        ("host 192.168.0.one up", "192.168.0.one", "ip"),
+        ("card four\none\tone   one\n1111 1111 1111 ok", "four\none\tone   one\n1111 1111 1111", "card"),
+        ("write ana_k at firma dot pl now", "ana_k at firma dot pl", "email"),
+        ("ana arroba firma punto jp", "ana arroba firma punto jp", "email"),
+        ("write ana_k at firma[.]se now", "ana_k at firma[.]se", "email"),
+    ],
+)
+def test_disguises_without_other_signs(text, source, kind):
+    base, added = pii.find(text)
+    assert any(text[a:b] == source and k == kind for a, b, k in added), (base, added)
+
+
+@pytest.mark.parametrize("text", ["plus 3 more", "call +49 30 1234567 one more time", "one\n\n2019\n\ntwo", "we met at noon dot by dot"])
+def test_no_new_reading(text):
+    base, added = pii.find(text)
+    assert not added
+
+
+def test_long_blanks():
+    assert pii.find("one 1" + " " * 300_000 + "x" + "1 \n" * 100_000 + " six") == ([], [])
