@@ -10,8 +10,9 @@ The bytes around such anchors are sorted: suffixes start at every window, and a
 mergesort compares two of them by their longest common extension, found by binary search
 over prefix polynomial hashes in a logarithmic number of steps. Neighbours in the order
 that agree over the whole length are verified byte by byte. Equal surroundings are one
-entry with a count, so copies of a document cost one entry however many there are, and
-one anchor's entries are cut into bounded runs by the bytes that follow.
+entry with a count, so copies of a document cost one entry however many there are. All
+different surroundings of one anchor are sorted in one task, which is not bounded: it grows
+with the number of different texts around one shared phrase that is chosen as anchor.
 
 Null text counts as empty; texts shorter than ``length`` keep all bytes. Repeated rows are
 other places like any other, a null id is a value like any other; other columns are
