@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, merkle, pii, suffix_dedup
+from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, merkle, pii, suffix_dedup, url_filter
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import materialise, table
 
@@ -77,3 +77,8 @@ def suffix_dedup_documents(spark: SparkSession, folder: str) -> DataFrame:
 def merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
     records = materialise(merkle.archive_records(spark, folder), "archive")
     return merkle.fixity_audit(records, merkle.damaged(records))
+
+
+@query("op13_url_filter", url_filter.SQL)
+def url_filter_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, folder, "pages"))
