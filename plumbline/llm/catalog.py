@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, merkle, pii, suffix_dedup, url_filter
+from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, manifest, merkle, pii, suffix_dedup, url_filter
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import materialise, table
 
@@ -82,3 +82,8 @@ def merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_url_filter", url_filter.SQL)
 def url_filter_pages(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, folder, "pages"))
+
+
+@query("op12_merkle_manifest", manifest.SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.documents_manifest(spark, folder)
