@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, chat, decontaminate, jaccard, kneser_ney, lattice, manifest, merkle, pii, suffix_dedup, url_filter
+from plumbline.llm import bpe, chat, decontaminate, hard_negatives, jaccard, kneser_ney, lattice, manifest, merkle, pii, suffix_dedup, url_filter
 from plumbline.llm import quality_rules as rules
 from plumbline.llm.common import materialise, table
 
@@ -87,3 +87,8 @@ def url_filter_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_merkle_manifest", manifest.SQL)
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.documents_manifest(spark, folder)
+
+
+@query("op11_hard_negatives", hard_negatives.SQL)
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(spark, folder)

@@ -2,13 +2,12 @@
 
 Every row is hashed to a leaf. The leaves of a group are numbered in order; each run of
 ``FANOUT`` consecutive nodes hashes to a node of the next level, up to one subroot per
-group; the subroots, ordered by group, form one more tree up to the root. A level is a
-chain of equijoins of the node table with itself: a node of slot k states the index of its
-slot-zero sibling (index - k; for pairs that is index XOR 1), the slot-zero rows meet their
-siblings there and emit the parent. All joins of a level have the same keys, at most
-``FANOUT`` rows each, and the node table is laid out by slot, so that each join reads its
-slot alone. Numbering sorts by range and adds the counts of the ranges before, so a group
-of any size is spread over tasks.
+group; the subroots, ordered by group, form one more tree up to the root. A level is an
+equijoin of the node table with itself: a slot-zero node computes the indices of its run
+(index + slot offset; for pairs index XOR 1), meets the nodes there and emits the parent.
+A key of that join has one node on either side, a run at most ``FANOUT``. Numbering sorts
+by range and adds the counts of the ranges before, so a group of any size is spread over
+tasks.
 
 A proof is the list of siblings left and right of a node on each level. Runs carry it
 downwards, so a row meets it in a single join at the leaves.
@@ -29,7 +28,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import lower_ascii, materialise, table
-from plumbline.session import scratch_path
 
 #: Children of a node, bytes of a digest, columns that a leaf covers.
 FANOUT, DIGEST = 16, 32
@@ -62,14 +60,6 @@ def combined(digests: Column) -> Column:
     return F.unhex(F.sha2(hex_of(digests).cast("binary"), 256))
 
 
-def _by_slot(nodes: DataFrame, label: str) -> DataFrame:
-    """The table in the shared folder, with a folder per slot."""
-    path = scratch_path(nodes.sparkSession, label)
-    nodes = nodes.withColumn("slot", (F.col("index") % FANOUT).cast("int"))
-    nodes.write.partitionBy("slot").parquet(path)
-    return nodes.sparkSession.read.schema(nodes.schema).parquet(path)
-
-
 def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     """Adds index, a row's place in its group from 0, and width, the rows of the group."""
     placed = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
@@ -84,28 +74,35 @@ def numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
 
 
 def _runs(nodes: DataFrame) -> DataFrame:
-    """Rows (group, base, siblings, up_index, up_width, digest): a run's digests and its parent."""
-    runs = nodes.filter("slot = 0").select("group", F.col("index").alias("base"), "width", F.col("digest").alias("at0"))
-    for k in range(1, FANOUT):
-        shifted = nodes.filter(f"slot = {k}").select("group", (F.col("index") - k).alias("base"), F.col("digest").alias(f"at{k}"))
-        runs = runs.join(shifted, ["group", "base"], "left")
-    siblings = F.concat(*(F.coalesce(F.col(f"at{k}"), F.lit(b"")) for k in range(FANOUT)))
-    return runs.select(
+    """Rows (group, base, siblings, index, width, digest): the digests of a run, and its parent.
+
+    A slot-zero node computes the indices of its run, meets each in an equijoin and emits the parent.
+    """
+    last = F.least(F.lit(FANOUT), F.col("width") - F.col("index")) - 1
+    zero = nodes.filter(F.col("index") % FANOUT == 0).select(
+        "group", F.col("index").alias("base"), "width", F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("slot")
+    )
+    sibling = F.col("base").bitwiseXOR(F.col("slot")) if FANOUT == 2 else F.col("base") + F.col("slot")
+    met = zero.withColumn("index", sibling).join(nodes.select("group", "index", "digest"), ["group", "index"])
+    run = F.sort_array(F.collect_list(F.struct("slot", "digest")))
+    runs = met.groupBy("group", "base", "width").agg(run.alias("run"))
+    siblings = F.aggregate("run", F.lit(b""), lambda held, r: F.concat(held, r["digest"]))
+    return runs.withColumn("siblings", siblings).select(
         "group",
         "base",
-        siblings.alias("siblings"),
+        "siblings",
         F.floor(F.col("base") / FANOUT).alias("index"),
         F.ceil(F.col("width") / FANOUT).alias("width"),
-        combined(siblings).alias("digest"),
+        combined(F.col("siblings")).alias("digest"),
     )
 
 
 def climb(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Runs of every level above ``leaves`` (group, index, width, digest, slot), and the top of each group."""
+    """Runs of every level above ``leaves`` (group, index, width, digest), and the top of each group."""
     widest = leaves.agg(F.max("width")).first()[0] or 0
     levels, tops, nodes = [], leaves.filter("width = 1").select("group", "digest"), leaves
     while widest > 1:
-        levels.append(_by_slot(_runs(nodes.filter("width > 1")), "manifest-level"))
+        levels.append(materialise(_runs(nodes.filter("width > 1")), "manifest-level"))
         nodes, widest = levels[-1], -(-widest // FANOUT)
         tops = tops.union(nodes.filter("width = 1").select("group", "digest"))
     return levels, tops
@@ -126,8 +123,8 @@ def descend(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> Data
     carried = [c for c in tops.columns if c != "group"]
     known = None  # runs of the level above with the path over them
     for nodes in [*levels[::-1], leaves]:
-        own = [c for c in nodes.columns if c != "slot"]
-        met = nodes.filter("width = 1").select(*own).join(tops, "group")
+        own = nodes.columns
+        met = nodes.filter("width = 1").join(tops, "group")
         if known is not None:
             slot = (F.col("index") % FANOUT).cast("int")
             below = nodes.filter("width > 1").select(*own, (F.col("index") - slot).alias("run"), slot.alias("place"))
@@ -136,7 +133,7 @@ def descend(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> Data
             joined = below.join(above, ["group", "run"]).withColumn("path", path)
             met = met.select(*own, *carried).unionByName(joined.select(*own, *carried))
         known = met
-    return known.select(*[c for c in leaves.columns if c != "slot"], *carried)
+    return known.select(*leaves.columns, *carried)
 
 
 def folded(digest: Column, path: Column) -> Column:
@@ -155,10 +152,9 @@ def build(rows: DataFrame, group: Column, order: Column, digest: Column, *extra:
     salt = F.monotonically_increasing_id()
     hashed = rows.select(known.alias("group"), order.alias("order"), digest.alias("digest"), salt.alias("salt"), *extra)
     hashed = materialise(hashed, "manifest-leaves")
-    leaves = _by_slot(numbered(hashed, "group", ["order", "digest", "salt"]).drop("salt"), "manifest-numbered")
+    leaves = materialise(numbered(hashed, "group", ["order", "digest", "salt"]).drop("salt"), "manifest-numbered")
     levels, tops = climb(leaves)
-    named = materialise(tops.select(F.lit("").alias("group"), F.col("group").alias("name"), "digest"), "manifest-subroots")
-    named = _by_slot(numbered(named, "group", ["name"]), "manifest-top")
+    named = numbered(tops.select(F.lit("").alias("group"), F.col("group").alias("name"), "digest"), "group", ["name"])
     top_levels, top = climb(named)
     none = F.array().cast("array<struct<left:binary,right:binary>>")
     above = descend(named, top_levels, top.select("group", none.alias("path"), F.col("digest").alias("root")))
