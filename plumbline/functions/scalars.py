@@ -31,24 +31,26 @@ def key_digest(keys: Sequence[str], seed: int) -> Column:
     return _md5_number(keys, [str(seed)], DIGEST_HEX)
 
 
-def tie_number(df: DataFrame, keys: Sequence[str], seed: int = 0) -> Column:
+def tie_number(df: DataFrame, keys: Sequence[str], seed: int = 0, content: Sequence[str] = ()) -> Column:
     """Evenly spread 62-bit number of a row's keys; the tie-break of every ranking.
 
     It spreads one very frequent score over the whole number range, which a raw key
     would not do. Plain 64-bit arithmetic, so it costs little per row and any SQL
     engine can repeat it: per prime p, fold h = (h * a + key) mod p over the keys and
-    multiply by a once more. Keys that are not integers enter through md5.
+    multiply by a once more. Keys that are not integers enter through md5. A missing key
+    is replaced by a hash of the ``content`` columns, so that rows without keys spread too.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     numbers = [
         F.col(k).cast("bigint") if isinstance(kinds[k], T.IntegralType) else _md5_number([k], [], DIGEST_HEX)
         for k in keys
     ]
+    missing = F.xxhash64(*content) if content else F.lit(-1)
     halves = []
     for prime, factor in TIE_FIELDS:
         h = F.lit((seed + 1) % prime).cast("bigint")
         for number in numbers:
-            h = (h * factor + F.pmod(F.coalesce(number, F.lit(-1)), F.lit(prime))) % prime
+            h = (h * factor + F.pmod(F.coalesce(number, missing), F.lit(prime))) % prime
         halves.append((h * factor) % prime)
     return F.shiftleft(halves[0], 31) + halves[1]
 

@@ -6,16 +6,14 @@ are judged in one set of jobs. ``by`` must have few groups.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent_of_total, sortable_score
-from plumbline.operators.ranking import cell_points, deal_copies, default_cells, has_split, tile_edges, with_tile
+from plumbline.operators.ranking import deal_copies, has_split, tile_edges, with_tile
 from plumbline.session import stored
 
 GAINS_COLUMNS = (
@@ -73,14 +71,14 @@ def gains_table(
     """Decile table of a score: counts, rates, cumulated shares and their spread.
 
     After the tile edges are known this is one scan with a map-side combined
-    aggregation into ``tiles`` rows per group.
+    aggregation into ``tiles`` rows per group. ``df`` is read about four times: write
+    it first where its score is costly.
     """
     by = list(by)
-    if by:
-        # Several counting passes follow; they read the needed columns, not what lies behind them.
-        df = stored(df.select(*dict.fromkeys([*by, *keys, target, score])), "gains")
-    edges = tile_edges(df, score, keys, tiles, by, seed)
-    numbered = with_tile(df.withColumn("_y", F.col(target).cast("bigint")), edges, score, keys, by, "deciles", seed)
+    df = df.select(*dict.fromkeys([*by, *keys, target, score]))
+    edges = tile_edges(df, score, keys, tiles, by, seed, [target])
+    rows = df.withColumn("_y", F.col(target).cast("bigint"))
+    numbered = with_tile(rows, edges, score, keys, by, "deciles", seed, [target])
     flags = non_target_flag(numbered, "_y", "_ny")
     if not has_split(edges):
         return complete_gains(group_sum_count(flags, [*by, "deciles"], "_y", "_ny"), by)
@@ -152,27 +150,33 @@ def binary_metrics(confusion: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Distinct scores that one window may order.
+CELL_SCORES = 500_000
+
+
 def roc_auc(
-    df: DataFrame, target: str, score: str, by: Sequence[str] = (), cells: int | None = None
+    df: DataFrame, target: str, score: str, by: Sequence[str] = (), cell_scores: int = CELL_SCORES
 ) -> DataFrame:
     """Exact area under the ROC curve; equal scores count half.
 
-    Rows are first counted per score. Scores then fall into ordered cells: pairs
-    inside a cell are counted by a window over its distinct scores, pairs across
-    cells from the cell totals, so no window sees the whole table.
+    Rows are first counted per score. The scores are dealt into ranges of about
+    ``cell_scores``; positives above a score are a running sum inside its range plus
+    the totals of the ranges before it, so no window grows with the table.
     """
     by = list(by)
-    cells = cells or default_cells(df.sparkSession)
     rows = df.select(*by, sortable_score(score).alias("_s"), F.col(target).cast("bigint").alias("_y"))
-    points = cell_points(rows, "_s", cells)
-    splits = [-math.inf, *sorted({p for p in points if math.isfinite(p)}), math.inf]
     per_score = rows.groupBy(*by, "_s").agg(
         F.sum("_y").cast("double").alias("_pos"), F.sum(1 - F.col("_y")).cast("double").alias("_neg")
     )
-    celled = Bucketizer(splits=splits, inputCol="_s", outputCol="_cell").transform(per_score)
+    per_score = stored(per_score, "scores")
+    ranges = -(-per_score.count() // cell_scores)
+    if ranges > 1:
+        dealt = per_score.repartitionByRange(ranges, *by, F.desc("_s")).withColumn("_cell", F.spark_partition_id())
+    else:
+        dealt = per_score.withColumn("_cell", F.lit(0))
     above = W.partitionBy(*by, "_cell").orderBy(F.desc("_s")).rowsBetween(W.unboundedPreceding, -1)
     per_cell = (
-        celled.withColumn("_above", F.coalesce(F.sum("_pos").over(above), F.lit(0.0)))
+        dealt.withColumn("_above", F.coalesce(F.sum("_pos").over(above), F.lit(0.0)))
         .groupBy(*by, "_cell")
         .agg(
             F.sum("_pos").alias("_pos"),
@@ -180,7 +184,7 @@ def roc_auc(
             F.sum(F.col("_neg") * (F.col("_above") + F.col("_pos") / 2)).alias("_pairs"),
         )
     )
-    higher = W.partitionBy(*by).orderBy(F.desc("_cell")).rowsBetween(W.unboundedPreceding, -1)
+    higher = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     ranked = per_cell.withColumn("_higher", F.coalesce(F.sum("_pos").over(higher), F.lit(0.0)))
     won = F.sum(F.col("_pairs") + F.col("_neg") * F.col("_higher"))
     return ranked.groupBy(*by).agg(

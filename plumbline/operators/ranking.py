@@ -3,9 +3,9 @@
 The order is: score descending, then the tie number of the row's keys. Null
 scores come last, NaN first.
 
-* ``score_ntile`` needs only the scores at the tile edges. They are found by
-  counting (``order_stats``); after that a row's tile is a comparison with a few
-  literals, so no row is shuffled.
+* ``score_ntile`` needs only the rows at the tile edges. They are found by counting
+  (``radix``); after that a row's tile is a comparison with a few literals, so no row
+  is shuffled.
 * ``score_rank`` must order every row. Rows are put into cells that follow the
   order and have about equal size, a window ranks each cell, and the rows in the
   cells before it are added.
@@ -16,8 +16,6 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -25,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import TIE_BITS, sortable_score, tie_number
-from plumbline.operators.order_stats import order_statistics, sorted_place
+from plumbline.operators.order_stats import sorted_place
+from plumbline.operators.radix import Found, select_ends
 
 CHUNK = 100_000
 SUBCELL_BITS = 20
@@ -35,19 +34,8 @@ CELL_ROWS = 2_000_000
 FEW_EDGES = 32
 
 
-@dataclass(frozen=True)
-class TileEdge:
-    """Last row of a tile: its score and, inside a run of equal scores, its tie number.
-
-    ``tie`` is None when the tile ends with the last row of that score. ``taken``
-    counts the copies of the edge row (equal score and tie number) that are still inside
-    the tile; it is None when all of them are.
-    """
-
-    group: tuple
-    score: float
-    tie: int | None = None
-    taken: int | None = None
+#: Last row of a tile, as the selection finds it.
+TileEdge = Found
 
 
 def tile_sizes(rows: int, tiles: int) -> list[int]:
@@ -56,56 +44,35 @@ def tile_sizes(rows: int, tiles: int) -> list[int]:
     return [small + (t < extra) for t in range(tiles)]
 
 
+def content_columns(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: what tells rows without keys apart."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def tile_edges(
-    df: DataFrame, score: str, keys: Sequence[str], tiles: int = 10, by: Sequence[str] = (), seed: int = 0
+    df: DataFrame,
+    score: str,
+    keys: Sequence[str],
+    tiles: int = 10,
+    by: Sequence[str] = (),
+    seed: int = 0,
+    content: Sequence[str] = (),
 ) -> list[TileEdge]:
-    """Edges between the tiles of every group, in order. Groups must be few."""
-    by = list(by)
-    ends: dict[tuple, list[int]] = {}
-
-    def wanted(group: tuple, size: int) -> list[int]:
-        total, ends[group] = 0, []
-        for part in tile_sizes(size, tiles)[:-1]:
-            total += part
-            if part and total < size:
-                ends[group].append(total)
-        return [size - end for end in ends[group]]
-
-    scored = df.select(*dict.fromkeys([*by, *keys]), sortable_score(score).alias("_s"))
-    stats: dict[tuple, dict[int, object]] = {}
-    for s in order_statistics(scored, "_s", wanted, by):
-        stats.setdefault(s.group, {})[s.size - s.rank] = s
-
-    # An edge inside a run of equal scores needs a second selection, on the tie number.
-    plan: list[tuple[tuple, float, int | None]] = []
-    inside: dict[tuple, set[int]] = {}
-    for group, positions in ends.items():
-        for end in positions:
-            stat = stats[group][end]
-            take = end - (stat.size - stat.below - stat.equal)
-            if take == stat.equal:
-                plan.append((group, stat.value, None))
-            else:
-                plan.append((group, stat.value, take - 1))
-                inside.setdefault((*group, stat.value), set()).add(take - 1)
-    ties = {}
-    if inside:
-        tied = scored.filter(F.col("_s").isin(sorted({g[-1] for g in inside})))
-        tied = tied.select(*by, "_s", tie_number(tied, keys, seed).alias("_t"))
-        known = {(*g, s.value): (0, 2**TIE_BITS - 1, s.equal) for g, at in stats.items() for s in at.values()}
-        known = {group: known[group] for group in inside}
-        found = order_statistics(tied, "_t", lambda group, _size: inside[group], [*by, "_s"], known)
-        ties = {(s.group, s.rank): s for s in found}
-
-    edges = []
-    for group, value, rank in plan:
-        if rank is None:
-            edges.append(TileEdge(group, value))
-        else:
-            tie = ties[((*group, value), rank)]
-            taken = rank + 1 - tie.below
-            edges.append(TileEdge(group, value, tie.value, None if taken == tie.equal else taken))
-    return edges
+    """Edges between the tiles of every group, in order. Groups must be few.
+
+    ``content`` columns tell rows apart that lack a key; they are read only if there are any.
+    """
+
+    def wanted(_group: tuple, size: int) -> list[int]:
+        ends = itertools.accumulate(tile_sizes(size, tiles)[:-1])
+        return sorted({end for end in ends if 0 < end < size})
+
+    def tie(nulls: int) -> Column:
+        return tie_number(df, keys, seed, content if nulls else ())
+
+    rows = df.withColumn("_s", sortable_score(score))
+    found = select_ends(rows, wanted, by, tie, keys)
+    return [edge for edges in found.values() for edge in edges]
 
 
 def with_tile(
@@ -116,6 +83,7 @@ def with_tile(
     by: Sequence[str] = (),
     output: str = "deciles",
     seed: int = 0,
+    content: Sequence[str] = (),
 ) -> DataFrame:
     """Adds the tile of every row, and the helper columns ``_s``, ``_t`` and ``_split``.
 
@@ -129,7 +97,7 @@ def with_tile(
     width = max((len(g) for g in groups.values()), default=0)
     rows = df.withColumn("_s", sortable_score(score))
     if width > FEW_EDGES:
-        return _with_many_tiles(df, rows, groups, keys, by, output, seed)
+        return _with_many_tiles(df, rows, groups, keys, by, output, seed, content)
     if by:
         kinds = {f.name: f.dataType for f in df.schema.fields}
         schema = T.StructType([T.StructField(f"_by{k}", kinds[b]) for k, b in enumerate(by)])
@@ -155,7 +123,7 @@ def with_tile(
         tied = tied | on_edge
         number = number + F.coalesce(past.cast("int"), F.lit(0))
         split = split | (partial & on_edge & (tie == edge_tie))
-    rows = rows.withColumn("_t", F.when(tied, tie_number(df, keys, seed)))
+    rows = rows.withColumn("_t", F.when(tied, tie_number(df, keys, seed, content)))
     numbered = rows.withColumns({output: number.cast("int"), "_split": F.coalesce(split, F.lit(False))})
     return numbered.select(*df.columns, "_s", "_t", output, "_split")
 
@@ -168,6 +136,7 @@ def _with_many_tiles(
     by: Sequence[str],
     output: str,
     seed: int,
+    content: Sequence[str],
 ) -> DataFrame:
     """As :func:`with_tile`, by binary search in one sorted array of edges per group."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -180,7 +149,7 @@ def _with_many_tiles(
     match = F.lit(True)
     for k, b in enumerate(by):
         match = match & F.col(b).eqNullSafe(F.col(f"_by{k}"))
-    rows = rows.join(F.broadcast(table), match, "left").withColumn("_t", tie_number(df, keys, seed))
+    rows = rows.join(F.broadcast(table), match, "left").withColumn("_t", tie_number(df, keys, seed, content))
     value, tie, none = F.col("_s"), F.col("_t"), F.array().cast(T.ArrayType(edge))
     rows = rows.withColumn("_edges", F.coalesce("_edges", none))
 
@@ -241,8 +210,9 @@ def score_ntile(
     Copies of one row that straddle an edge are counted, dealt out to the tiles and
     expanded again, since nothing in the row tells them apart.
     """
-    edges = tile_edges(df, score, keys, tiles, by, seed)
-    numbered = with_tile(df, edges, score, keys, by, output, seed)
+    content = content_columns(df)
+    edges = tile_edges(df, score, keys, tiles, by, seed, content)
+    numbered = with_tile(df, edges, score, keys, by, output, seed, content)
     columns = [*df.columns, output]
     if not has_split(edges):
         return numbered.select(*columns)
@@ -265,7 +235,7 @@ def score_rank(
     by = list(by)
     spark = df.sparkSession
     cells = cells or max(default_cells(spark), math.ceil(df.count() / CELL_ROWS))
-    scored = df.withColumns({"_s": sortable_score(score), "_t": tie_number(df, keys, seed)})
+    scored = df.withColumns({"_s": sortable_score(score), "_t": tie_number(df, keys, seed, content_columns(df))})
     scored = _with_cell(scored, cells)
 
     sizes = scored.groupBy(*by, "_cell").agg(F.count("*").alias("_size")).toArrow().to_pylist()
@@ -290,8 +260,7 @@ def score_rank(
     placed = scored.join(F.broadcast(spark.createDataFrame(offsets, schema)), match, "left")
 
     # Rows of equal score and keys are ordered by their other columns, in every cell alike.
-    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    others = [F.asc(c) for c in sortable if c not in (*by, *keys)]
+    others = [F.asc(c) for c in content_columns(df) if c not in (*by, *keys)]
     order = [F.desc("_s"), F.asc("_t"), *[F.asc(k) for k in keys], *others]
     in_cell = W.partitionBy(*by, "_cell").orderBy(*order)
     regular = placed.filter(~F.col("_cell").isin(hot)) if hot else placed

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import tie_number
 from plumbline.operators import evaluation as EV
 from plumbline.operators import order_stats as O
+from plumbline.operators import radix as RX
 from plumbline.operators import ranking as R
 
 
@@ -121,14 +122,14 @@ def test_input_that_changes_is_refused(spark):
         O._descend(O._Interval((), 1.0, 2.0, 0, 6, 6, [0]), cells, [], [])
 
 
-@pytest.mark.parametrize("cells", [1, 5, 40])
-def test_auc_equals_pair_count(spark, cells):
+@pytest.mark.parametrize("cell_scores", [1000, 90, 7])
+def test_auc_equals_pair_count(spark, cell_scores):
     df = skewed(spark, 600).filter("score IS NOT NULL")
     rows = df.collect()
     pos = [r["score"] for r in rows if r["y"] == 1]
     neg = [r["score"] for r in rows if r["y"] == 0]
     pairs = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    assert EV.roc_auc(df, "y", "score", cells=cells).first()[0] == pytest.approx(pairs, abs=1e-12)
+    assert EV.roc_auc(df, "y", "score", cell_scores=cell_scores).first()[0] == pytest.approx(pairs, abs=1e-12)
 
 
 def test_no_single_partition_over_rows(spark):
@@ -168,3 +169,58 @@ def test_frequent_end_of_the_order_is_cut(spark, value):
     order = [F.coalesce(F.nanvl("score", F.lit(float("inf"))), F.lit(float("-inf"))).desc(), tie_number(df, ["id"])]
     both = ours.withColumn("plain", F.row_number().over(W.orderBy(*order)))
     assert both.filter("ours <> plain").count() == 0 and both.count() == 20_000
+
+
+def test_order_code_follows_descending_doubles(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate(
+        [
+            [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308],
+            np.exp2(np.arange(-1074, 1024, 1.0)),
+            np.nextafter(np.exp2(np.arange(-1000, 1024, 7.0)), 0),
+            rng.normal(size=500) * np.exp(rng.normal(scale=90, size=500)),
+        ]
+    )
+    values = np.concatenate([values, -values])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", RX.order_code(F.col("v")).alias("c"))
+    pairs = sorted((-r["v"], r["c"]) for r in df.collect())
+    codes = [c for _, c in pairs]
+    assert codes == sorted(codes)
+    spread = rng.normal(size=1000)
+    df = spark.createDataFrame([(float(v),) for v in spread], "v double")
+    assert df.select(RX.order_code(F.col("v")).alias("c")).distinct().count() == 1000
+
+
+@pytest.mark.parametrize("finish", [0, 50, 100_000])
+@pytest.mark.parametrize("bits", [4, 12])
+def test_passes_end_at_the_same_rows(spark, monkeypatch, finish, bits):
+    monkeypatch.setattr(RX, "FINISH_ROWS", finish)
+    monkeypatch.setattr(RX, "DIGIT_BITS", bits)
+    df = skewed(spark, 900).unionByName(skewed(spark, 40).withColumn("score", F.lit(1e300) * F.sin("id")))
+    ours = R.score_ntile(df, "score", ["id"], 7, ["g"], "ours").select("id", "score", "g", "ours")
+    plain = df.withColumn("plain", F.ntile(7).over(W.partitionBy("g").orderBy(*window_order(df)))).select("id", "score", "g", "plain")
+    assert sorted(map(str, map(tuple, ours.collect()))) == sorted(map(str, map(tuple, plain.collect())))
+
+
+def test_rows_without_keys_spread(spark):
+    """A third of the rows share one score and lack the key: their cell is cut by their content."""
+    k = F.col("id")
+    df = spark.range(20_000).select(
+        F.when(k % 3 != 0, k).alias("id"), F.when(k % 3 == 0, 0.5).otherwise(F.sin(k.cast("double"))).alias("score"), k.alias("other")
+    )
+    scored = df.withColumns({"_s": R.sortable_score("score"), "_t": tie_number(df, ["id"], 0, R.content_columns(df))})
+    sizes = [r["count"] for r in R._with_cell(scored, 64).groupBy("_cell").count().collect()]
+    assert max(sizes) < 3 * 20_000 / 64
+    tiles = R.score_ntile(df, "score", ["id"])
+    assert {r["deciles"]: r["count"] for r in tiles.groupBy("deciles").count().collect()} == {d: 2000 for d in range(1, 11)}
+    ranked = R.score_rank(df, "score", ["id"], cells=64).join(tiles.select("other", "deciles"), "other")
+    assert ranked.filter("deciles <> floor((rownum - 1) / 2000) + 1").count() == 0
+    assert ranked.agg(F.countDistinct("rownum")).first()[0] == 20_000
+
+
+def test_auc_ranges_hold_a_set_number_of_scores(spark):
+    """By group, with one score in a third of the rows: ranges depend on distinct scores only."""
+    df = skewed(spark, 4000).filter("score IS NOT NULL")
+    got = {r["g"]: r["roc_auc"] for r in EV.roc_auc(df, "y", "score", ["g"], cell_scores=50).collect()}
+    want = {r["g"]: r["roc_auc"] for r in EV.roc_auc(df, "y", "score", ["g"]).collect()}
+    assert got.keys() == want.keys() and all(got[g] == pytest.approx(want[g], abs=1e-12) for g in got)
