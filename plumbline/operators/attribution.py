@@ -50,23 +50,46 @@ class Leaf:
     tests: tuple[Test, ...]
 
 
-def model_leaves(df: DataFrame, model: Model) -> list[Leaf]:
-    """Leaves of a fitted boosted or single regression tree model, read from its saved node table."""
+def node_table(df: DataFrame, model: Model) -> DataFrame:
+    """Rows (tree, id, prediction, rows, gain, weight, positive, left, right, feature, limits, levels) of a
+    fitted tree model, read from its saved form. A leaf has no children (-1)."""
     path = scratch_path(df.sparkSession, "trees")
     model.write().save(path)
     nodes = df.sparkSession.read.parquet(f"{path}/data")
     data = F.col("nodeData")
-    rows = nodes.select(
-        F.col("treeID").alias("tree"),
+    stats = data["impurityStats"]
+    # Regression trees keep (weight, sum, sum of squares), classification trees a weight per class.
+    regression = F.lit(not hasattr(model, "trees") or "Regression" in type(model.trees[0]).__name__)
+    classes = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+    return nodes.select(
+        F.col("treeID").alias("tree") if "treeID" in nodes.columns else F.lit(0).alias("tree"),
         data["id"].alias("id"),
         data["prediction"].alias("prediction"),
         data["rawCount"].alias("rows"),
+        data["gain"].alias("gain"),
+        F.when(regression, stats[0]).otherwise(classes).alias("weight"),
+        F.when(~regression, F.try_divide(F.get(stats, F.lit(1)), classes)).alias("positive"),
         data["leftChild"].alias("left"),
         data["rightChild"].alias("right"),
         data["split"]["featureIndex"].alias("feature"),
         data["split"]["leftCategoriesOrThreshold"].alias("limits"),
         data["split"]["numCategories"].alias("levels"),
-    ).collect()  # bounded by the size of the model
+    )
+
+
+def split_points(df: DataFrame, model: Model, names: Sequence[str]) -> dict[str, list[float]]:
+    """Every test limit of a tree model per feature, ascending; only for models without categorical tests."""
+    tests = node_table(df, model).filter("left >= 0")
+    if tests.filter("levels >= 0").count():
+        raise ValueError("categorical tests have no limits")
+    limits = tests.groupBy("feature").agg(F.sort_array(F.collect_set(F.col("limits")[0])).alias("limits"))
+    found = {r["feature"]: list(r["limits"]) for r in limits.collect()}  # bounded by the size of the model
+    return {name: found.get(k, []) for k, name in enumerate(names)}
+
+
+def model_leaves(df: DataFrame, model: Model) -> list[Leaf]:
+    """Leaves of a fitted boosted or single regression tree model, read from its saved node table."""
+    rows = node_table(df, model).collect()  # bounded by the size of the model
     trees: dict[int, dict[int, object]] = {}
     for row in rows:
         trees.setdefault(row["tree"], {})[row["id"]] = row
@@ -121,6 +144,17 @@ def leaf_attributions(held: np.ndarray, away: np.ndarray, value: float) -> np.nd
     return value * total * (held - away)
 
 
+def _by_pattern(held: np.ndarray, away: np.ndarray, value: float) -> np.ndarray:
+    """:func:`leaf_attributions`, once per different pattern of held tests.
+
+    A path of d features has at most 2**d patterns, mostly far fewer than rows.
+    """
+    packed = np.packbits(held.astype(bool), axis=1)
+    codes = packed[:, 0] if packed.shape[1] == 1 else packed.view(np.dtype((np.void, packed.shape[1])))[:, 0]
+    _, first, place = np.unique(codes, return_index=True, return_inverse=True)
+    return leaf_attributions(held[first], away, value)[place]
+
+
 def tree_shap_wide(
     df: DataFrame, model: Model, features: str = "features", keep: Sequence[str] = (), scale: float = 1.0
 ) -> DataFrame:
@@ -145,7 +179,7 @@ def tree_shap_wide(
                     x = values[:, feature]
                     goes_left = x <= limit if categories is None else np.isin(x, categories)
                     held[:, k] *= goes_left if left else ~goes_left
-            result[:, names] += leaf_attributions(held, away, value)
+            result[:, names] += _by_pattern(held, away, value)
 
     def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.operators.profile import value_counts
-from plumbline.session import scratch_path
+from plumbline.session import stored
 
 INDEX, DUMMY, CODE = "_index", "_cat", "_code"
 # Level lists of encoders live on the driver; columns with more levels are handled by joins.
@@ -81,13 +81,50 @@ def few_levels(df: DataFrame, columns: Sequence[str], limit: int = DRIVER_LEVELS
 
 
 def fit_string_index(df: DataFrame, columns: Sequence[str], limit: int = DRIVER_LEVELS) -> StringIndexerModel:
-    """Fits :func:`string_indexer` after checking that the level lists fit the driver."""
+    """Fits :func:`string_indexer` for a learner after checking that the level lists fit the driver.
+
+    :func:`string_index` gives the same numbers for any number of levels.
+    """
     wide = set(columns) - set(few_levels(df, columns, limit))
     if wide:
-        raise ValueError(f"more than {limit} levels, drop or label-encode first: {sorted(wide)}")
+        raise ValueError(f"more than {limit} levels, drop or index by join: {sorted(wide)}")
     return string_indexer(columns).fit(df)
 
 
+def frequency_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(Variable, value, code): levels by falling frequency (equal counts alphabetically), for any number of levels."""
+    levels = value_counts(df, columns).filter(F.col("value").isNotNull())
+    return _numbered(levels, [F.desc("n"), F.asc("value")])
+
+
+def string_index(
+    df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None, heavy: int = DRIVER_LEVELS
+) -> DataFrame:
+    """Adds the index (double) of string columns as :func:`string_indexer` does, without a level list on the driver.
+
+    ``codes``: from :func:`frequency_codes` of the fitting rows (default: ``df`` itself). The
+    ``heavy`` most frequent levels of a column are broadcast, at most that many rows of a level
+    name each; a level beyond them has at most a ``heavy``-th of the rows and is joined by hash.
+    Null and unknown levels get the number of levels, and null takes part in no join.
+    """
+    codes = codes if codes is not None else stored(frequency_codes(df, columns), "codes")
+    sizes = {r["Variable"]: r["n"] for r in codes.groupBy("Variable").agg(F.count("*").alias("n")).collect()}
+    for column in columns:
+        size = sizes.get(column, 0)
+        index = F.coalesce(F.col("_code").cast("double"), F.lit(float(size))).alias(column + INDEX)
+        own = codes.filter(F.col("Variable") == column).select(F.col("value").alias(column), F.col("code").alias("_code"))
+        frequent = F.broadcast(own.filter(F.col("_code") < heavy))
+        if size <= heavy:
+            df = df.join(frequent, column, "left").select(*df.columns, index)
+            continue
+        known = df.filter(F.col(column).isNotNull())
+        met = known.join(frequent, column).select(*df.columns, index)
+        rest = known.join(frequent, column, "left_anti").join(own.filter(F.col("_code") >= heavy), column, "left")
+        missing = df.filter(F.col(column).isNull()).select("*", F.lit(float(size)).alias(column + INDEX))
+        df = met.unionByName(rest.select(*df.columns, index)).unionByName(missing)
+    return df
+
+
 def label_encoder(columns: Sequence[str]) -> StringIndexer:
     """Numbers levels in sorted order; an unseen level is an error."""
     return StringIndexer(
@@ -99,24 +136,25 @@ def label_encoder(columns: Sequence[str]) -> StringIndexer:
 
 
 def level_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(Variable, value, code): the place of every level in sorted order, for any number of levels.
+    """(Variable, value, code): the place of every level in sorted order, for any number of levels."""
+    levels = value_counts(df, columns).filter(F.col("value").isNotNull()).select("Variable", "value")
+    return _numbered(levels, [F.asc("value")])
+
+
+def _numbered(levels: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """(Variable, value, code): the place of every level in the order.
 
     Levels are dealt into sorted ranges of about equal size and written with the number
     of their range; a window numbers each range and the sizes of the ranges before it,
     one row per range, are added.
     """
-    spark = df.sparkSession
-    levels = value_counts(df, columns).filter(F.col("value").isNotNull()).select("Variable", "value")
-    ranged = levels.repartitionByRange("Variable", "value").withColumn("_range", F.spark_partition_id())
-    path = scratch_path(spark, "levels")
-    ranged.write.parquet(path)  # fixes the ranges
-    placed = spark.read.schema(ranged.schema).parquet(path)
+    placed = stored(levels.repartitionByRange("Variable", *order).withColumn("_range", F.spark_partition_id()), "levels")
     sizes = placed.groupBy("Variable", "_range").agg(F.count("*").alias("_size"))
     before = W.partitionBy("Variable").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
         "Variable", "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = F.row_number().over(W.partitionBy("Variable", "_range").orderBy("value"))
+    inside = F.row_number().over(W.partitionBy("Variable", "_range").orderBy(*order))
     coded = placed.withColumn("_inside", inside).join(offsets, ["Variable", "_range"])
     return coded.select("Variable", "value", (F.col("_offset") + F.col("_inside") - 1).cast("bigint").alias("code"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.scalars import null_default, sign_colour
 from plumbline.operators.columns import wide_to_long
-from plumbline.operators.order_stats import quantiles
+from plumbline.operators.order_stats import LARGEST, quantiles, sorted_place
 
 GRID_POINTS = 10
 SURELY_MANY = 5
@@ -159,32 +159,78 @@ def grid_values(df: DataFrame, features: Sequence[str], points: int = GRID_POINT
     return {f: list(b.grid) for f, b in feature_buckets(df, features, points).items()}
 
 
+def model_cells(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Features replaced by the value that stands for their cell between two cuts.
+
+    A cell of cut c holds the values above the cut before and up to c, as a tree's tests
+    ``value <= c`` tell them apart; c itself stands for it, the largest double for the last one.
+    Scores of a model whose tests all lie in ``cuts`` do not change. Null and NaN stay.
+    """
+    placed = {}
+    for feature, limits in cuts.items():
+        value, limits = F.col(feature).cast("double"), sorted(set(map(float, limits)))
+        if limits:
+            ends = F.array(*[F.lit(c) for c in [*limits, LARGEST]])
+            cell = F.get(ends, sorted_place(ends, len(limits), lambda end: end < value))
+            placed[feature] = F.when(value.isNull() | F.isnan(value), value).otherwise(cell)
+        else:
+            placed[feature] = F.when(value.isNull() | F.isnan(value), value).otherwise(F.lit(0.0))
+    return df.withColumns(placed)
+
+
+def _weighted(rows: DataFrame, sides: Mapping[object, Sequence[str]]) -> dict[object, DataFrame]:
+    """For each side: its columns of every row, with ``_n``, the rows that it stands for.
+
+    Where a sketch finds at most half as many different rows as rows, equal ones are counted
+    (combined on the map side); else each stands for itself. The result is the same.
+    """
+    names = list(sides)
+    wide = {name: F.xxhash64(*sides[name]) if sides[name] else F.lit(0) for name in names}
+    sketch = rows.agg(F.count("*").alias("n"), *[F.approx_count_distinct(wide[name]).alias(f"d{k}") for k, name in enumerate(names)]).first()
+    result = {}
+    for k, name in enumerate(names):
+        if 2 * sketch[f"d{k}"] <= sketch["n"]:
+            result[name] = rows.groupBy(*sides[name]).agg(F.count("*").alias("_n"))
+        else:
+            result[name] = rows.select(*sides[name], F.lit(1).cast("bigint").alias("_n"))
+    return result
+
+
+def _weighted_mean(score: str) -> list[Column]:
+    """Rows behind the weighted scores, and their mean as ``avg`` would give it."""
+    known = F.when(F.col(score).isNotNull(), F.col("_n"))
+    mean = F.try_divide(F.sum(F.col(score) * F.col("_n")), F.sum(known))
+    return [F.sum("_n").alias("count"), mean.alias("partial_dependence")]
+
+
 def partial_dependence(
     df: DataFrame,
     grids: Mapping[str, Sequence[float]],
     scorer: Callable[[DataFrame], DataFrame],
     score: str = "score",
+    cuts: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
     """Mean prediction over all rows with one feature set to each grid value.
 
-    ``scorer`` adds the ``score`` column; it gets the features of the grid as doubles. A row is repeated once per grid value, a
-    number fixed by the grid; the copies are scored and averaged in the same task,
-    so only one partial sum per grid value is shuffled.
+    ``scorer`` adds the ``score`` column, a function of the row alone; it gets the features
+    of the grid as doubles. Rows that agree in everything but the feature are scored once
+    and weighted; ``cuts`` (all test limits of a tree model per feature) makes rows of
+    one cell agree. A row is repeated once per grid value, a number fixed by the grid; only
+    one partial sum per grid value is shuffled.
     """
-    points = [
-        F.struct(F.lit(f).alias("Variable"), F.lit(float(v)).alias("grid_value"))
-        for f, values in grids.items()
-        for v in values
-    ]
-    rows = df.select("*", F.inline(F.array(*points)))
-    for f in grids:
-        # In double: a grid value between two integers must reach the scorer as it is.
-        rows = rows.withColumn(f, F.when(F.col("Variable") == f, F.col("grid_value")).otherwise(F.col(f).cast("double")))
-    return (
-        scorer(rows)
-        .groupBy("Variable", "grid_value")
-        .agg(F.count("*").alias("count"), F.avg(score).alias("partial_dependence"))
-    )
+    # In double: a grid value between two integers must reach the scorer as it is.
+    rows = df.withColumns({f: F.col(f).cast("double") for f in grids})
+    rows = model_cells(rows, cuts or {})
+    parts = []
+    sides = {f: [c for c in df.columns if c != f] for f in grids}
+    for feature, held in _weighted(rows, sides).items():
+        points = F.array(*[F.lit(float(v)) for v in grids[feature]])
+        spread = held.select("*", F.explode(points).alias(feature)).withColumn("Variable", F.lit(feature))
+        parts.append(spread.select("Variable", F.col(feature).alias("grid_value"), "_n", *df.columns))
+    copies = parts[0]
+    for part in parts[1:]:
+        copies = copies.unionByName(part)
+    return scorer(copies).groupBy("Variable", "grid_value").agg(*_weighted_mean(score))
 
 
 def partial_dependence_2way(
@@ -193,22 +239,31 @@ def partial_dependence_2way(
     grids: Mapping[str, Sequence[float]],
     scorer: Callable[[DataFrame], DataFrame],
     score: str = "score",
+    cuts: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
-    """Mean prediction over all rows on the grid of two features."""
+    """Mean prediction over all rows on the grid of two features, as :func:`partial_dependence`.
+
+    ``position_1`` and ``position_2`` place a grid value among its feature's, from 0 to 1: the
+    quantile axis of the plot.
+    """
+    pair = tuple(pair)
     first, second = pair
+    places = {(f, v): p for f, v, p in grid_positions({f: grids[f] for f in dict.fromkeys(pair)})}
     points = [
-        F.struct(F.lit(float(a)).alias("grid_1"), F.lit(float(b)).alias("grid_2"))
+        F.struct(
+            F.lit(float(a)).alias("grid_1"),
+            F.lit(float(b)).alias("grid_2"),
+            F.lit(places[first, float(a)]).alias("position_1"),
+            F.lit(places[second, float(b)]).alias("position_2"),
+        )
         for a in grids[first]
         for b in grids[second]
     ]
     others = [c for c in df.columns if c not in pair]
-    rows = df.select(*others, F.inline(F.array(*points)))
+    held = _weighted(model_cells(df, {f: c for f, c in (cuts or {}).items() if f not in pair}), {pair: others})[pair]
+    rows = held.select("*", F.inline(F.array(*points)))
     rows = rows.withColumns({first: F.col("grid_1"), second: F.col("grid_2")})
-    return (
-        scorer(rows)
-        .groupBy("grid_1", "grid_2")
-        .agg(F.count("*").alias("count"), F.avg(score).alias("partial_dependence"))
-    )
+    return scorer(rows).groupBy("grid_1", "grid_2", "position_1", "position_2").agg(*_weighted_mean(score))
 
 
 def mean_abs(attributions: DataFrame, value: str = "shap_value", by: str = "Variable") -> DataFrame:

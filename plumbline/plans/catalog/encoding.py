@@ -66,6 +66,26 @@ def _(spark, folder):
     return EN.fit_string_index(rows, ["o_orderpriority"]).transform(rows)
 
 
+@query("string_index_join", f"WITH {GAPPED} SELECT o_orderkey, o_orderpriority, o_orderpriority_index FROM indexed")
+def _(spark, folder):
+    """The same numbers by joins: two levels count as frequent here, the others are joined by hash."""
+    return EN.string_index(_gapped(spark, folder).drop("o_totalprice"), ["o_orderpriority"], heavy=2)
+
+
+@query(
+    "string_index_wide",
+    """WITH levels AS (SELECT c_name, row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS code
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name)
+SELECT o_orderkey, c_name, code::DOUBLE AS c_name_index
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN levels USING (c_name)""",
+)
+def _(spark, folder):
+    """A level per customer: more than are broadcast."""
+    customer = frames.table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    rows = frames.table(spark, folder, "orders").select("o_orderkey", "o_custkey").join(customer, "o_custkey")
+    return EN.string_index(rows.drop("o_custkey"), ["c_name"], heavy=50)
+
+
 @query("one_hot", f"WITH {GAPPED} SELECT o_orderkey, {INDICATORS} FROM indexed")
 def _(spark, folder):
     rows = _gapped(spark, folder)

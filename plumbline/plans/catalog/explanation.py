@@ -109,20 +109,24 @@ def _(spark, folder):
     return rounded(X.partial_dependence(rows, grids, closed_form), "grid_value", "partial_dependence")
 
 
-_GRID = "(SELECT unnest(list_distinct(quantile_cont({f}, " + STEPS + "))) AS {a} FROM returns)"
+_GRID = (
+    "(SELECT {a}, (row_number() OVER (ORDER BY {a}) - 1) / greatest(1, count(*) OVER () - 1)::DOUBLE AS place_{a} FROM "
+    "(SELECT unnest(list_distinct(quantile_cont({f}, " + STEPS + "))) AS {a} FROM returns))"
+)
 
 
 @query(
     "partial_dependence_2way",
-    f"""WITH {frames.RETURNS} SELECT round(a, 6) AS grid_1, round(b, 6) AS grid_2, count(*) AS count,
+    f"""WITH {frames.RETURNS} SELECT round(a, 6) AS grid_1, round(b, 6) AS grid_2, round(place_a, 6) AS position_1,
+  round(place_b, 6) AS position_2, count(*) AS count,
   round(avg({CLOSED_FORM.replace("l_quantity", "a").replace("l_extendedprice", "b")}), 6) AS partial_dependence
-FROM returns, {_GRID.format(f="l_quantity", a="a")}, {_GRID.format(f="l_extendedprice", a="b")} GROUP BY a, b""",
+FROM returns, {_GRID.format(f="l_quantity", a="a")}, {_GRID.format(f="l_extendedprice", a="b")} GROUP BY ALL""",
 )
 def _(spark, folder):
     rows = frames.returns(spark, folder).select(*FEATURES)
     pair = ["l_quantity", "l_extendedprice"]
     plot = X.partial_dependence_2way(rows, pair, X.grid_values(rows, pair), closed_form)
-    return rounded(plot, "grid_1", "grid_2", "partial_dependence")
+    return rounded(plot, "grid_1", "grid_2", "position_1", "position_2", "partial_dependence")
 
 
 INTEGER_FORM = "l_linenumber * 0.3 + l_linenumber * l_linenumber * 0.01 + l_quantity * 0.001"
@@ -150,23 +154,24 @@ def _(spark, folder):
 
 @query(
     "partial_dependence_2way_integer",
-    f"""SELECT g AS grid_1, h AS grid_2, count(*) AS count,
+    f"""SELECT g AS grid_1, h AS grid_2, round(p, 6) AS position_1, q AS position_2, count(*) AS count,
   round(avg({INTEGER_FORM.replace("l_linenumber", "g").replace("l_quantity", "h")}), 6) AS partial_dependence
-FROM lineitem, (SELECT unnest([1.0::DOUBLE, 1.5, 2.25, 6.9]) AS g), (SELECT unnest([10.5::DOUBLE, 20.0]) AS h)
-GROUP BY g, h""",
+FROM lineitem, (VALUES (1.0::DOUBLE, 0.0::DOUBLE), (1.5, 1 / 3.0), (2.25, 2 / 3.0), (6.9, 1.0)) a(g, p),
+  (VALUES (10.5::DOUBLE, 0.0::DOUBLE), (20.0, 1.0)) b(h, q)
+GROUP BY ALL""",
 )
 def _(spark, folder):
     rows, grids = _integer_rows(spark, folder)
     pair = ["l_linenumber", "l_quantity"]
     scored = X.partial_dependence_2way(rows, pair, grids, lambda df: df.withColumn("score", F.expr(INTEGER_FORM)))
-    return rounded(scored, "partial_dependence")
+    return rounded(scored, "position_1", "partial_dependence")
 
 
 @query("partial_dependence_model")
 def _(spark, folder):
     explained = explained_documents(spark, folder)
     grids = X.grid_values(explained.rows, explained.features)
-    return X.partial_dependence(explained.rows.select(*explained.features), grids, explained.scored)
+    return X.partial_dependence(explained.rows.select(*explained.features), grids, explained.scored, cuts=explained.cuts())
 
 
 @query("actual_plot_model")

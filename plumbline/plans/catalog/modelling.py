@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plumbline.functions import positive_probability
 from plumbline.operators import columns as C
 from plumbline.operators import encode as EN
+from plumbline.operators import model_expressions as MX
 from plumbline.operators import models as M
 from plumbline.plans.catalog import frames
 from plumbline.plans.catalog.registry import query
@@ -181,3 +183,75 @@ def _(spark, folder):
 def _(spark, folder):
     scored = _scored(logistic(spark, folder), spark, folder)
     return scored.select("o_orderkey", SPLIT, F.col("model_probability").between(0, 1).alias("scored"))
+
+
+ORDER_GAP = f"WITH {frames.ORDER_STATUS} SELECT o_orderkey, 0.0::DOUBLE AS gap FROM order_status"
+
+
+@query("logistic_expression", ORDER_GAP)
+def _(spark, folder):
+    """The compiled regression scores every row as the model does."""
+    model = logistic(spark, folder)
+    scored = model.transform(prepared_orders(spark, folder).rows)
+    compiled = MX.logistic_probability(model, vector_to_array("scaled_onehot"))
+    return scored.select("o_orderkey", MX.gap(compiled, positive_probability()).alias("gap"))
+
+
+@query("positive_probability_expression", ORDER_GAP)
+def _(spark, folder):
+    """The extracted probability is the one that the forest's node table gives."""
+    model, rows = forest(spark, folder), prepared_orders(spark, folder).rows
+    compiled = MX.forest_probability(rows, model, vector_to_array(M.FEATURES))
+    return model.transform(rows).select("o_orderkey", MX.gap(compiled, positive_probability()).alias("gap"))
+
+
+@query("fit_gbm_baseline_expression", f"WITH {frames.DOC_QUALITY} SELECT doc_id, 0.0::DOUBLE AS gap FROM doc_quality")
+def _(spark, folder):
+    """The node table of the boosted model scores every row as the model does."""
+    explained = explained_documents(spark, folder)
+    scored = explained.scored(explained.rows)
+    compiled = MX.boosted_probability(explained.rows, explained.model, vector_to_array(M.FEATURES))
+    return scored.select("doc_id", MX.gap(compiled, F.col("score")).alias("gap"))
+
+
+@query(
+    "select_prediction_columns_expression",
+    f"WITH {frames.ORDER_STATUS} SELECT o_orderkey, 0.0::DOUBLE AS gap, TRUE AS same_label FROM order_status",
+)
+def _(spark, folder):
+    """The selected columns hold what the compiled model says: score, probabilities and label."""
+    model = logistic(spark, folder)
+    compiled = MX.logistic_probability(model, vector_to_array("scaled_onehot"))
+    scored = model.transform(prepared_orders(spark, folder).rows).withColumn("model_probability", positive_probability())
+    selected = C.select_prediction_columns(scored.withColumn("compiled", compiled), "o_orderkey", "compiled")
+    label = F.when(F.col("compiled") > 0.5, 1.0).otherwise(0.0)
+    same = (F.col("prediction") == label) | (F.abs(F.col("compiled") - 0.5) < 1e-9)
+    return selected.select("o_orderkey", MX.gap(F.col("compiled"), F.col("model_probability")).alias("gap"), same.alias("same_label"))
+
+
+def _importance_gap(found, nodes):
+    both = found.join(nodes.withColumnRenamed("Variable_Importance", "other"), "Variable", "full")
+    return both.select("Variable", MX.gap(F.col("Variable_Importance"), F.col("other")).alias("gap"))
+
+
+@query(
+    "gbm_importance_nodes",
+    """SELECT column_name AS "Variable", 0.0::DOUBLE AS gap FROM (DESCRIBE documents) WHERE column_name IN ('lang', 'source', 'n_chars')""",
+)
+def _(spark, folder):
+    """Importances recomputed from the gains of the node table."""
+    explained = explained_documents(spark, folder)
+    nodes = MX.node_importances(explained.rows, explained.model, explained.features, per_tree=False)
+    return _importance_gap(explained.importances(), nodes)
+
+
+@query(
+    "top_variables_nodes",
+    """SELECT column_name || CASE WHEN column_type = 'VARCHAR' THEN '_index' ELSE '' END AS "Variable", 0.0::DOUBLE AS gap
+FROM (SELECT * FROM (DESCRIBE orders) UNION ALL SELECT * FROM (DESCRIBE customer))
+WHERE column_name IN ('o_orderpriority', 'c_mktsegment', 'o_totalprice', 'c_acctbal')""",
+)
+def _(spark, folder):
+    rows = prepared_orders(spark, folder).rows
+    found = M.top_variables(rows, forest(spark, folder), _inputs(spark, folder))
+    return _importance_gap(found, MX.node_importances(rows, forest(spark, folder), _inputs(spark, folder), per_tree=True))

@@ -16,7 +16,7 @@ from plumbline.operators import models as M
 from plumbline.operators.impute import MixedImputer
 from plumbline.operators.profile import data_stats
 from plumbline.operators.split import random_split
-from plumbline.session import stored
+from plumbline.session import scratch_scope, stored
 from plumbline.sources.tables import cached_scope, write_report
 from plumbline.spec import ModelSpec
 
@@ -142,5 +142,9 @@ def model_bench(df: DataFrame, spec: ModelSpec) -> BenchResult:
 
 
 def bench_table(spark: SparkSession, table: str, spec: ModelSpec, folder: str) -> dict[str, str]:
-    """From a table name to the written report; returns the path of every dataset."""
-    return model_bench(spark.table(table), spec).report(folder)
+    """From a table name to the written report; returns the path of every dataset.
+
+    Intermediate datasets are deleted once the report is written.
+    """
+    with scratch_scope(spark):
+        return model_bench(spark.table(table), spec).report(folder)

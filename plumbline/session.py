@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +26,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths of the open scopes, innermost last; None outside of any.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("plumbline_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing path below the shared folder."""
-    return f"{shared_folder(spark)}/plumbline/{label}-{uuid.uuid4().hex}"
+    """A new, not yet existing path below the shared folder; the open scope owns it."""
+    path = f"{shared_folder(spark)}/plumbline/{label}-{uuid.uuid4().hex}"
+    owned = _SCOPE.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Owns the intermediate datasets made inside the block and deletes them after it.
+
+    Frames that read them must be written before the block ends. Yields the list of owned
+    paths; one that is taken off the list is kept.
+    """
+    owned: list[str] = []
+    token = _SCOPE.set(owned)
+    try:
+        yield owned
+    finally:
+        _SCOPE.reset(token)
+        for path in owned:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -21,6 +22,7 @@ from plumbline.operators.split import random_split, stratified_split
 from plumbline.plans.catalog import frames
 from plumbline.plans.explanation import explain
 from plumbline.plans.model_bench import SPLIT, TARGET, model_bench, model_columns, prepare
+from plumbline.session import scratch_scope, shared_folder, stored
 
 PEOPLE = """row_id bigint, Person_ID bigint, Family string, Rating int, Country string, Age int, Balance double,
 active boolean, joined timestamp_ntz, tags array<string>, left_bank int"""
@@ -227,6 +229,61 @@ def test_partial_dependence_of_fitted_model(explained):
     assert table[value] == pytest.approx(fixed.agg(F.avg("score")).first()[0], abs=1e-12)
 
 
+def test_dependence_by_cells_equals_plain(explained, monkeypatch):
+    """Rows of one cell are scored once; the curve of a fitted tree model stays the same."""
+    rows = explained.rows.select(*explained.features)
+    grids = X.grid_values(rows, ["Age", "Rating"])
+    seen = []
+
+    def scorer(df):
+        seen.append(df.agg(F.count("*").alias("scored"), F.sum("_n").alias("n")).first())
+        return explained.scored(df)
+
+    cells = X.model_cells(rows, explained.cuts())
+    plain, joint = explained.scored(rows), explained.scored(cells)
+    totals = [df.agg(F.sum("score"), F.sum(F.col("score") ** 2)).first() for df in (plain, joint)]
+    assert totals[0] == pytest.approx(totals[1], rel=1e-12)
+    for cuts in (None, explained.cuts()):
+        got = {(r["Variable"], r["grid_value"]): tuple(r)[2:] for r in X.partial_dependence(rows, grids, scorer, cuts=cuts).collect()}
+        for (feature, value), (count, mean) in got.items():
+            fixed = explained.scored(rows.withColumn(feature, F.lit(value)))
+            assert (count, mean) == (400 - 8, pytest.approx(fixed.agg(F.avg("score")).first()[0], abs=1e-12))
+    two = X.partial_dependence_2way(rows, ["Age", "Rating"], grids, scorer, cuts=explained.cuts()).collect()
+    pick = two[len(two) // 2]
+    fixed = explained.scored(rows.withColumns({"Age": F.lit(pick["grid_1"]), "Rating": F.lit(pick["grid_2"])}))
+    assert pick["partial_dependence"] == pytest.approx(fixed.agg(F.avg("score")).first()[0], abs=1e-12)
+    assert {r["position_1"] for r in two} == {k / (len(grids["Age"]) - 1) for k in range(len(grids["Age"]))}
+    points = len(grids["Age"]) * len(grids["Rating"])
+    others = cells.select([c for c in rows.columns if c not in ("Age", "Rating")]).distinct().count()
+    assert seen[-1]["n"] == 392 * points and seen[-1]["scored"] in (others * points, 392 * points)
+
+
+def test_equal_rows_are_scored_once(spark):
+    rows = spark.range(2000).selectExpr("id % 10 AS a", "id % 3 * 1.0D AS b", "IF(id % 7 = 0, NULL, 'x') AS c")
+    seen = []
+
+    def scorer(df):
+        seen.append(df.count())
+        return df.withColumn("score", F.when(F.col("c").isNotNull(), F.col("a") * F.col("b")))
+
+    grid = {"a": [1.0, 2.5], "b": [0.0, 1.0, 4.0]}
+    got = {(r["Variable"], r["grid_value"]): tuple(r)[2:] for r in X.partial_dependence(rows, grid, scorer).collect()}
+    assert seen == [2 * 6 + 3 * 20]
+    for (name, value), (count, mean) in got.items():
+        plain = scorer(rows.withColumn(name, F.lit(value))).agg(F.count("*"), F.avg("score")).first()
+        assert (count, mean) == (plain[0], pytest.approx(plain[1], abs=1e-12))
+
+
+def test_patterns_are_worked_once(monkeypatch):
+    rng = np.random.default_rng(8)
+    worked, plain = [], A.leaf_attributions
+    monkeypatch.setattr(A, "leaf_attributions", lambda held, *rest: worked.append(len(held)) or plain(held, *rest))
+    for size, most in ((3, 8), (12, 2048)):
+        held, away = rng.integers(0, 2, (2048, size)).astype(float), rng.uniform(0.1, 0.9, size)
+        np.testing.assert_allclose(A._by_pattern(held, away, 1.5), plain(held, away, 1.5), atol=1e-14)
+        assert worked[-1] <= min(most, len(np.unique(held, axis=0)))
+
+
 def test_buckets_cover_every_row(explained):
     plot = X.target_plot_data(explained.rows, explained.features, TARGET)
     totals = {r["Variable"]: r["n"] for r in plot.groupBy("Variable").agg(F.sum("count").alias("n")).collect()}
@@ -247,6 +304,22 @@ def test_wide_columns_get_the_same_codes(people):
     assert sorted(narrow.collect()) == sorted(wide.collect())
 
 
+@pytest.mark.parametrize("heavy", [1, 100, 100_000])
+def test_string_index_beyond_the_driver(spark, heavy):
+    """A third of the rows share a level, every other one is rare; numbers as the ML stage gives them."""
+    rows = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 <> 1 THEN concat('v', id % 11000) END AS c", "'k' AS _code_"
+    )
+    plain = EN.string_indexer(["c"]).fit(rows).transform(rows)
+    ours = EN.string_index(rows, ["c"], heavy=heavy)
+    assert ours.columns == [*rows.columns, "c_index"] and ours.count() == 30_000
+    both = ours.join(plain.select("id", F.col("c_index").alias("plain")), "id")
+    assert both.filter("c_index = plain").count() == 30_000
+    new = EN.string_index(spark.createDataFrame([(1, "no"), (2, None), (3, "hot")], "id long, c string"), ["c"], EN.frequency_codes(rows, ["c"]))
+    levels = rows.select("c").distinct().filter("c IS NOT NULL").count()
+    assert levels > 10_000 and {r["id"]: r["c_index"] for r in new.collect()} == {1: levels, 2: levels, 3: 0.0}
+
+
 def test_unseen_level_has_its_own_index(spark):
     train = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
     model = EN.string_indexer(["c"]).fit(train)
@@ -289,9 +362,14 @@ def test_reports_from_a_table_name(spark, tmp_path):
     rows = [(i, float(a), float(b), "uv"[i % 2], int(a + b > 0)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
     spark.createDataFrame(rows, "k long, a double, b double, c string, y int").createOrReplaceTempView("report_rows")
     spec = ModelSpec(target="y", keys=("k",))
+    stored(spark.range(1), "other")
+    before = set((Path(shared_folder(spark)) / "plumbline").iterdir())
     paths = bench_table(spark, "report_rows", spec, str(tmp_path / "bench"))
     assert spark.read.parquet(paths["Performance_metrics"]).count() == 4
     paths = explain_table(spark, "report_rows", spec, str(tmp_path / "explain"), iterations=3)
+    shared = Path(shared_folder(spark)) / "plumbline"
+    assert set(paths) >= {"Partial_Dependence_2way", "Actual_Interact", "Importance", "Accuracy", "Report", "Mapping"}
+    assert not set(shared.iterdir()) - before
     density = spark.read.parquet(paths["Shap_Density"])
     assert {r["n"] for r in density.groupBy("Variable").agg(F.sum("count").alias("n")).collect()} == {243}
     assert all(spark.read.parquet(p).count() for p in paths.values())
@@ -299,3 +377,15 @@ def test_reports_from_a_table_name(spark, tmp_path):
 
 def test_grid_positions():
     assert X.grid_positions({"a": [3.0, 1.0, 2.0], "b": [5.0]}) == [("a", 1.0, 0.0), ("a", 2.0, 0.5), ("a", 3.0, 1.0), ("b", 5.0, 0.0)]
+
+
+def test_scope_deletes_what_it_owns(spark):
+    outside = stored(spark.range(3), "outside")
+    with scratch_scope(spark) as owned:
+        kept, gone = stored(spark.range(4), "kept"), stored(spark.range(5), "gone")
+        with scratch_scope(spark):
+            stored(spark.range(6), "inner")
+        assert len(owned) == 2 and gone.count() == 5
+        path = owned.pop(0)
+    assert outside.count() == 3 and kept.count() == 4 and Path(path).exists()
+    assert not [p for p in Path(path).parent.iterdir() if p.name.startswith(("gone", "inner"))]
