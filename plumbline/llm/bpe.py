@@ -3,7 +3,8 @@
 For every prefix of a piece exactly one token can end its encoding. The table of these
 last tokens is filled from left to right: a token that ends at position i is the right
 one if it may follow the last token of the prefix before it, that is if merging would
-not have chosen a token across their boundary. Encoding walks the table backwards. An
+not have chosen a token across their boundary. An automaton over all tokens yields those
+that end at a position, longest first. Encoding walks the table backwards. An
 append only adds entries; an edit keeps the entries before it and stops recomputing as
 soon as a full token length of entries repeats the old ones.
 
@@ -16,18 +17,20 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import slices, texts
+from plumbline.llm.common import slices, texts, worker_memory
 
 #: Pieces remembered per generation; two generations are kept in a Python worker.
 REMEMBERED = 200_000
+#: Pairs of tokens whose verdict is remembered.
+MOST_VERDICTS = 1_000_000
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -45,17 +48,25 @@ class PrefixTable:
         self.append(data)
 
     def append(self, data: bytes) -> None:
+        state = self._state(len(self.data))
         self.data += data
-        self.vocabulary.fill(self.data, self.last, len(self.data))
+        self.vocabulary.fill(self.data, self.last, len(self.data), state)
+
+    def _state(self, stop: int) -> int:
+        """The automaton's state after ``stop`` bytes; older ones than the longest token do not matter."""
+        state = 0
+        for byte in self.data[max(0, stop - self.vocabulary.longest) : stop]:
+            state = self.vocabulary.move(state, byte)
+        return state
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Put ``data`` in place of bytes start..stop; returns how many entries were recomputed."""
         old, shift = self.last, len(data) - (stop - start)
         self.data = self.data[:start] + data + self.data[stop:]
         self.last = old[:start]
-        agree, begin = 0, start + len(data)
+        agree, begin, state = 0, start + len(data), self._state(start)
         for end in range(start + 1, len(self.data) + 1):
-            self.vocabulary.fill(self.data, self.last, end)
+            state = self.vocabulary.fill(self.data, self.last, end, state)
             agree = agree + 1 if end > begin and self.last[-1] == old[end - 1 - shift] else 0
             if agree >= self.vocabulary.longest:
                 self.last.extend(old[end - shift :])
@@ -63,11 +74,7 @@ class PrefixTable:
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        found, end, tokens = [], len(self.data), self.vocabulary.tokens
-        while end:
-            found.append(self.last[end - 1])
-            end -= len(tokens[found[-1]])
-        return found[::-1]
+        return self.vocabulary.walk(self.last)
 
 
 class Vocabulary:
@@ -76,15 +83,53 @@ class Vocabulary:
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.longest = max(map(len, ranks))
+        self.sizes = list(map(len, self.tokens))
+        self.longest = max(self.sizes)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.verdicts: dict[int, bool] = {}
-        # Lengths that tokens with a given last two bytes have: few need to be tried.
-        ends: dict[bytes, set[int]] = {}
-        for token in ranks:
-            if len(token) > 1:
-                ends.setdefault(token[-2:], set()).add(len(token))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
+        self.verdicts: list[dict[int, bool]] = [{} for _ in self.tokens]
+        self.judged = 0
+        # Automaton: moves of a state (the others are added when met), its fall-back state, its own
+        # token, the state and byte it comes from and, once asked, all tokens that end there.
+        self.moves: list[dict[int, int]] = [{}]
+        self.back: list[int | None] = [0]
+        self.own: list[tuple[int, int] | None] = [None]
+        self.path: list[tuple[int, int]] = [(0, 0)]
+        for token, rank in ranks.items():
+            state = 0
+            for byte in token:
+                below = self.moves[state].get(byte)
+                if below is None:
+                    below = self.moves[state][byte] = len(self.moves)
+                    self.moves.append({})
+                    self.back.append(None)
+                    self.own.append(None)
+                    self.path.append((state, byte))
+                state = below
+            self.own[state] = (rank, len(token))
+        self.ending: list[tuple[tuple[int, int], ...] | None] = [()] + [None] * (len(self.moves) - 1)
+
+    def fall_back(self, state: int) -> int:
+        """State of the longest proper suffix of the state's bytes that begins a token."""
+        known = self.back[state]
+        if known is None:
+            above, byte = self.path[state]
+            known = self.back[state] = self.move(self.fall_back(above), byte) if above else 0
+        return known
+
+    def move(self, state: int, byte: int) -> int:
+        found = self.moves[state].get(byte)
+        if found is None:
+            found = self.move(self.fall_back(state), byte) if state else 0
+            self.moves[state][byte] = found
+        return found
+
+    def endings(self, state: int) -> tuple[tuple[int, int], ...]:
+        """(token, length) of all tokens that end in a state, longest first."""
+        found = self.ending[state]
+        if found is None:
+            own = self.own[state]
+            found = self.ending[state] = ((own,) if own else ()) + self.endings(self.fall_back(state))
+        return found
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made this one; None for a single byte."""
@@ -109,9 +154,12 @@ class Vocabulary:
         tokens now at the boundary would have merged earlier than the merge just undone,
         the boundary could not have survived.
         """
-        if len(self.verdicts) > 1_000_000:
-            self.verdicts.clear()
-        verdict = self.verdicts[left << 32 | right] = self._boundary_survives(left, right)
+        if self.judged > MOST_VERDICTS:
+            for known in self.verdicts:
+                known.clear()
+            self.judged = 0
+        self.judged += 1
+        verdict = self.verdicts[left][right] = self._boundary_survives(left, right)
         return verdict
 
     def _boundary_survives(self, left: int, right: int) -> bool:
@@ -131,31 +179,43 @@ class Vocabulary:
             else:
                 before, right = right + 1, b[0]
 
-    def fill(self, data: bytes, last: list[int], stop: int) -> None:
-        """Extend the last tokens to the prefix of ``stop`` bytes."""
-        rank, verdict, lengths = self.ranks.get, self.verdicts.get, self.lengths.get
-        for end in range(len(last) + 1, stop + 1):
-            for size in lengths(data[end - 2 : end], ()) if end > 1 else ():
+    def fill(self, data: bytes, last: list[int], stop: int, state: int) -> int:
+        """Extend the last tokens to the prefix of ``stop`` bytes; takes and gives the automaton's state."""
+        moves, ending, verdicts = self.moves, self.ending, self.verdicts
+        for end in range(len(last), stop):
+            byte = data[end]
+            into = moves[state].get(byte)
+            state = self.move(state, byte) if into is None else into
+            tokens = ending[state]
+            for token, size in self.endings(state) if tokens is None else tokens:
                 if size > end:
-                    continue
-                token = rank(data[end - size : end])
-                if token is None:
-                    continue
-                if size == end:
                     break
-                left = last[end - size - 1]
-                allowed = verdict(left << 32 | token)
+                left = last[end - size]
+                allowed = verdicts[left].get(token)
                 if allowed or (allowed is None and self.follows(left, token)):
                     break
             else:
-                token = self.ranks[data[end - 1 : end]]
-                if end > 1 and not (verdict(last[-1] << 32 | token) or self.follows(last[-1], token)):
-                    raise ValueError("the vocabulary is not closed under merges")
+                raise ValueError("the vocabulary is not closed under merges")
             last.append(token)
+        return state
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self, piece).ids()
+        if whole is not None:
+            return [whole]
+        last: list[int] = []
+        self.fill(piece, last, len(piece), 0)
+        return self.walk(last)
+
+    def walk(self, last: list[int]) -> list[int]:
+        """Tokens of the whole from the last tokens of its prefixes."""
+        found, end, sizes = [], len(last), self.sizes
+        while end:
+            token = last[end - 1]
+            found.append(token)
+            end -= sizes[token]
+        found.reverse()
+        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -184,10 +244,14 @@ class _Memory(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
+
+def _name(lines: bytes) -> str:
+    return f"bpe-{xxhash.xxh3_64_hexdigest(lines)}"
+
+
 def _memory(lines: bytes) -> _Memory:
     """One memory per Python worker, also across its tasks."""
-    return _Memory(Vocabulary(read_ranks(lines)))
+    return worker_memory(_name(lines), lambda: _Memory(Vocabulary(read_ranks(lines))))
 
 
 def _shared(df: DataFrame, path: str):
@@ -201,9 +265,9 @@ Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 def _encoder(lines, pattern: str) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(lines.value)
         cut = regex.compile(pattern).findall
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep=_name(lines.value)):
+            memory = _memory(lines.value)
             coded = [b"".join(map(memory.__getitem__, cut(value.as_py()))) for value in batch.column("text")]
             ends = np.cumsum([0, *map(len, coded)]) // 4
             flat = np.frombuffer(b"".join(coded), np.int32)
@@ -215,8 +279,8 @@ def _encoder(lines, pattern: str) -> Run:
 
 def _decoder(lines) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _memory(lines.value).vocabulary
         for whole in batches:
+            vocabulary = _memory(lines.value).vocabulary
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 decoded = [vocabulary.decode(value.values.to_numpy().tolist()) for value in batch.column("ids")]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,8 +52,34 @@ def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "16m") ->
             spark.conf.set(key, value)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about ``limit`` bytes of ``column``, or one row."""
+_HELD: dict[str, object] = {}
+
+
+def worker_memory(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps for its next tasks, until another operator's task comes."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as the next task may run in another worker."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, keep: str = ""
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about ``limit`` bytes of ``column``, or one row.
+
+    What the worker holds for other operators than ``keep`` is dropped first.
+    """
+    if any(name != keep for name in _HELD):
+        _HELD.clear()
+        give_back()
     for batch in batches:
         values = batch.column(column)
         start = held = 0
@@ -66,6 +93,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start)
         del batch, values
         pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def lower_ascii(text: Column) -> Column:
