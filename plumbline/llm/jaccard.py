@@ -9,8 +9,8 @@ Postings of one shingle and one size band form a tile; two sets can only be alik
 their bands are equal or neighbours.
 
 First every member of a tile is compared with one leader of its own and of the next
-band, twice with other leaders; that joins groups of near copies at a cost linear in
-their size. Tiles whose members then still lie in different components are compared
+band, then with all its leaders, and with leaders of another order; that joins groups of
+near copies at a cost linear in their size. Tiles whose members then still lie in different components are compared
 whole, in blocks of bounded size: hashed bitmaps, wider for larger sets, bound the overlap
 from above by counting differing bits, and only pairs of different components that pass reach
 the exact intersection of sorted arrays. No pair within one component is looked at again.
@@ -43,6 +43,8 @@ LEAST_BITS = 512
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
 #: Members of a tile compared in one block.
 BLOCK = 512
+#: Rounds that compare every member with a leader: by the smallest id, then by another order.
+LEADERS = (0, 1)
 
 
 def word_hashes(text: bytes, memory: WordHashes) -> np.ndarray:
@@ -216,17 +218,22 @@ def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, profiles: DataFrame, rows: DataFrame, repeated: DataFrame, size: int, percent: int
+) -> DataFrame:
     """Edges (a, b) among pairs of nodes whose similarity reaches the threshold.
 
-    The whole sets of the nodes in plausible pairs are made again from their texts.
+    The whole sets of the nodes in plausible pairs are made again from their texts, one per
+    node: ids that occur once name the text, the sets of null and ``repeated`` ids are told apart.
     """
     pairs = materialise(_plausible(pairs, profiles, percent), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialise(profiles.select("node", "doc_id").join(nodes, "node"), "wanted")
     ids = wanted.select("doc_id").distinct()
-    some = rows.join(ids, "doc_id", "left_semi").union(rows.filter("doc_id is null"))
-    sets = materialise(_set_rows(some, size).select("node", "shingles"), "sets")
+    named = _set_rows(rows.join(ids, "doc_id", "left_semi").join(repeated, "doc_id", "left_anti"), size)
+    unclear = rows.join(ids.join(repeated, "doc_id", "left_semi"), "doc_id", "left_semi").union(rows.filter("doc_id is null"))
+    unclear = _set_rows(unclear, size).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    sets = materialise(named.select("node", "shingles").union(unclear.select("node", "shingles")), "sets")
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("shingles").alias(f"{name}_shingles"), F.col("node").alias(name))
@@ -356,12 +363,12 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _contracted(members: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of tiles that still hold several components, and the components."""
+def _contracted(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """Members of tiles that still hold several components."""
     labels = components(edges)
     found = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     found = materialise(found, "labelled")
-    return materialise(_open_members(found), "open"), labels
+    return materialise(_open_members(found), "open")
 
 
 def similar_components(
@@ -396,13 +403,16 @@ def _similar_components(df: DataFrame, percent: int, size: int, key: str, text:
     members = materialise(members, "members")
 
     # First one leader for each class, the one of the smallest id; then all that are left.
+    repeated = every.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    told = (profiles, rows, materialise(repeated, "repeated-ids"), size, percent)
     first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
-    edges = _verified(first, profiles, rows, size, percent)
-    members, labels = _contracted(members, edges)
-    leaders = _leader_pairs(members, 0).select("a", F.col("leader.node").alias("b"))
-    edges = edges.union(_verified(leaders, profiles, rows, size, percent))
-    members, labels = _contracted(members, edges)
-    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), profiles, rows, size, percent))
+    edges = _verified(first, *told)
+    members = _contracted(members, edges)
+    for seed in LEADERS:
+        leaders = _leader_pairs(members, seed).select("a", F.col("leader.node").alias("b"))
+        edges = edges.union(_verified(leaders, *told))
+        members = _contracted(members, edges)
+    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), *told))
     labels = components(edges)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

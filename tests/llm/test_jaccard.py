@@ -105,3 +105,18 @@ def test_bitmap_bound():
         x, y = (np.unique(rng.choice(pool, rng.integers(1, 900))) for _ in range(2))
         differ = jaccard.differing(jaccard.bitmap(x), jaccard.bitmap(y))
         assert len(np.intersect1d(x, y)) <= (len(x) + len(y) - differ) // 2
+
+
+def test_sets_are_unique_per_node(spark, monkeypatch):
+    """Rows without or with repeated ids: one set per node reaches the comparison, however many copies there are."""
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(None, " ".join(base), "x")] * 30 + [(None, near, "x")] * 30 + [(5, " ".join(base[5:] + ["z"]), "x"), (5, "q r s t u v", "x")]
+    written = {}
+    plain = jaccard.materialise
+    monkeypatch.setattr(jaccard, "materialise", lambda df, label: written.setdefault(label, []).append(plain(df, label)) or written[label][-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    found = jaccard.similar_components(df, percent=80, size=3).collect()
+    assert len(found) == 62
+    for sets in written["sets"]:
+        assert sets.count() == sets.select("node").distinct().count() <= 3

@@ -70,3 +70,31 @@ def test_empty(spark, world):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, folder)
         assert docs.columns == COLUMNS and docs.count() == 0
+
+
+def test_rows_of_one_id_are_judged_apart(spark, world):
+    """A clean row stays, whatever another row of its id holds."""
+    folder, rows = world
+    passage = next(r[1] for r in rows if r[0] == 402).split(" ")[-40:]
+    clean = rows[50][1]
+    some = [(i, rows[i][1]) for i in range(40)]
+    own = [(7000, " ".join(passage)), (7000, clean), (None, clean + " x"), (7001, rows[60][1]), (7001, rows[60][1] + " a")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "k") for i, t in some + own], "doc_id long, text string, lang string, source string, n_chars long, row_key string")
+    left = corpus_pipeline.decontaminated(spark, docs, folder).collect()
+    assert sorted(r.text for r in left if r.doc_id == 7000) == [clean] and len(left) == 44
+    left = corpus_pipeline.one_of_each(spark, docs, folder)
+    assert left.columns == [*COLUMNS, "row_key"]
+    left = left.collect()
+    assert {r.text for r in left if r.doc_id == 7000} == {" ".join(passage), clean} and None not in {r.doc_id for r in left}
+    assert sum(r.doc_id == 7001 for r in left) == 1
+
+
+def test_without_a_package_the_other_queries_stay(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(corpus_pipeline.__file__).parent
+    code = "import sys; sys.modules['sentencepiece'] = None; import __spark_entry__ as e; q = e.queries(); print('pipeline' in q, 'gains_table' in q)"
+    out = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True)
+    assert out.stdout.split() == ["False", "True"]
