@@ -13,59 +13,74 @@ from plumbline.llm.common import materialise, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: Name of the row key while a stage decides; not a column of documents.
-KEY = "stage_row_key"
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with a key of id and text together, and the name of its column.
 
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Documents with a key: the id, or a negative hash of the text where there is none."""
-    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("bigint"), -F.abs(text.bitwiseAND((1 << 62) - 1)) - 2))
+    Rows of one id and different texts are judged apart; equal ones are judged alike.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    return docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))), key
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
     """Rows whose key is not rejected, with the columns of documents."""
-    gone = rejected.select(F.col("doc_id").alias(KEY)).distinct()
-    return docs.join(gone, KEY, "left_anti").drop(KEY)
+    gone = rejected.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, key, "left_anti").drop(key)
 
 
 def trusted_like(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents within their language's perplexity limit."""
-    docs = _keyed(docs)
-    judged = kneser_ney.quality_classifier(docs, table(spark, folder, "labels"), key=KEY)
-    return _without(docs, judged.filter(~F.col("kept")))
+    """Documents within their language's perplexity limit.
+
+    Labels belong to all rows of their id. Null and empty texts have no word to judge by and
+    go as the classifier says; equal rows share a verdict. No documents: none are left.
+    """
+    keyed, key = _keyed(docs)
+    labels = table(spark, folder, "labels")
+    keys = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), key).distinct()
+    labels = labels.join(keys, "doc_id").drop("doc_id").withColumnRenamed(key, "doc_id")
+    judged = kneser_ney.quality_classifier(keyed, labels, key=key)
+    return _without(keyed, key, judged.filter(~F.col("kept")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document of the smallest id of each group of near-duplicates; of repeated rows one stays.
 
-    Five-word shingles, similarity 0.8 or more.
+    Five-word shingles, similarity 0.8 or more. A null id comes last; equal ids go by key.
+    Null and empty texts are near nothing, but are repeated rows if id and text are equal.
     """
-    keyed = _keyed(docs)
-    found = materialise(jaccard.similar_components(keyed, percent=80, size=5, key=KEY), "near-duplicates")
-    copies = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    keyed, key = _keyed(docs)
+    found = materialise(jaccard.similar_components(keyed, percent=80, size=5, key=key), "near-duplicates")
+    ids = keyed.select(key, F.col("doc_id").cast("bigint").alias("id")).distinct()
+    rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("doc_id"))
+    ranked = found.join(ids.withColumnRenamed(key, "doc_id"), "doc_id")
+    first = ranked.groupBy("component_id").agg(F.min(rank)["doc_id"].alias("doc_id"))
+    copies = materialise(found.select("doc_id").distinct().join(first, "doc_id", "left_anti").select("doc_id"), "copies")
     repeated = materialise(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    kept = _without(keyed, copies.union(repeated))
-    again = keyed.join(repeated.select(F.col("doc_id").alias(KEY)), KEY, "left_semi")
-    again = again.join(copies.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti")
-    return kept.unionByName(again.dropDuplicates([KEY, "text"]).drop(KEY))
+    kept = _without(keyed, key, copies.union(repeated))
+    again = keyed.join(repeated.join(copies, "doc_id", "left_anti").withColumnRenamed("doc_id", key), key, "left_semi")
+    return kept.unionByName(again.dropDuplicates([key]).drop(key))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words lie in benchmark windows."""
-    docs = _keyed(docs)
-    found = decontaminate.find_passages(docs, table(spark, folder, "benchmark"), key=KEY)
-    return _without(docs, decontaminate.with_verdict(found).filter("contaminated"))
+    """Documents of which less than a twentieth of the words lie in benchmark windows.
+
+    Texts without words stay; rows of one id are judged by their own text.
+    """
+    keyed, key = _keyed(docs)
+    found = decontaminate.find_passages(keyed, table(spark, folder, "benchmark"), key=key)
+    return _without(keyed, key, decontaminate.with_verdict(found).filter("contaminated"))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Personal data is replaced by its kind; n_chars follows the new text."""
+    """Personal data is replaced by its kind; n_chars follows the new text. Null texts stay null."""
     clean = docs.withColumn("text", pii.redacted(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) of every text left."""
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) of every text left; null has no tokens."""
     return bpe.bpe_round_trip(docs, catalog.RANKS, catalog.PATTERN)
 
 
