@@ -9,8 +9,8 @@ Postings of one shingle and one size band form a tile; two sets can only be alik
 their bands are equal or neighbours.
 
 First every member of a tile is compared with one leader of its own and of the next
-band, then with all its leaders, and with leaders of another order; that joins groups of
-near copies at a cost linear in their size. Tiles whose members then still lie in different components are compared
+band, then with all its leaders, and in further rounds with leaders of another order; that
+joins groups of near copies at a cost linear in their size. Tiles whose members then still lie in different components are compared
 whole, in blocks of bounded size: hashed bitmaps, wider for larger sets, bound the overlap
 from above by counting differing bits, and only pairs of different components that pass reach
 the exact intersection of sorted arrays. No pair within one component is looked at again.
@@ -43,8 +43,6 @@ LEAST_BITS = 512
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
 #: Members of a tile compared in one block.
 BLOCK = 512
-#: Rounds that compare every member with a leader: by the smallest id, then by another order.
-LEADERS = (0, 1)
 
 
 def word_hashes(text: bytes, memory: WordHashes) -> np.ndarray:
@@ -372,18 +370,20 @@ def _contracted(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def similar_components(
-    df: DataFrame, percent: int, size: int, key: str = "doc_id", text: str = "text"
+    df: DataFrame, percent: int, size: int, key: str = "doc_id", text: str = "text", rounds: int = 1
 ) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, n_copies) for links of similarity percent / 100 or more.
 
     ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
-    What runs in Python is written here, in small batches.
+    ``rounds`` compare members with all leaders of their tiles, each in another order of the
+    members: more of them leave fewer pairs where large groups of near copies miss each other's
+    leaders; the result is the same. What runs in Python is written here, in small batches.
     """
     with small_batches(df.sparkSession):
-        return _similar_components(df, percent, size, key, text)
+        return _similar_components(df, percent, size, key, text, rounds)
 
 
-def _similar_components(df: DataFrame, percent: int, size: int, key: str, text: str) -> DataFrame:
+def _similar_components(df: DataFrame, percent: int, size: int, key: str, text: str, rounds: int) -> DataFrame:
     rows = texts(df, key, text)
     every = materialise(_profiles(rows, size, percent, _order(rows, size)), "profiles")
     full = every.filter("n > 0")
@@ -408,7 +408,7 @@ def _similar_components(df: DataFrame, percent: int, size: int, key: str, text:
     first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
     edges = _verified(first, *told)
     members = _contracted(members, edges)
-    for seed in LEADERS:
+    for seed in range(rounds):
         leaders = _leader_pairs(members, seed).select("a", F.col("leader.node").alias("b"))
         edges = edges.union(_verified(leaders, *told))
         members = _contracted(members, edges)
