@@ -51,7 +51,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     Null and empty texts are near nothing, but are repeated rows if id and text are equal.
     """
     keyed, key = _keyed(docs)
-    found = materialise(jaccard.similar_components(keyed, percent=80, size=5, key=key), "near-duplicates")
+    found = materialise(jaccard.similar_components(keyed, percent=80, size=5, key=key, rounds=2), "near-duplicates")
     ids = keyed.select(key, F.col("doc_id").cast("bigint").alias("id")).distinct()
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("doc_id"))
     ranked = found.join(ids.withColumnRenamed(key, "doc_id"), "doc_id")
