@@ -16,10 +16,14 @@ only a few hundred buckets a group are shuffled; the subset is whole buckets, up
 one that holds the wanted rank. Sums are exact (integers in decimals), so the result
 does not depend on partitioning.
 
+A group's estimate is averaged with that of its language, that with the one of the whole
+table, and that with fixed spreads: a group of n rows counts n, what stands above it
+``prior_rows``. So a small group leans on a larger one, and there is no size at which the
+verdict jumps.
+
 Null text: no words, fails the base rules. Null language or source: a group of its own.
-Groups with fewer than ``min_rows`` rows are pooled within their language; if the pool is
-still smaller, only the base rules apply. Repeated rows are measured one by one, other
-columns are ignored, an empty table gives an empty result, text length is not limited.
+Repeated rows are measured one by one, other columns are ignored, an empty table gives an
+empty result, text length is not limited.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ TAIL = 1e-7
 STEPS = 4
 #: Distance buckets per doubling.
 FINE = 32
+#: Rows that the estimate above a group counts for, and standard deviations above the whole table.
+PRIOR_ROWS, PRIOR = 10, (0.15, 0.10, 0.15, 0.15)
 
 
 def chi_square(x: float, degrees: int) -> float:
@@ -171,21 +177,62 @@ def _with_factor(moments: DataFrame, correction: float) -> DataFrame:
             cov = (mean - F.col(f"m_{FEATURES[i]}") * F.col(f"m_{FEATURES[j]}")) * correction
             if i == j:
                 cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i] ** 2
-            rest = cov
+            frame = frame.withColumn(f"c_{i}{j}", cov)
+    return _factored(frame).select("lang", "cell", "n", *_model_columns())
+
+
+def _factored(frame: DataFrame) -> DataFrame:
+    """Adds the Cholesky factor of the covariance in the columns c_ij."""
+    for i in range(len(FEATURES)):
+        for j in range(i + 1):
+            rest = F.col(f"c_{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}")
             value = F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l_{j}{j}")
             frame = frame.withColumn(f"l_{i}{j}", value)
-    return frame.select("lang", "cell", *_model_columns())
+    return frame
 
 
 def _model_columns() -> list[str]:
+    return [f"m_{f}" for f in FEATURES] + _corners("l")
+
+
+def _corners(letter: str) -> list[str]:
+    return [f"{letter}_{i}{j}" for i in range(len(FEATURES)) for j in range(i + 1)]
+
+
+def leaning(models: DataFrame, prior_rows: float = PRIOR_ROWS) -> DataFrame:
+    """Estimates of the groups, each averaged with what stands above it.
+
+    ``models`` has rows (lang, "=source"), (lang, "*") and one of the whole table ("", "**");
+    that one, fifteen numbers, is read on the driver.
+    """
     size = range(len(FEATURES))
-    return [f"m_{f}" for f in FEATURES] + [f"l_{i}{j}" for i in size for j in range(i + 1)]
+    means = [f"m_{f}" for f in FEATURES]
+    whole = {
+        f"c_{i}{j}": reduce(lambda a, b: a + b, [F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}") for k in range(j + 1)])
+        for i in size
+        for j in range(i + 1)
+    }
+    plain = materialise(models.select("lang", "cell", "n", *means, *[c.alias(n) for n, c in whole.items()]), "mcd-levels")
+
+    def averaged(above: dict[str, Column]) -> list[Column]:
+        return [((F.col("n") * F.col(c) + prior_rows * above[c]) / (F.col("n") + prior_rows)).alias(c) for c in above]
+
+    fixed = {c: F.lit(PRIOR[int(c[2])] ** 2 if c[2] == c[3] else 0.0) for c in whole}
+    table = plain.filter("cell = '**'")
+    top = table.select(*means, *averaged(fixed)).first()
+    above = {c: F.lit(top[c] if top else None).cast("double") for c in [*means, *whole]}
+    languages = plain.filter("cell = '*'")
+    languages = languages.select("lang", *averaged(above))
+    languages = languages.select("lang", *[F.col(c).alias(f"above_{c}") for c in above])
+    groups = plain.filter(F.col("cell").startswith("=")).join(languages, "lang")
+    groups = groups.select("lang", "cell", *averaged({c: F.col(f"above_{c}") for c in above}))
+    return materialise(_factored(groups).select("lang", "cell", *_model_columns()), "mcd-leaning")
 
 
 def _joined(rows: DataFrame, model: DataFrame, how: str = "inner") -> DataFrame:
-    return rows.join(model, ["lang", "cell"], how)
+    return rows.join(model.select("lang", "cell", *_model_columns()), ["lang", "cell"], how)
 
 
 def _sums() -> list[Column]:
@@ -210,7 +257,7 @@ def covariance_estimates(rows: DataFrame, steps: int = STEPS, subset: float = SU
     size = range(len(FEATURES))
     centre = materialise(_middle(rows, {f: F.col(f) for f in FEATURES}), "mcd-centre")
     away = {f: F.abs(F.col(f) - F.col(f"m_{f}") * SCALE) for f in FEATURES}
-    spread = _middle(_joined(rows, centre), away)
+    spread = _middle(rows.join(centre, ["lang", "cell"]), away)
     spread = spread.select("lang", "cell", *[F.col(f"m_{f}").alias(f"d_{f}") for f in FEATURES])
     factor = [
         (F.greatest(1.4826 * F.col(f"d_{FEATURES[i]}"), F.lit(FLOORS[i])) if i == j else F.lit(0.0)).alias(f"l_{i}{j}")
@@ -253,29 +300,31 @@ def quality_rules(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
-    min_rows: int = 100,
+    prior_rows: float = PRIOR_ROWS,
     tail: float = TAIL,
 ) -> DataFrame:
     """Rows (doc_id, counts, base_failed, distance, kept) of every whole text.
 
     ``tail`` is the share of a normal population beyond the limit. ``distance`` is null
-    where no estimate applies.
+    where all of a group fail the base rules.
     """
     group = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))]
     rows = text_statistics(df, key, text, *group).withColumn("base_failed", base_rules())
     rows = materialise(rows.select("*", *_features()), "quality")
     good = rows.filter(~F.col("base_failed"))
-    sizes = good.groupBy("lang", "source").count()
-    enough = F.when(F.col("count") >= min_rows, F.concat(F.lit("="), F.col("source"))).otherwise(F.lit("*"))
-    pooled = F.sum("count").over(Window.partitionBy("lang", "cell"))
-    cells = materialise(
-        sizes.select("*", enough.alias("cell")).select("lang", "source", "cell", (pooled >= min_rows).alias("large")), "cells"
+    own, any_ = F.concat(F.lit("="), F.col("source")), F.lit("*")
+    levels = F.explode(
+        F.array(
+            F.struct("lang", own.alias("cell")),
+            F.struct("lang", any_.alias("cell")),
+            F.struct(F.lit("").alias("lang"), F.lit("**").alias("cell")),
+        )
     )
-    placed = rows.join(cells, ["lang", "source"], "left")
-    measured = placed.filter(F.col("large") & ~F.col("base_failed")).select("lang", "cell", *FEATURES, *COUNTED.values())
-    model = reweighted(measured, covariance_estimates(measured))
+    measured = good.select(levels.alias("level"), *FEATURES, *COUNTED.values())
+    measured = measured.select("level.lang", "level.cell", *FEATURES, *COUNTED.values())
+    model = leaning(reweighted(measured, covariance_estimates(measured)), prior_rows)
     limit = chi_square_quantile(1 - tail, len(FEATURES))
-    judged = _resolved(_joined(placed, model, "left")).withColumn("distance", F.when(F.col("large"), _distance()))
+    judged = _resolved(_joined(rows.withColumn("cell", own), model, "left")).withColumn("distance", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", kept.alias("kept"), "distance")

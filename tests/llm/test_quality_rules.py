@@ -79,7 +79,7 @@ def test_rules(spark):
     assert got.count() == len(rows)
     assert sum(not kept[i].kept for i in range(300)) <= 3
     assert not any(kept[1000 + i].kept for i in range(20))
-    assert kept[2000].base_failed and kept[2001].base_failed and kept[2002].kept and kept[2002].distance is None
+    assert kept[2000].base_failed and kept[2001].base_failed and kept[2002].kept
     assert q.quality_rules(df.limit(0)).count() == 0
     assert "Python" not in got._jdf.queryExecution().toString()
 
@@ -126,3 +126,40 @@ def test_repeated_words_alone_are_rejected(spark):
     assert all(not got[1000 + i].base_failed and not got[1000 + i].kept for i in range(4))
     assert sum(not got[i].kept for i in range(300)) <= 1
     assert all(got[2000 + i].kept for i in range(4)) and got[3000].kept
+
+
+def test_verdict_does_not_jump_with_size(spark):
+    """Eight junk texts go from groups of any of these sizes, and clean texts of small groups stay."""
+    rng = random.Random(10)
+    vocabulary = _words(rng)
+    for clean in (60, 110):
+        rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 200))), "en", "s") for i in range(clean)]
+        rows += [(1000 + i, " ".join(w + "%%%" for w in rng.choices(vocabulary, k=80)), "en", "s") for i in range(8)]
+        rows += [(2000 + i, " ".join(rng.choices(vocabulary, k=90)), "en", f"small {i // 3}") for i in range(9)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        kept = {r.doc_id: r.kept for r in q.quality_rules(df).collect()}
+        assert not any(kept[1000 + i] for i in range(8)), clean
+        assert sum(not kept[i] for i in range(clean)) <= 1 and all(kept[2000 + i] for i in range(9)), clean
+    few = df.filter("doc_id in (0, 1, 2000)")
+    assert q.quality_rules(few).filter("kept").count() == 3
+
+
+def test_small_groups_lean_on_larger_ones(spark):
+    """Weighted means of centres and covariances over the three levels, by hand."""
+    rng = np.random.default_rng(3)
+    levels = {("en", "=s"): 7, ("en", "*"): 40, ("", "**"): 90, ("fr", "=t"): 50, ("fr", "*"): 50}
+    centre = {k: rng.normal(size=4) for k in levels}
+    low = {k: np.tril(rng.normal(size=(4, 4))) + 3 * np.eye(4) for k in levels}
+    rows = [(*k, n, *map(float, centre[k]), *[float(low[k][i, j]) for i in range(4) for j in range(i + 1)]) for k, n in levels.items()]
+    df = spark.createDataFrame(rows, ["lang", "cell", "n", *q._model_columns()])
+    got = {(r.lang, r.cell): r for r in q.leaning(df, 10).collect()}
+    assert set(got) == {("en", "=s"), ("fr", "=t")}
+    mean, cov = centre[("", "**")], (90 * low[("", "**")] @ low[("", "**")].T + 10 * np.diag(np.square(q.PRIOR))) / 100
+    for lang, cell in got:
+        m, c = mean, cov
+        for k in ((lang, "*"), (lang, cell)):
+            n = levels[k]
+            m, c = (n * centre[k] + 10 * m) / (n + 10), (n * low[k] @ low[k].T + 10 * c) / (n + 10)
+        r = got[lang, cell]
+        factor = np.array([[r[f"l_{i}{j}"] if j <= i else 0 for j in range(4)] for i in range(4)])
+        assert np.allclose([r[f"m_{f}"] for f in q.FEATURES], m) and np.allclose(factor @ factor.T, c)
