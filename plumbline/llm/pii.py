@@ -13,6 +13,7 @@ points, the end is exclusive; ties are ordered by start, then kind as listed in
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -195,7 +196,7 @@ def _as_digits(text: str, start: int, end: int, spelled: list[re.Match]) -> list
     edits: list[tuple[int, int, str]] = []
     for word, after in zip(spelled, [*spelled[1:], None]):
         close = after and not re.sub(r"[\s,\-]", "", text[word.end() : after.start()])
-        edits.append((word.start(), after.start() if close else word.end(), DIGIT_WORDS[word[0].lower()]))
+        edits.append((word.start(), after.start() if close else word.end(), DIGIT_WORDS[word[0].lower().replace("\u0307", "")]))
     taken = [(a, b) for a, b, _ in edits]
     wide = [(m.start(), m.end(), " ") for m in _WIDE.finditer(text, start, end)]
     return sorted([*edits, *(w for w in wide if not any(a < w[1] and w[0] < b for a, b in taken))])
@@ -231,6 +232,30 @@ def read_digits(tape: Tape) -> None:
     tape.rewrite([(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(tape.text)])
 
 
+_ENTITY = re.compile(r"&(?:#[0-9]{2,7}|#[xX][0-9A-Fa-f]{2,6}|commat|period|plus|nbsp|hyphen|lowbar|num);")
+
+
+def read_entities(tape: Tape) -> None:
+    """Character references of signs, letters and digits become the characters themselves."""
+    found = [(m.start(), m.end(), html.unescape(m[0])) for m in _ENTITY.finditer(tape.text)]
+    tape.rewrite([edit for edit in found if len(edit[2]) == 1])
+
+
+# Digits with letters among them that look like digits, in a run as long as a card number.
+_MIXED = re.compile(r"(?<![^\W_])[0-9](?:[ -]?[0-9lIOo]){13,18}(?![^\W_])")
+_AS_DIGIT = str.maketrans("lIOo", "1100")
+
+
+def read_mixed(tape: Tape) -> None:
+    """Letters in a run of digits become digits if that makes a card number of it."""
+    edits = []
+    for run in _MIXED.finditer(tape.text):
+        letters = [i for i in range(run.start(), run.end()) if tape.text[i] in "lIOo"]
+        if letters and 4 * len(letters) <= len(run[0]) and any(_cards(run[0].translate(_AS_DIGIT))):
+            edits += [(i, i + 1, tape.text[i].translate(_AS_DIGIT)) for i in letters]
+    tape.rewrite(edits)
+
+
 _AT_WORD, _DOT_WORD = "(?:at|arroba|arobase|chez|ät|@)", r"(?:dot|point|punkt|punto|\.)"
 _OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,2}", r"\s{0,2}[\])}>]\s{0,3}"
 _LEFT, _RIGHT = r"(?<=[A-Za-z0-9])", r"(?=[A-Za-z0-9])"
@@ -278,32 +303,43 @@ def join_addresses(tape: Tape) -> None:
 
 
 _LETTERS = re.compile(r"[a-zà-ÿ]+")
-_CLOSED = re.compile(r"[\[({<]\s{0,2}(?:at|arroba|arobase|chez|ät|@)\s{0,2}[\])}>]|[_*-](?:at|dot)[_*-]|\s@|@\s", re.IGNORECASE)
+_CLOSED = re.compile(r"[\[({<]\s{0,2}(?:at|arroba|arobase|chez|ät|@|\.)\s{0,2}[\])}>]|[_*-]at[_*-]|\s@|@\s", re.IGNORECASE)
+_DOT_WORDS = frozenset(("dot", "point", "punkt", "punto", "arroba", "arobase"))
+
 
+def _words_of(text: str) -> set[str]:
+    return set(_LETTERS.findall(text.lower().replace("\u0307", "")))
 
-def normalised(text: str) -> Tape | None:
-    """The rewritten tape, or None if nothing in the text calls for a transducer."""
-    steps: list[Callable[[Tape], None]] = []
-    probe = text
-    if not text.isascii() and any(_reading(c) is not None for c in set(text) if c > "\x7f"):
-        steps.append(fold_characters)
+
+def normalised(text: str, always: bool = False) -> Tape | None:
+    """The rewritten tape, or None if nothing in the text calls for a transducer.
+
+    A transducer is left out only where none of its rules can apply to the tape as it stands
+    then: each rule needs a word or a sign that is looked for first. ``always`` runs them all.
+    """
+    tape: Tape | None = None
+    now = text
+    if always or "&" in text and _ENTITY.search(text):
         tape = Tape(text)
+        read_entities(tape)
+        now = tape.text
+    if always or not now.isascii() and any(_reading(c) is not None for c in set(now) if c > "\x7f"):
+        tape = tape or Tape(text)
         fold_characters(tape)
-        probe = tape.text
-    else:
-        tape = Tape("")
-    names = set(_LETTERS.findall(probe.lower()))
-    if not names.isdisjoint(DIGIT_WORDS) or not names.isdisjoint(_PLUS_WORDS):
-        steps.append(read_digits)
-    if not names.isdisjoint(("dot", "point", "punkt", "punto", "arroba", "arobase")) or _CLOSED.search(probe) or ("at" in names and (_BARE_AT.search(probe) or _BARE_AT_ANY.search(probe))):
-        steps.append(join_addresses)
-    if not steps:
-        return None
-    if steps[0] is not fold_characters:
-        tape = Tape(text)
-    for step in steps:
-        if step is not fold_characters:
-            step(tape)
+        now = tape.text
+    names = _words_of(now)
+    if always or not names.isdisjoint(DIGIT_WORDS) or not names.isdisjoint(_PLUS_WORDS) or not names.isdisjoint(_DOT_WORDS):
+        tape = tape or Tape(text)
+        read_digits(tape)
+        now = tape.text
+    if always or _MIXED.search(now):
+        tape = tape or Tape(text)
+        read_mixed(tape)
+        now = tape.text
+    bare = "at" in names and (_BARE_AT.search(now) or _BARE_AT_ANY.search(now))
+    if always or bare or not names.isdisjoint(_DOT_WORDS) or _CLOSED.search(now):
+        tape = tape or Tape(text)
+        join_addresses(tape)
     return tape
 
 

@@ -113,3 +113,45 @@ def test_no_new_reading(text):
 
 def test_long_blanks():
     assert pii.find("one 1" + " " * 300_000 + "x" + "1 \n" * 100_000 + " six") == ([], [])
+
+
+@pytest.mark.parametrize(
+    "text, source, kind",
+    [
+        ("john@example[.]com", "john@example[.]com", "email"),
+        ("192[.]168[.]0[.]1", "192[.]168[.]0[.]1", "ip"),
+        ("john&#64;example.com", "john&#64;example.com", "email"),
+        ("john&commat;example&#x2e;com", "john&commat;example&#x2e;com", "email"),
+        ("card 4l11 1111 1111 1111 ok", "4l11 1111 1111 1111", "card"),
+        ("card 4111 11ll 1111 11I1", "4111 11ll 1111 11I1", "card"),
+    ],
+)
+def test_found_alone(text, source, kind):
+    base, added = pii.find(text)
+    assert [(text[a:b], k) for a, b, k in added] == [(source, kind)], (base, added)
+
+
+DISGUISED = [
+    "john", "rob_1", "@", " at ", "[at]", "(at)", " AT ", "_at_", " @ ", "example", "firma", ".", "[.]", " (.) ", " dot ", "_dot_", " punto ",
+    "com", "pl", "192", "168", "0", "one", "ΟΝΕ", "four", "SİX", "fünf", "plus ", "+", " ", " ", "\n", "-", "4111", "4l11", "1111", "&#64;",
+    "&#49;", "а", "е", "４", "\u200b", " arroba ", "ät", "point", "e",
+]
+
+
+def test_gate_never_decides():
+    """All transducers, or only those whose words and signs occur: the same tape."""
+    rng = random.Random(11)
+    for _ in range(20_000):
+        text = "".join(rng.choice(DISGUISED) for _ in range(rng.randint(1, 14)))
+        tape, every = pii.normalised(text), pii.normalised(text, always=True)
+        assert every.text == (tape.text if tape else text), text
+        if tape:
+            assert (tape.starts, tape.ends) == (every.starts, every.ends), text
+
+
+def test_unrelated_text_changes_nothing():
+    rng = random.Random(12)
+    tails = ["good point", "three apples", "look at this", "Добрый день", "plus a dot", "R&#38;D"]
+    for _ in range(5_000):
+        text = "".join(rng.choice(DISGUISED) for _ in range(rng.randint(1, 12))) + " end"
+        assert pii.find(text + " ;;\n;; and " + rng.choice(tails)) == pii.find(text), text
