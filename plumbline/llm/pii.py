@@ -242,7 +242,7 @@ def read_entities(tape: Tape) -> None:
 
 
 # Digits with letters among them that look like digits, in a run as long as a card number.
-_MIXED = re.compile(r"(?<![^\W_])[0-9](?:[ -]?[0-9lIOo]){13,18}(?![^\W_])")
+_MIXED = re.compile(r"[0-9](?<![^\W_][0-9])(?:[ -]?[0-9lIOo]){13,18}(?![^\W_])")
 _AS_DIGIT = str.maketrans("lIOo", "1100")
 
 
@@ -328,7 +328,8 @@ def normalised(text: str, always: bool = False) -> Tape | None:
         fold_characters(tape)
         now = tape.text
     names = _words_of(now)
-    if always or not names.isdisjoint(DIGIT_WORDS) or not names.isdisjoint(_PLUS_WORDS) or not names.isdisjoint(_DOT_WORDS):
+    digits = not names.isdisjoint(DIGIT_WORDS) or not names.isdisjoint(_PLUS_WORDS)
+    if always or digits or not names.isdisjoint(_DOT_WORDS) and _DIGIT_DOT.search(now):
         tape = tape or Tape(text)
         read_digits(tape)
         now = tape.text
