@@ -9,11 +9,12 @@ Postings of one shingle and one size band form a tile; two sets can only be alik
 their bands are equal or neighbours.
 
 First every member of a tile is compared with one leader of its own and of the next
-band, then with all its leaders, and in further rounds with leaders of another order; that
-joins groups of near copies at a cost linear in their size. Tiles whose members then still lie in different components are compared
-whole, in blocks of bounded size: hashed bitmaps, wider for larger sets, bound the overlap
-from above by counting differing bits, and only pairs of different components that pass reach
-the exact intersection of sorted arrays. No pair within one component is looked at again.
+band, then with all its leaders, and in further rounds with leaders that each shingle orders
+in its own way; that joins groups of near copies at a cost linear in their size. Tiles whose
+members then still lie in different components are compared whole, in blocks of bounded size:
+hashed bitmaps, wider for larger sets, bound the overlap from above by counting differing
+bits, and only pairs of different components that pass reach the exact intersection of sorted
+arrays. No pair within one component is looked at again.
 
 Null and empty texts have no shingles and are linked with nothing; a text of fewer words
 than a shingle is one shingle. Null ids: such rows get the component of their class (null
@@ -259,8 +260,12 @@ def _verified(
 
 
 def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Each member with the leaders of its own tiles and of the next band's tiles of the shingle."""
-    order = F.struct("first_id", "node") if seed == 0 else F.struct(F.xxhash64("node", F.lit(seed)), "node")
+    """Each member with the leaders of its own tiles and of the next band's tiles of the shingle.
+
+    Seed 0: the same order of members in every tile, so that few lead; otherwise an order of
+    each shingle's own, so that a member meets about as many leaders as it has tiles.
+    """
+    order = F.struct("first_id", "node") if seed == 0 else F.struct(F.xxhash64("node", "token", F.lit(seed)), "node")
     leaders = members.groupBy("token", "band").agg(
         F.min(F.struct(order.alias("leader"), "label")).alias("head"), F.count("*").alias("size")
     )
@@ -375,9 +380,10 @@ def similar_components(
     """Rows (doc_id, n_shingles, component_id, n_copies) for links of similarity percent / 100 or more.
 
     ``component_id``: smallest id reachable by links; ``n_copies``: rows of the same class.
-    ``rounds`` compare members with all leaders of their tiles, each in another order of the
-    members: more of them leave fewer pairs where large groups of near copies miss each other's
-    leaders; the result is the same. What runs in Python is written here, in small batches.
+    ``rounds`` compare members with all leaders of their tiles, the first with one order of the
+    members, others with an order per shingle: more of them leave fewer pairs where large groups
+    of near copies miss each other's leaders; the result is the same. What runs in Python is
+    written here, in small batches.
     """
     with small_batches(df.sparkSession):
         return _similar_components(df, percent, size, key, text, rounds)
