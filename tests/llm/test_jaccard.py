@@ -87,6 +87,36 @@ def test_hub_without_central_leader(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 88, 3)
 
 
+def test_rounds_of_other_leaders(spark, monkeypatch):
+    """A large group whose members mostly miss one leader: joined by leaders of each shingle, not by all pairs."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(300)]
+    rows = []
+    for i in range(250):
+        copy = list(base)
+        for j in rng.sample(range(300), 7 if i < 30 else rng.randint(2, 4)):
+            copy[j] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(rng.choice(vocabulary) for _ in range(50))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, pairs = jaccard.materialise, []
+
+    def counted(frame, label):
+        found = plain(frame, label)
+        if label == "pairs":
+            pairs[-1].append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    for rounds in (1, 2):
+        pairs.append([])
+        got = jaccard.similar_components(df, 80, 5, rounds=rounds).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 80, 5)
+    # The last count is that of the tiles compared whole.
+    assert 4 * pairs[1][-1] <= pairs[0][-1], pairs
+
+
 def test_empty(spark):
     assert jaccard.similar_components(spark.createDataFrame([], "doc_id long, text string"), 90, 3).count() == 0
 
