@@ -9,7 +9,8 @@ document has one entry per seventy bytes or so, and only anchors met twice go on
 The bytes around such anchors are sorted: suffixes start at every window, and a bottom-up
 mergesort compares two of them by their longest common extension, found by binary search
 over prefix polynomial hashes in a logarithmic number of steps. Neighbours in the order
-that agree over the whole length are verified byte by byte. Equal surroundings are one
+that agree over the whole length are verified byte by byte; different strings of one hash
+are told apart by their bytes. Equal surroundings are one
 entry with a count, so copies of a document cost one entry however many there are. All
 different surroundings of one anchor are sorted in one task, which is not bounded: it grows
 with the number of different texts around one shared phrase that is chosen as anchor.
@@ -191,14 +192,17 @@ def repeated_windows(entries: list[tuple[int, int, bytes, int]], length: int) ->
     same = np.zeros(len(x), bool)
     near = np.flatnonzero(segment[1:] == segment[:-1])
     same[near + 1] = sorter.common(x[near], x[near + 1]) == length
-    # Verification: hashes that agree must stand for equal bytes.
+    classes = np.cumsum(~same) - 1
+    # Verification: hashes that agree must stand for equal bytes, else the class is split by them.
     view = np.lib.stride_tricks.sliding_window_view(data, length)
     pairs = np.flatnonzero(same)
+    unlike = set()
     for at in range(0, len(pairs), 4096):
         some = pairs[at : at + 4096]
-        if not (view[x[some]] == view[x[some - 1]]).all():
-            raise ArithmeticError("two different strings share a hash; choose another base")
-    classes = np.cumsum(~same) - 1
+        unlike.update(classes[some[(view[x[some]] != view[x[some - 1]]).any(axis=1)]].tolist())
+    for mixed in unlike:
+        members = np.flatnonzero(classes == mixed)
+        classes[members] = classes.max() + 1 + np.unique(view[x[members]], axis=0, return_inverse=True)[1].ravel()
     weight = np.bincount(classes, np.array([e[3] for e in entries])[owner[order]])
     hit = weight[classes] >= 2
     result = np.zeros(len(x), bool)

@@ -49,6 +49,20 @@ def test_anchor_depends_on_window_only():
         assert s.anchors([docs[o][w : w + 50]], 50, 10)[3][0] == found[0]
 
 
+def test_shared_hashes_are_split_by_bytes(monkeypatch):
+    """Two letters of one code: windows that differ in them alone share a hash and stay apart."""
+    letters = s._LETTERS.copy()
+    letters[ord("b")] = letters[ord("a")]
+    monkeypatch.setattr(s, "_LETTERS", letters)
+    rng = random.Random(18)
+    data = [bytes(rng.choice(b"abc") for _ in range(3)) for _ in range(40)] + [b"aba", b"bab", b"aba"]
+    entries = [(i % 2, 5, d, 1) for i, d in enumerate(data)]
+    seen = collections.Counter((e[0], e[2]) for e in entries)
+    got = [bool(mask[0]) for mask in s.repeated_windows(entries, 3)]
+    assert got == [seen[(e[0], e[2])] > 1 for e in entries]
+    assert not all(got) and any(got)
+
+
 @pytest.mark.parametrize("length, anchor, seed", [(30, 8, 1), (200, 40, 2)])
 def test_equals_brute_force(spark, monkeypatch, length, anchor, seed):
     monkeypatch.setattr(s, "SORT_BYTES", 4000)
