@@ -11,6 +11,8 @@ LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 ORDER_KEYS = ("o_orderkey",)
 DOC_KEYS = ("doc_id",)
+#: Rows of a joined table up to which it may be broadcast; a larger one is joined by shuffles.
+BROADCAST_ROWS = 20_000
 
 
 def digest_sql(digits: int, seed: int, *keys: str) -> str:
@@ -34,6 +36,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def joined_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table to join with, which passes through the driver only up to ``BROADCAST_ROWS`` rows."""
+    rows = table(spark, folder, name)
+    return rows if rows.count() <= BROADCAST_ROWS else rows.hint("merge")
+
+
 def returns(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with target ``y``: was the item returned?"""
     return table(spark, folder, "lineitem").select(
@@ -88,7 +96,7 @@ NULLS = (
 def order_status(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with customer and nation columns; the status is the target."""
     orders = table(spark, folder, "orders")
-    customer = table(spark, folder, "customer")
+    customer = joined_table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
     joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")

@@ -70,15 +70,15 @@ def model_columns(df: DataFrame, spec: ModelSpec) -> tuple[DataFrame, list[str]]
 
 def prepare(df: DataFrame, spec: ModelSpec) -> Prepared:
     rows, features = model_columns(df, spec)
+    # The joins behind the table run once; fitting and scoring read it many times.
+    rows = stored(random_split(rows, spec.keys, spec.train_fraction, spec.seed, SPLIT), "labelled")
     named = F.when(F.col("Variable") == TARGET, spec.target).otherwise(F.col("Variable"))
     stats = data_stats(rows.select(TARGET, *features)).withColumn("Variable", named)
     stats = stored(stats, "stats")
     kept = C.drop_high_cardinality(rows.select(*features), stats, spec.max_levels)
     categorical = C.names_with_role(kept, C.CATEGORICAL)
     numeric = C.names_with_role(kept, C.NUMERIC)
-    marked = random_split(
-        rows.select(*spec.keys, TARGET, M.LABEL, *kept.columns), spec.keys, spec.train_fraction, spec.seed, SPLIT
-    )
+    marked = rows.select(*spec.keys, TARGET, M.LABEL, *kept.columns, SPLIT)
     fitting = marked if spec.fit_scope == "all" else marked.filter(F.col(SPLIT) == "train")
     stages = [MixedImputer(columns=kept.columns, countNulls=True, unknown=spec.unknown)]
     if categorical:

@@ -389,3 +389,28 @@ def test_scope_deletes_what_it_owns(spark):
         path = owned.pop(0)
     assert outside.count() == 3 and kept.count() == 4 and Path(path).exists()
     assert not [p for p in Path(path).parent.iterdir() if p.name.startswith(("gone", "inner"))]
+
+
+def test_larger_customers_stay_off_the_driver(spark, tmp_path, monkeypatch):
+    """Beyond the limit customers are joined by shuffles, and only once for all fits; the rows stay."""
+    orders = [(i, "FO"[i % 2], i * 1.5, "1-URGENT", i % 40 if i % 9 else None) for i in range(200)]
+    customers = [(i, i * 2.0, "BUILDING", i % 3) for i in (*range(30), 5)] + [(None, 0.0, None, 0)]
+    tables = {
+        "orders": (orders, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string, o_custkey long"),
+        "customer": (customers, "c_custkey long, c_acctbal double, c_mktsegment string, c_nationkey int"),
+        "nation": ([(0, "A"), (1, "B")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        frame = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            frame = frame.withColumn("o_orderdate", F.lit("2020-01-01").cast("date"))
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+    small = frames.order_status(spark, str(tmp_path))
+    monkeypatch.setattr(frames, "BROADCAST_ROWS", 10)
+    large = frames.order_status(spark, str(tmp_path))
+    assert "SortMergeJoin" in large._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in small._jdf.queryExecution().toString()
+    assert sorted(map(tuple, large.collect())) == sorted(map(tuple, small.collect()))
+    prepared = prepare(large, ModelSpec(target="o_orderstatus", positive_label="F", keys=("o_orderkey",)))
+    assert "Join" not in prepared.rows._jdf.queryExecution().toString()
+    assert prepared.rows.count() == large.count()
