@@ -52,6 +52,18 @@ def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "16m") ->
             spark.conf.set(key, value)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write inside the block go when it ends, not with a later collection."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    try:
+        spark.conf.set(key, "true")
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _HELD: dict[str, object] = {}
 
 

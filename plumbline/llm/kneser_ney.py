@@ -1,12 +1,12 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model.
 
-The model is trained on trusted texts: a sample bounded by ``train_documents`` texts of
-at most ``train_chars`` characters each, from one half of them. The languages take turns, each
-giving its texts in hash order, so a rare language is not crowded out. Spark counts the trigrams,
-derives continuation counts, count-of-count discounts, context totals and back-off
-weights by grouping and joining tables sharded by word hashes. The finished tables, whose
-size the two bounds limit, travel to the tasks as sorted arrays, and every whole text is
-scored where it is read. Per language the limit is a quantile of the perplexity of the
+The model is trained on all trusted texts of one half of the ids, whole; the other half sets
+the limits. (Callers may bound the training texts; the languages then take turns, each giving
+its texts in hash order.) Spark counts the trigrams, derives continuation counts,
+count-of-count discounts, context totals and back-off weights by grouping and joining tables
+sharded by word hashes. The model stays distributed in shards by n-gram hash: slices of the
+documents send each shard their distinct n-grams, get back what it knows of them, and every
+whole text is scored in its slice. Per language the limit is a quantile of the perplexity of the
 trusted texts that the model has not seen, counted over all of them, plus a margin that is
 the wider the fewer they are: ``margin`` * (1 + ``doubt`` / n). A language without any has
 no limit, since nothing is known about its good texts; no limit comes from other languages.
@@ -14,7 +14,7 @@ no limit, since nothing is known about its good texts; no limit comes from other
 Null text counts as empty; a text without words is not kept. A null language is a
 language of its own, a null id is trusted by nobody. Repeated rows are scored one by one;
 an id labelled more than once is trusted if any label says so; of an id with several texts
-each one is drawn for itself, and none of them sets a limit if one was drawn. Without trusted
+each one is used for itself, and none of them sets a limit if one was trained on. Without trusted
 text every text with words is kept. Other columns are ignored, text length is
 not limited, an empty table gives an empty result.
 """
@@ -22,18 +22,21 @@ not limited, an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialise, slices, texts
+from plumbline.llm.common import freed_shuffles, materialise, slices, texts
 from plumbline.llm.hashing import WordHashes, mixed
+from plumbline.session import scratch_scope
 
-TRAIN_DOCUMENTS, TRAIN_CHARS = 3_000, 20_000
+#: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn.
+SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 4
 #: Share of unseen trusted texts below the limit, and what is added to its log10.
 QUANTILE, MARGIN = 0.995, 0.10
 #: Unseen trusted texts of a language at which its margin is twice the plain one.
@@ -91,85 +94,172 @@ def _level(counted: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame
     values = _discounts(counted)
     taken = _discount(F.col("n"), values)
     contexts = counted.groupBy(*context).agg(F.sum("n").alias("all"), F.sum(taken).alias("left"))
-    shares = counted.join(contexts.select(*context, "all"), context)
+    totals = contexts.select(*context, "all")
+    # Without a context there is one total, which every word gets.
+    shares = counted.join(totals, context) if context else counted.crossJoin(F.broadcast(totals))
     shares = shares.withColumn("share", (F.col("n") - _discount(F.col("n"), values)) / F.col("all"))
     return shares, contexts.select(*context, (F.col("left") / F.col("all")).alias("weight"))
 
 
 @dataclass
 class Model:
-    """Sorted keys and values: n-gram shares, context weights, and the unigram floor."""
+    """Rows (shard, key, share, weight) of all n-grams, dealt by key, and the unigram floor.
 
-    tables: dict[str, tuple[np.ndarray, np.ndarray]]
+    ``share``: of the n-gram in its context; ``weight``: what is left over where it is a context.
+    """
+
+    entries: DataFrame
+    shards: int
     floor: float
 
-    def look(self, name: str, keys: np.ndarray, missing: float) -> np.ndarray:
-        known, values = self.tables[name]
-        if not len(known):
-            return np.full(len(keys), missing)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return np.where(known[at] == keys, values[at], missing)
 
-    def log_probability(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """log10 of P(c | a b), the lower orders interpolated."""
-        one = mixed([c])
-        context = mixed([b])
-        p = self.look("1", one, 0.0) + self.floor
-        p = self.look("2", mixed([b, c]), 0.0) + self.look("w2", context, 1.0) * p
-        p = self.look("3", mixed([a, b, c]), 0.0) + self.look("w3", mixed([a, b]), 1.0) * p
-        return np.log10(p)
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) % np.uint64(shards)
+
+
+def _entries(frame: DataFrame, names: list[str], shards: int) -> DataFrame:
+    """Shares and weights of n-grams of one order under the hash of their words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = mixed([batch.column(n).to_numpy().view(np.uint64) for n in names])
+            columns = [pa.array(_shard(keys, shards).astype(np.int64)), pa.array(keys.view(np.int64)), batch.column("share"), batch.column("weight")]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "key", "share", "weight"])
 
-def _table(frame: DataFrame, names: list[str], value: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bounded by the training sample: it is small enough for the driver and a broadcast."""
-    rows = frame.select(*names, F.col(value).cast("double").alias(value)).toArrow()
-    if not rows.num_rows:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    keys = mixed([rows.column(n).to_numpy().view(np.uint64) for n in names])
-    order = np.argsort(keys)
-    return keys[order], rows.column(value).to_numpy()[order]
+    share, weight = F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("weight", F.lit(1.0)).alias("weight")
+    return frame.select(*names, share, weight).mapInArrow(run, "shard bigint, key bigint, share double, weight double")
 
 
 def train(trusted: DataFrame) -> Model:
-    """Model of a bounded table with a column ``text``."""
+    """Model of all texts of a table with a column ``text``; it stays distributed.
+
+    Only its entries stay on disk; the tables they are made from are deleted.
+    """
+    with scratch_scope(trusted.sparkSession) as owned:
+        model = _train(trusted)
+        del owned[-3:]
+    return model
+
+
+def _train(trusted: DataFrame) -> Model:
     three = _trigrams(trusted).groupBy("a", "b", "c").agg(F.count("*").alias("n"))
     three = materialise(three, "trigrams")
     two = materialise(three.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
-    one = materialise(two.groupBy("c").agg(F.count("*").alias("n")).withColumn("all_", F.lit(1)), "unigrams")
+    one = materialise(two.groupBy("c").agg(F.count("*").alias("n")), "unigrams")
+    words = one.count()
+    shards = 1 + (three.count() + two.count() + words) // SHARD
     shares3, weights3 = _level(three, ["a", "b"])
     shares2, weights2 = _level(two, ["b"])
-    shares1, weights1 = _level(one, ["all_"])
-    found = weights1.first()
-    words = len(one.head(1)) and one.count()
-    tables = {
-        "3": _table(shares3, ["a", "b", "c"], "share"),
-        "w3": _table(weights3, ["a", "b"], "weight"),
-        "2": _table(shares2, ["b", "c"], "share"),
-        "w2": _table(weights2, ["b"], "weight"),
-        "1": _table(shares1, ["c"], "share"),
-    }
-    return Model(tables, (found["weight"] if found else 1.0) / (words + 1))
-
-
-def score(rows: DataFrame, model: Model) -> DataFrame:
-    """Rows (doc_id, lang, n_words, log_perplexity); rows: doc_id, text, lang."""
-    sent = rows.sparkSession.sparkContext.broadcast((model.tables, model.floor))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, judge = WordHashes(), Model(*sent.value)
-        for batch in slices(batches, "text"):
-            hashes, begins = padded_hashes(batch.column("text").cast(pa.binary()).to_pylist(), memory)
-            real = np.ones(len(hashes), bool)
-            real[begins] = real[begins + 1] = False
-            ends = np.flatnonzero(real)
-            logs = np.zeros(len(hashes))
-            logs[ends] = judge.log_probability(hashes[ends - 2], hashes[ends - 1], hashes[ends])
-            sizes = np.diff(np.append(begins, len(hashes))) - 2
-            ppl = -np.add.reduceat(logs, begins) / sizes if len(begins) else np.zeros(0)
-            columns = [batch.column("doc_id"), batch.column("lang"), pa.array(sizes - 1, pa.int64()), pa.array(ppl)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "n_words", "log_perplexity"])
-
-    return rows.mapInArrow(run, "doc_id bigint, lang string, n_words bigint, log_perplexity double")
+    shares1, weights1 = _level(one, [])
+    found = weights1.first()["weight"]
+    contexts3 = weights3.select(F.col("a").alias("b"), F.col("b").alias("c"), "weight")
+    parts = [
+        _entries(shares3.withColumn("weight", F.lit(1.0)), ["a", "b", "c"], shards),
+        _entries(shares2.select("b", "c", "share").join(contexts3, ["b", "c"], "full"), ["b", "c"], shards),
+        _entries(shares1.select("c", "share").join(weights2.withColumnRenamed("b", "c"), "c", "full"), ["c"], shards),
+    ]
+    # One order after the other: the shuffles of one are on disk at a time.
+    entries = reduce(DataFrame.union, [materialise(part, "entries") for part in parts])
+    return Model(entries, shards, (1.0 if found is None else found) / (words + 1))
+
+
+def _tokens(texts_: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, where each text begins and where its tokens lie."""
+    hashes, begins = padded_hashes(texts_.cast(pa.binary()).to_pylist(), WordHashes())
+    real = np.ones(len(hashes), bool)
+    real[begins] = real[begins + 1] = False
+    return hashes, begins, np.flatnonzero(real)
+
+
+def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
+    """Per shard the distinct n-grams of a slice, however often they occur."""
+
+    def run(slice_: pa.Table) -> pa.Table:
+        h, _, ends = _tokens(slice_.column("text"))
+        grams = [mixed([h]), mixed([h[:-1], h[1:]]), mixed([h[ends - 2], h[ends - 1], h[ends]])]
+        keys = np.concatenate([np.unique(g) for g in grams])
+        shard = _shard(keys, shards).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        found, first = np.unique(shard[order], return_index=True)
+        packed = [part.tobytes() for part in np.split(keys[order], first[1:])]
+        name = slice_.column("slice")[0].as_py()
+        return pa.table({"slice": pa.array([name] * len(found), pa.int64()), "shard": pa.array(found), "keys": pa.array(packed, pa.binary())})
+
+    return run
+
+
+def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
+    """What a shard of the model knows of the n-grams of each slice."""
+    known = entries.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    known = known[order]
+    values = [entries.column(c).to_numpy()[order] for c in ("share", "weight")]
+    columns: list[list[bytes]] = [[], [], []]
+    for packed in asked.column("keys").to_pylist() if len(known) else []:
+        keys = np.frombuffer(packed, np.uint64)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        hit = known[at] == keys
+        for column, found in zip(columns, (keys[hit], *(v[at[hit]] for v in values))):
+            column.append(found.tobytes())
+    names = asked.column("slice") if len(known) else pa.array([], pa.int64())
+    return pa.table({"slice": names, **{c: pa.array(v, pa.binary()) for c, v in zip(("keys", "shares", "weights"), columns)}})
+
+
+def _judged(floor: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Mean log10 of P(c | a b) per text of a slice, the lower orders interpolated."""
+
+    def run(slice_: pa.Table, answers: pa.Table) -> pa.Table:
+        keys, shares, weights = (
+            np.frombuffer(b"".join(answers.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint64), ("shares", float), ("weights", float))
+        )
+        order = np.argsort(keys)
+        # A last entry that no n-gram has stands for the unknown ones.
+        known = keys[order]
+        shares, weights = np.append(shares[order], 0.0), np.append(weights[order], 1.0)
+
+        def places(wanted: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(known, wanted)
+            inside = np.minimum(at, max(len(known) - 1, 0))
+            return np.where(known[inside] == wanted, inside, len(known)) if len(known) else np.zeros(len(wanted), np.int64)
+
+        h, begins, ends = _tokens(slice_.column("text"))
+        # Any two neighbours are looked up once: as the n-gram that ends here, and as the next context.
+        single = places(mixed([h]))
+        pair = places(mixed([h[:-1], h[1:]]))
+        p = shares[single[ends]] + floor
+        p = shares[pair[ends - 1]] + weights[single[ends - 1]] * p
+        p = shares[places(mixed([h[ends - 2], h[ends - 1], h[ends]]))] + weights[pair[ends - 2]] * p
+        logs = np.zeros(len(h))
+        logs[ends] = np.log10(p)
+        sizes = np.diff(np.append(begins, len(h))) - 2
+        ppl = -np.add.reduceat(logs, begins) / sizes
+        return pa.table(
+            {"doc_id": slice_.column("doc_id"), "lang": slice_.column("lang"), "n_words": pa.array(sizes - 1, pa.int64()), "log_perplexity": pa.array(ppl)}
+        )
+
+    return run
+
+
+def score(rows: DataFrame, model: Model, waves: int = 1) -> DataFrame:
+    """Rows (doc_id, lang, n_words, log_perplexity); rows: doc_id, text, lang.
+
+    Rows are dealt to slices of bounded size by content. A slice asks every shard of the model for
+    its distinct n-grams and judges its texts by the answers. ``waves`` take turns, so that the
+    questions and answers of a part of the slices are on disk at a time.
+    """
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+    count = 1 + size // SLICE_BYTES
+    dealt = rows.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("slice"))
+    parts = []
+    for wave in range(min(waves, count)):
+        part = dealt.filter(F.pmod("slice", F.lit(min(waves, count))) == wave)
+        asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, keys binary")
+        answered = asked.groupBy("shard").cogroup(model.entries.groupBy("shard"))
+        answered = answered.applyInArrow(_answered, "slice bigint, keys binary, shares binary, weights binary")
+        judged = part.groupBy("slice").cogroup(answered.groupBy("slice"))
+        schema = "doc_id bigint, lang string, n_words bigint, log_perplexity double"
+        parts.append(materialise(judged.applyInArrow(_judged(model.floor), schema), "perplexity"))
+    return reduce(DataFrame.union, parts)
 
 
 def _quantiles(scored: DataFrame, groups: list[str], share: float) -> DataFrame:
@@ -202,8 +292,8 @@ def quality_classifier(
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    train_documents: int = TRAIN_DOCUMENTS,
-    train_chars: int = TRAIN_CHARS,
+    train_documents: int | None = None,
+    train_chars: int | None = None,
     share: float = QUANTILE,
     margin: float = MARGIN,
     doubt: float = DOUBT,
@@ -211,20 +301,25 @@ def quality_classifier(
     """Rows (doc_id, lang, n_words, perplexity, limit, kept) of every whole text.
 
     ``labels``: doc_id and quality; texts of quality 1 are trusted. ``limit`` is null where a
-    language has no unseen trusted text.
+    language has no unseen trusted text. The model learns from all trusted texts of one half of
+    the ids unless ``train_documents`` or ``train_chars`` bound it, and the others set the limits.
     """
     rows = texts(df, key, text, F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"))
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    hashed = rows.withColumn("text_hash", F.xxhash64("text")).filter(F.length("text") <= train_chars)
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    if train_chars is not None:
+        hashed = hashed.filter(F.length("text") <= train_chars)
     hashed = hashed.filter(F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0)
-    # Two reads: no text is shuffled for the draw, and texts are fetched for the drawn rows alone.
+    # Two reads: no text is shuffled for the choice, and texts are fetched for the chosen rows alone.
     short = hashed.select("doc_id", "lang", "text_hash").join(trusted, "doc_id", "left_semi").distinct()
-    sample = materialise(draw(short, train_documents).select("doc_id", "lang", "text_hash"), "trusted")
     drawn = ["doc_id", "lang", "text_hash"]
-    fetched = hashed.join(F.broadcast(sample), drawn, "left_semi").dropDuplicates(drawn)
-    model = train(fetched.select("text"))
-    scored = materialise(score(rows, model), "perplexity")
-    seen = sample.select("doc_id").distinct()
+    chosen = short if train_documents is None else draw(short, train_documents).select(*drawn)
+    chosen = materialise(chosen, "trusted")
+    fetched = hashed.join(chosen, drawn, "left_semi").dropDuplicates(drawn)
+    with freed_shuffles(df.sparkSession):
+        model = train(fetched.select("text"))
+        scored = score(rows, model, WAVES)
+    seen = chosen.select("doc_id").distinct()
     unseen = scored.filter("n_words > 0").join(trusted, "doc_id", "left_semi").join(seen, "doc_id", "left_anti")
     width = margin * (1 + doubt / F.col("n"))
     limits = materialise(_quantiles(unseen, ["lang"], share).select("lang", (F.col("limit") + width).alias("limit")), "limits")

@@ -127,3 +127,37 @@ def test_verdict_equals_brute_force(spark):
         limit = logs[math.ceil(k.QUANTILE * len(logs)) - 1] / k.GRID + k.MARGIN * (1 + 4 / len(logs))
         assert all(math.isclose(math.log10(r.limit), limit, abs_tol=1e-9) for r in own)
         assert all(r.kept == (r.perplexity <= r.limit) for r in own)
+
+
+def test_learns_from_every_trusted_text(spark):
+    """More texts than any bound and one of 25,000 characters: perplexities are those of a textbook model of them all."""
+    rng = random.Random(16)
+    words = _tongue(rng, "abcdefgh")
+    rows = [(i, prose(rng, words, rng.randint(2, 8)), "en") for i in range(6_600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    half = [r.doc_id for r in df.filter("pmod(xxhash64(doc_id, 'half'), 2) = 0").select("doc_id").collect()]
+    rows[half[0]] = (half[0], prose(rng, _tongue(rng, "mnop"), 6_000), "en")
+    assert len(half) > 3_000 and len(rows[half[0]][1]) > 20_000
+    df = spark.createDataFrame(rows, df.schema)
+    labels = spark.createDataFrame([(i, 1) for i in range(6_600)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in k.quality_classifier(df, labels).collect()}
+    p = brute_model([rows[i][1] for i in half])
+    for i in [half[0], *range(0, 6_600, 300)]:
+        w = ["<s>", "<s>", *rows[i][1].split(), "</s>"]
+        logs = [math.log10(p(g)) for g in zip(w, w[1:], w[2:])]
+        assert math.isclose(math.log10(got[i].perplexity), -sum(logs) / len(logs), rel_tol=1e-9), i
+
+
+def test_slices_shards_and_waves_change_nothing(spark, monkeypatch):
+    rng = random.Random(17)
+    words = _tongue(rng, "abcdefgh")
+    df = spark.createDataFrame([(i % 90, prose(rng, words, rng.randint(0, 40)), "en") for i in range(100)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(90)], "doc_id long, quality int")
+
+    def result():
+        return sorted((r.doc_id, r.n_words, round(r.perplexity, 6), r.kept) for r in k.quality_classifier(df, labels).collect())
+
+    whole = result()
+    monkeypatch.setattr(k, "SHARD", 100)
+    monkeypatch.setattr(k, "SLICE_BYTES", 2_000)
+    assert result() == whole and len(whole) == 100
