@@ -38,8 +38,9 @@ from plumbline.llm.common import materialise, slices, small_batches, texts
 from plumbline.llm.components import components
 from plumbline.llm.hashing import WordHashes, mixed
 
-#: Bits of the smallest bitmap; larger sets get two to four bits a shingle.
-LEAST_BITS = 512
+#: Bits of the smallest bitmap; larger sets get ``SPREAD`` to twice as many bits a shingle, so that
+#: few shingles of near copies share a bit and most pairs below the threshold are told by their bits.
+LEAST_BITS, SPREAD = 512, 8
 #: Documents whose words and shingles are counted to tell frequent ones, and how many are kept.
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
 #: Members of a tile compared in one block.
@@ -66,7 +67,7 @@ def shingle_set(text: bytes, size: int, memory: WordHashes) -> np.ndarray:
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """Hashed bits of a set; the width follows its size, so it differs at most twofold in a tile."""
-    width = max(LEAST_BITS, 1 << (2 * len(shingles)).bit_length())
+    width = max(LEAST_BITS, 1 << (SPREAD * len(shingles)).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(shingles % np.uint64(width)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.int64)
@@ -220,12 +221,12 @@ def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame
 def _verified(
     pairs: DataFrame, profiles: DataFrame, rows: DataFrame, repeated: DataFrame, size: int, percent: int
 ) -> DataFrame:
-    """Edges (a, b) among pairs of nodes whose similarity reaches the threshold.
+    """Edges (a, b) among plausible pairs of nodes whose similarity reaches the threshold.
 
     The whole sets of the nodes in plausible pairs are made again from their texts, one per
     node: ids that occur once name the text, the sets of null and ``repeated`` ids are told apart.
     """
-    pairs = materialise(_plausible(pairs, profiles, percent), "pairs")
+    pairs = materialise(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialise(profiles.select("node", "doc_id").join(nodes, "node"), "wanted")
     ids = wanted.select("doc_id").distinct()
@@ -412,11 +413,11 @@ def _similar_components(df: DataFrame, percent: int, size: int, key: str, text:
     repeated = every.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     told = (profiles, rows, materialise(repeated, "repeated-ids"), size, percent)
     first = _leader_pairs(members, 0).groupBy("a").agg(F.min("leader")["node"].alias("b"))
-    edges = _verified(first, *told)
+    edges = _verified(_plausible(first, profiles, percent), *told)
     members = _contracted(members, edges)
     for seed in range(rounds):
         leaders = _leader_pairs(members, seed).select("a", F.col("leader.node").alias("b"))
-        edges = edges.union(_verified(leaders, *told))
+        edges = edges.union(_verified(_plausible(leaders, profiles, percent), *told))
         members = _contracted(members, edges)
     edges = edges.union(_verified(_tile_pairs(members, profiles, percent), *told))
     labels = components(edges)

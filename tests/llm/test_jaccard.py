@@ -150,3 +150,22 @@ def test_sets_are_unique_per_node(spark, monkeypatch):
     assert len(found) == 62
     for sets in written["sets"]:
         assert sets.count() == sets.select("node").distinct().count() <= 3
+
+
+def test_bitmaps_tell_near_copies_below_the_threshold():
+    """Sets of similarity 0.72 to 0.74 seldom pass a threshold of 0.8, whatever their size; links always do."""
+    rng = np.random.default_rng(18)
+    for n in (60, 130, 170, 250, 1_000):
+        passed = 0
+        for _ in range(100):
+            pool = rng.integers(0, 1 << 63, 3 * n, dtype=np.uint64)
+            common = -(-2 * n * 73 // 173)
+            for shared in (common, jaccard.least_overlap(n, n, 80)):
+                x, y = pool[:n], np.concatenate([pool[:shared], pool[n : 2 * n - shared]])
+                bound = 2 * n - jaccard.differing(jaccard.bitmap(x), jaccard.bitmap(y))
+                plausible = 2 * jaccard.least_overlap(n, n, 80) <= bound
+                if shared == common:
+                    passed += plausible
+                else:
+                    assert plausible
+        assert passed <= 20, n
