@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.session import scratch_path
+from plumbline.session import hand_over, scratch_path, scratch_scope
 
 #: Bytes that separate words in most contracts: space, tab, newline, VT, FF and CR.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -35,6 +35,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def alone(spark: SparkSession, label: str, make: Callable[[], DataFrame], keep: tuple[str, ...] = ()) -> DataFrame:
+    """What ``make`` returns, written to the shared folder; what it wrote there on the way is deleted.
+
+    Datasets with labels in ``keep`` stay and belong to the caller's scope.
+    """
+    path = scratch_path(spark, label)
+    with scratch_scope(spark) as owned:
+        df = make()
+        df.write.parquet(path)
+        kept = [p for p in owned if p.rsplit("/", 1)[1].rsplit("-", 1)[0] in keep]
+        owned[:] = [p for p in owned if p not in kept]
+    hand_over(kept)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1_000, size: str = "16m") -> Iterator[None]:
     """Smaller Arrow batches for the writes inside the block, where a row holds whole sets."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialise, slices, small_batches, texts
+from plumbline.llm.common import alone, freed_shuffles, materialise, slices, small_batches, texts
 from plumbline.llm.components import components
 from plumbline.llm.hashing import WordHashes, mixed
 
@@ -43,8 +43,10 @@ from plumbline.llm.hashing import WordHashes, mixed
 LEAST_BITS, SPREAD = 512, 8
 #: Documents whose words and shingles are counted to tell frequent ones, and how many are kept.
 SAMPLE_DOCUMENTS, SAMPLE_OFTEN, FREQUENT = 2_000, 3, 200_000
-#: Members of a tile compared in one block.
-BLOCK = 512
+#: Members of a tile compared in one block, and 64-bit words of the bitmap that goes with each of
+#: them; sets of ``WIDE`` or more shingles have a wider one, which is compared per distinct pair.
+BLOCK, TILE_WORDS = 512, 32
+WIDE = 64 * TILE_WORDS // SPREAD
 
 
 def word_hashes(text: bytes, memory: WordHashes) -> np.ndarray:
@@ -80,6 +82,17 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
+def _narrow(profiles: DataFrame) -> DataFrame:
+    """Rows (node, bits) with bitmaps of ``TILE_WORDS`` words at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [folded(v.values.to_numpy(), TILE_WORDS) for v in batch.column("bits")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(maps)], ["node", "bits"])
+
+    return profiles.select("node", "bits").mapInArrow(run, "node bigint, bits array<bigint>")
+
+
 def differing(p: np.ndarray, q: np.ndarray) -> int:
     """At most as many bits differ as shingles are in one set alone."""
     words = min(len(p), len(q))
@@ -225,7 +238,13 @@ def _verified(
 
     The whole sets of the nodes in plausible pairs are made again from their texts, one per
     node: ids that occur once name the text, the sets of null and ``repeated`` ids are told apart.
+    Nothing but the edges and these sets stays on disk.
     """
+    told = (profiles, rows, repeated, size, percent)
+    return alone(rows.sparkSession, "links", lambda: _exact(pairs, *told), keep=("sets",))
+
+
+def _exact(pairs: DataFrame, profiles: DataFrame, rows: DataFrame, repeated: DataFrame, size: int, percent: int) -> DataFrame:
     pairs = materialise(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialise(profiles.select("node", "doc_id").join(nodes, "node"), "wanted")
@@ -257,7 +276,7 @@ def _verified(
                         kept.append(i)
                 yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int32())) for c in "ab"], ["a", "b"])
 
-    return materialise(joined.mapInArrow(run, "a bigint, b bigint"), "links")
+    return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
@@ -279,25 +298,39 @@ def _leader_pairs(members: DataFrame, seed: int) -> DataFrame:
 def _mixed(members: DataFrame) -> DataFrame:
     """Tiles that, with the next band's of the shingle, hold more than one component.
 
-    ``untested``: they hold pairs in which neither is a leader.
+    ``untested``: they hold pairs in which neither is a leader; ``alike`` tells the sets of members.
     """
-    tiles = members.groupBy("token", "band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("own"))
-    above = tiles.select("token", (F.col("band") - 1).alias("band"), "low", "high", F.col("own").alias("next"))
-    wide = tiles.withColumn("next", F.lit(0)).unionByName(above.withColumn("own", F.lit(0)))
-    wide = wide.groupBy("token", "band").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("own").alias("own"), F.sum("next").alias("next")
-    )
+    # A node is once in a tile, so both hashes of its set are the same in any order.
+    names = {"own": ["own_x", "own_y"], "next": ["next_x", "next_y"]}
+    sets = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(c) for i, c in enumerate(names["own"])]
+    sides = [F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("own"), *sets]
+    tiles = members.groupBy("token", "band").agg(*sides)
+    above = tiles.withColumn("band", F.col("band") - 1).withColumnsRenamed(dict(zip(["own", *names["own"]], ["next", *names["next"]])))
+    none = dict.fromkeys([*names["own"], *names["next"], "own", "next"], F.lit(0).cast("bigint"))
+    wide = tiles.withColumns({c: v for c, v in none.items() if c not in tiles.columns})
+    wide = wide.unionByName(above.withColumns({c: v for c, v in none.items() if c not in above.columns}))
+    sums = [F.sum(c).alias(c) for c in names] + [F.bit_xor(c).alias(c) for side in names.values() for c in side]
+    wide = wide.groupBy("token", "band").agg(F.min("low").alias("low"), F.max("high").alias("high"), *sums)
     mixed = wide.filter((F.col("low") < F.col("high")) & (F.col("own") > 0))
     untested = (F.col("own") > 2) | (F.col("next") > 1)
-    return mixed.select("token", "band", (F.col("own") + F.col("next")).alias("size"), untested.alias("untested"))
+    alike = F.struct("own", "next", *names["own"], *names["next"]).alias("alike")
+    return mixed.select("token", "band", (F.col("own") + F.col("next")).alias("size"), untested.alias("untested"), alike)
+
+
+def _distinct_tiles(tiles: DataFrame) -> DataFrame:
+    """One of the tiles that hold the same members, which the shingles that near copies share make."""
+    return tiles.groupBy("band", "alike").agg(F.min("token").alias("token"), F.first("size").alias("size")).drop("alike")
 
 
 def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in mixed tiles that the bitmaps cannot rule out."""
-    mixed = materialise(_mixed(members).filter("untested").drop("untested"), "mixed")
+    """Pairs (a, b, wide) of different components in mixed tiles that narrow bitmaps cannot rule out.
+
+    ``wide``: the two sets have wider bitmaps as well.
+    """
+    mixed = materialise(_distinct_tiles(_mixed(members).filter("untested")), "mixed")
     own = members.join(mixed, ["token", "band"]).withColumn("upper", F.lit(False))
     next_ = members.withColumn("band", F.col("band") - 1).join(mixed, ["token", "band"]).withColumn("upper", F.lit(True))
-    rows = own.unionByName(next_).join(profiles.select("node", "bits"), "node")
+    rows = own.unionByName(next_).join(_narrow(profiles), "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -316,14 +349,14 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
     keys = ["token", "band", "x", "y"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
-    def compare(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def compare(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, label, n = (tile.column(c).to_numpy() for c in ("node", "label", "n"))
         upper, left = (tile.column(c).to_numpy(zero_copy_only=False) for c in ("upper", "left"))
         diagonal = tile.column("x")[0].as_py() == tile.column("y")[0].as_py()
         maps = [v.values.to_numpy() for v in tile.column("bits")]
         words = min(map(len, maps))
         bits = np.stack([folded(b, words) for b in maps]).view(np.uint64)
-        found_a, found_b = [], []
+        found_a, found_b, wide = [], [], []
         for i in range(len(node)):
             if not left[i]:
                 continue
@@ -336,13 +369,15 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
             others = others[2 * need <= n[i] + n[others] - differ]
             found_a.append(np.full(len(others), node[i]))
             found_b.append(node[others])
+            wide.append(np.minimum(n[i], n[others]) >= WIDE)
         if not found_a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_a), np.concatenate(found_b)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(wide)
 
     def answer(tile: pa.Table) -> pa.RecordBatch:
-        a, b = compare(tile)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
+        a, b, wide = compare(tile)
+        columns = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(wide)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "wide"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -364,15 +399,18 @@ def _tile_pairs(members: DataFrame, profiles: DataFrame, percent: int) -> DataFr
         if sum(h.num_rows for h in held) > 1:
             yield answer(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(run, "a bigint, b bigint, wide boolean").distinct()
 
 
 def _contracted(members: DataFrame, edges: DataFrame) -> DataFrame:
     """Members of tiles that still hold several components."""
-    labels = components(edges)
-    found = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    found = materialise(found, "labelled")
-    return materialise(_open_members(found), "open")
+
+    def make() -> DataFrame:
+        labels = components(edges)
+        found = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return _open_members(materialise(found, "labelled"))
+
+    return alone(members.sparkSession, "open", make)
 
 
 def similar_components(
@@ -384,10 +422,11 @@ def similar_components(
     ``rounds`` compare members with all leaders of their tiles, the first with one order of the
     members, others with an order per shingle: more of them leave fewer pairs where large groups
     of near copies miss each other's leaders; the result is the same. What runs in Python is
-    written here, in small batches.
+    written here, in small batches; the result and the sets compared stay on disk.
     """
-    with small_batches(df.sparkSession):
-        return _similar_components(df, percent, size, key, text, rounds)
+    spark = df.sparkSession
+    with small_batches(spark), freed_shuffles(spark):
+        return alone(spark, "similar", lambda: _similar_components(df, percent, size, key, text, rounds), keep=("sets",))
 
 
 def _similar_components(df: DataFrame, percent: int, size: int, key: str, text: str, rounds: int) -> DataFrame:
@@ -419,7 +458,9 @@ def _similar_components(df: DataFrame, percent: int, size: int, key: str, text:
         leaders = _leader_pairs(members, seed).select("a", F.col("leader.node").alias("b"))
         edges = edges.union(_verified(_plausible(leaders, profiles, percent), *told))
         members = _contracted(members, edges)
-    edges = edges.union(_verified(_tile_pairs(members, profiles, percent), *told))
+    pairs = materialise(_tile_pairs(members, profiles, percent), "tile-pairs")
+    wide = _plausible(pairs.filter("wide").select("a", "b"), profiles.filter(F.col("n") >= WIDE), percent)
+    edges = edges.union(_verified(pairs.filter("not wide").select("a", "b").union(wide), *told))
     labels = components(edges)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

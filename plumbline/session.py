@@ -56,6 +56,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
             _delete(spark, path)
 
 
+def hand_over(paths: list[str]) -> None:
+    """Paths that an inner scope gave up belong to the open scope, if there is one."""
+    owned = _SCOPE.get()
+    if owned is not None:
+        owned.extend(paths)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)

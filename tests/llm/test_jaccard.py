@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -117,6 +118,58 @@ def test_rounds_of_other_leaders(spark, monkeypatch):
     assert 4 * pairs[1][-1] <= pairs[0][-1], pairs
 
 
+def long_texts(rng, length, copies):
+    """Copies of one text, each with about a tenth of its words replaced, so that some are alike and some are not."""
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(length)]
+    rows = []
+    for i in range(copies):
+        copy = list(base)
+        for j in rng.sample(range(length), length // 100 * rng.randint(0, 4)):
+            copy[j] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_equal_tiles_are_compared_once(spark):
+    """Shingles shared by the same members make equal tiles; one of them is left, and one of each other set."""
+    rows = [(token, 5, node, node) for token in range(20) for node in (1, 2, 3)]
+    rows += [(token, 5, node, node) for token in (30, 31) for node in (1, 2, 4)]
+    rows += [(token, band, node, node) for token in (40, 41) for band, node in ((5, 1), (5, 2), (6, 3))]
+    rows += [(50, band, node, node) for band, node in ((5, 1), (5, 3), (6, 2), (6, 4))]
+    members = spark.createDataFrame(rows, "token long, band long, node long, label long")
+    tiles = jaccard._distinct_tiles(jaccard._mixed(members).filter("untested")).collect()
+    assert sorted((r.token, r.band, r.size) for r in tiles) == [(0, 5, 3), (30, 5, 3), (50, 5, 4)]
+
+
+def test_wide_sets_are_told_by_wide_bitmaps(spark, monkeypatch):
+    """Bitmaps in tiles have a bounded width; what they let through of long texts is tested at full width."""
+    rows = long_texts(random.Random(21), 3_000, 24)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, widths, found = jaccard.materialise, [], []
+
+    def seen(frame, label):
+        out = plain(frame, label)
+        if label == "bits":
+            widths.extend(len(r.bits) for r in jaccard._narrow(out).collect())
+        if label == "tile-pairs":
+            found.append(out.filter("wide").count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", seen)
+    got = jaccard.similar_components(df, 92, 3).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 92, 3)
+    assert max(widths) <= jaccard.TILE_WORDS and found[0] > 0
+
+
+def test_leaves_only_result_and_sets_on_disk(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "plumbline"
+    before = set(folder.glob("*"))
+    df = spark.createDataFrame(long_texts(random.Random(22), 200, 30), "doc_id long, text string")
+    assert jaccard.similar_components(df, 90, 3, rounds=2).count() == 30
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"similar", "sets"}
+
+
 def test_empty(spark):
     assert jaccard.similar_components(spark.createDataFrame([], "doc_id long, text string"), 90, 3).count() == 0
 
