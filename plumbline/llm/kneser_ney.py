@@ -6,7 +6,8 @@ its texts in hash order.) Spark counts the trigrams, derives continuation counts
 count-of-count discounts, context totals and back-off weights by grouping and joining tables
 sharded by word hashes. The model stays distributed in shards by n-gram hash: slices of the
 documents send each shard their distinct n-grams, get back what it knows of them, and every
-whole text is scored in its slice. Per language the limit is a quantile of the perplexity of the
+whole text is scored in its slice. Counts and contexts are entries of their own, divided where
+a text is scored, so no table of n-grams is joined. Per language the limit is a quantile of the perplexity of the
 trusted texts that the model has not seen, counted over all of them, plus a margin that is
 the wider the fewer they are: ``margin`` * (1 + ``doubt`` / n). A language without any has
 no limit, since nothing is known about its good texts; no limit comes from other languages.
@@ -28,15 +29,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import freed_shuffles, materialise, slices, texts
 from plumbline.llm.hashing import WordHashes, mixed
-from plumbline.session import scratch_scope
+from plumbline.session import hand_over, scratch_scope
 
-#: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn.
-SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 4
+#: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn: all
+#: slices in a few of them, many slices in more of ``WAVE_SLICES`` or more each.
+SHARD, SLICE_BYTES, WAVES, WAVE_SLICES = 1_000_000, 8 << 20, 16, 8
+#: Rows of a task that are packed by shard at once.
+PIECE = 500_000
 #: Share of unseen trusted texts below the limit, and what is added to its log10.
 QUANTILE, MARGIN = 0.995, 0.10
 #: Unseen trusted texts of a language at which its margin is twice the plain one.
@@ -60,7 +64,14 @@ def padded_hashes(documents: list[bytes], memory: WordHashes) -> tuple[np.ndarra
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(begins, np.int64)
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+
+
 def _trigrams(rows: DataFrame) -> DataFrame:
+    """Rows (a, b, c, n): the trigrams of each slice of the texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
         for batch in slices(batches, "text"):
@@ -68,10 +79,15 @@ def _trigrams(rows: DataFrame) -> DataFrame:
             real = np.ones(len(hashes), bool)
             real[begins] = real[begins + 1] = False
             ends = np.flatnonzero(real)
+            keys = mixed([hashes[ends - 2], hashes[ends - 1], hashes[ends]])
+            order = np.argsort(keys)
+            first = _firsts(keys[order])
+            counts = np.diff(np.append(first, len(keys)))
+            ends = ends[order[first]]
             columns = [pa.array(hashes[ends - back].view(np.int64)) for back in (2, 1, 0)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], ["a", "b", "c", "n"])
 
-    return rows.mapInArrow(run, "a bigint, b bigint, c bigint")
+    return rows.mapInArrow(run, "a bigint, b bigint, c bigint, n bigint")
 
 
 def _discounts(counted: DataFrame) -> list[float]:
@@ -85,49 +101,92 @@ def _discounts(counted: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), raw)]
 
 
-def _discount(n: Column, values: list[float]) -> Column:
-    return F.when(n == 1, values[0]).when(n == 2, values[1]).otherwise(values[2])
-
-
-def _level(counted: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Per n-gram its discounted share of the context, per context the weight left over."""
-    values = _discounts(counted)
-    taken = _discount(F.col("n"), values)
-    contexts = counted.groupBy(*context).agg(F.sum("n").alias("all"), F.sum(taken).alias("left"))
-    totals = contexts.select(*context, "all")
-    # Without a context there is one total, which every word gets.
-    shares = counted.join(totals, context) if context else counted.crossJoin(F.broadcast(totals))
-    shares = shares.withColumn("share", (F.col("n") - _discount(F.col("n"), values)) / F.col("all"))
-    return shares, contexts.select(*context, (F.col("left") / F.col("all")).alias("weight"))
+def _contexts(counted: DataFrame, context: list[str], values: list[float]) -> DataFrame:
+    """Per context how often it is followed by a word, and the weight that the discounts leave over."""
+    n = F.col("n")
+    taken = F.when(n == 1, values[0]).when(n == 2, values[1]).otherwise(values[2])
+    return counted.groupBy(*context).agg(F.sum("n").alias("followed"), (F.sum(taken) / F.sum("n")).alias("weight"))
 
 
 @dataclass
 class Model:
-    """Rows (shard, key, share, weight) of all n-grams, dealt by key, and the unigram floor.
+    """Packed entries of all n-grams of an order in a shard by their hash, and what all share.
 
-    ``share``: of the n-gram in its context; ``weight``: what is left over where it is a context.
+    Rows (shard, keys, counts, followed, weights): how often an n-gram was counted, how often it
+    is followed and the weight left over there. ``discounts`` and ``total``: of each order, and
+    of all unigrams. ``floor``: what any word gets.
     """
 
     entries: DataFrame
     shards: int
     floor: float
+    discounts: list[list[float]]
+    total: float
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (keys >> np.uint64(32)) % np.uint64(shards)
+    """Shards are ranges of hashes, so that sorted keys lie by shard."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted keys the shards that they lie in, and where the keys of each begin and end."""
+    of_key = _shard(keys, shards).astype(np.int64)
+    begins = _firsts(of_key)
+    return of_key[begins], begins, np.append(begins[1:], len(keys))
+
 
+VALUES = {"counts": np.int64, "followed": np.int64, "weights": np.float64}
+PACKED = "keys binary, counts binary, followed binary, weights binary"
 
-def _entries(frame: DataFrame, names: list[str], shards: int) -> DataFrame:
-    """Shares and weights of n-grams of one order under the hash of their words."""
+
+def _parts(frame: DataFrame, names: list[str], shards: int, **values: str) -> DataFrame:
+    """Values of n-grams, packed by shard in many pieces; values that are not given are empty."""
+
+    def packed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(batches)
+        keys = mixed([rows.column(n).to_numpy().view(np.uint64) for n in names])
+        order = np.argsort(keys)
+        keys = keys[order]
+        found, begins, ends = _by_shard(keys, shards)
+        columns = [pa.array(found), pa.array([keys[i:j].tobytes() for i, j in zip(begins, ends)], pa.binary())]
+        for name, kind in VALUES.items():
+            value = rows.column(values[name]).to_numpy().astype(kind)[order] if name in values else np.zeros(0, kind)
+            columns.append(pa.array([value[i:j].tobytes() for i, j in zip(begins, ends)], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, ["shard", "keys", *VALUES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            keys = mixed([batch.column(n).to_numpy().view(np.uint64) for n in names])
-            columns = [pa.array(_shard(keys, shards).astype(np.int64)), pa.array(keys.view(np.int64)), batch.column("share"), batch.column("weight")]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "key", "share", "weight"])
+            held.append(batch)
+            if sum(h.num_rows for h in held) >= PIECE:
+                yield packed(held)
+                held = []
+        if sum(h.num_rows for h in held):
+            yield packed(held)
+
+    return frame.select(*names, *values.values()).mapInArrow(run, f"shard bigint, {PACKED}")
 
-    share, weight = F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("weight", F.lit(1.0)).alias("weight")
-    return frame.select(*names, share, weight).mapInArrow(run, "shard bigint, key bigint, share double, weight double")
+
+def _unpacked(packed: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys and values of all rows, one after the other; empty values are zeros."""
+    keys = np.frombuffer(b"".join(packed.column("keys").to_pylist()), np.uint64)
+    sizes = [len(k) for k in packed.column("keys").to_pylist()]
+    # All values take eight bytes, as the keys do.
+    filled = ((v or bytes(n) for v, n in zip(packed.column(c).to_pylist(), sizes)) for c in VALUES)
+    return keys, [np.frombuffer(b"".join(v), kind) for v, kind in zip(filled, VALUES.values())]
+
+
+def _merged(parts: pa.Table) -> pa.Table:
+    """One row of sorted keys; the values that different tables have for a key meet in it."""
+    keys, values = _unpacked(parts)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = _firsts(keys)
+    values = [np.add.reduceat(v[order], first) for v in values]
+    columns = [keys[first].tobytes(), *(v.tobytes() if v.any() else b"" for v in values)]
+    names = ["keys", *VALUES]
+    return pa.table({"shard": parts.column("shard")[:1], **{n: pa.array([c], pa.binary()) for n, c in zip(names, columns)}})
 
 
 def train(trusted: DataFrame) -> Model:
@@ -137,30 +196,33 @@ def train(trusted: DataFrame) -> Model:
     """
     with scratch_scope(trusted.sparkSession) as owned:
         model = _train(trusted)
+        entries = owned[-3:]
         del owned[-3:]
+    hand_over(entries)
     return model
 
 
 def _train(trusted: DataFrame) -> Model:
-    three = _trigrams(trusted).groupBy("a", "b", "c").agg(F.count("*").alias("n"))
-    three = materialise(three, "trigrams")
+    three = materialise(_trigrams(trusted).groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "trigrams")
     two = materialise(three.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
     one = materialise(two.groupBy("c").agg(F.count("*").alias("n")), "unigrams")
+    discounts = [_discounts(counted) for counted in (one, two, three)]
     words = one.count()
     shards = 1 + (three.count() + two.count() + words) // SHARD
-    shares3, weights3 = _level(three, ["a", "b"])
-    shares2, weights2 = _level(two, ["b"])
-    shares1, weights1 = _level(one, [])
-    found = weights1.first()["weight"]
-    contexts3 = weights3.select(F.col("a").alias("b"), F.col("b").alias("c"), "weight")
-    parts = [
-        _entries(shares3.withColumn("weight", F.lit(1.0)), ["a", "b", "c"], shards),
-        _entries(shares2.select("b", "c", "share").join(contexts3, ["b", "c"], "full"), ["b", "c"], shards),
-        _entries(shares1.select("c", "share").join(weights2.withColumnRenamed("b", "c"), "c", "full"), ["c"], shards),
+    contexts = _contexts(one, [], discounts[0]).first()
+    found, total = contexts["weight"], contexts["followed"]
+    contexts2 = _contexts(two, ["b"], discounts[1])
+    contexts3 = _contexts(three, ["a", "b"], discounts[2])
+    followed = {"followed": "followed", "weights": "weight"}
+    orders = [
+        _parts(three, ["a", "b", "c"], shards, counts="n"),
+        _parts(two, ["b", "c"], shards, counts="n").union(_parts(contexts3, ["a", "b"], shards, **followed)),
+        _parts(one, ["c"], shards, counts="n").union(_parts(contexts2, ["b"], shards, **followed)),
     ]
     # One order after the other: the shuffles of one are on disk at a time.
-    entries = reduce(DataFrame.union, [materialise(part, "entries") for part in parts])
-    return Model(entries, shards, (1.0 if found is None else found) / (words + 1))
+    merged = [parts.groupBy("shard").applyInArrow(_merged, f"shard bigint, {PACKED}") for parts in orders]
+    entries = reduce(DataFrame.union, [materialise(part, "entries") for part in merged])
+    return Model(entries, shards, (1.0 if found is None else found) / (words + 1), discounts, float(total or 1))
 
 
 def _tokens(texts_: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,11 +239,10 @@ def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
     def run(slice_: pa.Table) -> pa.Table:
         h, _, ends = _tokens(slice_.column("text"))
         grams = [mixed([h]), mixed([h[:-1], h[1:]]), mixed([h[ends - 2], h[ends - 1], h[ends]])]
-        keys = np.concatenate([np.unique(g) for g in grams])
-        shard = _shard(keys, shards).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        found, first = np.unique(shard[order], return_index=True)
-        packed = [part.tobytes() for part in np.split(keys[order], first[1:])]
+        keys = np.sort(np.concatenate(grams))
+        keys = keys[_firsts(keys)]
+        found, begins, stops = _by_shard(keys, shards)
+        packed = [keys[i:j].tobytes() for i, j in zip(begins, stops)]
         name = slice_.column("slice")[0].as_py()
         return pa.table({"slice": pa.array([name] * len(found), pa.int64()), "shard": pa.array(found), "keys": pa.array(packed, pa.binary())})
 
@@ -189,46 +250,58 @@ def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
-    """What a shard of the model knows of the n-grams of each slice."""
-    known = entries.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(known)
-    known = known[order]
-    values = [entries.column(c).to_numpy()[order] for c in ("share", "weight")]
-    columns: list[list[bytes]] = [[], [], []]
-    for packed in asked.column("keys").to_pylist() if len(known) else []:
-        keys = np.frombuffer(packed, np.uint64)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        hit = known[at] == keys
-        for column, found in zip(columns, (keys[hit], *(v[at[hit]] for v in values))):
-            column.append(found.tobytes())
-    names = asked.column("slice") if len(known) else pa.array([], pa.int64())
-    return pa.table({"slice": names, **{c: pa.array(v, pa.binary()) for c, v in zip(("keys", "shares", "weights"), columns)}})
-
-
-def _judged(floor: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What a shard of the model knows of the n-grams of each slice, a row per order."""
+    rows: list[tuple] = []
+    for i in range(entries.num_rows):
+        known, values = _unpacked(entries.slice(i, 1))
+        given = [v if len(entries.column(c)[i].as_buffer()) else None for c, v in zip(VALUES, values)]
+        for name, packed in zip(asked.column("slice").to_pylist(), asked.column("keys")):
+            keys = np.frombuffer(packed.as_buffer(), np.uint64)
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[at] == keys
+            at = at[hit]
+            if len(at):
+                rows.append((name, keys[hit].tobytes(), *(b"" if v is None else v[at].tobytes() for v in given)))
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.table({"slice": pa.array(columns[0], pa.int64()), **{n: pa.array(c, pa.binary()) for n, c in zip(["keys", *VALUES], columns[1:])}})
+
+
+def _judged(floor: float, discounts: list[list[float]], total: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Mean log10 of P(c | a b) per text of a slice, the lower orders interpolated."""
 
     def run(slice_: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, shares, weights = (
-            np.frombuffer(b"".join(answers.column(c).to_pylist()), kind) for c, kind in (("keys", np.uint64), ("shares", float), ("weights", float))
-        )
+        keys, values = _unpacked(answers)
         order = np.argsort(keys)
         # A last entry that no n-gram has stands for the unknown ones.
         known = keys[order]
-        shares, weights = np.append(shares[order], 0.0), np.append(weights[order], 1.0)
+        counts, followed = (np.append(v[order], 0) for v in values[:2])
+        weights = np.where(followed > 0, np.append(values[2][order], 0.0), 1.0)
+        del keys, values, order
 
         def places(wanted: np.ndarray) -> np.ndarray:
-            at = np.searchsorted(known, wanted)
-            inside = np.minimum(at, max(len(known) - 1, 0))
-            return np.where(known[inside] == wanted, inside, len(known)) if len(known) else np.zeros(len(wanted), np.int64)
+            if not len(known):
+                return np.zeros(len(wanted), np.int64)
+            # In order of the keys neighbours are looked up in the same stretch of memory.
+            order = np.argsort(wanted)
+            wanted = wanted[order]
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            found = np.empty(len(wanted), np.int64)
+            found[order] = np.where(known[at] == wanted, at, len(known))
+            return found
+
+        def share(at: np.ndarray, values: list[float], all_: np.ndarray | float) -> np.ndarray:
+            n = counts[at]
+            return np.where(n > 0, (n - np.array([0.0, *values])[np.minimum(n, 3)]) / np.maximum(all_, 1), 0.0)
 
         h, begins, ends = _tokens(slice_.column("text"))
         # Any two neighbours are looked up once: as the n-gram that ends here, and as the next context.
         single = places(mixed([h]))
         pair = places(mixed([h[:-1], h[1:]]))
-        p = shares[single[ends]] + floor
-        p = shares[pair[ends - 1]] + weights[single[ends - 1]] * p
-        p = shares[places(mixed([h[ends - 2], h[ends - 1], h[ends]]))] + weights[pair[ends - 2]] * p
+        p = share(single[ends], discounts[0], total) + floor
+        context = single[ends - 1]
+        p = share(pair[ends - 1], discounts[1], followed[context]) + weights[context] * p
+        context = pair[ends - 2]
+        p = share(places(mixed([h[ends - 2], h[ends - 1], h[ends]])), discounts[2], followed[context]) + weights[context] * p
         logs = np.zeros(len(h))
         logs[ends] = np.log10(p)
         sizes = np.diff(np.append(begins, len(h))) - 2
@@ -251,14 +324,15 @@ def score(rows: DataFrame, model: Model, waves: int = 1) -> DataFrame:
     count = 1 + size // SLICE_BYTES
     dealt = rows.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("slice"))
     parts = []
-    for wave in range(min(waves, count)):
-        part = dealt.filter(F.pmod("slice", F.lit(min(waves, count))) == wave)
+    waves = min(waves, count, max(4, count // WAVE_SLICES))
+    for wave in range(waves):
+        part = dealt.filter(F.pmod("slice", F.lit(waves)) == wave)
         asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, keys binary")
         answered = asked.groupBy("shard").cogroup(model.entries.groupBy("shard"))
-        answered = answered.applyInArrow(_answered, "slice bigint, keys binary, shares binary, weights binary")
+        answered = answered.applyInArrow(_answered, f"slice bigint, {PACKED}")
         judged = part.groupBy("slice").cogroup(answered.groupBy("slice"))
         schema = "doc_id bigint, lang string, n_words bigint, log_perplexity double"
-        parts.append(materialise(judged.applyInArrow(_judged(model.floor), schema), "perplexity"))
+        parts.append(materialise(judged.applyInArrow(_judged(model.floor, model.discounts, model.total), schema), "perplexity"))
     return reduce(DataFrame.union, parts)
 
 

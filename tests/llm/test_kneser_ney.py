@@ -161,3 +161,22 @@ def test_slices_shards_and_waves_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(k, "SHARD", 100)
     monkeypatch.setattr(k, "SLICE_BYTES", 2_000)
     assert result() == whole and len(whole) == 100
+
+
+def test_entries_are_packed_by_shard(spark, monkeypatch):
+    """A row per order and shard, so that scoring moves no row per n-gram; every n-gram is in it once, sorted."""
+    monkeypatch.setattr(k, "SHARD", 400)
+    monkeypatch.setattr(k, "PIECE", 50)
+    rng = random.Random(18)
+    vocabulary = ["w%d" % i for i in range(60)]
+    docs = [prose(rng, vocabulary, 40) for _ in range(40)]
+    model = k.train(spark.createDataFrame([(d,) for d in docs], "text string"))
+    padded = [["<s>", "<s>", *d.split(), "</s>"] for d in docs]
+    three = {g for w in padded for g in zip(w, w[1:], w[2:])}
+    pairs, single = {g[1:] for g in three} | {g[:-1] for g in three}, {w for g in three for w in g}
+    rows = model.entries.collect()
+    assert model.shards > 3 and len(rows) <= 3 * model.shards
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    assert all((x[1:] > x[:-1]).all() for x in keys)
+    assert sum(map(len, keys)) == len(three) + len(pairs) + len(single)
+    assert all(set(k._shard(x, model.shards)) == {r.shard} for x, r in zip(keys, rows))
