@@ -36,9 +36,8 @@ from plumbline.llm.common import freed_shuffles, materialise, slices, texts
 from plumbline.llm.hashing import WordHashes, mixed
 from plumbline.session import hand_over, scratch_scope
 
-#: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn: all
-#: slices in a few of them, many slices in more of ``WAVE_SLICES`` or more each.
-SHARD, SLICE_BYTES, WAVES, WAVE_SLICES = 1_000_000, 8 << 20, 16, 8
+#: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn.
+SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 8
 #: Rows of a task that are packed by shard at once.
 PIECE = 500_000
 #: Share of unseen trusted texts below the limit, and what is added to its log10.
@@ -324,9 +323,8 @@ def score(rows: DataFrame, model: Model, waves: int = 1) -> DataFrame:
     count = 1 + size // SLICE_BYTES
     dealt = rows.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("slice"))
     parts = []
-    waves = min(waves, count, max(4, count // WAVE_SLICES))
-    for wave in range(waves):
-        part = dealt.filter(F.pmod("slice", F.lit(waves)) == wave)
+    for wave in range(min(waves, count)):
+        part = dealt.filter(F.pmod("slice", F.lit(min(waves, count))) == wave)
         asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, keys binary")
         answered = asked.groupBy("shard").cogroup(model.entries.groupBy("shard"))
         answered = answered.applyInArrow(_answered, f"slice bigint, {PACKED}")
