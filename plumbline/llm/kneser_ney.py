@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import freed_shuffles, materialise, slices, texts
+from plumbline.llm.common import alone, freed_shuffles, materialise, slices, texts
 from plumbline.llm.hashing import WordHashes, mixed
 from plumbline.session import hand_over, scratch_scope
 
@@ -389,8 +389,8 @@ def quality_classifier(
     chosen = materialise(chosen, "trusted")
     fetched = hashed.join(chosen, drawn, "left_semi").dropDuplicates(drawn)
     with freed_shuffles(df.sparkSession):
-        model = train(fetched.select("text"))
-        scored = score(rows, model, WAVES)
+        # The model goes when all texts are scored.
+        scored = alone(df.sparkSession, "scored", lambda: score(rows, train(fetched.select("text")), WAVES))
     seen = chosen.select("doc_id").distinct()
     unseen = scored.filter("n_words > 0").join(trusted, "doc_id", "left_semi").join(seen, "doc_id", "left_anti")
     width = margin * (1 + doubt / F.col("n"))

@@ -1,6 +1,7 @@
 import collections
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 
@@ -180,3 +181,12 @@ def test_entries_are_packed_by_shard(spark, monkeypatch):
     assert all((x[1:] > x[:-1]).all() for x in keys)
     assert sum(map(len, keys)) == len(three) + len(pairs) + len(single)
     assert all(set(k._shard(x, model.shards)) == {r.shard} for x, r in zip(keys, rows))
+
+
+def test_model_goes_when_texts_are_scored(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "plumbline"
+    before = set(folder.glob("*"))
+    df = spark.createDataFrame([(i, f"a b c w{i % 5} w{i % 7}", "en") for i in range(40)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    assert k.quality_classifier(df, labels).count() == 40
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"trusted", "scored", "limits"}
