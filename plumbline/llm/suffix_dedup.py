@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialise, slices, texts
+from plumbline.llm.common import alone, freed_shuffles, materialise, slices, texts
 
 LENGTH, ANCHOR = 200, 40
 #: Bytes of surroundings sorted at once.
@@ -321,11 +321,8 @@ def _verdicts(entries: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "anchor bigint, digest bigint, runs array<struct<start:int,end:int>>")
 
 
-def find_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, data, spans): the bytes of every text and the covered stretches in them."""
-    rows = texts(df, key, text).select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text")
-    )
+def _spans(rows: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Rows (row, spans): the covered stretches of every text that has some."""
     found = _anchor_rows(rows, length, anchor)
     twice = found.groupBy("anchor").agg(F.sum(F.shiftright("run", 32)).alias("n")).filter("n > 1").select("anchor")
     places = found.join(twice, "anchor").groupBy("row").agg(F.collect_set(F.struct("anchor", "place", "run")).alias("places"))
@@ -342,7 +339,17 @@ def find_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, key:
             ),
         )
     )
-    spans = spots.select("row", shifted.alias("spans")).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return spots.select("row", shifted.alias("spans")).groupBy("row").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
+def find_repeats(df: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (doc_id, data, spans): the bytes of every text and the covered stretches in them."""
+    rows = texts(df, key, text).select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("text")
+    )
+    with freed_shuffles(df.sparkSession):
+        # Only the spans stay: what a step shuffled goes with it, the surroundings once they are judged.
+        spans = alone(df.sparkSession, "spans", lambda: _spans(rows, length, anchor))
     return rows.join(spans, "row", "left").select("doc_id", F.col("text").alias("data"), "spans")
 
 

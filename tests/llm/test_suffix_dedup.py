@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -92,3 +93,12 @@ def test_long_and_empty(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in s.repeats_report(s.find_repeats(df)).collect()}
     assert got == {1: (200_000, 200_000, 1), 2: (601, 600, 1)}
     assert s.repeats_report(s.find_repeats(df.limit(0))).count() == 0
+
+
+def test_only_spans_stay_on_disk(spark):
+    """Surroundings and verdicts are deleted before the texts are shuffled for the last time."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "plumbline"
+    before = set(folder.glob("*"))
+    df = spark.createDataFrame([(i, "ab" * 150 + str(i)) for i in range(3)], "doc_id long, text string")
+    assert s.repeats_report(s.find_repeats(df)).count() == 3
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"spans"}
