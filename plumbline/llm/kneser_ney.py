@@ -29,17 +29,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import alone, freed_shuffles, materialise, slices, texts
 from plumbline.llm.hashing import WordHashes, mixed
-from plumbline.session import hand_over, scratch_scope
+from plumbline.session import hand_over, scratch_path, scratch_scope
 
 #: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn.
 SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 8
-#: Rows of a task that are packed by shard at once.
-PIECE = 500_000
+#: Trigrams of a task that are packed at once; bytes of text per n-gram of a model, about; and
+#: parts of the trigrams, by their middle words, that are counted in turn.
+PIECE, NGRAM_BYTES, TURNS = 1_000_000, 4, 4
 #: Share of unseen trusted texts below the limit, and what is added to its log10.
 QUANTILE, MARGIN = 0.995, 0.10
 #: Unseen trusted texts of a language at which its margin is twice the plain one.
@@ -68,31 +69,165 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
 
 
-def _trigrams(rows: DataFrame) -> DataFrame:
-    """Rows (a, b, c, n): the trigrams of each slice of the texts."""
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of hashes, so that sorted keys lie by shard."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def _by_shard(of_key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ascending shards the distinct ones, and where the keys of each begin and end."""
+    begins = _firsts(of_key)
+    return of_key[begins].astype(np.int64), begins, np.append(begins[1:], len(of_key))
+
+
+#: What is known of an n-gram: how often it was counted, how often it is followed, and by how
+#: many different words once, twice and more often.
+VALUES = ("counts", "followed", "ones", "twos", "more")
+PACKED = "keys binary, " + ", ".join(f"{name} binary" for name in VALUES)
+#: Kinds of packed rows: the order of their n-grams, or pairs of words that are yet to be counted.
+PAIRS = 0
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest takes; zeros in none."""
+    largest = int(values.max()) if len(values) else 0
+    return values.astype(np.min_scalar_type(largest)).tobytes() if largest else b""
+
+
+def _wide(packed: bytes, size: int) -> np.ndarray:
+    """So many numbers from their narrow form."""
+    return np.frombuffer(packed, f"u{len(packed) // size}").astype(np.int64) if packed else np.zeros(size, np.int64)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts the keys, and where each distinct one begins in it."""
+    order = np.argsort(keys)
+    return order, _firsts(keys[order])
+
+
+def _followers(counts: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+    """Values of contexts from the counts of what follows them; ``first``: where each context begins."""
+    parts = {"followed": counts, "ones": counts == 1, "twos": counts == 2, "more": counts > 2}
+    return {name: np.add.reduceat(v.astype(np.int64), first) if len(first) else counts for name, v in parts.items()}
+
+
+def _pieces(kind: int, of_key: np.ndarray, keys: list[np.ndarray], **values: np.ndarray) -> pa.Table:
+    """Packed rows, one per shard; the shards of the keys ascend."""
+    found, begins, ends = _by_shard(of_key)
+    cuts = list(zip(begins, ends))
+    columns = [pa.array(found), pa.array(np.full(len(found), kind, np.int32))]
+    columns.append(pa.array([b"".join(k[i:j].tobytes() for k in keys) for i, j in cuts], pa.binary()))
+    for name in VALUES:
+        columns.append(pa.array([_narrow(values[name][i:j]) if name in values else b"" for i, j in cuts], pa.binary()))
+    return pa.table(columns, ["shard", "kind", "keys", *VALUES])
+
+
+PIECES = f"shard bigint, kind int, {PACKED}"
+
+
+def _unpacked(packed: pa.Table, words: int = 1, names: tuple[str, ...] = VALUES) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys (of so many words each) and values of all rows, one after the other."""
+    keys = [np.frombuffer(k.as_buffer(), np.uint64).reshape(words, -1) for k in packed.column("keys")]
+    values = [[_wide(v, k.shape[1]) for v, k in zip(packed.column(n).to_pylist(), keys)] for n in names]
+    none = np.zeros((words, 0), np.uint64)
+    return np.concatenate([none, *keys], axis=1), [np.concatenate([np.zeros(0, np.int64), *v]) for v in values]
+
+
+def _trigrams(rows: DataFrame, turn: int, turns: int, groups: int) -> DataFrame:
+    """Trigrams of pieces of the texts, packed by the first two words; middle words take turns."""
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        grams = np.concatenate(held, axis=1)
+        order, first = _distinct(mixed(list(grams)))
+        counts = np.diff(np.append(first, len(order)))
+        grams = grams[:, order[first]]
+        group = _shard(mixed(list(grams[:2])), groups)
+        by = np.argsort(group, kind="stable")
+        table = _pieces(3, group[by], list(grams[:, by]), counts=counts[by])
+        return table.select(["shard", "keys", "counts"]).combine_chunks().to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
+        memory, held = WordHashes(), []
         for batch in slices(batches, "text"):
             hashes, begins = padded_hashes(batch.column("text").cast(pa.binary()).to_pylist(), memory)
             real = np.ones(len(hashes), bool)
             real[begins] = real[begins + 1] = False
             ends = np.flatnonzero(real)
-            keys = mixed([hashes[ends - 2], hashes[ends - 1], hashes[ends]])
-            order = np.argsort(keys)
-            first = _firsts(keys[order])
-            counts = np.diff(np.append(first, len(keys)))
-            ends = ends[order[first]]
-            columns = [pa.array(hashes[ends - back].view(np.int64)) for back in (2, 1, 0)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], ["a", "b", "c", "n"])
+            ends = ends[_shard(hashes[ends - 1], turns) == turn]
+            held.append(np.stack([hashes[ends - back] for back in (2, 1, 0)]))
+            if sum(h.shape[1] for h in held) >= PIECE:
+                yield packed(held)
+                held = []
+        if sum(h.shape[1] for h in held):
+            yield packed(held)
+
+    return rows.mapInArrow(run, "shard bigint, keys binary, counts binary")
+
+
+def _counted(shards: int, groups: int) -> Callable[[pa.Table], pa.Table]:
+    """From all trigrams of a group their entries, those of their contexts, and the pairs that end them."""
+
+    def run(parts: pa.Table) -> pa.Table:
+        grams, (counts,) = _unpacked(parts, 3, ("counts",))
+        keys = mixed(list(grams))
+        order, first = _distinct(keys)
+        counts, grams, keys = np.add.reduceat(counts[order], first), grams[:, order[first]], keys[order[first]]
+        made = [_pieces(3, _shard(keys, shards), [keys], counts=counts)]
+        keys = mixed(list(grams[:2]))
+        order, first = _distinct(keys)
+        contexts = keys[order[first]]
+        made.append(_pieces(2, _shard(contexts, shards), [contexts], **_followers(counts[order], first)))
+        keys = mixed(list(grams[1:]))
+        order, first = _distinct(keys)
+        pairs = list(grams[1:, order[first]])
+        made.append(_pieces(PAIRS, _shard(keys[order[first]], groups), pairs, counts=np.diff(np.append(first, len(order)))))
+        return pa.concat_tables(made)
+
+    return run
+
+
+def _paired(shards: int) -> Callable[[pa.Table], pa.Table]:
+    """From all pairs of a group their entries and what they add to those of their words."""
+
+    def run(parts: pa.Table) -> pa.Table:
+        pairs, (counts,) = _unpacked(parts, 2, ("counts",))
+        keys = mixed(list(pairs))
+        order, first = _distinct(keys)
+        counts, pairs, keys = np.add.reduceat(counts[order], first), pairs[:, order[first]], keys[order[first]]
+        made = [_pieces(2, _shard(keys, shards), [keys], counts=counts)]
+        begun, ended = (mixed([words]) for words in pairs)
+        order, first = _distinct(begun)
+        keys = begun[order[first]]
+        made.append(_pieces(1, _shard(keys, shards), [keys], **_followers(counts[order], first)))
+        order, first = _distinct(ended)
+        keys = ended[order[first]]
+        made.append(_pieces(1, _shard(keys, shards), [keys], counts=np.diff(np.append(first, len(order)))))
+        return pa.concat_tables(made)
+
+    return run
+
+
+def _merged(parts: pa.Table) -> pa.Table:
+    """One row of sorted keys; the values that different rows have for a key meet in it."""
+    (keys,), values = _unpacked(parts)
+    order, first = _distinct(keys)
+    values = [np.add.reduceat(v[order], first) for v in values]
+    counts = values[0]
+    tally = [*(int((counts == k).sum()) for k in (1, 2, 3, 4)), int((counts > 0).sum()), int(counts.sum())]
+    columns = [keys[order[first]].tobytes(), *map(_narrow, values)]
+    packed = {n: pa.array([c], pa.binary()) for n, c in zip(["keys", *VALUES], columns)}
+    heads = {n: parts.column(n)[:1] for n in ("shard", "kind")}
+    return pa.table({**heads, **packed, "tally": pa.array([tally], pa.list_(pa.int64()))})
 
-    return rows.mapInArrow(run, "a bigint, b bigint, c bigint, n bigint")
 
+def _tallies(entries: DataFrame) -> list[int]:
+    """How many n-grams were counted once to four times, how many at all, and the sum of their counts."""
+    return list(entries.agg(*(F.coalesce(F.sum(F.col("tally")[i]), F.lit(0)) for i in range(6))).first())
 
-def _discounts(counted: DataFrame) -> list[float]:
+
+def _discounts(tally: list[int]) -> list[float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more."""
-    having = [F.coalesce(F.sum((F.col("n") == k).cast("double")), F.lit(0.0)) for k in (1, 2, 3, 4)]
-    ones, twos, threes, fours = counted.agg(*having).first()
+    ones, twos, threes, fours = tally[:4]
     if not (ones and twos and threes):
         return [0.5, 0.75, 1.0]
     y = ones / (ones + 2 * twos)
@@ -100,20 +235,13 @@ def _discounts(counted: DataFrame) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), raw)]
 
 
-def _contexts(counted: DataFrame, context: list[str], values: list[float]) -> DataFrame:
-    """Per context how often it is followed by a word, and the weight that the discounts leave over."""
-    n = F.col("n")
-    taken = F.when(n == 1, values[0]).when(n == 2, values[1]).otherwise(values[2])
-    return counted.groupBy(*context).agg(F.sum("n").alias("followed"), (F.sum(taken) / F.sum("n")).alias("weight"))
-
-
 @dataclass
 class Model:
     """Packed entries of all n-grams of an order in a shard by their hash, and what all share.
 
-    Rows (shard, keys, counts, followed, weights): how often an n-gram was counted, how often it
-    is followed and the weight left over there. ``discounts`` and ``total``: of each order, and
-    of all unigrams. ``floor``: what any word gets.
+    Rows (shard, kind, keys, values): ``kind`` is the order; the weight that the discounts leave
+    over after an n-gram follows from its values. ``discounts`` and ``total``: of each order,
+    and of all unigrams. ``floor``: what any word gets.
     """
 
     entries: DataFrame
@@ -123,105 +251,67 @@ class Model:
     total: float
 
 
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Shards are ranges of hashes, so that sorted keys lie by shard."""
-    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-
-
-def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted keys the shards that they lie in, and where the keys of each begin and end."""
-    of_key = _shard(keys, shards).astype(np.int64)
-    begins = _firsts(of_key)
-    return of_key[begins], begins, np.append(begins[1:], len(keys))
-
-
-VALUES = {"counts": np.int64, "followed": np.int64, "weights": np.float64}
-PACKED = "keys binary, counts binary, followed binary, weights binary"
+def _by_kind(df: DataFrame, label: str) -> str:
+    """Path of packed rows, each kind in a folder of its own."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy("kind").parquet(path)
+    return path
 
 
-def _parts(frame: DataFrame, names: list[str], shards: int, **values: str) -> DataFrame:
-    """Values of n-grams, packed by shard in many pieces; values that are not given are empty."""
-
-    def packed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(batches)
-        keys = mixed([rows.column(n).to_numpy().view(np.uint64) for n in names])
-        order = np.argsort(keys)
-        keys = keys[order]
-        found, begins, ends = _by_shard(keys, shards)
-        columns = [pa.array(found), pa.array([keys[i:j].tobytes() for i, j in zip(begins, ends)], pa.binary())]
-        for name, kind in VALUES.items():
-            value = rows.column(values[name]).to_numpy().astype(kind)[order] if name in values else np.zeros(0, kind)
-            columns.append(pa.array([value[i:j].tobytes() for i, j in zip(begins, ends)], pa.binary()))
-        return pa.RecordBatch.from_arrays(columns, ["shard", "keys", *VALUES])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(h.num_rows for h in held) >= PIECE:
-                yield packed(held)
-                held = []
-        if sum(h.num_rows for h in held):
-            yield packed(held)
-
-    return frame.select(*names, *values.values()).mapInArrow(run, f"shard bigint, {PACKED}")
-
-
-def _unpacked(packed: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Keys and values of all rows, one after the other; empty values are zeros."""
-    keys = np.frombuffer(b"".join(packed.column("keys").to_pylist()), np.uint64)
-    sizes = [len(k) for k in packed.column("keys").to_pylist()]
-    # All values take eight bytes, as the keys do.
-    filled = ((v or bytes(n) for v, n in zip(packed.column(c).to_pylist(), sizes)) for c in VALUES)
-    return keys, [np.frombuffer(b"".join(v), kind) for v, kind in zip(filled, VALUES.values())]
-
-
-def _merged(parts: pa.Table) -> pa.Table:
-    """One row of sorted keys; the values that different tables have for a key meet in it."""
-    keys, values = _unpacked(parts)
-    order = np.argsort(keys)
-    keys = keys[order]
-    first = _firsts(keys)
-    values = [np.add.reduceat(v[order], first) for v in values]
-    columns = [keys[first].tobytes(), *(v.tobytes() if v.any() else b"" for v in values)]
-    names = ["keys", *VALUES]
-    return pa.table({"shard": parts.column("shard")[:1], **{n: pa.array([c], pa.binary()) for n, c in zip(names, columns)}})
+def _of_kind(spark: SparkSession, paths: list[str], kind: int) -> DataFrame:
+    schema = PIECES.replace(" kind int,", "") + ", kind int"
+    read = [spark.read.schema(schema).parquet(path).filter(F.col("kind") == kind) for path in paths]
+    return reduce(DataFrame.union, read).select("shard", "kind", "keys", *VALUES)
 
 
 def train(trusted: DataFrame) -> Model:
     """Model of all texts of a table with a column ``text``; it stays distributed.
 
-    Only its entries stay on disk; the tables they are made from are deleted.
+    Only its entries stay on disk; what they are made from is deleted step by step. Trigrams
+    with some middle words are counted at a time, so that those words' contexts and pairs are whole.
     """
-    with scratch_scope(trusted.sparkSession) as owned:
-        model = _train(trusted)
-        entries = owned[-3:]
-        del owned[-3:]
-    hand_over(entries)
-    return model
-
-
-def _train(trusted: DataFrame) -> Model:
-    three = materialise(_trigrams(trusted).groupBy("a", "b", "c").agg(F.sum("n").alias("n")), "trigrams")
-    two = materialise(three.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
-    one = materialise(two.groupBy("c").agg(F.count("*").alias("n")), "unigrams")
-    discounts = [_discounts(counted) for counted in (one, two, three)]
-    words = one.count()
-    shards = 1 + (three.count() + two.count() + words) // SHARD
-    contexts = _contexts(one, [], discounts[0]).first()
-    found, total = contexts["weight"], contexts["followed"]
-    contexts2 = _contexts(two, ["b"], discounts[1])
-    contexts3 = _contexts(three, ["a", "b"], discounts[2])
-    followed = {"followed": "followed", "weights": "weight"}
-    orders = [
-        _parts(three, ["a", "b", "c"], shards, counts="n"),
-        _parts(two, ["b", "c"], shards, counts="n").union(_parts(contexts3, ["a", "b"], shards, **followed)),
-        _parts(one, ["c"], shards, counts="n").union(_parts(contexts2, ["b"], shards, **followed)),
-    ]
-    # One order after the other: the shuffles of one are on disk at a time.
-    merged = [parts.groupBy("shard").applyInArrow(_merged, f"shard bigint, {PACKED}") for parts in orders]
-    entries = reduce(DataFrame.union, [materialise(part, "entries") for part in merged])
-    return Model(entries, shards, (1.0 if found is None else found) / (words + 1), discounts, float(total or 1))
+    spark = trusted.sparkSession
+    with scratch_scope(spark) as counted:
+        paths, shards = _count(trusted)
+        entries, tallies = [], []
+        with scratch_scope(spark) as owned:
+            # One order after the other: the pieces and shuffles of one are on disk twice at a time.
+            for kind in (3, 2, 1):
+                with scratch_scope(spark) as pieces:
+                    pieces.extend(f"{path}/kind={kind}" for path in paths)
+                    merged = _of_kind(spark, paths, kind).groupBy("shard").applyInArrow(_merged, f"{PIECES}, tally array<bigint>")
+                    entries.append(materialise(merged, "entries"))
+                    owned.append(pieces.pop())
+                tallies.append(_tallies(entries[-1]))
+            kept, owned[:] = list(owned), []
+        counted.extend(paths)
+    hand_over(kept)
+    discounts = [_discounts(tally) for tally in reversed(tallies)]
+    ones, twos, _, _, words, total = tallies[-1]
+    left = float(np.dot(discounts[0], [ones, twos, words - ones - twos])) / total if total else 1.0
+    return Model(reduce(DataFrame.union, entries), shards, left / (words + 1), discounts, float(total or 1))
+
+
+def _count(trusted: DataFrame) -> tuple[list[str], int]:
+    """Paths of the packed pieces of all entries, and the number of shards they are packed for."""
+    spark = trusted.sparkSession
+    with scratch_scope(spark) as owned:
+        rows = materialise(trusted, "learnt")
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+        shards = 1 + size // (NGRAM_BYTES * SHARD)
+        turns = min(TURNS, shards)
+        groups = 1 + shards // turns
+        paths = []
+        for turn in range(turns):
+            grams = _trigrams(rows, turn, turns, groups).groupBy("shard")
+            paths.append(_by_kind(grams.applyInArrow(_counted(shards, groups), PIECES), "trigrams"))
+            with scratch_scope(spark) as done:
+                done.append(f"{paths[-1]}/kind={PAIRS}")
+                pairs = _of_kind(spark, paths[-1:], PAIRS).groupBy("shard")
+                paths.append(_by_kind(pairs.applyInArrow(_paired(shards), PIECES), "pairs"))
+                done.remove(paths[-1])
+        owned[:] = [path for path in owned if path not in paths]
+    return paths, shards
 
 
 def _tokens(texts_: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,75 +322,114 @@ def _tokens(texts_: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return hashes, begins, np.flatnonzero(real)
 
 
+def _keys(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trigrams that end at the tokens; words and neighbouring pairs, which may be contexts too."""
+    return mixed([h[ends - 2], h[ends - 1], h[ends]]), np.concatenate([mixed([h]), mixed([h[:-1], h[1:]])])
+
+
 def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
     """Per shard the distinct n-grams of a slice, however often they occur."""
 
     def run(slice_: pa.Table) -> pa.Table:
         h, _, ends = _tokens(slice_.column("text"))
-        grams = [mixed([h]), mixed([h[:-1], h[1:]]), mixed([h[ends - 2], h[ends - 1], h[ends]])]
-        keys = np.sort(np.concatenate(grams))
-        keys = keys[_firsts(keys)]
-        found, begins, stops = _by_shard(keys, shards)
-        packed = [keys[i:j].tobytes() for i, j in zip(begins, stops)]
+        packed: list[list[bytes]] = []
+        for keys in _keys(h, ends):
+            keys = np.sort(keys)
+            keys = keys[_firsts(keys)]
+            cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
+            packed.append([keys[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])])
+        rows = [(shard, *row) for shard, row in enumerate(zip(*packed)) if any(row)]
         name = slice_.column("slice")[0].as_py()
-        return pa.table({"slice": pa.array([name] * len(found), pa.int64()), "shard": pa.array(found), "keys": pa.array(packed, pa.binary())})
+        found, grams, lower = zip(*rows) if rows else ((), (), ())
+        return pa.table(
+            {"slice": pa.array([name] * len(rows), pa.int64()), "shard": pa.array(found, pa.int64())}
+            | {"grams": pa.array(grams, pa.binary()), "lower": pa.array(lower, pa.binary())}
+        )
 
     return run
 
 
-def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
-    """What a shard of the model knows of the n-grams of each slice, a row per order."""
-    rows: list[tuple] = []
-    for i in range(entries.num_rows):
-        known, values = _unpacked(entries.slice(i, 1))
-        given = [v if len(entries.column(c)[i].as_buffer()) else None for c, v in zip(VALUES, values)]
-        for name, packed in zip(asked.column("slice").to_pylist(), asked.column("keys")):
-            keys = np.frombuffer(packed.as_buffer(), np.uint64)
-            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = known[at] == keys
-            at = at[hit]
-            if len(at):
-                rows.append((name, keys[hit].tobytes(), *(b"" if v is None else v[at].tobytes() for v in given)))
-    columns = list(zip(*rows)) or [()] * 5
-    return pa.table({"slice": pa.array(columns[0], pa.int64()), **{n: pa.array(c, pa.binary()) for n, c in zip(["keys", *VALUES], columns[1:])}})
-
-
-def _judged(floor: float, discounts: list[list[float]], total: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+ANSWERS = "slice bigint, shard bigint, grams binary, counts binary, followed binary, weights binary"
+
+
+def _answered(discounts: list[list[float]]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """What a shard of the model knows of the n-grams of each slice, in the order of the questions."""
+
+    def known(entries: pa.Table, kinds: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Sorted keys of such orders; counts, followed and weights, with one more for unknown ones."""
+        found, values = [np.zeros(0, np.uint64)], [[], [], []]
+        for i, kind in enumerate(entries.column("kind").to_pylist()):
+            if kind in kinds:
+                (keys,), (counts, followed, *after) = _unpacked(entries.slice(i, 1))
+                found.append(keys)
+                # What follows an n-gram is of the next order.
+                taken = sum(d * n for d, n in zip(discounts[kind % 3], after))
+                for column, value in zip(values, (counts, followed, taken / np.maximum(followed, 1))):
+                    column.append(value)
+        keys = np.concatenate(found)
+        order = np.argsort(keys)
+        return keys[order], [np.append(np.concatenate(v)[order] if v else np.zeros(0, np.int64), 0) for v in values]
+
+    def places(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        if not len(keys):
+            return np.zeros(len(asked), np.int64)
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        return np.where(keys[at] == asked, at, len(keys))
+
+    def run(asked: pa.Table, entries: pa.Table) -> pa.Table:
+        grams, (times, _, _) = known(entries, (3,))
+        lower, (counts, followed, weights) = known(entries, (1, 2))
+        rows: list[tuple] = []
+        for wanted, below in zip(asked.column("grams"), asked.column("lower")):
+            at = places(grams, np.frombuffer(wanted.as_buffer(), np.uint64))
+            low = places(lower, np.frombuffer(below.as_buffer(), np.uint64))
+            left = weights[low]
+            left = left.tobytes() if left.any() else b""
+            rows.append((_narrow(times[at]), _narrow(counts[low]), _narrow(followed[low]), left))
+        columns = list(zip(*rows)) or [()] * 4
+        names = ["grams", "counts", "followed", "weights"]
+        packed = {n: pa.array(c, pa.binary()) for n, c in zip(names, columns)}
+        return pa.table({"slice": asked.column("slice"), "shard": asked.column("shard"), **packed})
+
+    return run
+
+
+def _judged(floor: float, discounts: list[list[float]], total: float, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Mean log10 of P(c | a b) per text of a slice, the lower orders interpolated."""
 
+    def answer(keys: np.ndarray, rows: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
+        """Values of each key; the slice asked for the distinct ones, by shard."""
+        order, first = _distinct(keys)
+        sizes = np.bincount(_shard(keys[order[first]], shards).astype(np.int64), minlength=shards)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+        own = sizes[rows.column("shard").to_numpy()]
+        found = []
+        for name in names:
+            packed = list(zip(rows.column(name).to_pylist(), own))
+            if name == "weights":
+                parts = [np.frombuffer(v) if v else np.zeros(n) for v, n in packed]
+            else:
+                parts = [_wide(v, n) for v, n in packed]
+            found.append(np.concatenate(parts)[place])
+        return found
+
     def run(slice_: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, values = _unpacked(answers)
-        order = np.argsort(keys)
-        # A last entry that no n-gram has stands for the unknown ones.
-        known = keys[order]
-        counts, followed = (np.append(v[order], 0) for v in values[:2])
-        weights = np.where(followed > 0, np.append(values[2][order], 0.0), 1.0)
-        del keys, values, order
-
-        def places(wanted: np.ndarray) -> np.ndarray:
-            if not len(known):
-                return np.zeros(len(wanted), np.int64)
-            # In order of the keys neighbours are looked up in the same stretch of memory.
-            order = np.argsort(wanted)
-            wanted = wanted[order]
-            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-            found = np.empty(len(wanted), np.int64)
-            found[order] = np.where(known[at] == wanted, at, len(known))
-            return found
-
-        def share(at: np.ndarray, values: list[float], all_: np.ndarray | float) -> np.ndarray:
-            n = counts[at]
+        h, begins, ends = _tokens(slice_.column("text"))
+        grams, lower = _keys(h, ends)
+        answers = answers.sort_by("shard")
+        (times,) = answer(grams, answers, ("grams",))
+        counts, followed, weights = answer(lower, answers, ("counts", "followed", "weights"))
+        weights = np.where(followed > 0, weights, 1.0)
+
+        def share(n: np.ndarray, values: list[float], all_: np.ndarray | float) -> np.ndarray:
             return np.where(n > 0, (n - np.array([0.0, *values])[np.minimum(n, 3)]) / np.maximum(all_, 1), 0.0)
 
-        h, begins, ends = _tokens(slice_.column("text"))
-        # Any two neighbours are looked up once: as the n-gram that ends here, and as the next context.
-        single = places(mixed([h]))
-        pair = places(mixed([h[:-1], h[1:]]))
-        p = share(single[ends], discounts[0], total) + floor
-        context = single[ends - 1]
-        p = share(pair[ends - 1], discounts[1], followed[context]) + weights[context] * p
-        context = pair[ends - 2]
-        p = share(places(mixed([h[ends - 2], h[ends - 1], h[ends]])), discounts[2], followed[context]) + weights[context] * p
+        p = share(counts[ends], discounts[0], total) + floor
+        context = ends - 1
+        p = share(counts[len(h) + ends - 1], discounts[1], followed[context]) + weights[context] * p
+        context = len(h) + ends - 2
+        p = share(times, discounts[2], followed[context]) + weights[context] * p
         logs = np.zeros(len(h))
         logs[ends] = np.log10(p)
         sizes = np.diff(np.append(begins, len(h))) - 2
@@ -322,15 +451,16 @@ def score(rows: DataFrame, model: Model, waves: int = 1) -> DataFrame:
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     count = 1 + size // SLICE_BYTES
     dealt = rows.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("slice"))
+    judge = _judged(model.floor, model.discounts, model.total, model.shards)
     parts = []
     for wave in range(min(waves, count)):
         part = dealt.filter(F.pmod("slice", F.lit(min(waves, count))) == wave)
-        asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, keys binary")
+        asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, grams binary, lower binary")
         answered = asked.groupBy("shard").cogroup(model.entries.groupBy("shard"))
-        answered = answered.applyInArrow(_answered, f"slice bigint, {PACKED}")
+        answered = answered.applyInArrow(_answered(model.discounts), ANSWERS)
         judged = part.groupBy("slice").cogroup(answered.groupBy("slice"))
         schema = "doc_id bigint, lang string, n_words bigint, log_perplexity double"
-        parts.append(materialise(judged.applyInArrow(_judged(model.floor, model.discounts, model.total), schema), "perplexity"))
+        parts.append(materialise(judged.applyInArrow(judge, schema), "perplexity"))
     return reduce(DataFrame.union, parts)
 
 
