@@ -29,15 +29,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import alone, freed_shuffles, materialise, slices, texts
-from plumbline.llm.hashing import WordHashes, mixed
+from plumbline.llm.hashing import mixed
 from plumbline.session import hand_over, scratch_path, scratch_scope
 
 #: N-grams in a shard of the model, text of a slice, and parts of the slices scored in turn.
-SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 8
+SHARD, SLICE_BYTES, WAVES = 1_000_000, 8 << 20, 12
 #: Trigrams of a task that are packed at once; bytes of text per n-gram of a model, about; and
 #: parts of the trigrams, by their middle words, that are counted in turn.
 PIECE, NGRAM_BYTES, TURNS = 1_000_000, 4, 4
@@ -50,18 +51,31 @@ GRID = 1_000
 START, END = np.uint64(1), np.uint64(2)
 
 
-def padded_hashes(documents: list[bytes], memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def padded_hashes(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all documents, each with two starts and an end; and where each begins."""
-    parts, begins, at = [], [], 0
-    for text in documents:
-        found = text.split()
-        begins.append(at)
-        row = np.empty(len(found) + 3, np.uint64)
-        row[:2], row[-1] = START, END
-        row[2:-1] = np.fromiter(map(memory.__getitem__, found), np.uint64, len(found))
-        parts.append(row)
-        at += len(row)
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(begins, np.int64)
+    found = [text.split() for text in documents]
+    coded = pa.array([word for words in found for word in words], pa.binary()).dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    distinct = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    stops = np.cumsum(sizes + 3)
+    begins = stops - sizes - 3
+    hashes = np.full(int(stops[-1]) if len(stops) else 0, START, np.uint64)
+    hashes[stops - 1] = END
+    inner = np.ones(len(hashes), bool)
+    inner[begins] = inner[begins + 1] = inner[stops - 1] = False
+    hashes[inner] = distinct[coded.indices.to_numpy()]
+    return hashes, begins
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Order that sorts the keys: leading bits and positions are sorted as one number, which is faster."""
+    mask = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort(keys & ~mask | np.arange(len(keys), dtype=np.uint64)) & mask).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = order[np.argsort(ordered, kind="stable")]
+    return order
 
 
 def _firsts(ordered: np.ndarray) -> np.ndarray:
@@ -89,19 +103,34 @@ PAIRS = 0
 
 
 def _narrow(values: np.ndarray) -> bytes:
-    """Numbers in as few bytes as the largest takes; zeros in none."""
-    largest = int(values.max()) if len(values) else 0
-    return values.astype(np.min_scalar_type(largest)).tobytes() if largest else b""
+    """Numbers in a byte each; those from 255 on follow in full. Zeros take nothing."""
+    if not values.any():
+        return b""
+    short = np.minimum(values, 255).astype(np.uint8)
+    return short.tobytes() + values[short == 255].astype(np.int64).tobytes()
 
 
 def _wide(packed: bytes, size: int) -> np.ndarray:
     """So many numbers from their narrow form."""
-    return np.frombuffer(packed, f"u{len(packed) // size}").astype(np.int64) if packed else np.zeros(size, np.int64)
+    if not packed:
+        return np.zeros(size, np.int64)
+    values = np.frombuffer(packed, np.uint8, size).astype(np.int64)
+    values[values == 255] = np.frombuffer(packed, np.int64, offset=size)
+    return values
+
+
+def _planes(keys: np.ndarray) -> bytes:
+    """Sorted keys by bytes of one place, of which the leading ones compress well."""
+    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts the keys, and where each distinct one begins in it."""
-    order = np.argsort(keys)
+    order = _order(keys)
     return order, _firsts(keys[order])
 
 
@@ -147,9 +176,9 @@ def _trigrams(rows: DataFrame, turn: int, turns: int, groups: int) -> DataFrame:
         return table.select(["shard", "keys", "counts"]).combine_chunks().to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, held = WordHashes(), []
+        held: list[np.ndarray] = []
         for batch in slices(batches, "text"):
-            hashes, begins = padded_hashes(batch.column("text").cast(pa.binary()).to_pylist(), memory)
+            hashes, begins = padded_hashes(batch.column("text").cast(pa.binary()).to_pylist())
             real = np.ones(len(hashes), bool)
             real[begins] = real[begins + 1] = False
             ends = np.flatnonzero(real)
@@ -316,7 +345,7 @@ def _count(trusted: DataFrame) -> tuple[list[str], int]:
 
 def _tokens(texts_: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, where each text begins and where its tokens lie."""
-    hashes, begins = padded_hashes(texts_.cast(pa.binary()).to_pylist(), WordHashes())
+    hashes, begins = padded_hashes(texts_.cast(pa.binary()).to_pylist())
     real = np.ones(len(hashes), bool)
     real[begins] = real[begins + 1] = False
     return hashes, begins, np.flatnonzero(real)
@@ -337,7 +366,7 @@ def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
             keys = np.sort(keys)
             keys = keys[_firsts(keys)]
             cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
-            packed.append([keys[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])])
+            packed.append([_planes(keys[i:j]) for i, j in zip(cuts[:-1], cuts[1:])])
         rows = [(shard, *row) for shard, row in enumerate(zip(*packed)) if any(row)]
         name = slice_.column("slice")[0].as_py()
         found, grams, lower = zip(*rows) if rows else ((), (), ())
@@ -349,56 +378,43 @@ def _asked(shards: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-ANSWERS = "slice bigint, shard bigint, grams binary, counts binary, followed binary, weights binary"
+ANSWERS = "slice bigint, shard bigint, grams binary, " + ", ".join(f"{name} binary" for name in VALUES)
+
 
+def _known(entries: pa.Table, kinds: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted keys of such orders, and their values with one more for unknown ones."""
+    chosen = entries.filter(pa.array([kind in kinds for kind in entries.column("kind").to_pylist()], pa.bool_()))
+    (keys,), values = _unpacked(chosen)
+    order = _order(keys)
+    return keys[order], [np.append(v[order], 0) for v in values]
 
-def _answered(discounts: list[list[float]]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+
+def _answered(asked: pa.Table, entries: pa.Table) -> pa.Table:
     """What a shard of the model knows of the n-grams of each slice, in the order of the questions."""
 
-    def known(entries: pa.Table, kinds: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Sorted keys of such orders; counts, followed and weights, with one more for unknown ones."""
-        found, values = [np.zeros(0, np.uint64)], [[], [], []]
-        for i, kind in enumerate(entries.column("kind").to_pylist()):
-            if kind in kinds:
-                (keys,), (counts, followed, *after) = _unpacked(entries.slice(i, 1))
-                found.append(keys)
-                # What follows an n-gram is of the next order.
-                taken = sum(d * n for d, n in zip(discounts[kind % 3], after))
-                for column, value in zip(values, (counts, followed, taken / np.maximum(followed, 1))):
-                    column.append(value)
-        keys = np.concatenate(found)
-        order = np.argsort(keys)
-        return keys[order], [np.append(np.concatenate(v)[order] if v else np.zeros(0, np.int64), 0) for v in values]
-
-    def places(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    def places(keys: np.ndarray, packed: pa.Scalar) -> np.ndarray:
+        wanted = _from_planes(packed.as_buffer())
         if not len(keys):
-            return np.zeros(len(asked), np.int64)
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-        return np.where(keys[at] == asked, at, len(keys))
-
-    def run(asked: pa.Table, entries: pa.Table) -> pa.Table:
-        grams, (times, _, _) = known(entries, (3,))
-        lower, (counts, followed, weights) = known(entries, (1, 2))
-        rows: list[tuple] = []
-        for wanted, below in zip(asked.column("grams"), asked.column("lower")):
-            at = places(grams, np.frombuffer(wanted.as_buffer(), np.uint64))
-            low = places(lower, np.frombuffer(below.as_buffer(), np.uint64))
-            left = weights[low]
-            left = left.tobytes() if left.any() else b""
-            rows.append((_narrow(times[at]), _narrow(counts[low]), _narrow(followed[low]), left))
-        columns = list(zip(*rows)) or [()] * 4
-        names = ["grams", "counts", "followed", "weights"]
-        packed = {n: pa.array(c, pa.binary()) for n, c in zip(names, columns)}
-        return pa.table({"slice": asked.column("slice"), "shard": asked.column("shard"), **packed})
+            return np.zeros(len(wanted), np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, at, len(keys))
 
-    return run
+    grams, (times, *_) = _known(entries, (3,))
+    lower, values = _known(entries, (1, 2))
+    rows: list[tuple] = []
+    for above, below in zip(asked.column("grams"), asked.column("lower")):
+        at = places(lower, below)
+        rows.append((_narrow(times[places(grams, above)]), *(_narrow(v[at]) for v in values)))
+    columns = list(zip(*rows)) or [()] * 6
+    packed = {n: pa.array(c, pa.binary()) for n, c in zip(["grams", *VALUES], columns)}
+    return pa.table({"slice": asked.column("slice"), "shard": asked.column("shard"), **packed})
 
 
 def _judged(floor: float, discounts: list[list[float]], total: float, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Mean log10 of P(c | a b) per text of a slice, the lower orders interpolated."""
 
-    def answer(keys: np.ndarray, rows: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
-        """Values of each key; the slice asked for the distinct ones, by shard."""
+    def answer(keys: np.ndarray, rows: pa.Table, names: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Place of each key among the distinct ones, and their values; those were asked for by shard."""
         order, first = _distinct(keys)
         sizes = np.bincount(_shard(keys[order[first]], shards).astype(np.int64), minlength=shards)
         place = np.empty(len(keys), np.int64)
@@ -406,30 +422,28 @@ def _judged(floor: float, discounts: list[list[float]], total: float, shards: in
         own = sizes[rows.column("shard").to_numpy()]
         found = []
         for name in names:
-            packed = list(zip(rows.column(name).to_pylist(), own))
-            if name == "weights":
-                parts = [np.frombuffer(v) if v else np.zeros(n) for v, n in packed]
-            else:
-                parts = [_wide(v, n) for v, n in packed]
-            found.append(np.concatenate(parts)[place])
-        return found
+            found.append(np.concatenate([_wide(v, n) for v, n in zip(rows.column(name).to_pylist(), own)]))
+        return place, found
 
     def run(slice_: pa.Table, answers: pa.Table) -> pa.Table:
         h, begins, ends = _tokens(slice_.column("text"))
         grams, lower = _keys(h, ends)
         answers = answers.sort_by("shard")
-        (times,) = answer(grams, answers, ("grams",))
-        counts, followed, weights = answer(lower, answers, ("counts", "followed", "weights"))
-        weights = np.where(followed > 0, weights, 1.0)
-
-        def share(n: np.ndarray, values: list[float], all_: np.ndarray | float) -> np.ndarray:
-            return np.where(n > 0, (n - np.array([0.0, *values])[np.minimum(n, 3)]) / np.maximum(all_, 1), 0.0)
-
-        p = share(counts[ends], discounts[0], total) + floor
-        context = ends - 1
-        p = share(counts[len(h) + ends - 1], discounts[1], followed[context]) + weights[context] * p
-        context = len(h) + ends - 2
-        p = share(times, discounts[2], followed[context]) + weights[context] * p
+        triple, (times,) = answer(grams, answers, ("grams",))
+        place, (counts, followed, *after) = answer(lower, answers, VALUES)
+        single, pair = place[: len(h)], place[len(h) :]
+
+        def left(values: list[float]) -> np.ndarray:
+            return np.where(followed > 0, sum(d * v for d, v in zip(values, after)) / np.maximum(followed, 1), 1.0)
+
+        def taken(n: np.ndarray, values: list[float]) -> np.ndarray:
+            return n - np.array([0.0, *values])[np.minimum(n, 3)]
+
+        p = taken(counts, discounts[0])[single[ends]] / max(total, 1) + floor
+        context = single[ends - 1]
+        p = taken(counts, discounts[1])[pair[ends - 1]] / np.maximum(followed, 1)[context] + left(discounts[1])[context] * p
+        context = pair[ends - 2]
+        p = taken(times, discounts[2])[triple] / np.maximum(followed, 1)[context] + left(discounts[2])[context] * p
         logs = np.zeros(len(h))
         logs[ends] = np.log10(p)
         sizes = np.diff(np.append(begins, len(h))) - 2
@@ -457,7 +471,7 @@ def score(rows: DataFrame, model: Model, waves: int = 1) -> DataFrame:
         part = dealt.filter(F.pmod("slice", F.lit(min(waves, count))) == wave)
         asked = part.groupBy("slice").applyInArrow(_asked(model.shards), "slice bigint, shard bigint, grams binary, lower binary")
         answered = asked.groupBy("shard").cogroup(model.entries.groupBy("shard"))
-        answered = answered.applyInArrow(_answered(model.discounts), ANSWERS)
+        answered = answered.applyInArrow(_answered, ANSWERS)
         judged = part.groupBy("slice").cogroup(answered.groupBy("slice"))
         schema = "doc_id bigint, lang string, n_words bigint, log_perplexity double"
         parts.append(materialise(judged.applyInArrow(judge, schema), "perplexity"))

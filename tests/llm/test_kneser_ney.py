@@ -190,3 +190,34 @@ def test_model_goes_when_texts_are_scored(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
     assert k.quality_classifier(df, labels).count() == 40
     assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"trusted", "scored", "limits"}
+
+
+def test_model_is_narrow_and_turns_change_nothing(spark, monkeypatch):
+    """Entries take a few bytes beside their keys, counts beyond a byte included; middle words may take turns."""
+    monkeypatch.setattr(k, "SHARD", 400)
+    rng = random.Random(19)
+    docs = [prose(rng, ["w%d" % i for i in range(60)], 40) for _ in range(40)] + ["often said"] * 300
+    rows = spark.createDataFrame([(d,) for d in docs], "text string")
+
+    def entries(turns):
+        monkeypatch.setattr(k, "TURNS", turns)
+        return {(r.kind, r.shard): r for r in k.train(rows).entries.collect()}
+
+    got = entries(3)
+    assert got == entries(1) and sum(r.tally[5] for (kind, _), r in got.items() if kind == 3) == 40 * 41 + 300 * 3
+    size = sum(len(r[name]) for r in got.values() for name in k.VALUES)
+    assert size < 6 * sum(len(r["keys"]) // 8 for r in got.values())
+    values = np.array([0, 1, 254, 255, 256, 1 << 40, 0])
+    assert (k._wide(k._narrow(values), len(values)) == values).all() and k._narrow(values * 0) == b""
+    keys = np.sort(np.array([rng.getrandbits(64) for _ in range(500)], np.uint64))
+    assert (k._from_planes(k._planes(keys)) == keys).all()
+    near = np.repeat(np.array([5, 4, 5, 3], np.uint64), 200)
+    assert (near[k._order(near)] == np.sort(near)).all() and (np.sort(k._order(near)) == np.arange(800)).all()
+
+
+def test_pieces_go_when_the_model_is_made(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "plumbline"
+    before = set(folder.glob("*"))
+    model = k.train(spark.createDataFrame([("a b c a b d",), ("b c d",)], "text string"))
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"entries"}
+    assert model.entries.count() == 3
