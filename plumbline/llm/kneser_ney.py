@@ -2,9 +2,9 @@
 
 The model is trained on all trusted texts of one half of the ids, whole; the other half sets
 the limits. (Callers may bound the training texts; the languages then take turns, each giving
-its texts in hash order.) Spark counts the trigrams, derives continuation counts,
-count-of-count discounts, context totals and back-off weights by grouping and joining tables
-sharded by word hashes. The model stays distributed in shards by n-gram hash: slices of the
+its texts in hash order.) Trigrams are counted in groups of the same first two words, some middle
+words at a time; continuation counts, count-of-count discounts, context totals and back-off
+weights follow from them by further grouping. The model stays distributed in shards by n-gram hash: slices of the
 documents send each shard their distinct n-grams, get back what it knows of them, and every
 whole text is scored in its slice. Counts and contexts are entries of their own, divided where
 a text is scored, so no table of n-grams is joined. Per language the limit is a quantile of the perplexity of the
