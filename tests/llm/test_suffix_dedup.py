@@ -102,3 +102,60 @@ def test_only_spans_stay_on_disk(spark):
     df = spark.createDataFrame([(i, "ab" * 150 + str(i)) for i in range(3)], "doc_id long, text string")
     assert s.repeats_report(s.find_repeats(df)).count() == 3
     assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before} == {"spans"}
+
+
+def letters(rng, n):
+    return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+
+@pytest.mark.parametrize("phrase, seed", [(20, 3), (33, 4), (90, 5)])
+def test_large_groups_are_filed_again(spark, monkeypatch, phrase, seed):
+    """One phrase in many texts, more of its surroundings than are sorted at once: the same result."""
+    monkeypatch.setattr(s, "HOT", 8)
+    rng = random.Random(seed)
+    common = letters(rng, phrase)
+    shared = [letters(rng, 25) + common + letters(rng, 25) for _ in range(3)]
+    docs = [letters(rng, rng.randint(0, 40)) + rng.choice([common] * 4 + shared) + letters(rng, rng.randint(0, 40)) for _ in range(150)]
+    docs += [shared[0] + common + shared[1], common * 3, docs[7], docs[7]]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in s.repeats_report(s.find_repeats(df, 30, 8)).collect())
+    assert got == [(i, *b) for i, b in enumerate(brute(docs, 30))]
+
+
+def test_only_small_groups_are_sorted(spark, monkeypatch):
+    """Entries of a group of more than HOT come back in halves, each half with all its windows."""
+    monkeypatch.setattr(s, "HOT", 8)
+    rng = random.Random(8)
+    common = letters(rng, 10)
+    rows = [(g, i, 20, 25, (letters(rng, 25) + common + letters(rng, 25)).encode(), 1) for g, n in ((1, 8), (2, 50), (3, 2)) for i in range(n)]
+    columns = "anchor long, digest long, reach int, offset int, data binary, n long"
+    got = s._judged(spark.createDataFrame(rows, columns), 30).filter("part is not null").collect()
+    windows = sorted((r.digest, r["shift"] + i) for r in got for i in range(len(r.part_data) - 29))
+    assert {r.anchor for r in got} == {2}
+    assert windows == [(i, at) for i in range(50) for at in range(5, 26)]
+    assert all(rows[8 + r.digest][4][r["shift"] :].startswith(r.part_data) for r in got)
+
+
+def test_two_suffixes_are_sorted_for_each_entry(monkeypatch):
+    """The windows of an entry are judged by what follows and what precedes its anchor, not sorted one by one."""
+    rng = random.Random(9)
+    entries = [(i % 5, 80, letters(rng, 80).encode() + b"x" * 40 + letters(rng, 160).encode(), 1) for i in range(50)]
+    entries += [(g, o, d[:9] + b"!" + d[10:], n) for g, o, d, n in entries[:20]]
+    seen = collections.Counter((e[0], e[1] - i, e[2][i : i + 200]) for e in entries for i in range(len(e[2]) - 199))
+    sorted_, sort = [], s.SuffixSort.sort
+    monkeypatch.setattr(s.SuffixSort, "sort", lambda self, start, segment: sorted_.append(len(start)) or sort(self, start, segment))
+    masks = s.repeated_windows(entries, 200)
+    assert sum(sorted_) <= 2 * len(entries)
+    for (g, o, d, _), mask in zip(entries, masks):
+        assert mask.tolist() == [seen[g, o - i, d[i : i + 200]] > 1 for i in range(len(d) - 199)]
+
+
+def test_equal_texts_are_judged_once(spark):
+    """Copies of a text go through the sort as one, and are removed whole; a repeat inside a copy counts elsewhere."""
+    rng = random.Random(6)
+    body = letters(rng, 400)
+    docs = [body, body, "z" + body[100:320], "short", "short"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in s.repeats_report(s.find_repeats(df)).collect())
+    assert got == [(i, *b) for i, b in enumerate(brute(docs, 200))]
+    assert [r[2] for r in got] == [400, 400, 220, 0, 0]
